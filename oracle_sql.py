@@ -167,3 +167,133 @@ SELECT u.stage, u.Total_users FROM ({_unpivot('ab', '')}) u
 JOIN {CODES} ON u.stage = codes.code
 ORDER BY u.Total_users DESC, codes.pos LIMIT 1"""
 SQL["pivot_stages_reference_order"] = SQL["pivot_stages"]
+
+# --- landing, stamps, parsing ----------------------------------------------
+
+FUNNEL_TEXT = """SELECT client_id AS ID_cliente, app AS App, stage, strftime(register_date, '%Y-%m-%d') AS date,
+  CAST(complete_process AS VARCHAR) AS Proceso_completo FROM funnel"""
+
+SQL["landing_csv"] = BASE + FUNNEL_TEXT
+SQL["load_stamp"] = BASE + f"SELECT *, TIMESTAMP '{TS1}' AS fecha_ingesta FROM ({FUNNEL_TEXT})"
+SQL["conform_funnel"] = BASE + f"""SELECT client_id, app, stage, register_date, complete_process,
+  TIMESTAMP '{TS1}' AS ingestion_date FROM funnel"""
+SQL["conform_clients"] = BASE + f"""SELECT client_id, name, email, age, state,
+  TIMESTAMP '{TS1}' AS ingestion_date FROM clients"""
+SQL["parse_date"] = """SELECT o_orderkey,
+  CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y/%m/%d')
+       ELSE 'not-a-date' END AS txt,
+  CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS parsed
+FROM orders"""
+SQL["parse_timestamp"] = """SELECT o_orderkey,
+  CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+       WHEN 1 THEN strftime(o_orderdate, '%Y/%m/%d %H:%M:%S') ELSE 'not-a-date' END AS txt,
+  CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE CAST(o_orderdate AS TIMESTAMP) END AS parsed
+FROM orders"""
+SQL["parse_rejects"] = """SELECT COUNT(*) AS rows,
+  COUNT(CASE WHEN o_orderkey % 3 = 2 THEN 1 END) AS rejected_register_date FROM orders"""
+
+# --- MERGE ------------------------------------------------------------------
+
+BATCHES = BASE + """,
+b1 AS (SELECT client_id, app, stage, MIN(register_date) AS register_date, complete_process FROM funnel_ev
+       WHERE o_orderdate < TIMESTAMP '1996-01-01 00:00:00' GROUP BY client_id, app, stage, complete_process),
+b2 AS (SELECT client_id, app, stage, MIN(register_date) AS register_date, complete_process FROM funnel_ev
+       WHERE o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' GROUP BY client_id, app, stage, complete_process),
+c1 AS (SELECT * FROM clients WHERE (CAST(client_id AS BIGINT) - 9950) % 4 <> 3),
+c2 AS (SELECT client_id, name,
+         CASE WHEN (CAST(client_id AS BIGINT) - 9950) % 5 = 0 THEN CONCAT('new.', email) ELSE email END AS email,
+         CAST(CASE WHEN (CAST(client_id AS BIGINT) - 9950) % 11 = 0
+                   THEN CASE WHEN age IS NULL THEN 40 ELSE NULL END ELSE age END AS INT) AS age,
+         state
+       FROM clients WHERE (CAST(client_id AS BIGINT) - 9950) % 4 <> 0)
+"""
+
+_F = "client_id, app, stage, register_date, complete_process"
+
+SQL["merge_upsert_all"] = BATCHES + f"""
+SELECT {_F}, TIMESTAMP '{TS2}' AS ingestion_date FROM b2
+UNION ALL
+SELECT {_F}, TIMESTAMP '{TS1}' FROM b1
+WHERE NOT EXISTS (SELECT 1 FROM b2 WHERE b2.client_id = b1.client_id AND b2.stage = b1.stage)"""
+
+SQL["merge_insert_only"] = BATCHES + f"""
+SELECT {_F}, TIMESTAMP '{TS1}' AS ingestion_date FROM b1
+UNION ALL
+SELECT {_F}, TIMESTAMP '{TS2}' FROM b2
+WHERE NOT EXISTS (SELECT 1 FROM b1 WHERE b1.client_id = b2.client_id AND b1.stage = b2.stage)"""
+
+
+def _catalog_merge_sql(cmp: str) -> str:
+    cond = f" OR ".join(f"t.{c} {cmp} s.{c}" for c in ("name", "email", "age", "state"))
+    return BATCHES + f""",
+t AS (SELECT client_id, name, email, age, state, TIMESTAMP '{TS1}' AS ingestion_date,
+             CAST(NULL AS TIMESTAMP) AS update_date FROM c1),
+s AS (SELECT client_id, name, email, age, state, TIMESTAMP '{TS2}' AS ingestion_date FROM c2)
+SELECT t.client_id, s.name, s.email, s.age, s.state, s.ingestion_date, TIMESTAMP '{TS3}' AS update_date
+FROM t JOIN s ON t.client_id = s.client_id WHERE COALESCE({cond}, FALSE)
+UNION ALL
+SELECT t.* FROM t JOIN s ON t.client_id = s.client_id WHERE NOT COALESCE({cond}, FALSE)
+UNION ALL
+SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.client_id = t.client_id)
+UNION ALL
+SELECT s.client_id, s.name, s.email, s.age, s.state, s.ingestion_date, CAST(NULL AS TIMESTAMP)
+FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.client_id = s.client_id)"""
+
+
+SQL["merge_scd1_catalog"] = _catalog_merge_sql("<>")
+SQL["merge_scd1_catalog_null_safe"] = _catalog_merge_sql("IS DISTINCT FROM")
+
+_E = "client_id, name, age, state, email, app, stage, register_date, complete_process, quality_check"
+ENRICHED_BATCHES = BATCHES + f""",
+e1 AS (SELECT j.* FROM (SELECT f.client_id, c.name, c.age, c.state, c.email, f.app, f.stage, f.register_date,
+         f.complete_process,
+         CASE WHEN length(f.client_id) = 5 AND f.complete_process IN (0, 1) THEN 'Passed' ELSE 'Not Passed' END
+           AS quality_check
+       FROM b1 f JOIN clients c ON f.client_id = c.client_id) j),
+e2 AS (SELECT j.* FROM (SELECT f.client_id, c.name, c.age, c.state, c.email, f.app, f.stage, f.register_date,
+         f.complete_process,
+         CASE WHEN length(f.client_id) = 5 AND f.complete_process IN (0, 1) THEN 'Passed' ELSE 'Not Passed' END
+           AS quality_check
+       FROM b2 f JOIN clients c ON f.client_id = c.client_id) j),
+cf AS (SELECT {_E}, TIMESTAMP '{TS1}' AS ingestion_date FROM e1
+       UNION ALL
+       SELECT {_E}, TIMESTAMP '{TS2}' FROM e2
+       WHERE NOT EXISTS (SELECT 1 FROM e1 WHERE e1.client_id = e2.client_id AND e1.stage = e2.stage))
+"""
+SQL["merge_clients_funnel"] = ENRICHED_BATCHES + "SELECT * FROM cf"
+
+_PVK = "client_id, complete_process, name, age, state, email, app"
+_STG = "introduction, data_request, data_validation, facial_recognition, signature, data_confirmation"
+_CMP = ["name", "email", "age", "state", "complete_process", *_STG.split(", ")]
+
+
+def _pivot_merge_sql(cmp: str) -> str:
+    cond = " OR ".join(f"t.{c} {cmp} s.{c}" for c in _CMP)
+    sets = ", ".join(f"s.{c}" for c in _CMP)
+    return ENRICHED_BATCHES + f""",
+t AS (SELECT *, TIMESTAMP '{TS1}' AS ingestion_time, CAST(NULL AS TIMESTAMP) AS update_date
+      FROM ({_pivot_select('e1', _PVK)})),
+s AS ({_pivot_select('cf', _PVK)})
+SELECT t.client_id, t.app, t.ingestion_time, {sets}, TIMESTAMP '{TS3}' AS update_date
+FROM t JOIN s ON t.client_id = s.client_id WHERE COALESCE({cond}, FALSE)
+UNION ALL
+SELECT t.client_id, t.app, t.ingestion_time, {", ".join("t." + c for c in _CMP)}, t.update_date
+FROM t JOIN s ON t.client_id = s.client_id WHERE NOT COALESCE({cond}, FALSE)
+UNION ALL
+SELECT t.client_id, t.app, t.ingestion_time, {", ".join("t." + c for c in _CMP)}, t.update_date
+FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.client_id = t.client_id)
+UNION ALL
+SELECT s.client_id, s.app, TIMESTAMP '{TS2}', {sets}, CAST(NULL AS TIMESTAMP)
+FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.client_id = s.client_id)"""
+
+
+SQL["merge_pivot_scd1"] = _pivot_merge_sql("<>")
+SQL["merge_pivot_scd1_null_safe"] = _pivot_merge_sql("IS DISTINCT FROM")
+
+SQL["create_or_merge"] = BATCHES + f"""
+SELECT client_id AS ID_cliente, app AS App, stage, strftime(register_date, '%Y-%m-%d') AS date,
+  CAST(complete_process AS VARCHAR) AS Proceso_completo, TIMESTAMP '{TS2}' AS fecha_ingesta FROM b2
+UNION ALL
+SELECT client_id, app, stage, strftime(register_date, '%Y-%m-%d'), CAST(complete_process AS VARCHAR),
+  TIMESTAMP '{TS1}' FROM b1
+WHERE NOT EXISTS (SELECT 1 FROM b2 WHERE b2.client_id = b1.client_id AND b2.stage = b1.stage)"""

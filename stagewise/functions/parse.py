@@ -25,7 +25,7 @@ def _col(c: str | Column) -> Column:
 def parse_date(c: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Text -> DATE, trying ISO first and then each pattern; NULL if none fits."""
     c = _col(c)
-    attempts = [c.try_cast("date")] + [F.try_to_date(c, F.lit(f)) for f in formats]
+    attempts = [c.try_cast("date")] + [F.try_to_date(c, f) for f in formats]
     return F.coalesce(*attempts)
 
 

@@ -11,10 +11,28 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import age_group as age_group_expr
 from ..functions.exprs import timestamp_value
+from ..functions.parse import conform
+from ..functions.parse import parse_date as parse_date_expr
+from ..functions.parse import parse_timestamp as parse_timestamp_expr
+from ..functions.quality import reject_counts
 from ..operators import funnel as fn
 from ..operators import reports as rp
+from ..operators.merge import Insert, Update, changed_condition, merge, upsert_all
 from ..operators.pivot import map_stage as map_stage_op
+from ..schemas import (
+    CLIENTS_CONFORM,
+    FUNNEL_BRONZE_KEYS,
+    FUNNEL_CONFORM,
+    FUNNEL_FILE,
+    FUNNEL_SOURCE_COLUMNS,
+    LOAD_TS_COLUMN,
+    SILVER_CATALOG,
+    STAGE_COLUMNS,
+)
+from ..session import scratch_dir
 from ..sources import fixtures as fx
+from ..sources.landing import read_landing, with_load_ts, write_landing
+from ..sources.tables import create_or_merge, read_table
 from . import gold
 
 TS1 = "2024-01-01 00:00:00"
@@ -137,10 +155,6 @@ def top_abandoned_stage(spark, sf_dir):
     return fn.top_abandoned_stage(stage_dates(spark, sf_dir))
 
 
-def lit_ts(ts: str):
-    return timestamp_value(ts)
-
-
 QUERIES = {
     "funnel_enriched": funnel_enriched,
     "quality_check": quality_check,
@@ -169,3 +183,193 @@ QUERIES = {
     "avg_days_per_stage": avg_days_per_stage,
     "top_abandoned_stage": top_abandoned_stage,
 }
+
+
+# --- I1, I2, P1-P3 --------------------------------------------------------
+
+def _funnel_text(spark, sf_dir, slash_dates: bool = False) -> DataFrame:
+    """The funnel as a landing file would carry it: Spanish headers, text."""
+    ev = fx.funnel_events(spark, sf_dir)
+    d = F.col("register_date")
+    date_txt = F.date_format(d, "yyyy-MM-dd")
+    if slash_dates:
+        date_txt = F.when(F.dayofmonth(d) % 2 == 0, F.date_format(d, "yyyy/MM/dd")).otherwise(date_txt)
+    return ev.select(
+        F.col("client_id").alias("ID_cliente"), F.col("app").alias("App"), "stage",
+        date_txt.alias("date"), F.col("complete_process").cast("string").alias("Proceso_completo"),
+    )
+
+
+def landing_csv(spark, sf_dir):
+    """Drop the funnel as a header CSV in a fresh shared folder, read it back."""
+    root = scratch_dir(spark, "landing")
+    write_landing(_funnel_text(spark, sf_dir), root, FUNNEL_FILE)
+    return read_landing(spark, root, FUNNEL_FILE, FUNNEL_SOURCE_COLUMNS)
+
+
+def load_stamp(spark, sf_dir):
+    """Stamp rows with one literal load time."""
+    return with_load_ts(_funnel_text(spark, sf_dir), LOAD_TS_COLUMN, TS1)
+
+
+def conform_funnel(spark, sf_dir):
+    """P1 + P2: Spanish text columns (ISO and slash dates) -> typed silver rows."""
+    bronze = with_load_ts(_funnel_text(spark, sf_dir, slash_dates=True), LOAD_TS_COLUMN, TS1)
+    return conform(bronze, FUNNEL_CONFORM)
+
+
+def conform_clients(spark, sf_dir):
+    """Catalog text -> typed; a missing age arrives as junk text -> NULL."""
+    c = fx.clients(spark, sf_dir)
+    bronze = c.select(
+        F.col("client_id").alias("ID_cliente"), F.col("name").alias("Nombre"),
+        F.col("email").alias("Correo"),
+        F.coalesce(F.col("age").cast("string"), F.lit("n/a")).alias("Edad"),
+        F.col("state").alias("Estado"),
+    )
+    return conform(with_load_ts(bronze, LOAD_TS_COLUMN, TS1), CLIENTS_CONFORM)
+
+
+def _order_dates_text(spark, sf_dir, iso: str, slash: str) -> DataFrame:
+    o = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    r = F.col("o_orderkey") % 3
+    txt = (F.when(r == 0, F.date_format("o_orderdate", iso))
+           .when(r == 1, F.date_format("o_orderdate", slash))
+           .otherwise(F.lit("not-a-date")))
+    return o.select("o_orderkey", txt.alias("txt"))
+
+
+def parse_date(spark, sf_dir):
+    """ISO, slash and junk date text -> DATE or NULL."""
+    df = _order_dates_text(spark, sf_dir, "yyyy-MM-dd", "yyyy/MM/dd")
+    return df.select("o_orderkey", "txt", parse_date_expr("txt").alias("parsed"))
+
+
+def parse_timestamp(spark, sf_dir):
+    """ISO, slash and junk timestamp text -> TIMESTAMP or NULL."""
+    df = _order_dates_text(spark, sf_dir, "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm:ss")
+    return df.select("o_orderkey", "txt", parse_timestamp_expr("txt").alias("parsed"))
+
+
+def parse_rejects(spark, sf_dir):
+    """Count of values present as text but not parseable, per column."""
+    bronze = _order_dates_text(spark, sf_dir, "yyyy-MM-dd", "yyyy/MM/dd").withColumnRenamed("txt", "date")
+    return reject_counts(bronze, {"date": ("register_date", "date")})
+
+
+# --- M1-M6 ----------------------------------------------------------------
+
+FUNNEL_KEYS = ["client_id", "stage"]
+PV_COMPARED = ["name", "email", "age", "state", "complete_process", *STAGE_COLUMNS]
+
+
+def _b(spark, sf_dir, batch, ts=None):
+    df = fx.funnel_batch(spark, sf_dir, batch)
+    return df if ts is None else df.withColumn("ingestion_date", timestamp_value(ts))
+
+
+def merge_upsert_all(spark, sf_dir):
+    """M1: batch 2 upserted over batch 1 (every column replaced on match)."""
+    return upsert_all(_b(spark, sf_dir, 1, TS1), _b(spark, sf_dir, 2, TS2), FUNNEL_KEYS)
+
+
+def merge_insert_only(spark, sf_dir):
+    """M2: batch 2 inserted where (client_id, stage) is new; ingestion = now."""
+    values = {c: f"s.{c}" for c in ["client_id", "app", "stage", "register_date", "complete_process"]}
+    values["ingestion_date"] = timestamp_value(TS2)
+    return merge(_b(spark, sf_dir, 1, TS1), _b(spark, sf_dir, 2), FUNNEL_KEYS, None, Insert(values))
+
+
+def _catalog_merge(spark, sf_dir, mode):
+    target = (fx.clients_batch(spark, sf_dir, 1)
+              .withColumn("ingestion_date", timestamp_value(TS1))
+              .withColumn("update_date", F.lit(None).cast("timestamp")))
+    source = fx.clients_batch(spark, sf_dir, 2).withColumn("ingestion_date", timestamp_value(TS2))
+    attrs = ["name", "email", "age", "state"]
+    upd = Update(
+        set={**{c: f"s.{c}" for c in attrs}, "ingestion_date": "s.ingestion_date",
+             "update_date": timestamp_value(TS3)},
+        condition=changed_condition(attrs, mode),
+    )
+    ins = Insert({**{c: f"s.{c}" for c in ["client_id", *attrs, "ingestion_date"]}, "update_date": "Null"})
+    return merge(target.select(*SILVER_CATALOG.fieldNames()), source, ["client_id"], upd, ins)
+
+
+def merge_scd1_catalog(spark, sf_dir):
+    """M3 as the source system does it: strict ``<>`` change test."""
+    return _catalog_merge(spark, sf_dir, "strict")
+
+
+def merge_scd1_catalog_null_safe(spark, sf_dir):
+    """M3 with the null-safe change test (a filled-in age is a change)."""
+    return _catalog_merge(spark, sf_dir, "null_safe")
+
+
+def _enriched_batch(spark, sf_dir, batch):
+    return gold.enrich(fx.funnel_batch(spark, sf_dir, batch), fx.clients(spark, sf_dir))
+
+
+def merge_clients_funnel(spark, sf_dir):
+    """M4: enriched batch 2 inserted into the enriched batch 1 (insert-only)."""
+    target = _enriched_batch(spark, sf_dir, 1).withColumn("ingestion_date", timestamp_value(TS1))
+    values = {c: f"s.{c}" for c in gold.ENRICHED_COLUMNS}
+    values["ingestion_date"] = timestamp_value(TS2)
+    return merge(target, _enriched_batch(spark, sf_dir, 2), FUNNEL_KEYS, None, Insert(values))
+
+
+def _pivot_merge(spark, sf_dir, mode):
+    target = (gold.stage_dates_from_enriched(_enriched_batch(spark, sf_dir, 1))
+              .withColumn("ingestion_time", timestamp_value(TS1))
+              .withColumn("update_date", F.lit(None).cast("timestamp")))
+    source = gold.stage_dates_from_enriched(merge_clients_funnel(spark, sf_dir))
+    upd = Update(
+        set={**{c: F.col(f"s.{c}") for c in PV_COMPARED}, "update_date": timestamp_value(TS3)},
+        condition=changed_condition(PV_COMPARED, mode),
+    )
+    ins = Insert({**{c: F.col(f"s.{c}") for c in gold.STAGE_DATE_COLUMNS}, "ingestion_time": timestamp_value(TS2)})
+    return merge(target, source, ["client_id"], upd, ins)
+
+
+def merge_pivot_scd1(spark, sf_dir):
+    """M5 as the source system does it: strict ``!=`` on 11 columns, so a
+    stage date appearing where there was NULL is not an update."""
+    return _pivot_merge(spark, sf_dir, "strict")
+
+
+def merge_pivot_scd1_null_safe(spark, sf_dir):
+    """M5 with the null-safe change test."""
+    return _pivot_merge(spark, sf_dir, "null_safe")
+
+
+def create_or_merge_two_batches(spark, sf_dir):
+    """Two landing drops -> bronze table, created by the first load
+    and MERGEd (update-all / insert-all) by the second."""
+    root = scratch_dir(spark, "bronze")
+    for batch, ts in ((1, TS1), (2, TS2)):
+        landing = scratch_dir(spark, f"landing{batch}")
+        drop = fx.funnel_batch(spark, sf_dir, batch).select(
+            F.col("client_id").alias("ID_cliente"), F.col("app").alias("App"), "stage",
+            F.col("register_date").alias("date"), F.col("complete_process").alias("Proceso_completo"))
+        write_landing(drop, landing, FUNNEL_FILE)
+        src = with_load_ts(read_landing(spark, landing, FUNNEL_FILE, FUNNEL_SOURCE_COLUMNS), LOAD_TS_COLUMN, ts)
+        create_or_merge(spark, f"{root}/{FUNNEL_FILE}", src, list(FUNNEL_BRONZE_KEYS))
+    return read_table(spark, f"{root}/{FUNNEL_FILE}")
+
+
+QUERIES.update({
+    "landing_csv": landing_csv,
+    "load_stamp": load_stamp,
+    "conform_funnel": conform_funnel,
+    "conform_clients": conform_clients,
+    "parse_date": parse_date,
+    "parse_timestamp": parse_timestamp,
+    "parse_rejects": parse_rejects,
+    "merge_upsert_all": merge_upsert_all,
+    "merge_insert_only": merge_insert_only,
+    "merge_scd1_catalog": merge_scd1_catalog,
+    "merge_scd1_catalog_null_safe": merge_scd1_catalog_null_safe,
+    "merge_clients_funnel": merge_clients_funnel,
+    "merge_pivot_scd1": merge_pivot_scd1,
+    "merge_pivot_scd1_null_safe": merge_pivot_scd1_null_safe,
+    "create_or_merge": create_or_merge_two_batches,
+})
