@@ -297,3 +297,23 @@ UNION ALL
 SELECT client_id, app, stage, strftime(register_date, '%Y-%m-%d'), CAST(complete_process AS VARCHAR),
   TIMESTAMP '{TS1}' FROM b1
 WHERE NOT EXISTS (SELECT 1 FROM b2 WHERE b2.client_id = b1.client_id AND b2.stage = b1.stage)"""
+
+# --- X6 / streaming -----------------------------------------------------------
+
+SQL["landing_stream"] = SQL["create_or_merge"]
+SQL["pipeline_two_batches"] = BATCHES + """,
+f AS (SELECT * FROM b2 UNION ALL
+      SELECT * FROM b1 WHERE NOT EXISTS (SELECT 1 FROM b2 WHERE b2.client_id = b1.client_id AND b2.stage = b1.stage)),
+c AS (SELECT * FROM c2 UNION ALL
+      SELECT * FROM c1 WHERE NOT EXISTS (SELECT 1 FROM c2 WHERE c2.client_id = c1.client_id)),
+p AS (SELECT client_id, MAX(complete_process) AS complete_process, MAX(app) AS app,
+  MIN(CASE WHEN stage = 'Introduccion' THEN register_date END) AS introduction,
+  MIN(CASE WHEN stage = 'Solicitud de datos' THEN register_date END) AS data_request,
+  MIN(CASE WHEN stage = 'Validacion de datos' THEN register_date END) AS data_validation,
+  MIN(CASE WHEN stage = 'Reconocimiento facial' THEN register_date END) AS facial_recognition,
+  MIN(CASE WHEN stage = 'Firma' THEN register_date END) AS signature,
+  MIN(CASE WHEN stage = 'Confirmacion de datos' THEN register_date END) AS data_confirmation
+  FROM f GROUP BY client_id)
+SELECT p.client_id, p.complete_process, c.name, c.age, c.state, c.email, p.app, p.introduction, p.data_request,
+  p.data_validation, p.facial_recognition, p.signature, p.data_confirmation
+FROM p JOIN c ON p.client_id = c.client_id"""

@@ -21,6 +21,7 @@ from ..operators.merge import Insert, Update, changed_condition, merge, upsert_a
 from ..operators.pivot import map_stage as map_stage_op
 from ..schemas import (
     CLIENTS_CONFORM,
+    CLIENTS_FILE,
     FUNNEL_BRONZE_KEYS,
     FUNNEL_CONFORM,
     FUNNEL_FILE,
@@ -33,7 +34,9 @@ from ..session import scratch_dir
 from ..sources import fixtures as fx
 from ..sources.landing import read_landing, with_load_ts, write_landing
 from ..sources.tables import create_or_merge, read_table
+from ..streaming.landing_stream import landing_stream
 from . import gold
+from .pipeline import Layers, run_batch
 
 TS1 = "2024-01-01 00:00:00"
 TS2 = "2024-02-01 00:00:00"
@@ -373,3 +376,61 @@ QUERIES.update({
     "merge_pivot_scd1_null_safe": merge_pivot_scd1_null_safe,
     "create_or_merge": create_or_merge_two_batches,
 })
+
+
+# --- X6: incremental runs -------------------------------------------------
+
+def _drop_batch(spark, sf_dir, batch, landing_root):
+    """Write one landing drop (funnel + catalog, Spanish headers, text)."""
+    f = fx.funnel_batch(spark, sf_dir, batch).select(
+        F.col("client_id").alias("ID_cliente"), F.col("app").alias("App"), "stage",
+        F.col("register_date").alias("date"), F.col("complete_process").alias("Proceso_completo"))
+    c = fx.clients_batch(spark, sf_dir, batch).select(
+        F.col("client_id").alias("ID_cliente"), F.col("name").alias("Nombre"), F.col("email").alias("Correo"),
+        F.col("age").alias("Edad"), F.col("state").alias("Estado"))
+    write_landing(f, landing_root, FUNNEL_FILE)
+    write_landing(c, landing_root, CLIENTS_FILE)
+
+
+def run_two_batches(spark, sf_dir, change="null_safe") -> Layers:
+    base = scratch_dir(spark, "layers")
+    layers = None
+    for batch, ts in ((1, TS1), (2, TS2)):
+        layers = Layers(landing=f"{base}/landing{batch}", bronze=f"{base}/bronze",
+                        silver=f"{base}/silver", gold=f"{base}/gold")
+        _drop_batch(spark, sf_dir, batch, layers.landing)
+        run_batch(spark, layers, ts, change)
+    return layers
+
+
+def pipeline_two_batches(spark, sf_dir):
+    """Two scheduled runs (corrected mode); the per-client gold table
+    without its load timestamps equals a one-shot load of the latest rows."""
+    layers = run_two_batches(spark, sf_dir, "null_safe")
+    return read_table(spark, layers.table("gold", "pv_clients_stage")).drop("ingestion_time", "update_date")
+
+
+def landing_stream_two_drops(spark, sf_dir):
+    """Two drops picked up by a file stream (one availableNow run per drop),
+    each MERGEd into bronze in foreachBatch; same table as create_or_merge."""
+    base = scratch_dir(spark, "stream")
+    drops, bronze, ckpt = f"{base}/drops", f"{base}/bronze/{FUNNEL_FILE}", f"{base}/_checkpoint"
+    stamps = {0: TS1, 1: TS2}
+    for batch in (1, 2):
+        drop = fx.funnel_batch(spark, sf_dir, batch).select(
+            F.col("client_id").alias("ID_cliente"), F.col("app").alias("App"), "stage",
+            F.col("register_date").cast("string").alias("date"),
+            F.col("complete_process").cast("string").alias("Proceso_completo"))
+        drop.write.mode("append").option("header", True).csv(drops)
+        q = landing_stream(spark, drops, FUNNEL_SOURCE_COLUMNS, bronze, list(FUNNEL_BRONZE_KEYS), ckpt,
+                           stamp=lambda i: stamps[i], files_per_batch=None)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return read_table(spark, bronze)
+
+
+QUERIES.update({
+    "pipeline_two_batches": pipeline_two_batches,
+    "landing_stream": landing_stream_two_drops,
+})
