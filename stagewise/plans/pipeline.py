@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from ..functions.exprs import timestamp_value
 from ..functions.parse import conform
@@ -46,6 +47,7 @@ from ..schemas import (
     SILVER_CATALOG,
     SILVER_FUNNEL,
     STAGE_COLUMNS,
+    landing_schema,
 )
 from ..sources.landing import read_landing, with_load_ts
 from ..sources.tables import create_or_merge, ensure_table, merge_into, read_table
@@ -72,6 +74,10 @@ def _touched(df: DataFrame, col: str, ts) -> DataFrame:
     return df.filter(F.col(col) == timestamp_value(ts))
 
 
+def bronze_schema(columns) -> StructType:
+    return StructType(landing_schema(tuple(columns)).fields + [StructField(LOAD_TS_COLUMN, TimestampType(), True)])
+
+
 def load_bronze(spark: SparkSession, layers: Layers, load_ts) -> None:
     """Landing CSV -> bronze, create-or-merge (update-all / insert-all)."""
     for name, cols, keys in ((FUNNEL_FILE, FUNNEL_SOURCE_COLUMNS, FUNNEL_BRONZE_KEYS),
@@ -87,7 +93,8 @@ def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "nul
     ensure_table(spark, funnel_root, SILVER_FUNNEL)
     ensure_table(spark, catalog_root, SILVER_CATALOG)
 
-    bf = _touched(read_table(spark, layers.table("bronze", FUNNEL_FILE)), LOAD_TS_COLUMN, load_ts)
+    bf = _touched(read_table(spark, layers.table("bronze", FUNNEL_FILE), schema=bronze_schema(FUNNEL_SOURCE_COLUMNS)),
+                  LOAD_TS_COLUMN, load_ts)
     sf = conform(bf, FUNNEL_CONFORM)
     values = {c: F.col(f"s.{c}") for c in ["client_id", "app", "stage", "register_date", "complete_process"]}
     values["ingestion_date"] = now
@@ -96,9 +103,10 @@ def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "nul
         cmp = ["app", "register_date", "complete_process"]
         upd = Update({**{c: F.col(f"s.{c}") for c in cmp}, "ingestion_date": now},
                      changed_condition(cmp, change))
-    merge_into(spark, funnel_root, sf, FUNNEL_KEYS, upd, Insert(values))
+    merge_into(spark, funnel_root, sf, FUNNEL_KEYS, upd, Insert(values), schema=SILVER_FUNNEL)
 
-    bc = _touched(read_table(spark, layers.table("bronze", CLIENTS_FILE)), LOAD_TS_COLUMN, load_ts)
+    bc = _touched(read_table(spark, layers.table("bronze", CLIENTS_FILE), schema=bronze_schema(CLIENTS_SOURCE_COLUMNS)),
+                  LOAD_TS_COLUMN, load_ts)
     sc = conform(bc, CLIENTS_CONFORM)
     attrs = list(CATALOG_ATTRS)
     merge_into(
@@ -106,6 +114,7 @@ def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "nul
         Update({**{c: F.col(f"s.{c}") for c in attrs}, "ingestion_date": F.col("s.ingestion_date"),
                 "update_date": now}, changed_condition(attrs, change)),
         Insert({**{c: F.col(f"s.{c}") for c in ["client_id", *attrs, "ingestion_date"]}, "update_date": "Null"}),
+        schema=SILVER_CATALOG,
     )
 
 
@@ -115,8 +124,8 @@ def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_
     cf_root, pv_root = layers.table("gold", "clients_funnel"), layers.table("gold", "pv_clients_stage")
     ensure_table(spark, cf_root, GOLD_CLIENTS_FUNNEL)
     ensure_table(spark, pv_root, GOLD_PIVOT)
-    funnel = read_table(spark, layers.table("silver", "users_funnel"))
-    catalog = read_table(spark, layers.table("silver", "catalog"))
+    funnel = read_table(spark, layers.table("silver", "users_funnel"), schema=SILVER_FUNNEL)
+    catalog = read_table(spark, layers.table("silver", "catalog"), schema=SILVER_CATALOG)
 
     cf_values = {c: F.col(f"s.{c}") for c in gold.ENRICHED_COLUMNS}
     cf_values["ingestion_date"] = now
@@ -124,10 +133,11 @@ def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_
     pv_set = {**{c: F.col(f"s.{c}") for c in PV_COMPARED}, "update_date": now}
 
     if change == "strict":
-        merge_into(spark, cf_root, gold.enrich(funnel, catalog), FUNNEL_KEYS, None, Insert(cf_values))
-        source = gold.stage_dates_from_enriched(read_table(spark, cf_root))
+        merge_into(spark, cf_root, gold.enrich(funnel, catalog), FUNNEL_KEYS, None, Insert(cf_values),
+                   schema=GOLD_CLIENTS_FUNNEL)
+        source = gold.stage_dates_from_enriched(read_table(spark, cf_root, schema=GOLD_CLIENTS_FUNNEL))
         merge_into(spark, pv_root, source, ["client_id"],
-                   Update(pv_set, changed_condition(PV_COMPARED, "strict")), pv_insert)
+                   Update(pv_set, changed_condition(PV_COMPARED, "strict")), pv_insert, schema=GOLD_PIVOT)
         return
 
     touched = (_touched(funnel, "ingestion_date", load_ts).select("client_id")
@@ -137,10 +147,10 @@ def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_
     merge_into(spark, cf_root, gold.enrich(f_t, catalog), FUNNEL_KEYS,
                Update({**{c: F.col(f"s.{c}") for c in cf_cmp}, "ingestion_date": now},
                       changed_condition(cf_cmp, change)),
-               Insert(cf_values))
+               Insert(cf_values), schema=GOLD_CLIENTS_FUNNEL)
     # The merge's ambiguity check guarantees one source row per client_id.
     merge_into(spark, pv_root, gold.client_stage_dates_latest(f_t, catalog), ["client_id"],
-               Update(pv_set, changed_condition(PV_COMPARED, change)), pv_insert)
+               Update(pv_set, changed_condition(PV_COMPARED, change)), pv_insert, schema=GOLD_PIVOT)
 
 
 def run_batch(spark: SparkSession, layers: Layers, load_ts: str | _dt.datetime,

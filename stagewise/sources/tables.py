@@ -5,11 +5,13 @@ MERGE, so a table is a folder of immutable data folders plus numbered
 snapshot manifests::
 
     <root>/data/<n>/         parquet written by one Spark job (with _SUCCESS)
-    <root>/_snapshots/<n>/   text manifest: the data folder names of version n
+    <root>/_snapshots/<n>/   manifest: one empty file per data folder of
+                             version n, then ``_SUCCESS`` as the commit
 
 A writer always writes into a new number (above every existing one,
 complete or not) and commits by writing the manifest; readers take the
-highest manifest holding ``_SUCCESS``. A crashed run leaves folders no
+highest manifest holding ``_SUCCESS``. Manifests are written and listed
+with file-system calls, so a commit or a table lookup costs no Spark job. A crashed run leaves folders no
 manifest names. One writer per table is assumed.
 
 An insert-only merge appends one data folder (cost proportional to the
@@ -72,26 +74,35 @@ def _next_number(spark: SparkSession, root: str) -> int:
 
 
 def _manifest(spark: SparkSession, root: str, version: int) -> list[str]:
-    rows = spark.read.text(f"{root}/{SNAPSHOTS}/{_name(version)}").collect()
-    return sorted(r[0] for r in rows if r[0])
+    fs, p = _fs(spark, f"{root}/{SNAPSHOTS}/{_name(version)}")
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)
+                  if st.getPath().getName().isdigit())
 
 
 def _commit(spark: SparkSession, root: str, version: int, folders: Sequence[str]) -> int:
-    df = spark.createDataFrame([(f,) for f in folders], "value string").coalesce(1)
-    df.write.mode("errorifexists").text(f"{root}/{SNAPSHOTS}/{_name(version)}")
+    fs, p = _fs(spark, f"{root}/{SNAPSHOTS}/{_name(version)}")
+    if fs.exists(p):
+        raise FileExistsError(f"snapshot {version} of {root} already exists")
+    fs.mkdirs(p)
+    for f in folders:
+        fs.create(p.suffix(f"/{f}"), False).close()
+    fs.create(p.suffix("/_SUCCESS"), False).close()
     return version
 
 
-def read_table(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+def read_table(spark: SparkSession, root: str, version: int | None = None,
+               schema: StructType | None = None) -> DataFrame:
     """The table as of ``version`` (default: the latest committed).
 
     The manifest is a few names (bounded by the append count between
-    compactions), so collecting it to the driver is cheap."""
+    compactions). Passing the layer's known ``schema`` skips the job that
+    would otherwise read a parquet footer to infer it."""
     v = latest_version(spark, root) if version is None else version
     if v is None:
         raise FileNotFoundError(f"no committed table at {root}")
     paths = [f"{root}/{DATA}/{f}" for f in _manifest(spark, root, v)]
-    return spark.read.parquet(*paths)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(*paths)
 
 
 def publish(df: DataFrame, root: str) -> int:
@@ -137,6 +148,7 @@ def merge_into(
     on: Sequence[str],
     when_matched: Update | None = None,
     when_not_matched: Insert | None = Insert(),
+    schema: StructType | None = None,
     **kw,
 ) -> int:
     """MERGE ``source`` into the table at ``root`` and commit a new version.
@@ -144,7 +156,7 @@ def merge_into(
     Insert-only merges append just the new rows; updating merges write
     the merged table (read from the current version's folders) into a new
     folder, never onto the folders being read."""
-    target = read_table(spark, root)
+    target = read_table(spark, root, schema=schema)
     if when_matched is None:
         if when_not_matched is None:
             return latest_version(spark, root)
@@ -162,7 +174,7 @@ def create_or_merge(
     **kw,
 ) -> int:
     """First load creates the table from ``source``; later loads MERGE
-    (default update-all / insert-all, M1)."""
+    (default update-all / insert-all, M1) into a table of the source's schema."""
     if not table_exists(spark, root):
         return publish(source, root)
-    return merge_into(spark, root, source, on, when_matched, when_not_matched, **kw)
+    return merge_into(spark, root, source, on, when_matched, when_not_matched, schema=source.schema, **kw)
