@@ -380,25 +380,27 @@ QUERIES.update({
 
 # --- X6: incremental runs -------------------------------------------------
 
-def _drop_batch(spark, sf_dir, batch, landing_root):
-    """Write one landing drop (funnel + catalog, Spanish headers, text)."""
+def _drop_batch(spark, sf_dir, batch, landing_root, catalog_changes=True):
+    """Write one landing drop (funnel + catalog, Spanish headers, text).
+    Without ``catalog_changes`` every drop carries the same full catalog."""
     f = fx.funnel_batch(spark, sf_dir, batch).select(
         F.col("client_id").alias("ID_cliente"), F.col("app").alias("App"), "stage",
         F.col("register_date").alias("date"), F.col("complete_process").alias("Proceso_completo"))
-    c = fx.clients_batch(spark, sf_dir, batch).select(
+    cat = fx.clients_batch(spark, sf_dir, batch) if catalog_changes else fx.clients(spark, sf_dir)
+    c = cat.select(
         F.col("client_id").alias("ID_cliente"), F.col("name").alias("Nombre"), F.col("email").alias("Correo"),
         F.col("age").alias("Edad"), F.col("state").alias("Estado"))
     write_landing(f, landing_root, FUNNEL_FILE)
     write_landing(c, landing_root, CLIENTS_FILE)
 
 
-def run_two_batches(spark, sf_dir, change="null_safe") -> Layers:
+def run_two_batches(spark, sf_dir, change="null_safe", catalog_changes=True) -> Layers:
     base = scratch_dir(spark, "layers")
     layers = None
     for batch, ts in ((1, TS1), (2, TS2)):
         layers = Layers(landing=f"{base}/landing{batch}", bronze=f"{base}/bronze",
                         silver=f"{base}/silver", gold=f"{base}/gold")
-        _drop_batch(spark, sf_dir, batch, layers.landing)
+        _drop_batch(spark, sf_dir, batch, layers.landing, catalog_changes)
         run_batch(spark, layers, ts, change)
     return layers
 

@@ -1,0 +1,131 @@
+"""Two-batch end-to-end runs and hand rows."""
+
+import os
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from oracle_sql import SQL
+from stagewise.operators.merge import AmbiguousMergeError
+from stagewise.plans import fixture_queries as fq
+from stagewise.plans.pipeline import Layers, run_batch
+from stagewise.sources.tables import read_table
+
+from .conftest import SF_SMALL
+
+STAGES = ["introduction", "data_request", "data_validation", "facial_recognition", "signature",
+          "data_confirmation"]
+
+
+def _duck(sql, sf_dir):
+    con = duckdb.connect()
+    for t in ("customer", "nation", "orders"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    res = con.execute(sql)
+    cols = [d[0] for d in res.description]
+    return [dict(zip(cols, r)) for r in res.fetchall()]
+
+
+def _key(d):
+    return tuple(str(d[k]) for k in sorted(d))
+
+
+@pytest.fixture(scope="module")
+def runs(spark):
+    safe = fq.run_two_batches(spark, SF_SMALL, "null_safe", catalog_changes=False)
+    strict = fq.run_two_batches(spark, SF_SMALL, "strict", catalog_changes=False)
+    return safe, strict
+
+
+def _pv(spark, layers):
+    return read_table(spark, layers.table("gold", "pv_clients_stage"))
+
+
+def test_incremental_equals_one_shot(spark):
+    safe = fq.run_two_batches(spark, SF_SMALL, "null_safe")
+    got = [r.asDict() for r in _pv(spark, safe).drop("ingestion_time", "update_date").collect()]
+    want = _duck(SQL["pipeline_two_batches"], SF_SMALL)
+    assert len(got) == len(want)
+    assert sorted(map(_key, got)) == sorted(map(_key, want))
+    ids = [r["client_id"] for r in got]
+    assert len(ids) == len(set(ids))                                  # one row per client
+
+
+def test_strict_mode_with_changed_catalog_is_ambiguous(spark):
+    # Insert-only gold rows keep old attributes, the 7-column pivot splits
+    # a client whose email changed into two rows, and the pivot MERGE fails.
+    with pytest.raises(AmbiguousMergeError):
+        fq.run_two_batches(spark, SF_SMALL, "strict", catalog_changes=True)
+
+
+def test_strict_mode_misses_new_stages(spark, runs):
+    # With '<>' a client gaining a stage (NULL -> date) is never updated.
+    safe, strict = runs
+    s = _pv(spark, safe).select("client_id", *[F.col(c).alias("s_" + c) for c in STAGES])
+    t = _pv(spark, strict).select("client_id", *STAGES)
+    j = s.join(t, "client_id")
+    gained = j.filter(" OR ".join(f"(s_{c} IS NOT NULL AND {c} IS NULL)" for c in STAGES)).count()
+    assert gained > 0
+
+
+def test_rerun_of_same_drop_changes_nothing(spark, runs):
+    safe, _ = runs
+    before = sorted(map(_key, [r.asDict() for r in _pv(spark, safe).collect()]))
+    run_batch(spark, safe, "2024-02-15 00:00:00", "null_safe")
+    after = sorted(map(_key, [r.asDict() for r in _pv(spark, safe).collect()]))
+    assert before == after
+
+
+def _csv(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+FUNNEL_CSV = """ID_cliente,App,stage,date,Proceso_completo
+10001,ios,Introduccion,2024-01-01,1
+10001,ios,Confirmacion de datos,2024-01-05,1
+10002,android,Introduccion,2024/01/03,0
+10003,ios,Otro,2024-01-05,0
+123,ios,Firma,2024-01-06,0
+10004,ios,Firma,not-a-date,x
+,ios,Firma,2024-01-07,0
+10005,ios,Firma,2024-01-08,0
+10005,ios,Firma,2024-01-08,0
+10006,ios,Confirmacion de datos,2024-01-09,0
+10007,ios,Confirmacion de datos,2024-01-02,1
+99999,ios,Firma,2024-01-10,0
+"""
+CLIENTS_CSV = """ID_cliente,Nombre,Correo,Edad,Estado
+10001,Ana,a@x,17,Jalisco
+10002,Bo,b@x,18,Jalisco
+10003,Cy,c@x,,Colima
+123,Di,d@x,51,Colima
+10004,Ed,e@x,36,
+10005,Fe,f@x,50,Colima
+10006,Gi,g@x,26,Colima
+10007,Hu,h@x,35,Colima
+"""
+
+
+def test_hand_rows_first_load(spark, tmp_path):
+    base = str(tmp_path)
+    layers = Layers(f"{base}/landing", f"{base}/bronze", f"{base}/silver", f"{base}/gold")
+    _csv(f"{layers.landing}/usuarios_banco_con_funnel.csv", FUNNEL_CSV)
+    _csv(f"{layers.landing}/clientes.csv", CLIENTS_CSV)
+    run_batch(spark, layers, "2024-01-31 00:00:00")
+    silver = {(r.client_id, r.stage): r for r in read_table(spark, layers.table("silver", "users_funnel")).collect()}
+    assert silver[("10002", "Introduccion")].register_date.isoformat() == "2024-01-03"   # slash date parsed
+    assert silver[("10004", "Firma")].register_date is None                               # reject -> NULL
+    assert silver[("10004", "Firma")].complete_process is None
+    cf = read_table(spark, layers.table("gold", "clients_funnel"))
+    q = {r.client_id: r.quality_check for r in cf.collect()}
+    assert q["123"] == "Not Passed" and q["10004"] == "Not Passed" and q["10001"] == "Passed"
+    assert "99999" not in q                                                               # no catalog row
+    pv = {r.client_id: r for r in read_table(spark, layers.table("gold", "pv_clients_stage")).collect()}
+    assert pv["10003"].introduction is None                                               # unknown label only
+    assert pv["10001"].data_confirmation.isoformat() == "2024-01-05"
+    # A second load of a drop repeating one key twice is an ambiguous MERGE.
+    with pytest.raises(AmbiguousMergeError):
+        run_batch(spark, layers, "2024-02-28 00:00:00")
