@@ -263,6 +263,7 @@ def parse_rejects(spark, sf_dir):
 # --- M1-M6 ----------------------------------------------------------------
 
 FUNNEL_KEYS = ["client_id", "stage"]
+PIPELINE_BUCKETS = 16
 PV_COMPARED = ["name", "email", "age", "state", "complete_process", *STAGE_COLUMNS]
 
 
@@ -394,12 +395,12 @@ def _drop_batch(spark, sf_dir, batch, landing_root, catalog_changes=True):
     write_landing(c, landing_root, CLIENTS_FILE)
 
 
-def run_two_batches(spark, sf_dir, change="null_safe", catalog_changes=True) -> Layers:
+def run_two_batches(spark, sf_dir, change="null_safe", catalog_changes=True, buckets=None) -> Layers:
     base = scratch_dir(spark, "layers")
     layers = None
     for batch, ts in ((1, TS1), (2, TS2)):
         layers = Layers(landing=f"{base}/landing{batch}", bronze=f"{base}/bronze",
-                        silver=f"{base}/silver", gold=f"{base}/gold")
+                        silver=f"{base}/silver", gold=f"{base}/gold", buckets=buckets)
         _drop_batch(spark, sf_dir, batch, layers.landing, catalog_changes)
         run_batch(spark, layers, ts, change)
     return layers
@@ -408,7 +409,7 @@ def run_two_batches(spark, sf_dir, change="null_safe", catalog_changes=True) ->
 def pipeline_two_batches(spark, sf_dir):
     """Two scheduled runs (corrected mode); the per-client gold table
     without its load timestamps equals a one-shot load of the latest rows."""
-    layers = run_two_batches(spark, sf_dir, "null_safe")
+    layers = run_two_batches(spark, sf_dir, "null_safe", buckets=PIPELINE_BUCKETS)
     return read_table(spark, layers.table("gold", "pv_clients_stage")).drop("ingestion_time", "update_date")
 
 

@@ -50,7 +50,7 @@ from ..schemas import (
     landing_schema,
 )
 from ..sources.landing import read_landing, with_load_ts
-from ..sources.tables import create_or_merge, ensure_table, merge_into, read_table
+from ..sources.tables import create_or_merge, ensure_table, merge_into, publish, read_table, table_exists
 from . import gold
 
 FUNNEL_KEYS = ["client_id", "stage"]
@@ -59,12 +59,17 @@ PV_COMPARED = ["name", "email", "age", "state", "complete_process", *STAGE_COLUM
 
 @dataclass(frozen=True)
 class Layers:
-    """Root folders of the four layers (shared storage on a cluster)."""
+    """Root folders of the four layers (shared storage on a cluster).
+
+    ``buckets``: tables are created bucketed by their client key into this
+    many hash buckets, so each load reads and rewrites only the buckets its
+    clients fall into (size it so a bucket is a few hundred MB)."""
 
     landing: str
     bronze: str
     silver: str
     gold: str
+    buckets: int | None = None
 
     def table(self, layer: str, name: str) -> str:
         return f"{getattr(self, layer).rstrip('/')}/{name}"
@@ -83,15 +88,19 @@ def load_bronze(spark: SparkSession, layers: Layers, load_ts) -> None:
     for name, cols, keys in ((FUNNEL_FILE, FUNNEL_SOURCE_COLUMNS, FUNNEL_BRONZE_KEYS),
                              (CLIENTS_FILE, CLIENTS_SOURCE_COLUMNS, CLIENTS_BRONZE_KEYS)):
         src = with_load_ts(read_landing(spark, layers.landing, name, cols), LOAD_TS_COLUMN, load_ts)
-        create_or_merge(spark, layers.table("bronze", name), src, list(keys))
+        root = layers.table("bronze", name)
+        if layers.buckets and not table_exists(spark, root):
+            publish(src, root, layers.buckets, [keys[0]])   # bucketed by the client id
+        else:
+            create_or_merge(spark, root, src, list(keys))
 
 
 def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "null_safe") -> None:
     """Bronze rows of this load -> conformed -> silver funnel and catalog."""
     now = timestamp_value(load_ts)
     funnel_root, catalog_root = layers.table("silver", "users_funnel"), layers.table("silver", "catalog")
-    ensure_table(spark, funnel_root, SILVER_FUNNEL)
-    ensure_table(spark, catalog_root, SILVER_CATALOG)
+    ensure_table(spark, funnel_root, SILVER_FUNNEL, layers.buckets, ["client_id"])
+    ensure_table(spark, catalog_root, SILVER_CATALOG, layers.buckets, ["client_id"])
 
     bf = _touched(read_table(spark, layers.table("bronze", FUNNEL_FILE), schema=bronze_schema(FUNNEL_SOURCE_COLUMNS)),
                   LOAD_TS_COLUMN, load_ts)
@@ -122,8 +131,8 @@ def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_
     """Silver -> gold clients_funnel (J1 + flag) and the per-client pivot."""
     now = timestamp_value(load_ts)
     cf_root, pv_root = layers.table("gold", "clients_funnel"), layers.table("gold", "pv_clients_stage")
-    ensure_table(spark, cf_root, GOLD_CLIENTS_FUNNEL)
-    ensure_table(spark, pv_root, GOLD_PIVOT)
+    ensure_table(spark, cf_root, GOLD_CLIENTS_FUNNEL, layers.buckets, ["client_id"])
+    ensure_table(spark, pv_root, GOLD_PIVOT, layers.buckets, ["client_id"])
     funnel = read_table(spark, layers.table("silver", "users_funnel"), schema=SILVER_FUNNEL)
     catalog = read_table(spark, layers.table("silver", "catalog"), schema=SILVER_CATALOG)
 

@@ -4,33 +4,55 @@ Spark cannot overwrite a path it is reading, and plain parquet has no
 MERGE, so a table is a folder of immutable data folders plus numbered
 snapshot manifests::
 
-    <root>/data/<n>/         parquet written by one Spark job (with _SUCCESS)
-    <root>/_snapshots/<n>/   manifest: one empty file per data folder of
-                             version n, then ``_SUCCESS`` as the commit
+    <root>/data/<n>/                 parquet written by one Spark job
+    <root>/data/<n>/sw_bucket=<k>/   ... or split by key hash bucket
+    <root>/_snapshots/<n>/           manifest: one empty file per live data
+                                     folder (``<n>`` or ``<n>.b<k>``), a layout
+                                     marker, then ``_SUCCESS`` as the commit
 
 A writer always writes into a new number (above every existing one,
 complete or not) and commits by writing the manifest; readers take the
-highest manifest holding ``_SUCCESS``. Manifests are written and listed
-with file-system calls, so a commit or a table lookup costs no Spark job. A crashed run leaves folders no
-manifest names. One writer per table is assumed.
-
-An insert-only merge appends one data folder (cost proportional to the
-batch); an updating merge writes the merged table into one new folder.
-All file-system calls go through the session's Hadoop FileSystem, so the
-same code works on local disk, HDFS or an object store.
+highest manifest holding ``_SUCCESS``. A crashed run leaves folders no
+manifest names. One writer per table is assumed. Manifests are written
+and listed with file-system calls (the session's Hadoop FileSystem, so
+local disk, HDFS or an object store), so a commit costs no Spark job.
+
+Bucketed tables (``buckets=B`` at creation, bucketed by the merge key)
+keep each row in bucket ``pmod(xxhash64(key), B)``. A MERGE then reads
+and rewrites only the buckets the batch's keys fall into, and an
+insert-only MERGE appends one folder per touched bucket: the cost of a
+load follows the batch, not the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.merge import Insert, Update, merge, merge_inserts
+from ..operators.merge import Insert, Update, materialize, merge, merge_inserts
 
 DATA = "data"
 SNAPSHOTS = "_snapshots"
+BUCKET = "sw_bucket"
+_ENTRY = re.compile(r"^(\d{8})(?:\.b(\d+))?$")
+_LAYOUT = re.compile(r"^_layout\.(\d+)\.(.+)$")
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    version: int
+    entries: tuple[str, ...]
+    buckets: int | None = None
+    keys: tuple[str, ...] = ()
+
+
+def bucket_expr(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -73,74 +95,132 @@ def _next_number(spark: SparkSession, root: str) -> int:
     return (max(used) + 1) if used else 0
 
 
-def _manifest(spark: SparkSession, root: str, version: int) -> list[str]:
-    fs, p = _fs(spark, f"{root}/{SNAPSHOTS}/{_name(version)}")
-    return sorted(st.getPath().getName() for st in fs.listStatus(p)
-                  if st.getPath().getName().isdigit())
+def snapshot(spark: SparkSession, root: str, version: int | None = None) -> Snapshot:
+    v = latest_version(spark, root) if version is None else version
+    if v is None:
+        raise FileNotFoundError(f"no committed table at {root}")
+    fs, p = _fs(spark, f"{root}/{SNAPSHOTS}/{_name(v)}")
+    entries, buckets, keys = [], None, ()
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if _ENTRY.match(name):
+            entries.append(name)
+        elif m := _LAYOUT.match(name):
+            buckets, keys = int(m.group(1)), tuple(m.group(2).split("+"))
+    return Snapshot(v, tuple(sorted(entries)), buckets, keys)
+
+
+def _entry_bucket(entry: str) -> int | None:
+    b = _ENTRY.match(entry).group(2)
+    return None if b is None else int(b)
 
 
-def _commit(spark: SparkSession, root: str, version: int, folders: Sequence[str]) -> int:
+def _entry_path(root: str, entry: str) -> str:
+    folder, b = _ENTRY.match(entry).groups()
+    return f"{root}/{DATA}/{folder}" + (f"/{BUCKET}={b}" if b is not None else "")
+
+
+def _commit(spark: SparkSession, root: str, version: int, entries: Iterable[str],
+            buckets: int | None = None, keys: Sequence[str] = ()) -> int:
     fs, p = _fs(spark, f"{root}/{SNAPSHOTS}/{_name(version)}")
     if fs.exists(p):
         raise FileExistsError(f"snapshot {version} of {root} already exists")
     fs.mkdirs(p)
-    for f in folders:
-        fs.create(p.suffix(f"/{f}"), False).close()
+    for e in sorted(set(entries)):
+        fs.create(p.suffix(f"/{e}"), False).close()
+    if buckets:
+        fs.create(p.suffix(f"/_layout.{buckets}.{'+'.join(keys)}"), False).close()
     fs.create(p.suffix("/_SUCCESS"), False).close()
     return version
 
 
+def _write(df: DataFrame, root: str, n: int, buckets: int | None, keys: Sequence[str]) -> list[str]:
+    """Write ``df`` as data folder ``n``; return its manifest entries.
+
+    Bucketed data is written with a ``rebalance`` hint on the bucket, so
+    AQE gives each bucket few files and splits a skewed (hot) bucket over
+    several tasks instead of one."""
+    path = f"{root}/{DATA}/{_name(n)}"
+    if not buckets:
+        df.write.mode("errorifexists").parquet(path)
+        return [_name(n)]
+    (df.withColumn(BUCKET, bucket_expr(keys, buckets)).hint("rebalance", BUCKET)
+       .write.mode("errorifexists").partitionBy(BUCKET).parquet(path))
+    fs, p = _fs(df.sparkSession, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(BUCKET + "="):
+            out.append(f"{_name(n)}.b{int(name.split('=', 1)[1])}")
+    return out
+
+
 def read_table(spark: SparkSession, root: str, version: int | None = None,
-               schema: StructType | None = None) -> DataFrame:
+               schema: StructType | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
     """The table as of ``version`` (default: the latest committed).
 
-    The manifest is a few names (bounded by the append count between
-    compactions). Passing the layer's known ``schema`` skips the job that
-    would otherwise read a parquet footer to infer it."""
-    v = latest_version(spark, root) if version is None else version
-    if v is None:
-        raise FileNotFoundError(f"no committed table at {root}")
-    paths = [f"{root}/{DATA}/{f}" for f in _manifest(spark, root, v)]
+    ``buckets`` restricts a bucketed table to those buckets (whole-folder
+    entries, e.g. the empty schema folder, are always read). Passing the
+    layer's known ``schema`` skips the footer-reading job of inference."""
+    snap = snapshot(spark, root, version)
+    wanted = None if buckets is None else set(buckets)
+    paths = [_entry_path(root, e) for e in snap.entries
+             if wanted is None or _entry_bucket(e) is None or _entry_bucket(e) in wanted]
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(*paths)
 
 
-def publish(df: DataFrame, root: str) -> int:
-    """I4: write ``df`` as the whole new version of the table."""
+def publish(df: DataFrame, root: str, buckets: int | None = None, keys: Sequence[str] = ()) -> int:
+    """I4: write ``df`` as the whole new version of the table.
+
+    A bucketed version also gets one empty unbucketed folder holding the
+    schema, so it reads back with its schema while it has no rows."""
     spark = df.sparkSession
+    if buckets is None and table_exists(spark, root):
+        snap = snapshot(spark, root)
+        buckets, keys = snap.buckets, snap.keys
+    entries = []
+    if buckets:
+        carrier = _next_number(spark, root)
+        entries += _write(df.limit(0), root, carrier, None, ())
     n = _next_number(spark, root)
-    df.write.mode("errorifexists").parquet(f"{root}/{DATA}/{_name(n)}")
-    return _commit(spark, root, n, [_name(n)])
+    entries += _write(df, root, n, buckets, keys)
+    return _commit(spark, root, n, entries, buckets, keys)
 
 
 def append(df: DataFrame, root: str) -> int:
-    """Add ``df``'s rows as one more data folder of the latest version."""
+    """Add ``df``'s rows as new data folders of the latest version."""
     spark = df.sparkSession
-    v = latest_version(spark, root)
-    if v is None:
+    if not table_exists(spark, root):
         return publish(df, root)
+    snap = snapshot(spark, root)
     n = _next_number(spark, root)
-    df.write.mode("errorifexists").parquet(f"{root}/{DATA}/{_name(n)}")
-    return _commit(spark, root, n, _manifest(spark, root, v) + [_name(n)])
+    new = _write(df, root, n, snap.buckets, snap.keys)
+    return _commit(spark, root, n, list(snap.entries) + new, snap.buckets, snap.keys)
 
 
-def compact(spark: SparkSession, root: str, files: int | None = None) -> int:
-    """Rewrite the latest version into one data folder (bounds the manifest)."""
-    df = read_table(spark, root)
-    if files:
-        df = df.repartition(files)
-    return publish(df, root)
+def compact(spark: SparkSession, root: str) -> int:
+    """Rewrite the latest version into one folder (per bucket when bucketed)."""
+    return publish(read_table(spark, root), root)
 
 
-def ensure_table(spark: SparkSession, root: str, schema: StructType) -> bool:
+def ensure_table(spark: SparkSession, root: str, schema: StructType,
+                 buckets: int | None = None, keys: Sequence[str] = ()) -> bool:
     """Create an empty table with ``schema`` if none exists (create-if-
     absent, so a re-run does not fail). Returns True when created."""
     if table_exists(spark, root):
         return False
-    publish(spark.createDataFrame([], schema), root)
+    publish(spark.createDataFrame([], schema), root, buckets, keys)
     return True
 
 
+def touched_buckets(source: DataFrame, keys: Sequence[str], buckets: int) -> list[int]:
+    """Buckets the source keys fall into (at most ``buckets`` values)."""
+    return sorted(r[0] for r in source.select(bucket_expr(keys, buckets).alias("b")).distinct().collect())
+
+
 def merge_into(
     spark: SparkSession,
     root: str,
@@ -153,15 +233,31 @@ def merge_into(
 ) -> int:
     """MERGE ``source`` into the table at ``root`` and commit a new version.
 
-    Insert-only merges append just the new rows; updating merges write
-    the merged table (read from the current version's folders) into a new
-    folder, never onto the folders being read."""
-    target = read_table(spark, root, schema=schema)
+    Insert-only merges append just the new rows; updating merges write the
+    merged rows (read from the current version's folders) into a new
+    folder, never onto the folders being read. On a table bucketed by
+    (a subset of) ``on``, both read and rewrite only the touched buckets."""
+    snap = snapshot(spark, root)
+    if when_matched is None and when_not_matched is None:
+        return snap.version
+    bucketed = bool(snap.buckets) and set(snap.keys) <= set(on)
+    if when_matched is not None:
+        source = materialize(source)
+        kw["materialize_source"] = False
+    touched = touched_buckets(source, snap.keys, snap.buckets) if bucketed else None
+    target = read_table(spark, root, schema=schema, buckets=touched)
+    n = _next_number(spark, root)
     if when_matched is None:
-        if when_not_matched is None:
-            return latest_version(spark, root)
-        return append(merge_inserts(target, source, on, when_not_matched, **kw), root)
-    return publish(merge(target, source, on, when_matched, when_not_matched, **kw), root)
+        new = _write(merge_inserts(target, source, on, when_not_matched, **kw), root, n, snap.buckets, snap.keys)
+        return _commit(spark, root, n, list(snap.entries) + new, snap.buckets, snap.keys)
+    merged = merge(target, source, on, when_matched, when_not_matched, **kw)
+    new = _write(merged, root, n, snap.buckets, snap.keys)
+    if touched is None:
+        kept = [e for e in snap.entries if snap.buckets and _entry_bucket(e) is None]
+    else:
+        t = set(touched)
+        kept = [e for e in snap.entries if _entry_bucket(e) is None or _entry_bucket(e) not in t]
+    return _commit(spark, root, n, kept + new, snap.buckets, snap.keys)
 
 
 def create_or_merge(
@@ -171,10 +267,12 @@ def create_or_merge(
     on: Sequence[str],
     when_matched: Update | None = Update(),
     when_not_matched: Insert | None = Insert(),
+    buckets: int | None = None,
     **kw,
 ) -> int:
-    """First load creates the table from ``source``; later loads MERGE
-    (default update-all / insert-all, M1) into a table of the source's schema."""
+    """First load creates the table from ``source`` (bucketed by ``on``
+    when ``buckets`` is given); later loads MERGE (default update-all /
+    insert-all, M1) into a table of the source's schema."""
     if not table_exists(spark, root):
-        return publish(source, root)
+        return publish(source, root, buckets, list(on))
     return merge_into(spark, root, source, on, when_matched, when_not_matched, schema=source.schema, **kw)
