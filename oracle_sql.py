@@ -317,3 +317,4 @@ p AS (SELECT client_id, MAX(complete_process) AS complete_process, MAX(app) AS a
 SELECT p.client_id, p.complete_process, c.name, c.age, c.state, c.email, p.app, p.introduction, p.data_request,
   p.data_validation, p.facial_recognition, p.signature, p.data_confirmation
 FROM p JOIN c ON p.client_id = c.client_id"""
+SQL["pipeline_two_batches_bucketed"] = SQL["pipeline_two_batches"]

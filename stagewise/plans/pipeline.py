@@ -50,7 +50,15 @@ from ..schemas import (
     landing_schema,
 )
 from ..sources.landing import read_landing, with_load_ts
-from ..sources.tables import create_or_merge, ensure_table, merge_into, publish, read_table, table_exists
+from ..sources.tables import (
+    create_or_merge,
+    ensure_table,
+    merge_into,
+    publish,
+    read_table,
+    table_exists,
+    touched_buckets,
+)
 from . import gold
 
 FUNNEL_KEYS = ["client_id", "stage"]
@@ -151,6 +159,12 @@ def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_
 
     touched = (_touched(funnel, "ingestion_date", load_ts).select("client_id")
                .unionByName(_touched(catalog, "ingestion_date", load_ts).select("client_id")))
+    if layers.buckets:
+        # Bucketed silver: the touched clients live in a known set of buckets
+        # (at most ``buckets`` ids); read only those for the re-pivot.
+        b = touched_buckets(touched, ["client_id"], layers.buckets)
+        funnel = read_table(spark, layers.table("silver", "users_funnel"), schema=SILVER_FUNNEL, buckets=b)
+        catalog = read_table(spark, layers.table("silver", "catalog"), schema=SILVER_CATALOG, buckets=b)
     f_t = funnel.join(touched, "client_id", "left_semi")
     cf_cmp = [c for c in gold.ENRICHED_COLUMNS if c not in FUNNEL_KEYS]
     merge_into(spark, cf_root, gold.enrich(f_t, catalog), FUNNEL_KEYS,

@@ -212,7 +212,9 @@ def ensure_table(spark: SparkSession, root: str, schema: StructType,
     absent, so a re-run does not fail). Returns True when created."""
     if table_exists(spark, root):
         return False
-    publish(spark.createDataFrame([], schema), root, buckets, keys)
+    empty = spark.createDataFrame([], schema)
+    n = _next_number(spark, root)
+    _commit(spark, root, n, _write(empty, root, n, None, ()), buckets, keys)
     return True
 
 
