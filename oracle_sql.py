@@ -318,3 +318,5 @@ SELECT p.client_id, p.complete_process, c.name, c.age, c.state, c.email, p.app,
   p.data_validation, p.facial_recognition, p.signature, p.data_confirmation
 FROM p JOIN c ON p.client_id = c.client_id"""
 SQL["pipeline_two_batches_bucketed"] = SQL["pipeline_two_batches"]
+SQL["funnel_rollup_state"] = SQL["funnel_state"]
+SQL["funnel_rollup_conversion_by_age"] = SQL["conversion_by_age"]

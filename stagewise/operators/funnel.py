@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import age_group
 from ..schemas import STAGES, Stage
+from ..session import checkpoint_root
 
 
 def _later(stages: Sequence[Stage], i: int) -> list[Column]:
@@ -89,8 +90,11 @@ def pct(n: Column, total: Column, scale: int = 2) -> Column:
 def conversion_global(df: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
     """(stage, Total_by_stage, Percentage_conversion) over all clients;
     the denominator is the first stage's count of the same aggregated row."""
+    return conversion_global_from_counts(reached(df, (), stages), stages)
+
+
+def conversion_global_from_counts(counts: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
     first = stages[0].code
-    counts = reached(df, (), stages)
     fields = [
         [("stage", F.lit(s.code)), ("Total_by_stage", F.col(s.code)),
          ("Percentage_conversion", pct(F.col(s.code), F.col(first)))]
@@ -103,14 +107,19 @@ def conversion_per_state(df: DataFrame, stages: Sequence[Stage] = STAGES, state:
     """(state, stage, Total_users, Percentage_conversion), the
     denominator being the state's first-stage count. NULL states are left
     out (an equi-join on state, as in the source report, never matches them)."""
+    return conversion_per_state_from_counts(reached(df.filter(F.col(state).isNotNull()), [state], stages),
+                                            stages, state)
+
+
+def conversion_per_state_from_counts(counts: DataFrame, stages: Sequence[Stage] = STAGES,
+                                     state: str = "state") -> DataFrame:
     first = stages[0].code
-    counts = reached(df.filter(F.col(state).isNotNull()), [state], stages)
     fields = [
         [("stage", F.lit(s.code)), ("Total_users", F.col(s.code)),
          ("Percentage_conversion", pct(F.col(s.code), F.col(first)))]
         for s in stages
     ]
-    return counts.select(*_rows([state], fields))
+    return counts.filter(F.col(state).isNotNull()).select(*_rows([state], fields))
 
 
 def conversion_by_group(
@@ -124,8 +133,14 @@ def conversion_by_group(
 
     The state total is a window sum over the aggregated rows of one state
     (bounded by the number of group labels), not a join."""
-    first = stages[0].code
     counts = reached(df.filter(F.col(state).isNotNull()), [state, group], stages)
+    return conversion_by_group_from_counts(counts, group, stages, state)
+
+
+def conversion_by_group_from_counts(counts: DataFrame, group: str = "Age_group",
+                                    stages: Sequence[Stage] = STAGES, state: str = "state") -> DataFrame:
+    first = stages[0].code
+    counts = counts.filter(F.col(state).isNotNull())
     counts = counts.withColumn("Total_TI", F.sum(first).over(Window.partitionBy(state)))
     fields = [
         [("stage", F.lit(s.code)), ("Total_users", F.col(s.code)), ("Total_TI", F.col("Total_TI")),
@@ -193,3 +208,30 @@ def top_abandoned_stage(df: DataFrame, stages: Sequence[Stage] = STAGES, complet
     ]
     best = F.greatest(*cands)
     return counts.select(best.getField("stage").alias("stage"), best.getField("n").alias("Total_users"))
+
+
+def funnel_rollup(df: DataFrame, stages: Sequence[Stage] = STAGES, age: str = "age",
+                  materialize: bool = True, **bucket_kw) -> dict[str, DataFrame]:
+    """A10-A12 and A14-A16 from one scan of the per-client table.
+
+    The finest counts (state x age group: a few hundred rows at most) are
+    computed once and, with ``materialize``, checkpointed to the shared
+    folder; the per-state and global counts are sums over them, so a
+    dashboard refresh reads the big table once instead of once per report.
+    """
+    codes = [s.code for s in stages]
+    fine = reached(df.withColumn("Age_group", age_group(age, **bucket_kw)), ["state", "Age_group"], stages)
+    if materialize:
+        checkpoint_root(df.sparkSession)
+        fine = fine.checkpoint(eager=True)
+    total = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in codes]
+    by_state = fine.groupBy("state").agg(*total)
+    overall = fine.agg(*total)
+    return {
+        "funnel_state_age": fine,
+        "funnel_state": by_state,
+        "funnel_global": overall,
+        "conversion_global": conversion_global_from_counts(overall, stages),
+        "conversion_per_state": conversion_per_state_from_counts(by_state, stages),
+        "conversion_by_age": conversion_by_group_from_counts(fine, "Age_group", stages),
+    }

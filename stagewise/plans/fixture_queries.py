@@ -158,7 +158,19 @@ def top_abandoned_stage(spark, sf_dir):
     return fn.top_abandoned_stage(stage_dates(spark, sf_dir))
 
 
+def funnel_rollup_state(spark, sf_dir):
+    """A11 derived from the one-scan rollup (sum of the state x age counts)."""
+    return fn.funnel_rollup(stage_dates(spark, sf_dir))["funnel_state"]
+
+
+def funnel_rollup_conversion_by_age(spark, sf_dir):
+    """A16 from the one-scan rollup."""
+    return fn.funnel_rollup(stage_dates(spark, sf_dir))["conversion_by_age"]
+
+
 QUERIES = {
+    "funnel_rollup_state": funnel_rollup_state,
+    "funnel_rollup_conversion_by_age": funnel_rollup_conversion_by_age,
     "funnel_enriched": funnel_enriched,
     "quality_check": quality_check,
     "map_stage": map_stage,

@@ -151,3 +151,15 @@ def test_unpivot_counts_matches_stack(spark):
     b = counts.selectExpr("state", "stack(6, 'TI', TI, 'TSD', TSD, 'TVD', TVD, 'TRF', TRF, "
                           "'TF', TF, 'TCD', TCD) as (stage, Total_users)")
     assert rows(a) == rows(b)
+
+
+def test_rollup_equals_direct_reports(spark):
+    pv = _pv(spark)
+    r = fn.funnel_rollup(pv)
+    assert rows(r["funnel_state"]) == rows(fn.reached(pv, ["state"]))
+    assert rows(r["funnel_global"]) == rows(fn.reached(pv))
+    assert rows(r["conversion_global"]) == rows(fn.conversion_global(pv))
+    assert rows(r["conversion_per_state"]) == rows(fn.conversion_per_state(pv))
+    assert rows(r["conversion_by_age"]) == rows(fn.conversion_by_age(pv))
+    empty = fn.funnel_rollup(pv.filter("false"))
+    assert empty["funnel_global"].first().TI == 0
