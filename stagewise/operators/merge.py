@@ -25,8 +25,8 @@ lineage (and recomputation after a lost executor) stops there.
 Plan shape (chosen for skew): no full outer join, which adaptive
 execution cannot split. Matched and target-only rows come from
 ``target LEFT OUTER JOIN source``; inserts from ``source LEFT ANTI JOIN
-target`` (both joins reuse one exchange per side, and AQE may split a
-skewed partition on the preserved side). Rows with a NULL key are split
+target`` whose target side is pruned to the key columns (a narrow second
+shuffle); AQE may split a skewed partition on the preserved side. Rows with a NULL key are split
 off before the joins, so they do not all hash into one task.
 """
 
