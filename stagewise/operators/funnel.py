@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import age_group
 from ..schemas import STAGES, Stage
-from ..session import checkpoint_root
+from ..session import materialize as materialize_df
 
 
 def _later(stages: Sequence[Stage], i: int) -> list[Column]:
@@ -215,15 +215,14 @@ def funnel_rollup(df: DataFrame, stages: Sequence[Stage] = STAGES, age: str = "a
     """A10-A12 and A14-A16 from one scan of the per-client table.
 
     The finest counts (state x age group: a few hundred rows at most) are
-    computed once and, with ``materialize``, checkpointed to the shared
+    computed once and, with ``materialize``, written to the shared scratch
     folder; the per-state and global counts are sums over them, so a
     dashboard refresh reads the big table once instead of once per report.
     """
     codes = [s.code for s in stages]
     fine = reached(df.withColumn("Age_group", age_group(age, **bucket_kw)), ["state", "Age_group"], stages)
     if materialize:
-        checkpoint_root(df.sparkSession)
-        fine = fine.checkpoint(eager=True)
+        fine = materialize_df(fine, "funnel-rollup")
     total = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in codes]
     by_state = fine.groupBy("state").agg(*total)
     overall = fine.agg(*total)

@@ -17,9 +17,9 @@ Values and conditions may be ``Column`` objects or SQL text referring to
 ``<target_alias>.col`` / ``<source_alias>.col``; ``'Null'`` is NULL (M6).
 
 With an update clause the source is read three times (ambiguity check,
-matched rows, inserts), so it is materialised once with a reliable
-``checkpoint()`` into the session's shared checkpoint folder: every pass
-sees the same rows even if the source is non-deterministic, and the
+matched rows, inserts), so it is materialised once as parquet in the
+session's shared scratch folder (under ``spark.checkpoint.dir``): every
+pass sees the same rows even if the source is non-deterministic, and the
 lineage (and recomputation after a lost executor) stops there.
 
 Plan shape (chosen for skew): no full outer join, which adaptive
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import any_differs, as_expr
-from ..session import checkpoint_root
+from ..session import materialize
 
 _S = "__merge_s"
 
@@ -79,12 +79,6 @@ def changed_condition(columns: Sequence[str], mode: str = "strict",
     )
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
@@ -138,7 +132,7 @@ def merge(
         raise ValueError("null_keys must be 'insert', 'drop' or 'error'")
     keys = list(on)
     if when_matched is not None and materialize_source:
-        source = materialize(source)
+        source = materialize(source, "merge-source")
     ta, sa = target_alias, source_alias
     nullk = _any_null(keys)
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
@@ -63,3 +63,24 @@ def is_local_path(path: str) -> bool:
 def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
+
+
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Write ``df`` once as parquet under the shared scratch folder and read
+    it back (known schema, so no inference job): cuts the lineage, and every
+    later pass reads the same rows, column-pruned. One job, unlike an eager
+    ``checkpoint()`` of an uncached plan, which computes the plan twice."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_materialized(df: DataFrame) -> None:
+    """Delete the scratch folder behind a ``materialize``d frame."""
+    spark = df.sparkSession
+    for f in df.inputFiles()[:1]:
+        jvm = spark.sparkContext._jvm
+        parent = jvm.org.apache.hadoop.fs.Path(f).getParent()
+        fs = parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if "/stagewise/" in parent.toString():
+            fs.delete(parent, True)

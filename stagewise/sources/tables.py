@@ -34,7 +34,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.merge import Insert, Update, materialize, merge, merge_inserts
+from ..operators.merge import Insert, Update, merge, merge_inserts
+from ..session import drop_materialized, materialize
 
 DATA = "data"
 SNAPSHOTS = "_snapshots"
@@ -243,8 +244,9 @@ def merge_into(
     if when_matched is None and when_not_matched is None:
         return snap.version
     bucketed = bool(snap.buckets) and set(snap.keys) <= set(on)
+    staged = None
     if when_matched is not None:
-        source = materialize(source)
+        source = staged = materialize(source, "merge-source")
         kw["materialize_source"] = False
     touched = touched_buckets(source, snap.keys, snap.buckets) if bucketed else None
     target = read_table(spark, root, schema=schema, buckets=touched)
@@ -259,7 +261,9 @@ def merge_into(
     else:
         t = set(touched)
         kept = [e for e in snap.entries if _entry_bucket(e) is None or _entry_bucket(e) not in t]
-    return _commit(spark, root, n, kept + new, snap.buckets, snap.keys)
+    version = _commit(spark, root, n, kept + new, snap.buckets, snap.keys)
+    drop_materialized(staged)
+    return version
 
 
 def create_or_merge(
