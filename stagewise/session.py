@@ -72,15 +72,16 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     ``checkpoint()`` of an uncached plan, which computes the plan twice."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stagewise_path = path
+    return out
 
 
-def drop_materialized(df: DataFrame) -> None:
+def drop_materialized(df: DataFrame | None) -> None:
     """Delete the scratch folder behind a ``materialize``d frame."""
+    path = getattr(df, "_stagewise_path", None) if df is not None else None
+    if not path:
+        return
     spark = df.sparkSession
-    for f in df.inputFiles()[:1]:
-        jvm = spark.sparkContext._jvm
-        parent = jvm.org.apache.hadoop.fs.Path(f).getParent()
-        fs = parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if "/stagewise/" in parent.toString():
-            fs.delete(parent, True)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
