@@ -320,3 +320,5 @@ FROM p JOIN c ON p.client_id = c.client_id"""
 SQL["pipeline_two_batches_bucketed"] = SQL["pipeline_two_batches"]
 SQL["funnel_rollup_state"] = SQL["funnel_state"]
 SQL["funnel_rollup_conversion_by_age"] = SQL["conversion_by_age"]
+SQL["empty_table_first_merge"] = BASE + f"""SELECT client_id, app, stage, register_date, complete_process,
+  TIMESTAMP '{TS1}' AS ingestion_date FROM funnel"""

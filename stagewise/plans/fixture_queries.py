@@ -28,12 +28,13 @@ from ..schemas import (
     FUNNEL_SOURCE_COLUMNS,
     LOAD_TS_COLUMN,
     SILVER_CATALOG,
+    SILVER_FUNNEL,
     STAGE_COLUMNS,
 )
 from ..session import scratch_dir
 from ..sources import fixtures as fx
 from ..sources.landing import read_landing, with_load_ts, write_landing
-from ..sources.tables import create_or_merge, read_table
+from ..sources.tables import create_or_merge, ensure_table, merge_into, read_table
 from ..streaming.landing_stream import landing_stream
 from . import gold
 from .pipeline import Layers, run_batch
@@ -372,7 +373,21 @@ def create_or_merge_two_batches(spark, sf_dir):
     return read_table(spark, f"{root}/{FUNNEL_FILE}")
 
 
+def empty_table_first_merge(spark, sf_dir):
+    """I7 + M2 in the source order: create the empty typed silver table
+    (create-if-absent, twice), then the first insert-only MERGE into it."""
+    root = f"{scratch_dir(spark, 'silver')}/users_funnel"
+    ensure_table(spark, root, SILVER_FUNNEL)
+    ensure_table(spark, root, SILVER_FUNNEL)
+    values = {c: f"s.{c}" for c in ["client_id", "app", "stage", "register_date", "complete_process"]}
+    values["ingestion_date"] = timestamp_value(TS1)
+    merge_into(spark, root, fx.funnel_events(spark, sf_dir), FUNNEL_KEYS, None, Insert(values),
+               schema=SILVER_FUNNEL)
+    return read_table(spark, root, schema=SILVER_FUNNEL)
+
+
 QUERIES.update({
+    "empty_table_first_merge": empty_table_first_merge,
     "landing_csv": landing_csv,
     "load_stamp": load_stamp,
     "conform_funnel": conform_funnel,

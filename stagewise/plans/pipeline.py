@@ -51,6 +51,7 @@ from ..schemas import (
 )
 from ..sources.landing import read_landing, with_load_ts
 from ..sources.tables import (
+    compact,
     create_or_merge,
     ensure_table,
     merge_into,
@@ -176,9 +177,19 @@ def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_
                Update(pv_set, changed_condition(PV_COMPARED, change)), pv_insert, schema=GOLD_PIVOT)
 
 
+TABLES = (("bronze", FUNNEL_FILE), ("bronze", CLIENTS_FILE), ("silver", "users_funnel"), ("silver", "catalog"),
+          ("gold", "clients_funnel"), ("gold", "pv_clients_stage"))
+
+
 def run_batch(spark: SparkSession, layers: Layers, load_ts: str | _dt.datetime,
-              change: str = "null_safe") -> None:
-    """One scheduled run over the current landing drop."""
+              change: str = "null_safe", max_folders: int | None = 32) -> None:
+    """One scheduled run over the current landing drop.
+
+    Afterwards, any table (or bucket) that has accumulated more than
+    ``max_folders`` data folders from appends is compacted."""
     load_bronze(spark, layers, load_ts)
     load_silver(spark, layers, load_ts, change)
     load_gold(spark, layers, load_ts, change)
+    if max_folders:
+        for layer, name in TABLES:
+            compact(spark, layers.table(layer, name), max_folders)

@@ -202,9 +202,30 @@ def append(df: DataFrame, root: str) -> int:
     return _commit(spark, root, n, list(snap.entries) + new, snap.buckets, snap.keys)
 
 
-def compact(spark: SparkSession, root: str) -> int:
-    """Rewrite the latest version into one folder (per bucket when bucketed)."""
-    return publish(read_table(spark, root), root)
+def compact(spark: SparkSession, root: str, max_folders: int | None = None) -> int:
+    """Rewrite the latest version into one folder (per bucket when bucketed).
+
+    With ``max_folders`` only buckets (or, unbucketed, the table) holding
+    more data folders than that are rewritten; the others are carried
+    over. Run after loads to keep manifests and file counts bounded."""
+    snap = snapshot(spark, root)
+    if max_folders is None:
+        return publish(read_table(spark, root), root)
+    if not snap.buckets:
+        data = [e for e in snap.entries if _entry_bucket(e) is None]
+        return publish(read_table(spark, root), root) if len(data) > max_folders else snap.version
+    per_bucket: dict[int, int] = {}
+    for e in snap.entries:
+        b = _entry_bucket(e)
+        if b is not None:
+            per_bucket[b] = per_bucket.get(b, 0) + 1
+    crowded = sorted(b for b, c in per_bucket.items() if c > max_folders)
+    if not crowded:
+        return snap.version
+    n = _next_number(spark, root)
+    new = _write(read_table(spark, root, buckets=crowded), root, n, snap.buckets, snap.keys)
+    kept = [e for e in snap.entries if _entry_bucket(e) is None or _entry_bucket(e) not in set(crowded)]
+    return _commit(spark, root, n, kept + new, snap.buckets, snap.keys)
 
 
 def ensure_table(spark: SparkSession, root: str, schema: StructType,

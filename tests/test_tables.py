@@ -125,3 +125,21 @@ def test_bucketed_empty_table_reads_with_schema(spark, tmp_path):
     root = str(tmp_path / "e")
     assert ensure_table(spark, root, SILVER_FUNNEL, buckets=4, keys=["client_id"])
     assert read_table(spark, root).schema == SILVER_FUNNEL
+
+
+def test_compact_crowded_buckets_only(spark, tmp_path):
+    from stagewise.sources.tables import snapshot
+
+    root = str(tmp_path / "c")
+    publish(spark.range(0, 50).selectExpr("cast(id as string) as k", "1 as v"), root, buckets=4, keys=["k"])
+    for i in range(3):
+        merge_into(spark, root, spark.createDataFrame([(f"n{i}", i)], "k string, v int"), ["k"])
+    before = snapshot(spark, root)
+    assert compact(spark, root, max_folders=10) == before.version          # nothing crowded
+    compact(spark, root, max_folders=1)
+    after = snapshot(spark, root)
+    counts = {}
+    for e in after.entries:
+        if ".b" in e:
+            counts[e.split(".b")[1]] = counts.get(e.split(".b")[1], 0) + 1
+    assert max(counts.values()) == 1 and read_table(spark, root).count() == 53
