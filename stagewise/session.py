@@ -35,6 +35,27 @@ def local_session(app: str = "stagewise", cpus: str | int = "*", **conf: str) ->
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a run reading ``input_bytes`` on ``total_cores``.
+
+    The initial shuffle partition count is enough for ~``target`` bytes per
+    partition (at least 2 waves of tasks); AQE then coalesces small ones
+    towards the advisory size and splits skewed join partitions, so the
+    number only needs to be an upper bound. File splits stay at the same
+    size so a scan task's input fits comfortably in executor memory."""
+    parts = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The session's shared checkpoint folder; set a local one only if unset."""
     sc = spark.sparkContext

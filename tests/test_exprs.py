@@ -107,3 +107,11 @@ def test_unknown_column_in_conform_fails(spark):
     df = spark.createDataFrame([("x",)], "a string")
     with pytest.raises((AnalysisException, KeyError)):
         conform(df, {"missing": ("m", "int")})
+
+
+def test_cluster_conf_sizes_partitions():
+    from stagewise.session import cluster_conf
+
+    c = cluster_conf(100 * 2**40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600           # 100 TiB / 256 MiB
+    assert int(cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16   # at least 2 waves
