@@ -13,7 +13,8 @@ import __spark_entry__ as E
 from .conftest import SF_SMALL
 
 SUBSET = ["conversion_global", "conversion_by_age", "pivot_stages", "abandonment", "merge_scd1_catalog",
-          "merge_pivot_scd1", "avg_days_state", "top_abandoned_stage", "parse_date"]
+          "merge_pivot_scd1", "avg_days_state", "top_abandoned_stage", "parse_date", "landing_stream",
+          "empty_table_first_merge", "funnel_rollup_conversion_by_age"]
 
 
 def _norm(v):
