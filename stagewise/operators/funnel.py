@@ -35,13 +35,18 @@ def reached_exprs(stages: Sequence[Stage] = STAGES) -> list[Column]:
     return out
 
 
-def reached(df: DataFrame, by: Sequence[str | Column] = (), stages: Sequence[Stage] = STAGES) -> DataFrame:
+def reached(df: DataFrame, by: Sequence[str | Column] = (), stages: Sequence[Stage] = STAGES,
+            ordered: bool = False) -> DataFrame:
     """One row per ``by`` group with one count column per stage code.
 
     A global ``reached(df)`` returns one row even on empty input (zeros).
+    ``ordered`` sorts by the group columns, as the source reports.
     """
     aggs = reached_exprs(stages)
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    if not by:
+        return df.agg(*aggs)
+    out = df.groupBy(*by).agg(*aggs)
+    return out.orderBy(*by) if ordered else out
 
 
 def furthest_exprs(stages: Sequence[Stage] = STAGES) -> list[Column]:
@@ -87,10 +92,12 @@ def pct(n: Column, total: Column, scale: int = 2) -> Column:
     return F.round(F.try_divide(n * F.lit(100.0), total), scale)
 
 
-def conversion_global(df: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
+def conversion_global(df: DataFrame, stages: Sequence[Stage] = STAGES, ordered: bool = False) -> DataFrame:
     """(stage, Total_by_stage, Percentage_conversion) over all clients;
-    the denominator is the first stage's count of the same aggregated row."""
-    return conversion_global_from_counts(reached(df, (), stages), stages)
+    the denominator is the first stage's count of the same aggregated row.
+    ``ordered`` sorts by percentage, highest first, as the source report."""
+    out = conversion_global_from_counts(reached(df, (), stages), stages)
+    return out.orderBy(F.col("Percentage_conversion").desc()) if ordered else out
 
 
 def conversion_global_from_counts(counts: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
@@ -150,9 +157,11 @@ def conversion_by_group_from_counts(counts: DataFrame, group: str = "Age_group",
     return counts.select(*_rows([state, group], fields))
 
 
-def conversion_by_age(df: DataFrame, stages: Sequence[Stage] = STAGES, age: str = "age", **bucket_kw) -> DataFrame:
-    """A16 with the reference's age buckets."""
-    return conversion_by_group(df.withColumn("Age_group", age_group(age, **bucket_kw)), "Age_group", stages)
+def conversion_by_age(df: DataFrame, stages: Sequence[Stage] = STAGES, age: str = "age",
+                      ordered: bool = False, **bucket_kw) -> DataFrame:
+    """A16 with the reference's age buckets (``ordered``: by state, group, stage)."""
+    out = conversion_by_group(df.withColumn("Age_group", age_group(age, **bucket_kw)), "Age_group", stages)
+    return out.orderBy("state", "Age_group", "stage") if ordered else out
 
 
 def funnel_state_age(df: DataFrame, stages: Sequence[Stage] = STAGES, age: str = "age", **bucket_kw) -> DataFrame:

@@ -163,3 +163,13 @@ def test_rollup_equals_direct_reports(spark):
     assert rows(r["conversion_by_age"]) == rows(fn.conversion_by_age(pv))
     empty = fn.funnel_rollup(pv.filter("false"))
     assert empty["funnel_global"].first().TI == 0
+
+
+def test_ordered_reports(spark):
+    pv = _pv(spark)
+    g = [r.Percentage_conversion for r in fn.conversion_global(pv, ordered=True).collect()]
+    assert g == sorted(g, reverse=True)
+    st = [r.state for r in fn.reached(pv, ["state"], ordered=True).collect()]
+    assert st == sorted(st, key=lambda x: (x is not None, x))            # NULLS FIRST
+    a = [(r.state, r.Age_group, r.stage) for r in fn.conversion_by_age(pv, ordered=True).collect()]
+    assert a == sorted(a)
