@@ -44,6 +44,7 @@ TS2 = "2024-02-01 00:00:00"
 TS3 = "2024-03-01 00:00:00"
 
 
+@fx.memo_view
 def stage_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold per-client table from the fixture views (pivot-first plan)."""
     return gold.client_stage_dates(fx.funnel_events(spark, sf_dir), fx.clients(spark, sf_dir))

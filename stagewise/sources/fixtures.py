@@ -9,6 +9,8 @@ and the work grows with the tables.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,22 @@ SCHEMAS = {
 }
 
 
+def memo_view(fn):
+    """Build a fixture view's plan once per (application, session, folder,
+    args), like registering a temp view once; every use still executes it.
+    Plans are immutable, so sharing the DataFrame object is safe."""
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str, *args, **kw):
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir, args, tuple(sorted(kw.items())))
+        if key not in cache:
+            cache[key] = fn(spark, sf_dir, *args, **kw)
+        return cache[key]
+
+    return wrapper
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
     if name in SCHEMAS:
@@ -40,6 +58,7 @@ def _client_id(custkey: Column) -> Column:
     return (custkey + ID_OFFSET).cast("string")
 
 
+@memo_view
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Client catalog: one row per kept customer (client_id is unique).
 
@@ -71,6 +90,7 @@ def _stage_label(orderkey: Column) -> Column:
     return out.otherwise(F.lit(UNKNOWN_STAGE_LABEL))
 
 
+@memo_view
 def funnel_events(spark: SparkSession, sf_dir: str, with_ts: bool = False) -> DataFrame:
     """Stage events: client_id, app, stage (source label), register_date,
     complete_process. A client reaches at most stage ``custkey % 6``;
@@ -94,6 +114,7 @@ def funnel_events(spark: SparkSession, sf_dir: str, with_ts: bool = False) -> Da
     return o.filter((ok % 7 == 6) | (ok % 7 <= ck % 6)).select(*cols)
 
 
+@memo_view
 def funnel_batch(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
     """Batch 1 = orders before 1996, batch 2 = the rest, each reduced to
     one row per (client_id, stage) with the earliest register_date.
@@ -111,6 +132,7 @@ def funnel_batch(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
     ).select("client_id", "app", "stage", "register_date", "complete_process")
 
 
+@memo_view
 def clients_batch(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
     """Catalog drops: batch 1 = customers with ``custkey % 4 <> 3``; batch
     2 = customers with ``custkey % 4 <> 0`` where every 5th changes email
