@@ -32,10 +32,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.merge import Insert, Update, merge, merge_inserts
-from ..session import drop_materialized, materialize
+from ..session import drop_materialized, materialize, scratch_dir
 
 DATA = "data"
 SNAPSHOTS = "_snapshots"
@@ -245,6 +245,22 @@ def touched_buckets(source: DataFrame, keys: Sequence[str], buckets: int) -> lis
     return sorted(r[0] for r in source.select(bucket_expr(keys, buckets).alias("b")).distinct().collect())
 
 
+def stage_by_bucket(source: DataFrame, keys: Sequence[str], buckets: int) -> tuple[DataFrame, list[int]]:
+    """Materialise ``source`` once in the shared scratch folder, split by
+    bucket: the touched buckets are then a directory listing (no job), and
+    every later pass reads the same rows."""
+    spark = source.sparkSession
+    path = scratch_dir(spark, "merge-source")
+    source.withColumn(BUCKET, bucket_expr(keys, buckets)).write.partitionBy(BUCKET).parquet(path)
+    fs, p = _fs(spark, path)
+    touched = sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
+                     if st.isDirectory() and st.getPath().getName().startswith(BUCKET + "="))
+    schema = StructType(source.schema.fields + [StructField(BUCKET, IntegerType(), True)])
+    staged = spark.read.schema(schema).parquet(path).select(*source.columns) if touched else source.limit(0)
+    staged._stagewise_path = path
+    return staged, touched
+
+
 def merge_into(
     spark: SparkSession,
     root: str,
@@ -265,16 +281,22 @@ def merge_into(
     if when_matched is None and when_not_matched is None:
         return snap.version
     bucketed = bool(snap.buckets) and set(snap.keys) <= set(on)
-    staged = None
-    if when_matched is not None:
+    staged, touched = None, None
+    if bucketed:
+        staged, touched = stage_by_bucket(source, snap.keys, snap.buckets)
+        source = staged
+        kw["materialize_source"] = False
+    elif when_matched is not None:
         source = staged = materialize(source, "merge-source")
         kw["materialize_source"] = False
-    touched = touched_buckets(source, snap.keys, snap.buckets) if bucketed else None
     target = read_table(spark, root, schema=schema, buckets=touched)
     n = _next_number(spark, root)
     if when_matched is None:
+        kw.pop("materialize_source", None)
         new = _write(merge_inserts(target, source, on, when_not_matched, **kw), root, n, snap.buckets, snap.keys)
-        return _commit(spark, root, n, list(snap.entries) + new, snap.buckets, snap.keys)
+        version = _commit(spark, root, n, list(snap.entries) + new, snap.buckets, snap.keys)
+        drop_materialized(staged)
+        return version
     merged = merge(target, source, on, when_matched, when_not_matched, **kw)
     new = _write(merged, root, n, snap.buckets, snap.keys)
     if touched is None:
