@@ -12,6 +12,7 @@ drop. Two modes:
 * ``change='null_safe'`` (default) is incremental and converges: each
   layer only processes the rows this load touched (rows stamped with
   this ``load_ts``: bronze ``fecha_ingesta``, silver ``ingestion_date``),
+  read from the data folders the previous step's commit added,
   updates use a null-safe change test on the non-key columns (load
   timestamps are never compared), and only touched clients are
   re-pivoted, keyed by client_id alone (``max(complete_process)`` as an
@@ -56,6 +57,7 @@ from ..sources.tables import (
     ensure_table,
     merge_into,
     publish,
+    read_changes,
     read_table,
     table_exists,
     touched_buckets,
@@ -111,7 +113,7 @@ def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "nul
     ensure_table(spark, funnel_root, SILVER_FUNNEL, layers.buckets, ["client_id"])
     ensure_table(spark, catalog_root, SILVER_CATALOG, layers.buckets, ["client_id"])
 
-    bf = _touched(read_table(spark, layers.table("bronze", FUNNEL_FILE), schema=bronze_schema(FUNNEL_SOURCE_COLUMNS)),
+    bf = _touched(read_changes(spark, layers.table("bronze", FUNNEL_FILE), bronze_schema(FUNNEL_SOURCE_COLUMNS)),
                   LOAD_TS_COLUMN, load_ts)
     sf = conform(bf, FUNNEL_CONFORM)
     values = {c: F.col(f"s.{c}") for c in ["client_id", "app", "stage", "register_date", "complete_process"]}
@@ -123,7 +125,7 @@ def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "nul
                      changed_condition(cmp, change))
     merge_into(spark, funnel_root, sf, FUNNEL_KEYS, upd, Insert(values), schema=SILVER_FUNNEL)
 
-    bc = _touched(read_table(spark, layers.table("bronze", CLIENTS_FILE), schema=bronze_schema(CLIENTS_SOURCE_COLUMNS)),
+    bc = _touched(read_changes(spark, layers.table("bronze", CLIENTS_FILE), bronze_schema(CLIENTS_SOURCE_COLUMNS)),
                   LOAD_TS_COLUMN, load_ts)
     sc = conform(bc, CLIENTS_CONFORM)
     attrs = list(CATALOG_ATTRS)
@@ -158,8 +160,10 @@ def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_
                    Update(pv_set, changed_condition(PV_COMPARED, "strict")), pv_insert, schema=GOLD_PIVOT)
         return
 
-    touched = (_touched(funnel, "ingestion_date", load_ts).select("client_id")
-               .unionByName(_touched(catalog, "ingestion_date", load_ts).select("client_id")))
+    changed_funnel = read_changes(spark, layers.table("silver", "users_funnel"), SILVER_FUNNEL)
+    changed_catalog = read_changes(spark, layers.table("silver", "catalog"), SILVER_CATALOG)
+    touched = (_touched(changed_funnel, "ingestion_date", load_ts).select("client_id")
+               .unionByName(_touched(changed_catalog, "ingestion_date", load_ts).select("client_id")))
     if layers.buckets:
         # Bucketed silver: the touched clients live in a known set of buckets
         # (at most ``buckets`` ids); read only those for the re-pivot.

@@ -173,6 +173,24 @@ def read_table(spark: SparkSession, root: str, version: int | None = None,
     return reader.parquet(*paths)
 
 
+def read_changes(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
+    """Rows in the data folders the latest commit added (versus the
+    previous committed snapshot). Every row a MERGE inserted or updated
+    is in them (with untouched rows of rewritten buckets), so a later
+    layer filtering for this load's stamp reads only these folders
+    instead of scanning the whole table."""
+    versions = _numbered(spark, f"{root}/{SNAPSHOTS}", complete_only=True)
+    if not versions:
+        raise FileNotFoundError(f"no committed table at {root}")
+    snap = snapshot(spark, root, versions[-1])
+    old = set(snapshot(spark, root, versions[-2]).entries) if len(versions) > 1 else set()
+    paths = [_entry_path(root, e) for e in snap.entries if e not in old]
+    if not paths:
+        return read_table(spark, root, schema=schema).limit(0)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(*paths)
+
+
 def publish(df: DataFrame, root: str, buckets: int | None = None, keys: Sequence[str] = ()) -> int:
     """I4: write ``df`` as the whole new version of the table.
 

@@ -143,3 +143,15 @@ def test_compact_crowded_buckets_only(spark, tmp_path):
         if ".b" in e:
             counts[e.split(".b")[1]] = counts.get(e.split(".b")[1], 0) + 1
     assert max(counts.values()) == 1 and read_table(spark, root).count() == 53
+
+
+def test_read_changes_returns_only_new_folders(spark, tmp_path):
+    from stagewise.sources.tables import read_changes
+
+    root = str(tmp_path / "rc")
+    publish(spark.createDataFrame([("1", 1), ("2", 2)], "k string, v int"), root)
+    assert read_changes(spark, root).count() == 2
+    merge_into(spark, root, spark.createDataFrame([("3", 3)], "k string, v int"), ["k"])
+    assert [r.k for r in read_changes(spark, root).collect()] == ["3"]
+    merge_into(spark, root, spark.createDataFrame([("3", 3)], "k string, v int"), ["k"])   # nothing new
+    assert read_changes(spark, root).count() == 0
