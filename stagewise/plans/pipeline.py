@@ -11,9 +11,12 @@ drop. Two modes:
   the seven client columns.
 * ``change='null_safe'`` (default) is incremental and converges: each
   layer only processes the rows this load touched (rows stamped with
-  this ``load_ts``: bronze ``fecha_ingesta``, silver ``ingestion_date``),
-  read from the data folders the previous step's commit added,
-  updates use a null-safe change test on the non-key columns (load
+  this ``load_ts``: bronze ``fecha_ingesta``, silver ``ingestion_date``).
+  Each step reads the upstream folders added since the version it last
+  consumed, keeps rows stamped after the load it last consumed, and
+  records both after its own commit, like a stream's offsets: a run that
+  fails part-way is completed by the next run, whatever its load_ts.
+  Updates use a null-safe change test on the non-key columns (load
   timestamps are never compared), and only touched clients are
   re-pivoted, keyed by client_id alone (``max(complete_process)`` as an
   aggregate). Loading batch 1 then batch 2 gives the same per-client
@@ -53,8 +56,11 @@ from ..schemas import (
 from ..sources.landing import read_landing, with_load_ts
 from ..sources.tables import (
     compact,
+    consumed,
     create_or_merge,
     ensure_table,
+    latest_version,
+    mark_consumed,
     merge_into,
     publish,
     read_changes,
@@ -86,8 +92,22 @@ class Layers:
         return f"{getattr(self, layer).rstrip('/')}/{name}"
 
 
-def _touched(df: DataFrame, col: str, ts) -> DataFrame:
-    return df.filter(F.col(col) == timestamp_value(ts))
+def _ts_text(ts: str | _dt.datetime) -> str:
+    return ts.strftime("%Y-%m-%d %H:%M:%S.%f") if isinstance(ts, _dt.datetime) else str(ts)
+
+
+def _pending(spark: SparkSession, upstream: str, schema: StructType, consumer: str, tag: str,
+             stamp_col: str) -> tuple[DataFrame, int]:
+    """Rows of ``upstream`` the ``consumer`` has not finished with: those in
+    the folders added since the version it last consumed, stamped after the
+    load it last consumed (load stamps increase from run to run). Returns
+    the rows and the upstream version read, to record once consumed."""
+    version = latest_version(spark, upstream)
+    since, stamp = consumed(spark, consumer, tag)
+    rows = read_changes(spark, upstream, schema, since=since)
+    if stamp is not None:
+        rows = rows.filter(F.col(stamp_col) > timestamp_value(stamp))
+    return rows, version
 
 
 def bronze_schema(columns) -> StructType:
@@ -113,8 +133,8 @@ def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "nul
     ensure_table(spark, funnel_root, SILVER_FUNNEL, layers.buckets, ["client_id"])
     ensure_table(spark, catalog_root, SILVER_CATALOG, layers.buckets, ["client_id"])
 
-    bf = _touched(read_changes(spark, layers.table("bronze", FUNNEL_FILE), bronze_schema(FUNNEL_SOURCE_COLUMNS)),
-                  LOAD_TS_COLUMN, load_ts)
+    bf, bf_version = _pending(spark, layers.table("bronze", FUNNEL_FILE), bronze_schema(FUNNEL_SOURCE_COLUMNS),
+                              funnel_root, "bronze_funnel", LOAD_TS_COLUMN)
     sf = conform(bf, FUNNEL_CONFORM)
     values = {c: F.col(f"s.{c}") for c in ["client_id", "app", "stage", "register_date", "complete_process"]}
     values["ingestion_date"] = now
@@ -124,9 +144,10 @@ def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "nul
         upd = Update({**{c: F.col(f"s.{c}") for c in cmp}, "ingestion_date": now},
                      changed_condition(cmp, change))
     merge_into(spark, funnel_root, sf, FUNNEL_KEYS, upd, Insert(values), schema=SILVER_FUNNEL)
+    mark_consumed(spark, funnel_root, "bronze_funnel", bf_version, _ts_text(load_ts))
 
-    bc = _touched(read_changes(spark, layers.table("bronze", CLIENTS_FILE), bronze_schema(CLIENTS_SOURCE_COLUMNS)),
-                  LOAD_TS_COLUMN, load_ts)
+    bc, bc_version = _pending(spark, layers.table("bronze", CLIENTS_FILE), bronze_schema(CLIENTS_SOURCE_COLUMNS),
+                              catalog_root, "bronze_clients", LOAD_TS_COLUMN)
     sc = conform(bc, CLIENTS_CONFORM)
     attrs = list(CATALOG_ATTRS)
     merge_into(
@@ -136,6 +157,7 @@ def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "nul
         Insert({**{c: F.col(f"s.{c}") for c in ["client_id", *attrs, "ingestion_date"]}, "update_date": "Null"}),
         schema=SILVER_CATALOG,
     )
+    mark_consumed(spark, catalog_root, "bronze_clients", bc_version, _ts_text(load_ts))
 
 
 def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_safe") -> None:
@@ -160,10 +182,11 @@ def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_
                    Update(pv_set, changed_condition(PV_COMPARED, "strict")), pv_insert, schema=GOLD_PIVOT)
         return
 
-    changed_funnel = read_changes(spark, layers.table("silver", "users_funnel"), SILVER_FUNNEL)
-    changed_catalog = read_changes(spark, layers.table("silver", "catalog"), SILVER_CATALOG)
-    touched = (_touched(changed_funnel, "ingestion_date", load_ts).select("client_id")
-               .unionByName(_touched(changed_catalog, "ingestion_date", load_ts).select("client_id")))
+    changed_funnel, f_version = _pending(spark, layers.table("silver", "users_funnel"), SILVER_FUNNEL,
+                                         pv_root, "silver_funnel", "ingestion_date")
+    changed_catalog, c_version = _pending(spark, layers.table("silver", "catalog"), SILVER_CATALOG,
+                                          pv_root, "silver_catalog", "ingestion_date")
+    touched = changed_funnel.select("client_id").unionByName(changed_catalog.select("client_id"))
     if layers.buckets:
         # Bucketed silver: the touched clients live in a known set of buckets
         # (at most ``buckets`` ids); read only those for the re-pivot.
@@ -179,6 +202,8 @@ def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_
     # The merge's ambiguity check guarantees one source row per client_id.
     merge_into(spark, pv_root, gold.client_stage_dates_latest(f_t, catalog), ["client_id"],
                Update(pv_set, changed_condition(PV_COMPARED, change)), pv_insert, schema=GOLD_PIVOT)
+    mark_consumed(spark, pv_root, "silver_funnel", f_version, _ts_text(load_ts))
+    mark_consumed(spark, pv_root, "silver_catalog", c_version, _ts_text(load_ts))
 
 
 TABLES = (("bronze", FUNNEL_FILE), ("bronze", CLIENTS_FILE), ("silver", "users_funnel"), ("silver", "catalog"),

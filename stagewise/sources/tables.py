@@ -173,17 +173,20 @@ def read_table(spark: SparkSession, root: str, version: int | None = None,
     return reader.parquet(*paths)
 
 
-def read_changes(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
-    """Rows in the data folders the latest commit added (versus the
-    previous committed snapshot). Every row a MERGE inserted or updated
-    is in them (with untouched rows of rewritten buckets), so a later
-    layer filtering for this load's stamp reads only these folders
-    instead of scanning the whole table."""
+def read_changes(spark: SparkSession, root: str, schema: StructType | None = None,
+                 since: int | None = None) -> DataFrame:
+    """Rows in the data folders of the latest version that snapshot
+    ``since`` does not have (default: the previous committed snapshot;
+    ``since=-1``: every folder). Every row a MERGE inserted or updated
+    after ``since`` is in them (with untouched rows of rewritten buckets),
+    so a consumer reads these folders instead of scanning the table."""
     versions = _numbered(spark, f"{root}/{SNAPSHOTS}", complete_only=True)
     if not versions:
         raise FileNotFoundError(f"no committed table at {root}")
     snap = snapshot(spark, root, versions[-1])
-    old = set(snapshot(spark, root, versions[-2]).entries) if len(versions) > 1 else set()
+    if since is None:
+        since = versions[-2] if len(versions) > 1 else -1
+    old = set(snapshot(spark, root, since).entries) if since >= 0 else set()
     paths = [_entry_path(root, e) for e in snap.entries if e not in old]
     if not paths:
         return read_table(spark, root, schema=schema).limit(0)
@@ -191,6 +194,30 @@ def read_changes(spark: SparkSession, root: str, schema: StructType | None = Non
     return reader.parquet(*paths)
 
 
+CONSUMED = "_consumed"
+
+
+def consumed(spark: SparkSession, consumer_root: str, tag: str) -> tuple[int, str | None]:
+    """(upstream version, load stamp) a consumer last finished with, or
+    (-1, None). Like a stream's committed offset: written only after the
+    consumer's own commit, so a failed run is picked up by the next one."""
+    fs, p = _fs(spark, f"{consumer_root}/{CONSUMED}/{tag}")
+    if not fs.exists(p):
+        return -1, None
+    marks = []
+    for st in fs.listStatus(p):
+        v, _, stamp = st.getPath().getName().partition(".")
+        if v.isdigit():
+            marks.append((int(v), bytes.fromhex(stamp).decode() if stamp else None))
+    return max(marks) if marks else (-1, None)
+
+
+def mark_consumed(spark: SparkSession, consumer_root: str, tag: str, version: int, stamp: str) -> None:
+    fs, p = _fs(spark, f"{consumer_root}/{CONSUMED}/{tag}")
+    fs.mkdirs(p)
+    fs.create(p.suffix(f"/{_name(version)}.{stamp.encode().hex()}"), True).close()
+
+
 def publish(df: DataFrame, root: str, buckets: int | None = None, keys: Sequence[str] = ()) -> int:
     """I4: write ``df`` as the whole new version of the table.
 

@@ -129,3 +129,21 @@ def test_hand_rows_first_load(spark, tmp_path):
     # A second load of a drop repeating one key twice is an ambiguous MERGE.
     with pytest.raises(AmbiguousMergeError):
         run_batch(spark, layers, "2024-02-28 00:00:00")
+
+
+def test_run_failing_before_gold_is_completed_by_next_run(spark):
+    from stagewise.plans.pipeline import load_bronze, load_silver
+    from stagewise.session import scratch_dir
+
+    base = scratch_dir(spark, "crash")
+    layers1 = Layers(f"{base}/landing1", f"{base}/bronze", f"{base}/silver", f"{base}/gold", buckets=4)
+    fq._drop_batch(spark, SF_SMALL, 1, layers1.landing)
+    run_batch(spark, layers1, fq.TS1)
+    layers2 = Layers(f"{base}/landing2", f"{base}/bronze", f"{base}/silver", f"{base}/gold", buckets=4)
+    fq._drop_batch(spark, SF_SMALL, 2, layers2.landing)
+    load_bronze(spark, layers2, fq.TS2)
+    load_silver(spark, layers2, fq.TS2)               # the run dies here, before gold
+    run_batch(spark, layers2, "2024-02-02 00:00:00")  # next scheduled run, same drop, new stamp
+    got = [r.asDict() for r in _pv(spark, layers2).drop("ingestion_time", "update_date").collect()]
+    want = _duck(SQL["pipeline_two_batches"], SF_SMALL)
+    assert sorted(map(_key, got)) == sorted(map(_key, want))
