@@ -448,7 +448,7 @@ def pipeline_two_batches_bucketed(spark, sf_dir):
     return read_table(spark, layers.table("gold", "pv_clients_stage")).drop("ingestion_time", "update_date")
 
 
-def landing_stream_two_drops(spark, sf_dir):
+def landing_stream_two_drops(spark, sf_dir, buckets=None):
     """Two drops picked up by a file stream (one availableNow run per drop),
     each MERGEd into bronze in foreachBatch; same table as create_or_merge."""
     base = scratch_dir(spark, "stream")
@@ -461,7 +461,7 @@ def landing_stream_two_drops(spark, sf_dir):
             F.col("complete_process").cast("string").alias("Proceso_completo"))
         drop.write.mode("append").option("header", True).csv(drops)
         q = landing_stream(spark, drops, FUNNEL_SOURCE_COLUMNS, bronze, list(FUNNEL_BRONZE_KEYS), ckpt,
-                           stamp=lambda i: stamps[i], files_per_batch=None)
+                           stamp=lambda i: stamps[i], files_per_batch=None, buckets=buckets)
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))

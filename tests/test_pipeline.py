@@ -147,3 +147,9 @@ def test_run_failing_before_gold_is_completed_by_next_run(spark):
     got = [r.asDict() for r in _pv(spark, layers2).drop("ingestion_time", "update_date").collect()]
     want = _duck(SQL["pipeline_two_batches"], SF_SMALL)
     assert sorted(map(_key, got)) == sorted(map(_key, want))
+
+
+def test_landing_stream_into_bucketed_bronze(spark):
+    got = [r.asDict() for r in fq.landing_stream_two_drops(spark, SF_SMALL, buckets=4).collect()]
+    want = _duck(SQL["create_or_merge"], SF_SMALL)
+    assert sorted(map(_key, got)) == sorted(map(_key, want))
