@@ -79,13 +79,18 @@ def avg_days_state(df: DataFrame, ordered: bool = False) -> DataFrame:
     return out.orderBy(F.col("AV").desc()) if ordered else out
 
 
-def total_time(df: DataFrame, ordered: bool = False) -> DataFrame:
+def total_time(df: DataFrame, ordered: bool = False, unique_clients: bool = False) -> DataFrame:
     """A4: completed clients: last confirmation, first introduction and the
-    days between (NULL if either is missing; negative when out of order)."""
-    out = (
-        completed(df, 1)
-        .groupBy("client_id", COMPLETE)
-        .agg(F.max(LAST_STAGE).alias("max"), F.min(FIRST_STAGE).alias("min"))
-        .withColumn("total_time_days", F.datediff(F.col("max"), F.col("min")))
-    )
+    days between (NULL if either is missing; negative when out of order).
+
+    The grouping by client merges a client split over several rows (as the
+    source's 7-column pivot can produce); when the table is known to hold
+    one row per client (``run_batch`` in null-safe mode guarantees it),
+    ``unique_clients=True`` gives the same rows without that shuffle."""
+    done = completed(df, 1)
+    if unique_clients:
+        out = done.select("client_id", COMPLETE, F.col(LAST_STAGE).alias("max"), F.col(FIRST_STAGE).alias("min"))
+    else:
+        out = done.groupBy("client_id", COMPLETE).agg(F.max(LAST_STAGE).alias("max"), F.min(FIRST_STAGE).alias("min"))
+    out = out.withColumn("total_time_days", F.datediff(F.col("max"), F.col("min")))
     return out.orderBy("client_id") if ordered else out

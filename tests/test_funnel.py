@@ -173,3 +173,14 @@ def test_ordered_reports(spark):
     assert st == sorted(st, key=lambda x: (x is not None, x))            # NULLS FIRST
     a = [(r.state, r.Age_group, r.stage) for r in fn.conversion_by_age(pv, ordered=True).collect()]
     assert a == sorted(a)
+
+
+def test_total_time_without_shuffle_on_unique_clients(spark):
+    pv = _pv(spark)
+    a = rp.total_time(pv)
+    b = rp.total_time(pv, unique_clients=True)
+    assert rows(a) == rows(b)
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+    assert exchanges(b) < exchanges(a)
