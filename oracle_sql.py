@@ -301,7 +301,7 @@ WHERE NOT EXISTS (SELECT 1 FROM b2 WHERE b2.client_id = b1.client_id AND b2.stag
 # --- X6 / streaming -----------------------------------------------------------
 
 SQL["landing_stream"] = SQL["create_or_merge"]
-SQL["pipeline_two_batches"] = BATCHES + """,
+SQL["incremental_two_batches"] = BATCHES + """,
 f AS (SELECT * FROM b2 UNION ALL
       SELECT * FROM b1 WHERE NOT EXISTS (SELECT 1 FROM b2 WHERE b2.client_id = b1.client_id AND b2.stage = b1.stage)),
 c AS (SELECT * FROM c2 UNION ALL
@@ -317,7 +317,7 @@ p AS (SELECT client_id, MAX(complete_process) AS complete_process, MAX(app) AS a
 SELECT p.client_id, p.complete_process, c.name, c.age, c.state, c.email, p.app, p.introduction, p.data_request,
   p.data_validation, p.facial_recognition, p.signature, p.data_confirmation
 FROM p JOIN c ON p.client_id = c.client_id"""
-SQL["pipeline_two_batches_bucketed"] = SQL["pipeline_two_batches"]
+SQL["incremental_two_batches_bucketed"] = SQL["incremental_two_batches"]
 SQL["funnel_rollup_state"] = SQL["funnel_state"]
 SQL["funnel_rollup_conversion_by_age"] = SQL["conversion_by_age"]
 SQL["empty_table_first_merge"] = BASE + f"""SELECT client_id, app, stage, register_date, complete_process,

@@ -37,7 +37,7 @@ from ..sources.landing import read_landing, with_load_ts, write_landing
 from ..sources.tables import create_or_merge, ensure_table, merge_into, read_table
 from ..streaming.landing_stream import landing_stream
 from . import gold
-from .pipeline import Layers, run_batch
+from .incremental import Layers, run_batch
 
 TS1 = "2024-01-01 00:00:00"
 TS2 = "2024-02-01 00:00:00"
@@ -434,14 +434,14 @@ def run_two_batches(spark, sf_dir, change="null_safe", catalog_changes=True, buc
     return layers
 
 
-def pipeline_two_batches(spark, sf_dir):
+def incremental_two_batches(spark, sf_dir):
     """Two scheduled runs (corrected mode); the per-client gold table
     without its load timestamps equals a one-shot load of the latest rows."""
     layers = run_two_batches(spark, sf_dir, "null_safe")
     return read_table(spark, layers.table("gold", "pv_clients_stage")).drop("ingestion_time", "update_date")
 
 
-def pipeline_two_batches_bucketed(spark, sf_dir):
+def incremental_two_batches_bucketed(spark, sf_dir):
     """X6 on hash-bucketed layers: each MERGE reads and rewrites only the
     buckets of the clients in the batch; same result as the unbucketed run."""
     layers = run_two_batches(spark, sf_dir, "null_safe", buckets=PIPELINE_BUCKETS)
@@ -469,7 +469,7 @@ def landing_stream_two_drops(spark, sf_dir, buckets=None):
 
 
 QUERIES.update({
-    "pipeline_two_batches": pipeline_two_batches,
-    "pipeline_two_batches_bucketed": pipeline_two_batches_bucketed,
+    "incremental_two_batches": incremental_two_batches,
+    "incremental_two_batches_bucketed": incremental_two_batches_bucketed,
     "landing_stream": landing_stream_two_drops,
 })

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from oracle_sql import SQL
 from stagewise.operators.merge import AmbiguousMergeError
 from stagewise.plans import fixture_queries as fq
-from stagewise.plans.pipeline import Layers, run_batch
+from stagewise.plans.incremental import Layers, run_batch
 from stagewise.sources.tables import read_table
 
 from .conftest import SF_SMALL
@@ -45,7 +45,7 @@ def _pv(spark, layers):
 def test_incremental_equals_one_shot(spark):
     safe = fq.run_two_batches(spark, SF_SMALL, "null_safe")
     got = [r.asDict() for r in _pv(spark, safe).drop("ingestion_time", "update_date").collect()]
-    want = _duck(SQL["pipeline_two_batches"], SF_SMALL)
+    want = _duck(SQL["incremental_two_batches"], SF_SMALL)
     assert len(got) == len(want)
     assert sorted(map(_key, got)) == sorted(map(_key, want))
     ids = [r["client_id"] for r in got]
@@ -132,7 +132,7 @@ def test_hand_rows_first_load(spark, tmp_path):
 
 
 def test_run_failing_before_gold_is_completed_by_next_run(spark):
-    from stagewise.plans.pipeline import load_bronze, load_silver
+    from stagewise.plans.incremental import load_bronze, load_silver
     from stagewise.session import scratch_dir
 
     base = scratch_dir(spark, "crash")
@@ -145,7 +145,7 @@ def test_run_failing_before_gold_is_completed_by_next_run(spark):
     load_silver(spark, layers2, fq.TS2)               # the run dies here, before gold
     run_batch(spark, layers2, "2024-02-02 00:00:00")  # next scheduled run, same drop, new stamp
     got = [r.asDict() for r in _pv(spark, layers2).drop("ingestion_time", "update_date").collect()]
-    want = _duck(SQL["pipeline_two_batches"], SF_SMALL)
+    want = _duck(SQL["incremental_two_batches"], SF_SMALL)
     assert sorted(map(_key, got)) == sorted(map(_key, want))
 
 

@@ -11,7 +11,7 @@ from stagewise.plans import fixture_queries as fq
 
 from .conftest import SF_SMALL
 
-LOAD_PATH = {"landing_csv", "create_or_merge", "pipeline_two_batches", "pipeline_two_batches_bucketed",
+LOAD_PATH = {"landing_csv", "create_or_merge", "incremental_two_batches", "incremental_two_batches_bucketed",
              "landing_stream", "empty_table_first_merge", "funnel_rollup_state", "funnel_rollup_conversion_by_age"}
 REPORT_KEYS = sorted(k for k in fq.QUERIES if k not in LOAD_PATH and not k.startswith("merge_"))
 
