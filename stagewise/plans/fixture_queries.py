@@ -277,7 +277,7 @@ def parse_rejects(spark, sf_dir):
 # --- M1-M6 ----------------------------------------------------------------
 
 FUNNEL_KEYS = ["client_id", "stage"]
-PIPELINE_BUCKETS = 16
+INCREMENTAL_BUCKETS = 16
 PV_COMPARED = ["name", "email", "age", "state", "complete_process", *STAGE_COLUMNS]
 
 
@@ -444,7 +444,7 @@ def incremental_two_batches(spark, sf_dir):
 def incremental_two_batches_bucketed(spark, sf_dir):
     """X6 on hash-bucketed layers: each MERGE reads and rewrites only the
     buckets of the clients in the batch; same result as the unbucketed run."""
-    layers = run_two_batches(spark, sf_dir, "null_safe", buckets=PIPELINE_BUCKETS)
+    layers = run_two_batches(spark, sf_dir, "null_safe", buckets=INCREMENTAL_BUCKETS)
     return read_table(spark, layers.table("gold", "pv_clients_stage")).drop("ingestion_time", "update_date")
 
 
