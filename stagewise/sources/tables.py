@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..operators.merge import Insert, Update, merge, merge_inserts
+from ..operators.merge import Insert, Update, dedupe_latest, merge, merge_inserts
 from ..session import drop_materialized, materialize, scratch_dir
 
 DATA = "data"
@@ -362,11 +362,18 @@ def create_or_merge(
     when_matched: Update | None = Update(),
     when_not_matched: Insert | None = Insert(),
     buckets: int | None = None,
+    dedupe_by: str | None = None,
     **kw,
 ) -> int:
     """First load creates the table from ``source`` (bucketed by ``on``
     when ``buckets`` is given); later loads MERGE (default update-all /
-    insert-all, M1) into a table of the source's schema."""
+    insert-all, M1) into a table of the source's schema.
+
+    ``dedupe_by`` keeps one source row per key, the one with the greatest
+    value of that column (T7: by default duplicate keys in a first load
+    are kept, and a later updating MERGE then raises)."""
+    if dedupe_by is not None:
+        source = dedupe_latest(source, on, dedupe_by)
     if not table_exists(spark, root):
         return publish(source, root, buckets, list(on))
     return merge_into(spark, root, source, on, when_matched, when_not_matched, schema=source.schema, **kw)

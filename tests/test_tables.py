@@ -155,3 +155,18 @@ def test_read_changes_returns_only_new_folders(spark, tmp_path):
     assert [r.k for r in read_changes(spark, root).collect()] == ["3"]
     merge_into(spark, root, spark.createDataFrame([("3", 3)], "k string, v int"), ["k"])   # nothing new
     assert read_changes(spark, root).count() == 0
+
+
+def test_create_or_merge_dedupe_by(spark, tmp_path):
+    from stagewise.operators.merge import AmbiguousMergeError
+
+    root = str(tmp_path / "d")
+    dup = spark.createDataFrame([("1", 1, "a"), ("1", 2, "b"), ("2", 1, "c")], "k string, seq int, v string")
+    create_or_merge(spark, root, dup, ["k"])                       # T7: duplicates kept on first load
+    assert read_table(spark, root).count() == 3
+    with pytest.raises(AmbiguousMergeError):
+        create_or_merge(spark, root, dup, ["k"])
+    root2 = str(tmp_path / "d2")
+    create_or_merge(spark, root2, dup, ["k"], dedupe_by="seq")
+    create_or_merge(spark, root2, dup, ["k"], dedupe_by="seq")
+    assert {r.k: r.v for r in read_table(spark, root2).collect()} == {"1": "b", "2": "c"}
