@@ -28,13 +28,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
+from functools import reduce
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..operators.merge import Insert, Update, dedupe_latest, merge, merge_inserts
+from ..operators.merge import Insert, NullKeyError, Update, dedupe_latest, merge, merge_inserts
 from ..session import drop_materialized, materialize, scratch_dir
 
 DATA = "data"
@@ -375,5 +376,11 @@ def create_or_merge(
     if dedupe_by is not None:
         source = dedupe_latest(source, on, dedupe_by)
     if not table_exists(spark, root):
+        null_keys = kw.get("null_keys", "insert")
+        if null_keys != "insert":
+            nullk = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+            if null_keys == "error" and source.filter(nullk).limit(1).count():
+                raise NullKeyError(f"source has rows with a NULL key in {list(on)}")
+            source = source.filter(~nullk)
         return publish(source, root, buckets, list(on))
     return merge_into(spark, root, source, on, when_matched, when_not_matched, schema=source.schema, **kw)

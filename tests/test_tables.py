@@ -170,3 +170,15 @@ def test_create_or_merge_dedupe_by(spark, tmp_path):
     create_or_merge(spark, root2, dup, ["k"], dedupe_by="seq")
     create_or_merge(spark, root2, dup, ["k"], dedupe_by="seq")
     assert {r.k: r.v for r in read_table(spark, root2).collect()} == {"1": "b", "2": "c"}
+
+
+def test_create_or_merge_null_keys_on_first_load(spark, tmp_path):
+    from stagewise.operators.merge import NullKeyError
+
+    df = spark.createDataFrame([(None, 1), ("1", 2)], "k string, v int")
+    create_or_merge(spark, str(tmp_path / "a"), df, ["k"], null_keys="drop")
+    assert read_table(spark, str(tmp_path / "a")).count() == 1
+    with pytest.raises(NullKeyError):
+        create_or_merge(spark, str(tmp_path / "b"), df, ["k"], null_keys="error")
+    create_or_merge(spark, str(tmp_path / "c"), df, ["k"])
+    assert read_table(spark, str(tmp_path / "c")).count() == 2
