@@ -153,3 +153,23 @@ def test_landing_stream_into_bucketed_bronze(spark):
     got = [r.asDict() for r in fq.landing_stream_two_drops(spark, SF_SMALL, buckets=4).collect()]
     want = _duck(SQL["create_or_merge"], SF_SMALL)
     assert sorted(map(_key, got)) == sorted(map(_key, want))
+
+
+def test_run_batch_compacts_crowded_buckets(spark):
+    from stagewise.session import scratch_dir
+    from stagewise.sources.tables import snapshot
+
+    base = scratch_dir(spark, "compact")
+    for batch, ts in ((1, fq.TS1), (2, fq.TS2)):
+        layers = Layers(f"{base}/landing{batch}", f"{base}/bronze", f"{base}/silver", f"{base}/gold", buckets=4)
+        fq._drop_batch(spark, SF_SMALL, batch, layers.landing)
+        run_batch(spark, layers, ts, max_folders=1)
+    for layer, name in (("silver", "users_funnel"), ("gold", "clients_funnel"), ("gold", "pv_clients_stage")):
+        snap = snapshot(spark, layers.table(layer, name))
+        per_bucket = {}
+        for e in snap.entries:
+            if ".b" in e:
+                per_bucket[e.split(".b")[1]] = per_bucket.get(e.split(".b")[1], 0) + 1
+        assert max(per_bucket.values()) == 1, (layer, name)
+    got = [r.asDict() for r in _pv(spark, layers).drop("ingestion_time", "update_date").collect()]
+    assert sorted(map(_key, got)) == sorted(map(_key, _duck(SQL["incremental_two_batches"], SF_SMALL)))
