@@ -1,16 +1,17 @@
 """Session helpers: a local session for tests/bench, and the shared
 scratch folder for jobs that write intermediate tables.
 
-On a cluster the scratch root is the shared folder the cluster names in
-``spark.checkpoint.dir``; a machine-local temporary folder is only ever
-used when that setting is absent (local tests), and it is then set on the
-session so ``DataFrame.checkpoint()`` uses the same place.
+The scratch root is the shared folder the cluster names in
+``spark.checkpoint.dir``. Without that setting a local temporary folder is
+used if the master is ``local``; on any other master that is an error.
 """
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,19 +57,26 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     }
 
 
+def scratch_root(checkpoint_dir: str | None, configured: str | None, master: str) -> str | None:
+    """Where intermediate tables go: the session's checkpoint folder, else the one
+    the cluster names in ``spark.checkpoint.dir``; None means a local temporary
+    folder may be made, which only a ``local`` master (one machine) allows."""
+    root = checkpoint_dir or configured
+    if root is None and not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(
+            f"spark.checkpoint.dir is not set and the master is {master!r}: executors need a shared folder for "
+            "intermediate tables"
+        )
+    return root
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; set a local one only if unset."""
+    """The session's shared checkpoint folder; a local one only in local mode."""
     sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        sc.setCheckpointDir(conf)
-        return sc.getCheckpointDir() or conf
-    local = tempfile.mkdtemp(prefix="stagewise-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    root = scratch_root(sc.getCheckpointDir(), spark.conf.get("spark.checkpoint.dir", None), sc.master)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="stagewise-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -77,15 +85,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/stagewise/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or "://" not in path
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-
 def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     """Write ``df`` once as parquet under the shared scratch folder and read
     it back (known schema, so no inference job): cuts the lineage, and every
@@ -106,3 +105,23 @@ def drop_materialized(df: DataFrame | None) -> None:
     spark = df.sparkSession
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (once per application),
+    wherever the driver found it: ``addPyFile`` of a zip of its modules."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="stagewise-zip-"), "stagewise_modules.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
