@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import best_fit, decontaminate, line_dedup, order_minhash, quality
+from . import (
+    best_fit, decontaminate, license_scan, line_dedup, order_minhash, pii, quality, sharding, spotsigs, suffix_dedup,
+)
 from .common import read_table
 
 
@@ -15,6 +17,14 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -23,10 +33,18 @@ def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op6_pigeonhole_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op7_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(read_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op8_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality.score_quality(docs, quality.fit_quality(docs, read_table(spark, sf_dir, "labels")))
@@ -37,8 +55,13 @@ def op9_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(docs, dropped="n_dropped").select("doc_id", "source", "n_dropped", "text")
 
 
+def op10_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_order_minhash, op4_best_two_fit, op6_pigeonhole_decontaminate, op8_boosted_quality, op9_site_lines,
+    op1_patience_licenses, op2_spotsigs, op3_order_minhash, op4_best_two_fit, op5_suffix_dedup,
+    op6_pigeonhole_decontaminate, op7_extendible_shards, op8_boosted_quality, op9_site_lines, op10_weak_pii,
 )}
 
 SQL = {
