@@ -77,7 +77,7 @@ WITH pages AS (SELECT row_number() OVER () AS r, doc_id, source, text,
              WHERE l.n >= {line_dedup.MIN_PAGES} AND l.n > t.n * CAST({line_dedup.RATIO} AS DOUBLE)
              GROUP BY l.source),
      cleaned AS (SELECT p.doc_id, p.source, p.text, p.ls,
-                        list_filter(p.ls, x -> NOT coalesce(list_contains(b.ks,
+                        list_filter(p.ls, lambda x: NOT coalesce(list_contains(b.ks,
                             trim(x, chr(32) || chr(9) || chr(13))), false)) AS kept
                  FROM pages p LEFT JOIN bad b ON p.source IS NOT DISTINCT FROM b.source)
 SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(ls) - len(kept) END AS n_dropped,
