@@ -318,6 +318,7 @@ SELECT p.client_id, p.complete_process, c.name, c.age, c.state, c.email, p.app,
   p.data_validation, p.facial_recognition, p.signature, p.data_confirmation
 FROM p JOIN c ON p.client_id = c.client_id"""
 SQL["incremental_two_batches_bucketed"] = SQL["incremental_two_batches"]
+SQL["incremental_same_stamp"] = SQL["incremental_two_batches"]
 SQL["funnel_rollup_state"] = SQL["funnel_state"]
 SQL["funnel_rollup_conversion_by_age"] = SQL["conversion_by_age"]
 SQL["empty_table_first_merge"] = BASE + f"""SELECT client_id, app, stage, register_date, complete_process,

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd")
 TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm:ss")
@@ -37,7 +37,8 @@ def parse_timestamp(c: str | Column, formats: Sequence[str] = TIMESTAMP_FORMATS)
 
 
 def parse_int(c: str | Column) -> Column:
-    return _col(c).try_cast("int")
+    """Text -> INT; decimal text (``35.0``) is truncated, other text is NULL."""
+    return _col(c).try_cast("decimal(20,4)").try_cast("int")
 
 
 def typed(df: DataFrame, name: str, to: str) -> Column:
@@ -58,6 +59,8 @@ def typed(df: DataFrame, name: str, to: str) -> Column:
         return parse_timestamp(c)
     if to == "string":
         return c.cast("string")
+    if to == "int" and isinstance(current, StringType):
+        return parse_int(c)
     return c.try_cast(to)
 
 

@@ -16,18 +16,15 @@ MERGE on an equality key:
 Values and conditions may be ``Column`` objects or SQL text referring to
 ``<target_alias>.col`` / ``<source_alias>.col``; ``'Null'`` is NULL (M6).
 
-With an update clause the source is read three times (ambiguity check,
-matched rows, inserts), so it is materialised once as parquet in the
-session's shared scratch folder (under ``spark.checkpoint.dir``): every
-pass sees the same rows even if the source is non-deterministic, and the
-lineage (and recomputation after a lost executor) stops there.
-
-Plan shape (chosen for skew): no full outer join, which adaptive
-execution cannot split. Matched and target-only rows come from
-``target LEFT OUTER JOIN source``; inserts from ``source LEFT ANTI JOIN
-target`` whose target side is pruned to the key columns (a narrow second
-shuffle); AQE may split a skewed partition on the preserved side. Rows with a NULL key are split
-off before the joins, so they do not all hash into one task.
+With an update clause the source is materialised once as parquet in the
+session's shared scratch folder (under ``spark.checkpoint.dir``): the ambiguity
+check and the merge see the same rows even if the source is non-deterministic.
+
+Plan shape: an updating merge is one full outer join on the keys, so each side
+is scanned and shuffled once. Its keys are unique on the source side (checked)
+and on a keyed target's, so no key is hot; rows with a NULL key, which match
+nothing, are spread by a salt that is part of the join key. An insert-only
+merge is the target and an anti join that reads the target's key columns only.
 """
 
 from __future__ import annotations
@@ -42,7 +39,8 @@ from pyspark.sql import functions as F
 from ..functions.exprs import any_differs, as_expr
 from ..session import materialize
 
-_S = "__merge_s"
+_S, _T, _SALT = "__merge_s", "__merge_t", "__merge_salt"
+_SALTS = 64  # parts over which rows with a NULL key are spread
 
 
 class AmbiguousMergeError(ValueError):
@@ -91,7 +89,7 @@ def _insert_cols(target: DataFrame, source: DataFrame, ins: Insert, sa: str) ->
     out = []
     for f in target.schema.fields:
         if ins.values is None:
-            e = F.col(f"{sa}.{f.name}") if f.name in source.columns else F.lit(None)
+            e = F.col(f"{sa}.{f.name}") if f.name.lower() in map(str.lower, source.columns) else F.lit(None)
         elif f.name in ins.values:
             e = as_expr(ins.values[f.name])
         else:
@@ -110,6 +108,8 @@ def ambiguous_keys(target: DataFrame, source: DataFrame, on: Sequence[str], limi
         .groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
         .filter(F.col("__n") > 1).select(*keys)
     )
+    if dups.isEmpty():  # the usual case: the target need not be read
+        return []
     hit = dups.join(target.select(*keys).filter(~_any_null(keys)), keys, "left_semi")
     return [tuple(r) for r in hit.limit(limit).collect()]
 
@@ -135,57 +135,53 @@ def merge(
         source = materialize(source, "merge-source")
     ta, sa = target_alias, source_alias
     nullk = _any_null(keys)
-
-    t_keyed, t_nullkey = target.filter(~nullk), target.filter(nullk)
-    s_keyed, s_nullkey = source.filter(~nullk), source.filter(nullk)
-    if null_keys == "error" and s_nullkey.limit(1).count():
+    if null_keys == "error" and source.filter(nullk).limit(1).count():
         raise NullKeyError(f"source has rows with a NULL key in {keys}")
+    if null_keys != "insert":
+        source = source.filter(~nullk)
+    if when_matched is None:
+        if when_not_matched is None:
+            return target
+        return target.unionByName(
+            merge_inserts(target, source, keys, when_not_matched, source_alias=sa, null_keys=null_keys))
 
-    if when_matched is not None and check_ambiguous:
-        sample = ambiguous_keys(t_keyed, s_keyed, keys)
+    if check_ambiguous:
+        sample = ambiguous_keys(target, source, keys)
         if sample:
             raise AmbiguousMergeError(
                 f"several source rows match one target row for keys {keys}; e.g. {sample}"
             )
-
-    parts: list[DataFrame] = []
-    t = t_keyed.alias(ta)
-    s_marked = s_keyed.withColumn(_S, F.lit(True)).alias(sa)
-    key_eq = reduce(lambda a, b: a & b, [F.col(f"{ta}.{k}") == F.col(f"{sa}.{k}") for k in keys])
-
-    if when_matched is None:
-        parts.append(t_keyed)
+    upd, ins = when_matched, when_not_matched
+    if upd.set is None:
+        named = {c.lower(): c for c in source.columns}
+        missing = [c for c in target.columns if c.lower() not in named]
+        if missing:
+            raise ValueError(f"update-all needs every target column in the source; missing: {missing}")
+        set_map = {c: F.col(f"{sa}.`{named[c.lower()]}`") for c in target.columns}
     else:
-        upd = when_matched
-        matched = F.col(f"{sa}.{_S}").isNotNull()
-        if upd.condition is not None:
-            matched = matched & F.coalesce(as_expr(upd.condition), F.lit(False))
-        set_map = upd.set if upd.set is not None else {
-            c: F.col(f"{sa}.{c}") for c in target.columns if c in source.columns
-        }
-        cols = []
-        for f in target.schema.fields:
-            keep = F.col(f"{ta}.{f.name}")
-            if f.name in set_map:
-                cols.append(F.when(matched, _typed(as_expr(set_map[f.name]), f.dataType))
-                            .otherwise(keep).alias(f.name))
-            else:
-                cols.append(keep.alias(f.name))
-        parts.append(t.join(s_marked, key_eq, "left_outer").select(*cols))
-
-    parts.append(t_nullkey)
-
-    if when_not_matched is not None:
-        ins = when_not_matched
-        new_rows = s_keyed.alias(sa).join(t_keyed.select(*keys).alias(ta), key_eq, "left_anti")
-        if null_keys == "insert":
-            new_rows = new_rows.unionByName(s_nullkey)
-        new_rows = new_rows.alias(sa)
-        if ins.condition is not None:
-            new_rows = new_rows.filter(F.coalesce(as_expr(ins.condition), F.lit(False)))
-        parts.append(new_rows.select(*_insert_cols(target, source, ins, sa)))
-
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        set_map = upd.set
+
+    def marked(df: DataFrame, name: str) -> DataFrame:
+        salt = F.when(nullk, F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS))).otherwise(0)
+        return df.withColumns({name: F.lit(True), _SALT: salt})
+
+    t, s = marked(target, _T).alias(ta), marked(source, _S).alias(sa)
+    key_eq = reduce(lambda a, b: a & b, [F.col(f"{ta}.{k}") == F.col(f"{sa}.{k}") for k in [*keys, _SALT]])
+    in_target, in_source = F.col(f"{ta}.{_T}").isNotNull(), F.col(f"{sa}.{_S}").isNotNull()
+    update = in_source if upd.condition is None else in_source & F.coalesce(as_expr(upd.condition), F.lit(False))
+    joined = t.join(s, key_eq, "full_outer")
+    if ins is None:
+        joined = joined.filter(in_target)
+    elif ins.condition is not None:
+        joined = joined.filter(in_target | F.coalesce(as_expr(ins.condition), F.lit(False)))
+    new = _insert_cols(target, source, ins, sa) if ins is not None else [F.lit(None)] * len(target.columns)
+    cols = []
+    for f, fresh in zip(target.schema.fields, new):
+        kept = F.col(f"{ta}.{f.name}")
+        if f.name in set_map:
+            kept = F.when(update, _typed(as_expr(set_map[f.name]), f.dataType)).otherwise(kept)
+        cols.append(F.when(in_target, kept).otherwise(fresh).alias(f.name))
+    return joined.select(*cols)
 
 
 def merge_inserts(

@@ -241,7 +241,9 @@ def conform_clients(spark, sf_dir):
     bronze = c.select(
         F.col("client_id").alias("ID_cliente"), F.col("name").alias("Nombre"),
         F.col("email").alias("Correo"),
-        F.coalesce(F.col("age").cast("string"), F.lit("n/a")).alias("Edad"),
+        # every fifth age is decimal text
+        F.coalesce(F.when(F.col("age") % 5 == 0, F.concat(F.col("age").cast("string"), F.lit(".0")))
+                   .otherwise(F.col("age").cast("string")), F.lit("n/a")).alias("Edad"),
         F.col("state").alias("Estado"),
     )
     return conform(with_load_ts(bronze, LOAD_TS_COLUMN, TS1), CLIENTS_CONFORM)
@@ -277,7 +279,7 @@ def parse_rejects(spark, sf_dir):
 # --- M1-M6 ----------------------------------------------------------------
 
 FUNNEL_KEYS = ["client_id", "stage"]
-INCREMENTAL_BUCKETS = 16
+INCREMENTAL_BUCKETS = 8
 PV_COMPARED = ["name", "email", "age", "state", "complete_process", *STAGE_COLUMNS]
 
 
@@ -423,10 +425,11 @@ def _drop_batch(spark, sf_dir, batch, landing_root, catalog_changes=True):
     write_landing(c, landing_root, CLIENTS_FILE)
 
 
-def run_two_batches(spark, sf_dir, change="null_safe", catalog_changes=True, buckets=None) -> Layers:
+def run_two_batches(spark, sf_dir, change="null_safe", catalog_changes=True, buckets=INCREMENTAL_BUCKETS,
+                    stamps=(TS1, TS2)) -> Layers:
     base = scratch_dir(spark, "layers")
     layers = None
-    for batch, ts in ((1, TS1), (2, TS2)):
+    for batch, ts in zip((1, 2), stamps):
         layers = Layers(landing=f"{base}/landing{batch}", bronze=f"{base}/bronze",
                         silver=f"{base}/silver", gold=f"{base}/gold", buckets=buckets)
         _drop_batch(spark, sf_dir, batch, layers.landing, catalog_changes)
@@ -442,13 +445,18 @@ def incremental_two_batches(spark, sf_dir):
 
 
 def incremental_two_batches_bucketed(spark, sf_dir):
-    """X6 on hash-bucketed layers: each MERGE reads and rewrites only the
-    buckets of the clients in the batch; same result as the unbucketed run."""
-    layers = run_two_batches(spark, sf_dir, "null_safe", buckets=INCREMENTAL_BUCKETS)
+    """X6 with finer hash buckets: same result whatever their number."""
+    layers = run_two_batches(spark, sf_dir, "null_safe", buckets=4 * INCREMENTAL_BUCKETS)
+    return read_table(spark, layers.table("gold", "pv_clients_stage")).drop("ingestion_time", "update_date")
+
+
+def incremental_same_stamp(spark, sf_dir):
+    """X6 with the same load stamp for both runs: stamps decide nothing."""
+    layers = run_two_batches(spark, sf_dir, "null_safe", stamps=(TS1, TS1))
     return read_table(spark, layers.table("gold", "pv_clients_stage")).drop("ingestion_time", "update_date")
 
 
-def landing_stream_two_drops(spark, sf_dir, buckets=None):
+def landing_stream_two_drops(spark, sf_dir, buckets=INCREMENTAL_BUCKETS):
     """Two drops picked up by a file stream (one availableNow run per drop),
     each MERGEd into bronze in foreachBatch; same table as create_or_merge."""
     base = scratch_dir(spark, "stream")
@@ -471,5 +479,6 @@ def landing_stream_two_drops(spark, sf_dir, buckets=None):
 QUERIES.update({
     "incremental_two_batches": incremental_two_batches,
     "incremental_two_batches_bucketed": incremental_two_batches_bucketed,
+    "incremental_same_stamp": incremental_same_stamp,
     "landing_stream": landing_stream_two_drops,
 })

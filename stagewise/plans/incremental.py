@@ -9,18 +9,19 @@ drop. Two modes:
   updated only when a ``<>`` test is true (NULL -> value is no change),
   and the pivot is rebuilt from the whole gold clients_funnel grouped by
   the seven client columns.
-* ``change='null_safe'`` (default) is incremental and converges: each
-  layer only processes the rows this load touched (rows stamped with
-  this ``load_ts``: bronze ``fecha_ingesta``, silver ``ingestion_date``).
-  Each step reads the upstream folders added since the version it last
-  consumed, keeps rows stamped after the load it last consumed, and
-  records both after its own commit, like a stream's offsets: a run that
-  fails part-way is completed by the next run, whatever its load_ts.
-  Updates use a null-safe change test on the non-key columns (load
-  timestamps are never compared), and only touched clients are
-  re-pivoted, keyed by client_id alone (``max(complete_process)`` as an
-  aggregate). Loading batch 1 then batch 2 gives the same per-client
-  table as one load of the latest row per key.
+* ``change='null_safe'`` (default) is incremental and converges: every layer
+  processes the keys of the drop that is being loaded, whatever its load stamp,
+  so stamps may repeat or go back. Updates use a null-safe change test on the
+  non-key columns (load timestamps are never compared), so rows that are already
+  there stay as they are and running a drop again repairs a run that failed
+  part-way. Only the drop's clients are re-pivoted, keyed by client_id alone
+  (``max(complete_process)`` as an aggregate), and only their buckets are read.
+  Loading batch 1 then batch 2 gives the same per-client table as one load of
+  the latest row per key.
+
+Rows with a NULL key match nothing, so MERGE inserts them again on every run of
+their drop; ``null_keys='drop'`` leaves them out. ``dedupe=True`` keeps one row
+of a drop's repeated keys, on which a MERGE otherwise fails.
 """
 
 from __future__ import annotations
@@ -30,10 +31,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampType
+from pyspark.sql.types import StructType
 
 from ..functions.exprs import timestamp_value
 from ..functions.parse import conform
+from ..functions.quality import reject_counts
 from ..operators.merge import Insert, Update, changed_condition
 from ..schemas import (
     CATALOG_ATTRS,
@@ -51,26 +53,20 @@ from ..schemas import (
     SILVER_CATALOG,
     SILVER_FUNNEL,
     STAGE_COLUMNS,
-    landing_schema,
 )
 from ..sources.landing import read_landing, with_load_ts
+from ..session import drop_materialized, materialize
 from ..sources.tables import (
-    compact,
-    consumed,
-    create_or_merge,
-    ensure_table,
-    latest_version,
-    mark_consumed,
-    merge_into,
-    publish,
-    read_changes,
-    read_table,
-    table_exists,
-    touched_buckets,
+    BUCKET, BUCKETS, bucket_expr, create_or_merge, ensure_table, merge_into, read_table, touched_buckets,
 )
 from . import gold
 
 FUNNEL_KEYS = ["client_id", "stage"]
+#: Landing file -> its columns, bronze keys and silver names and types.
+FILES = {
+    FUNNEL_FILE: (FUNNEL_SOURCE_COLUMNS, FUNNEL_BRONZE_KEYS, FUNNEL_CONFORM),
+    CLIENTS_FILE: (CLIENTS_SOURCE_COLUMNS, CLIENTS_BRONZE_KEYS, CLIENTS_CONFORM),
+}
 PV_COMPARED = ["name", "email", "age", "state", "complete_process", *STAGE_COLUMNS]
 
 
@@ -78,64 +74,58 @@ PV_COMPARED = ["name", "email", "age", "state", "complete_process", *STAGE_COLUM
 class Layers:
     """Root folders of the four layers (shared storage on a cluster).
 
-    ``buckets``: tables are created bucketed by their client key into this
-    many hash buckets, so each load reads and rewrites only the buckets its
-    clients fall into (size it so a bucket is a few hundred MB)."""
+    ``buckets``: every table is split by its client id into this many hash
+    buckets, and a load reads and rewrites only those of its clients. It belongs
+    to the tables: keep it for as long as they live, and size it so that a bucket
+    is a few hundred MB."""
 
     landing: str
     bronze: str
     silver: str
     gold: str
-    buckets: int | None = None
+    buckets: int = BUCKETS
 
     def table(self, layer: str, name: str) -> str:
         return f"{getattr(self, layer).rstrip('/')}/{name}"
 
 
-def _ts_text(ts: str | _dt.datetime) -> str:
-    return ts.strftime("%Y-%m-%d %H:%M:%S.%f") if isinstance(ts, _dt.datetime) else str(ts)
+def read_drop(spark: SparkSession, layers: Layers, name: str, load_ts, dedupe: bool = False) -> DataFrame:
+    """The landing drop of one file, stamped; ``dedupe`` keeps of each key the row
+    that is greatest by its columns in order."""
+    cols, keys, _ = FILES[name]
+    rows = read_landing(spark, layers.landing, name, cols)
+    if dedupe:
+        r = F.max(F.struct(*cols)).alias("r")
+        rows = rows.groupBy(*keys).agg(r).select(*[F.col(f"r.{c}").alias(c) for c in cols])
+    return with_load_ts(rows, LOAD_TS_COLUMN, load_ts)
 
 
-def _pending(spark: SparkSession, upstream: str, schema: StructType, consumer: str, tag: str,
-             stamp_col: str) -> tuple[DataFrame, int]:
-    """Rows of ``upstream`` the ``consumer`` has not finished with: those in
-    the folders added since the version it last consumed, stamped after the
-    load it last consumed (load stamps increase from run to run). Returns
-    the rows and the upstream version read, to record once consumed."""
-    version = latest_version(spark, upstream)
-    since, stamp = consumed(spark, consumer, tag)
-    rows = read_changes(spark, upstream, schema, since=since)
-    if stamp is not None:
-        rows = rows.filter(F.col(stamp_col) > timestamp_value(stamp))
-    return rows, version
+def load_bronze(spark: SparkSession, layers: Layers, load_ts, dedupe: bool = False, null_keys: str = "insert") -> None:
+    """Landing CSV -> bronze, create-or-merge (update-all / insert-all)."""
+    for name, (_, keys, _) in FILES.items():
+        create_or_merge(spark, layers.table("bronze", name), read_drop(spark, layers, name, load_ts, dedupe), list(keys),
+                        buckets=layers.buckets, bucket_by=[keys[0]], null_keys=null_keys)
 
 
-def bronze_schema(columns) -> StructType:
-    return StructType(landing_schema(tuple(columns)).fields + [StructField(LOAD_TS_COLUMN, TimestampType(), True)])
+def _conformed(spark: SparkSession, layers: Layers, name: str, load_ts, change: str, dedupe: bool) -> DataFrame:
+    """Typed rows for silver: all of bronze in strict mode, else the drop's, which
+    are what the update-all MERGE has just put into bronze."""
+    if change == "strict":
+        rows = read_table(spark, layers.table("bronze", name))
+    else:
+        rows = read_drop(spark, layers, name, load_ts, dedupe)
+    return conform(rows, FILES[name][2])
 
 
-def load_bronze(spark: SparkSession, layers: Layers, load_ts) -> None:
-    """Landing CSV -> bronze, create-or-merge (update-all / insert-all)."""
-    for name, cols, keys in ((FUNNEL_FILE, FUNNEL_SOURCE_COLUMNS, FUNNEL_BRONZE_KEYS),
-                             (CLIENTS_FILE, CLIENTS_SOURCE_COLUMNS, CLIENTS_BRONZE_KEYS)):
-        src = with_load_ts(read_landing(spark, layers.landing, name, cols), LOAD_TS_COLUMN, load_ts)
-        root = layers.table("bronze", name)
-        if layers.buckets and not table_exists(spark, root):
-            publish(src, root, layers.buckets, [keys[0]])   # bucketed by the client id
-        else:
-            create_or_merge(spark, root, src, list(keys))
-
-
-def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "null_safe") -> None:
-    """Bronze rows of this load -> conformed -> silver funnel and catalog."""
+def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "null_safe",
+                dedupe: bool = False, null_keys: str = "insert") -> None:
+    """The drop's rows -> conformed -> silver funnel and catalog."""
     now = timestamp_value(load_ts)
     funnel_root, catalog_root = layers.table("silver", "users_funnel"), layers.table("silver", "catalog")
-    ensure_table(spark, funnel_root, SILVER_FUNNEL, layers.buckets, ["client_id"])
-    ensure_table(spark, catalog_root, SILVER_CATALOG, layers.buckets, ["client_id"])
+    ensure_table(spark, funnel_root, SILVER_FUNNEL)
+    ensure_table(spark, catalog_root, SILVER_CATALOG)
+    layout = {"buckets": layers.buckets, "bucket_by": ["client_id"], "null_keys": null_keys}
 
-    bf, bf_version = _pending(spark, layers.table("bronze", FUNNEL_FILE), bronze_schema(FUNNEL_SOURCE_COLUMNS),
-                              funnel_root, "bronze_funnel", LOAD_TS_COLUMN)
-    sf = conform(bf, FUNNEL_CONFORM)
     values = {c: F.col(f"s.{c}") for c in ["client_id", "app", "stage", "register_date", "complete_process"]}
     values["ingestion_date"] = now
     upd = None
@@ -143,82 +133,80 @@ def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "nul
         cmp = ["app", "register_date", "complete_process"]
         upd = Update({**{c: F.col(f"s.{c}") for c in cmp}, "ingestion_date": now},
                      changed_condition(cmp, change))
-    merge_into(spark, funnel_root, sf, FUNNEL_KEYS, upd, Insert(values), schema=SILVER_FUNNEL)
-    mark_consumed(spark, funnel_root, "bronze_funnel", bf_version, _ts_text(load_ts))
+    merge_into(spark, funnel_root, _conformed(spark, layers, FUNNEL_FILE, load_ts, change, dedupe), FUNNEL_KEYS, upd,
+               Insert(values), schema=SILVER_FUNNEL, **layout)
 
-    bc, bc_version = _pending(spark, layers.table("bronze", CLIENTS_FILE), bronze_schema(CLIENTS_SOURCE_COLUMNS),
-                              catalog_root, "bronze_clients", LOAD_TS_COLUMN)
-    sc = conform(bc, CLIENTS_CONFORM)
     attrs = list(CATALOG_ATTRS)
     merge_into(
-        spark, catalog_root, sc, ["client_id"],
+        spark, catalog_root, _conformed(spark, layers, CLIENTS_FILE, load_ts, change, dedupe), ["client_id"],
         Update({**{c: F.col(f"s.{c}") for c in attrs}, "ingestion_date": F.col("s.ingestion_date"),
                 "update_date": now}, changed_condition(attrs, change)),
         Insert({**{c: F.col(f"s.{c}") for c in ["client_id", *attrs, "ingestion_date"]}, "update_date": "Null"}),
-        schema=SILVER_CATALOG,
+        schema=SILVER_CATALOG, **layout,
     )
-    mark_consumed(spark, catalog_root, "bronze_clients", bc_version, _ts_text(load_ts))
 
 
 def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_safe") -> None:
     """Silver -> gold clients_funnel (J1 + flag) and the per-client pivot."""
     now = timestamp_value(load_ts)
     cf_root, pv_root = layers.table("gold", "clients_funnel"), layers.table("gold", "pv_clients_stage")
-    ensure_table(spark, cf_root, GOLD_CLIENTS_FUNNEL, layers.buckets, ["client_id"])
-    ensure_table(spark, pv_root, GOLD_PIVOT, layers.buckets, ["client_id"])
-    funnel = read_table(spark, layers.table("silver", "users_funnel"), schema=SILVER_FUNNEL)
-    catalog = read_table(spark, layers.table("silver", "catalog"), schema=SILVER_CATALOG)
-
+    ensure_table(spark, cf_root, GOLD_CLIENTS_FUNNEL)
+    ensure_table(spark, pv_root, GOLD_PIVOT)
+    layout = {"buckets": layers.buckets, "bucket_by": ["client_id"]}
     cf_values = {c: F.col(f"s.{c}") for c in gold.ENRICHED_COLUMNS}
     cf_values["ingestion_date"] = now
     pv_insert = Insert({**{c: F.col(f"s.{c}") for c in gold.STAGE_DATE_COLUMNS}, "ingestion_time": now})
     pv_set = {**{c: F.col(f"s.{c}") for c in PV_COMPARED}, "update_date": now}
 
+    def silver(name: str, schema: StructType, buckets=None) -> DataFrame:
+        return read_table(spark, layers.table("silver", name), schema, buckets)
+
     if change == "strict":
-        merge_into(spark, cf_root, gold.enrich(funnel, catalog), FUNNEL_KEYS, None, Insert(cf_values),
-                   schema=GOLD_CLIENTS_FUNNEL)
-        source = gold.stage_dates_from_enriched(read_table(spark, cf_root, schema=GOLD_CLIENTS_FUNNEL))
+        enriched = gold.enrich(silver("users_funnel", SILVER_FUNNEL), silver("catalog", SILVER_CATALOG))
+        merge_into(spark, cf_root, enriched, FUNNEL_KEYS, None, Insert(cf_values), schema=GOLD_CLIENTS_FUNNEL, **layout)
+        source = gold.stage_dates_from_enriched(read_table(spark, cf_root, GOLD_CLIENTS_FUNNEL))
         merge_into(spark, pv_root, source, ["client_id"],
-                   Update(pv_set, changed_condition(PV_COMPARED, "strict")), pv_insert, schema=GOLD_PIVOT)
+                   Update(pv_set, changed_condition(PV_COMPARED, "strict")), pv_insert, schema=GOLD_PIVOT, **layout)
         return
 
-    changed_funnel, f_version = _pending(spark, layers.table("silver", "users_funnel"), SILVER_FUNNEL,
-                                         pv_root, "silver_funnel", "ingestion_date")
-    changed_catalog, c_version = _pending(spark, layers.table("silver", "catalog"), SILVER_CATALOG,
-                                          pv_root, "silver_catalog", "ingestion_date")
-    touched = changed_funnel.select("client_id").unionByName(changed_catalog.select("client_id"))
-    if layers.buckets:
-        # Bucketed silver: the touched clients live in a known set of buckets
-        # (at most ``buckets`` ids); read only those for the re-pivot.
-        b = touched_buckets(touched, ["client_id"], layers.buckets)
-        funnel = read_table(spark, layers.table("silver", "users_funnel"), schema=SILVER_FUNNEL, buckets=b)
-        catalog = read_table(spark, layers.table("silver", "catalog"), schema=SILVER_CATALOG, buckets=b)
-    f_t = funnel.join(touched, "client_id", "left_semi")
-    cf_cmp = [c for c in gold.ENRICHED_COLUMNS if c not in FUNNEL_KEYS]
-    merge_into(spark, cf_root, gold.enrich(f_t, catalog), FUNNEL_KEYS,
-               Update({**{c: F.col(f"s.{c}") for c in cf_cmp}, "ingestion_date": now},
-                      changed_condition(cf_cmp, change)),
-               Insert(cf_values), schema=GOLD_CLIENTS_FUNNEL)
-    # The merge's ambiguity check guarantees one source row per client_id.
-    merge_into(spark, pv_root, gold.client_stage_dates_latest(f_t, catalog), ["client_id"],
-               Update(pv_set, changed_condition(PV_COMPARED, change)), pv_insert, schema=GOLD_PIVOT)
-    mark_consumed(spark, pv_root, "silver_funnel", f_version, _ts_text(load_ts))
-    mark_consumed(spark, pv_root, "silver_catalog", c_version, _ts_text(load_ts))
-
-
-TABLES = (("bronze", FUNNEL_FILE), ("bronze", CLIENTS_FILE), ("silver", "users_funnel"), ("silver", "catalog"),
-          ("gold", "clients_funnel"), ("gold", "pv_clients_stage"))
-
-
-def run_batch(spark: SparkSession, layers: Layers, load_ts: str | _dt.datetime,
-              change: str = "null_safe", max_folders: int | None = 32) -> None:
-    """One scheduled run over the current landing drop.
-
-    Afterwards, any table (or bucket) that has accumulated more than
-    ``max_folders`` data folders from appends is compacted."""
-    load_bronze(spark, layers, load_ts)
-    load_silver(spark, layers, load_ts, change)
+    ids = [conform(read_drop(spark, layers, name, load_ts), FILES[name][2]).select("client_id") for name in FILES]
+    ids = ids[0].unionByName(ids[1]).dropna().distinct()
+    touched = materialize(ids.withColumn(BUCKET, bucket_expr(["client_id"], layers.buckets)), "touched")
+    try:
+        b = touched_buckets(touched)
+        f_t = silver("users_funnel", SILVER_FUNNEL, b).join(touched, "client_id", "left_semi")
+        catalog = silver("catalog", SILVER_CATALOG, b)
+        cf_cmp = [c for c in gold.ENRICHED_COLUMNS if c not in FUNNEL_KEYS]
+        merge_into(spark, cf_root, gold.enrich(f_t, catalog), FUNNEL_KEYS,
+                   Update({**{c: F.col(f"s.{c}") for c in cf_cmp}, "ingestion_date": now},
+                          changed_condition(cf_cmp, change)),
+                   Insert(cf_values), schema=GOLD_CLIENTS_FUNNEL, **layout)
+        # The merge's ambiguity check guarantees one source row per client_id.
+        merge_into(spark, pv_root, gold.client_stage_dates_latest(f_t, catalog), ["client_id"],
+                   Update(pv_set, changed_condition(PV_COMPARED, change)), pv_insert, schema=GOLD_PIVOT, **layout)
+    finally:
+        drop_materialized(touched)
+
+
+def load_rejects(spark: SparkSession, layers: Layers) -> DataFrame:
+    """Per file and typed column of the landing drop, how many values are
+    there as text but don't parse: ``(file, column, rows, rejected)``."""
+    parts = []
+    for name, (cols, _, spec) in FILES.items():
+        counts = reject_counts(read_landing(spark, layers.landing, name, cols),
+                               {src: to for src, to in spec.items() if src in cols})
+        typed = [c for c in counts.columns if c != "rows"]
+        each = F.explode(F.array(*[F.struct(F.lit(c.removeprefix("rejected_")).alias("column"), F.col(c).alias("rejected"))
+                                   for c in typed])).alias("x")
+        parts.append(counts.select("rows", each).select(F.lit(name).alias("file"), "x.column", "rows", "x.rejected"))
+    return parts[0].unionByName(parts[1])
+
+
+def run_batch(spark: SparkSession, layers: Layers, load_ts: str | _dt.datetime, change: str = "null_safe",
+              dedupe: bool = False, null_keys: str = "insert") -> DataFrame:
+    """One scheduled run over the current landing drop (X6); returns its rejects
+    (``load_rejects``, computed when it is used)."""
+    load_bronze(spark, layers, load_ts, dedupe, null_keys)
+    load_silver(spark, layers, load_ts, change, dedupe, null_keys)
     load_gold(spark, layers, load_ts, change)
-    if max_folders:
-        for layer, name in TABLES:
-            compact(spark, layers.table(layer, name), max_folders)
+    return load_rejects(spark, layers)

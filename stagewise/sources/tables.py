@@ -1,310 +1,92 @@
-"""Path-addressed layer tables on plain parquet (I3-I7), for MERGE targets.
-
-Spark cannot overwrite a path it is reading, and plain parquet has no
-MERGE, so a table is a folder of immutable data folders plus numbered
-snapshot manifests::
-
-    <root>/data/<n>/                 parquet written by one Spark job
-    <root>/data/<n>/sw_bucket=<k>/   ... or split by key hash bucket
-    <root>/_snapshots/<n>/           manifest: one empty file per live data
-                                     folder (``<n>`` or ``<n>.b<k>``), a layout
-                                     marker, then ``_SUCCESS`` as the commit
-
-A writer always writes into a new number (above every existing one,
-complete or not) and commits by writing the manifest; readers take the
-highest manifest holding ``_SUCCESS``. A crashed run leaves folders no
-manifest names. One writer per table is assumed. Manifests are written
-and listed with file-system calls (the session's Hadoop FileSystem, so
-local disk, HDFS or an object store), so a commit costs no Spark job.
-
-Bucketed tables (``buckets=B`` at creation, bucketed by the merge key)
-keep each row in bucket ``pmod(xxhash64(key), B)``. A MERGE then reads
-and rewrites only the buckets the batch's keys fall into, and an
-insert-only MERGE appends one folder per touched bucket: the cost of a
-load follows the batch, not the table.
+"""Layer tables (I3-I7): one Parquet folder, partitioned by a hash bucket of the key.
+
+    <root>/sw_bucket=<k>/part-*.parquet
+
+A MERGE reads and overwrites only the buckets that its source's keys fall into
+(dynamic partition overwrite); an insert-only MERGE appends to them. The number
+of buckets and the bucket columns belong to the table and are given by the
+caller on every call. Replacing several buckets is not atomic: a run that dies
+half-way leaves old and new buckets side by side, and running the same drop
+again repairs that, since a MERGE of rows already merged changes nothing. One
+writer per table is assumed. A source row with a NULL key never matches; such
+rows are spread over the buckets by their whole content.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.merge import Insert, NullKeyError, Update, dedupe_latest, merge, merge_inserts
-from ..session import drop_materialized, materialize, scratch_dir
+from ..session import drop_materialized, materialize
 
-DATA = "data"
-SNAPSHOTS = "_snapshots"
 BUCKET = "sw_bucket"
-_ENTRY = re.compile(r"^(\d{8})(?:\.b(\d+))?$")
-_LAYOUT = re.compile(r"^_layout\.(\d+)\.(.+)$")
-
-
-@dataclass(frozen=True)
-class Snapshot:
-    version: int
-    entries: tuple[str, ...]
-    buckets: int | None = None
-    keys: tuple[str, ...] = ()
-
-
-def bucket_expr(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
+BUCKETS = 16
 
-def _numbered(spark: SparkSession, path: str, complete_only: bool) -> list[int]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if not (st.isDirectory() and name.isdigit()):
-            continue
-        if complete_only and not fs.exists(st.getPath().suffix("/_SUCCESS")):
-            continue
-        out.append(int(name))
-    return sorted(out)
 
-
-def _name(n: int) -> str:
-    return f"{n:08d}"
-
-
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    v = _numbered(spark, f"{root}/{SNAPSHOTS}", complete_only=True)
-    return v[-1] if v else None
+def bucket_expr(keys: Sequence[str], buckets: int, columns: Sequence[str] = ()) -> Column:
+    """Bucket of a row by its key; of a row with a NULL in its key by all ``columns``."""
+    by_key = F.xxhash64(*[F.col(k) for k in keys])
+    anywhere = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    h = F.when(anywhere, F.xxhash64(*[F.col(c) for c in columns or keys])).otherwise(by_key)
+    return F.pmod(h, F.lit(buckets)).cast("int")
 
 
 def table_exists(spark: SparkSession, root: str) -> bool:
-    """A committed snapshot exists at ``root``."""
-    return latest_version(spark, root) is not None
-
-
-def _next_number(spark: SparkSession, root: str) -> int:
-    used = _numbered(spark, f"{root}/{SNAPSHOTS}", False) + _numbered(spark, f"{root}/{DATA}", False)
-    return (max(used) + 1) if used else 0
-
-
-def snapshot(spark: SparkSession, root: str, version: int | None = None) -> Snapshot:
-    v = latest_version(spark, root) if version is None else version
-    if v is None:
-        raise FileNotFoundError(f"no committed table at {root}")
-    fs, p = _fs(spark, f"{root}/{SNAPSHOTS}/{_name(v)}")
-    entries, buckets, keys = [], None, ()
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if _ENTRY.match(name):
-            entries.append(name)
-        elif m := _LAYOUT.match(name):
-            buckets, keys = int(m.group(1)), tuple(m.group(2).split("+"))
-    return Snapshot(v, tuple(sorted(entries)), buckets, keys)
-
-
-def _entry_bucket(entry: str) -> int | None:
-    b = _ENTRY.match(entry).group(2)
-    return None if b is None else int(b)
-
-
-def _entry_path(root: str, entry: str) -> str:
-    folder, b = _ENTRY.match(entry).groups()
-    return f"{root}/{DATA}/{folder}" + (f"/{BUCKET}={b}" if b is not None else "")
-
-
-def _commit(spark: SparkSession, root: str, version: int, entries: Iterable[str],
-            buckets: int | None = None, keys: Sequence[str] = ()) -> int:
-    fs, p = _fs(spark, f"{root}/{SNAPSHOTS}/{_name(version)}")
-    if fs.exists(p):
-        raise FileExistsError(f"snapshot {version} of {root} already exists")
-    fs.mkdirs(p)
-    for e in sorted(set(entries)):
-        fs.create(p.suffix(f"/{e}"), False).close()
-    if buckets:
-        fs.create(p.suffix(f"/_layout.{buckets}.{'+'.join(keys)}"), False).close()
-    fs.create(p.suffix("/_SUCCESS"), False).close()
-    return version
-
-
-def _write(df: DataFrame, root: str, n: int, buckets: int | None, keys: Sequence[str]) -> list[str]:
-    """Write ``df`` as data folder ``n``; return its manifest entries.
-
-    Bucketed data is written with a ``rebalance`` hint on the bucket, so
-    AQE gives each bucket few files and splits a skewed (hot) bucket over
-    several tasks instead of one."""
-    path = f"{root}/{DATA}/{_name(n)}"
-    if not buckets:
-        df.write.mode("errorifexists").parquet(path)
-        return [_name(n)]
-    (df.withColumn(BUCKET, bucket_expr(keys, buckets)).hint("rebalance", BUCKET)
-       .write.mode("errorifexists").partitionBy(BUCKET).parquet(path))
-    fs, p = _fs(df.sparkSession, path)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(BUCKET + "="):
-            out.append(f"{_name(n)}.b{int(name.split('=', 1)[1])}")
-    return out
-
-
-def read_table(spark: SparkSession, root: str, version: int | None = None,
-               schema: StructType | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
-    """The table as of ``version`` (default: the latest committed).
-
-    ``buckets`` restricts a bucketed table to those buckets (whole-folder
-    entries, e.g. the empty schema folder, are always read). Passing the
-    layer's known ``schema`` skips the footer-reading job of inference."""
-    snap = snapshot(spark, root, version)
-    wanted = None if buckets is None else set(buckets)
-    paths = [_entry_path(root, e) for e in snap.entries
-             if wanted is None or _entry_bucket(e) is None or _entry_bucket(e) in wanted]
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(*paths)
-
-
-def read_changes(spark: SparkSession, root: str, schema: StructType | None = None,
-                 since: int | None = None) -> DataFrame:
-    """Rows in the data folders of the latest version that snapshot
-    ``since`` does not have (default: the previous committed snapshot;
-    ``since=-1``: every folder). Every row a MERGE inserted or updated
-    after ``since`` is in them (with untouched rows of rewritten buckets),
-    so a consumer reads these folders instead of scanning the table."""
-    versions = _numbered(spark, f"{root}/{SNAPSHOTS}", complete_only=True)
-    if not versions:
-        raise FileNotFoundError(f"no committed table at {root}")
-    snap = snapshot(spark, root, versions[-1])
-    if since is None:
-        since = versions[-2] if len(versions) > 1 else -1
-    old = set(snapshot(spark, root, since).entries) if since >= 0 else set()
-    paths = [_entry_path(root, e) for e in snap.entries if e not in old]
-    if not paths:
-        return read_table(spark, root, schema=schema).limit(0)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(*paths)
-
-
-CONSUMED = "_consumed"
-
-
-def consumed(spark: SparkSession, consumer_root: str, tag: str) -> tuple[int, str | None]:
-    """(upstream version, load stamp) a consumer last finished with, or
-    (-1, None). Like a stream's committed offset: written only after the
-    consumer's own commit, so a failed run is picked up by the next one."""
-    fs, p = _fs(spark, f"{consumer_root}/{CONSUMED}/{tag}")
-    if not fs.exists(p):
-        return -1, None
-    marks = []
-    for st in fs.listStatus(p):
-        v, _, stamp = st.getPath().getName().partition(".")
-        if v.isdigit():
-            marks.append((int(v), bytes.fromhex(stamp).decode() if stamp else None))
-    return max(marks) if marks else (-1, None)
-
-
-def mark_consumed(spark: SparkSession, consumer_root: str, tag: str, version: int, stamp: str) -> None:
-    fs, p = _fs(spark, f"{consumer_root}/{CONSUMED}/{tag}")
-    fs.mkdirs(p)
-    fs.create(p.suffix(f"/{_name(version)}.{stamp.encode().hex()}"), True).close()
-
-
-def publish(df: DataFrame, root: str, buckets: int | None = None, keys: Sequence[str] = ()) -> int:
-    """I4: write ``df`` as the whole new version of the table.
-
-    A bucketed version also gets one empty unbucketed folder holding the
-    schema, so it reads back with its schema while it has no rows."""
-    spark = df.sparkSession
-    if buckets is None and table_exists(spark, root):
-        snap = snapshot(spark, root)
-        buckets, keys = snap.buckets, snap.keys
-    entries = []
-    if buckets:
-        carrier = _next_number(spark, root)
-        entries += _write(df.limit(0), root, carrier, None, ())
-    n = _next_number(spark, root)
-    entries += _write(df, root, n, buckets, keys)
-    return _commit(spark, root, n, entries, buckets, keys)
-
+    """There is a readable table at ``root``."""
+    try:
+        spark.read.parquet(root)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
 
-def append(df: DataFrame, root: str) -> int:
-    """Add ``df``'s rows as new data folders of the latest version."""
-    spark = df.sparkSession
-    if not table_exists(spark, root):
-        return publish(df, root)
-    snap = snapshot(spark, root)
-    n = _next_number(spark, root)
-    new = _write(df, root, n, snap.buckets, snap.keys)
-    return _commit(spark, root, n, list(snap.entries) + new, snap.buckets, snap.keys)
 
+def read_table(spark: SparkSession, root: str, schema: StructType | None = None,
+               buckets: Iterable[int] | None = None) -> DataFrame:
+    """The table, or those of its ``buckets`` only (pruned before the scan).
+    Passing the layer's known ``schema`` skips the footer-reading job of inference."""
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(StructType(schema.fields + [StructField(BUCKET, IntegerType(), True)]))
+    t = reader.parquet(root)
+    if buckets is not None:
+        t = t.where(F.col(BUCKET).isin(list(buckets)))
+    return t.drop(BUCKET)
 
-def compact(spark: SparkSession, root: str, max_folders: int | None = None) -> int:
-    """Rewrite the latest version into one folder (per bucket when bucketed).
 
-    With ``max_folders`` only buckets (or, unbucketed, the table) holding
-    more data folders than that are rewritten; the others are carried
-    over. Run after loads to keep manifests and file counts bounded."""
-    snap = snapshot(spark, root)
-    if max_folders is None:
-        return publish(read_table(spark, root), root)
-    if not snap.buckets:
-        data = [e for e in snap.entries if _entry_bucket(e) is None]
-        return publish(read_table(spark, root), root) if len(data) > max_folders else snap.version
-    per_bucket: dict[int, int] = {}
-    for e in snap.entries:
-        b = _entry_bucket(e)
-        if b is not None:
-            per_bucket[b] = per_bucket.get(b, 0) + 1
-    crowded = sorted(b for b, c in per_bucket.items() if c > max_folders)
-    if not crowded:
-        return snap.version
-    n = _next_number(spark, root)
-    new = _write(read_table(spark, root, buckets=crowded), root, n, snap.buckets, snap.keys)
-    kept = [e for e in snap.entries if _entry_bucket(e) is None or _entry_bucket(e) not in set(crowded)]
-    return _commit(spark, root, n, kept + new, snap.buckets, snap.keys)
+def _write(df: DataFrame, root: str, mode: str, overwrite: str = "static") -> None:
+    """Write rows with their bucket. The rebalance hint gives each bucket few
+    files and lets AQE split a hot bucket over several tasks."""
+    (df.hint("rebalance", BUCKET).write.mode(mode).option("partitionOverwriteMode", overwrite)
+       .partitionBy(BUCKET).parquet(root))
 
 
-def ensure_table(spark: SparkSession, root: str, schema: StructType,
-                 buckets: int | None = None, keys: Sequence[str] = ()) -> bool:
+def ensure_table(spark: SparkSession, root: str, schema: StructType) -> bool:
     """Create an empty table with ``schema`` if none exists (create-if-
     absent, so a re-run does not fail). Returns True when created."""
     if table_exists(spark, root):
         return False
-    empty = spark.createDataFrame([], schema)
-    n = _next_number(spark, root)
-    _commit(spark, root, n, _write(empty, root, n, None, ()), buckets, keys)
+    # a file without rows in the first bucket carries the schema
+    spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(f"{root}/{BUCKET}=0")
     return True
 
 
-def touched_buckets(source: DataFrame, keys: Sequence[str], buckets: int) -> list[int]:
-    """Buckets the source keys fall into (at most ``buckets`` values)."""
-    return sorted(r[0] for r in source.select(bucket_expr(keys, buckets).alias("b")).distinct().collect())
+def publish(df: DataFrame, root: str, keys: Sequence[str], buckets: int = BUCKETS) -> None:
+    """I4: write ``df`` as the whole table."""
+    _write(df.withColumn(BUCKET, bucket_expr(keys, buckets, df.columns)), root, "overwrite")
+    ensure_table(df.sparkSession, root, df.schema)
 
 
-def stage_by_bucket(source: DataFrame, keys: Sequence[str], buckets: int) -> tuple[DataFrame, list[int]]:
-    """Materialise ``source`` once in the shared scratch folder, split by
-    bucket: the touched buckets are then a directory listing (no job), and
-    every later pass reads the same rows."""
-    spark = source.sparkSession
-    path = scratch_dir(spark, "merge-source")
-    source.withColumn(BUCKET, bucket_expr(keys, buckets)).write.partitionBy(BUCKET).parquet(path)
-    fs, p = _fs(spark, path)
-    touched = sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
-                     if st.isDirectory() and st.getPath().getName().startswith(BUCKET + "="))
-    schema = StructType(source.schema.fields + [StructField(BUCKET, IntegerType(), True)])
-    staged = spark.read.schema(schema).parquet(path).select(*source.columns) if touched else source.limit(0)
-    staged._stagewise_path = path
-    return staged, touched
+def touched_buckets(staged: DataFrame) -> list[int]:
+    """Buckets that occur in a staged source (at most the table's number of buckets)."""
+    return sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
 
 
 def merge_into(
@@ -315,44 +97,32 @@ def merge_into(
     when_matched: Update | None = None,
     when_not_matched: Insert | None = Insert(),
     schema: StructType | None = None,
+    buckets: int = BUCKETS,
+    bucket_by: Sequence[str] | None = None,
     **kw,
-) -> int:
-    """MERGE ``source`` into the table at ``root`` and commit a new version.
+) -> None:
+    """MERGE ``source`` into the table at ``root``, bucketed by ``bucket_by``
+    (some of ``on``; default all of it).
 
-    Insert-only merges append just the new rows; updating merges write the
-    merged rows (read from the current version's folders) into a new
-    folder, never onto the folders being read. On a table bucketed by
-    (a subset of) ``on``, both read and rewrite only the touched buckets."""
-    snap = snapshot(spark, root)
+    The source is written once to the shared scratch folder, so every pass
+    reads the same rows; it is removed whether the merge succeeds or not."""
     if when_matched is None and when_not_matched is None:
-        return snap.version
-    bucketed = bool(snap.buckets) and set(snap.keys) <= set(on)
-    staged, touched = None, None
-    if bucketed:
-        staged, touched = stage_by_bucket(source, snap.keys, snap.buckets)
-        source = staged
-        kw["materialize_source"] = False
-    elif when_matched is not None:
-        source = staged = materialize(source, "merge-source")
-        kw["materialize_source"] = False
-    target = read_table(spark, root, schema=schema, buckets=touched)
-    n = _next_number(spark, root)
-    if when_matched is None:
-        kw.pop("materialize_source", None)
-        new = _write(merge_inserts(target, source, on, when_not_matched, **kw), root, n, snap.buckets, snap.keys)
-        version = _commit(spark, root, n, list(snap.entries) + new, snap.buckets, snap.keys)
+        return
+    keys = list(bucket_by or on)
+    staged = materialize(source.withColumn(BUCKET, bucket_expr(keys, buckets, source.columns)), "merge-source")
+    try:
+        touched = touched_buckets(staged)
+        if not touched:
+            return
+        target, source = read_table(spark, root, schema, touched), staged.drop(BUCKET)
+        if when_matched is None:
+            out, mode = merge_inserts(target, source, on, when_not_matched, **kw), "append"
+        else:
+            out = merge(target, source, on, when_matched, when_not_matched, materialize_source=False, **kw)
+            mode = "overwrite"
+        _write(out.withColumn(BUCKET, bucket_expr(keys, buckets, out.columns)), root, mode, "dynamic")
+    finally:
         drop_materialized(staged)
-        return version
-    merged = merge(target, source, on, when_matched, when_not_matched, **kw)
-    new = _write(merged, root, n, snap.buckets, snap.keys)
-    if touched is None:
-        kept = [e for e in snap.entries if snap.buckets and _entry_bucket(e) is None]
-    else:
-        t = set(touched)
-        kept = [e for e in snap.entries if _entry_bucket(e) is None or _entry_bucket(e) not in t]
-    version = _commit(spark, root, n, kept + new, snap.buckets, snap.keys)
-    drop_materialized(staged)
-    return version
 
 
 def create_or_merge(
@@ -362,25 +132,26 @@ def create_or_merge(
     on: Sequence[str],
     when_matched: Update | None = Update(),
     when_not_matched: Insert | None = Insert(),
-    buckets: int | None = None,
+    buckets: int = BUCKETS,
+    bucket_by: Sequence[str] | None = None,
     dedupe_by: str | None = None,
     **kw,
-) -> int:
-    """First load creates the table from ``source`` (bucketed by ``on``
-    when ``buckets`` is given); later loads MERGE (default update-all /
-    insert-all, M1) into a table of the source's schema.
+) -> None:
+    """First load creates the table from ``source``; later loads MERGE
+    (default update-all / insert-all, M1) into a table of the source's schema.
 
     ``dedupe_by`` keeps one source row per key, the one with the greatest
     value of that column (T7: by default duplicate keys in a first load
     are kept, and a later updating MERGE then raises)."""
     if dedupe_by is not None:
         source = dedupe_latest(source, on, dedupe_by)
-    if not table_exists(spark, root):
-        null_keys = kw.get("null_keys", "insert")
-        if null_keys != "insert":
-            nullk = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-            if null_keys == "error" and source.filter(nullk).limit(1).count():
-                raise NullKeyError(f"source has rows with a NULL key in {list(on)}")
-            source = source.filter(~nullk)
-        return publish(source, root, buckets, list(on))
-    return merge_into(spark, root, source, on, when_matched, when_not_matched, schema=source.schema, **kw)
+    if table_exists(spark, root):
+        merge_into(spark, root, source, on, when_matched, when_not_matched, source.schema, buckets, bucket_by, **kw)
+        return
+    null_keys = kw.get("null_keys", "insert")
+    if null_keys != "insert":
+        nullk = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+        if null_keys == "error" and source.filter(nullk).limit(1).count():
+            raise NullKeyError(f"source has rows with a NULL key in {list(on)}")
+        source = source.filter(~nullk)
+    publish(source, root, list(bucket_by or on), buckets)

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import LOAD_TS_COLUMN, landing_schema
 from ..sources.landing import with_load_ts
-from ..sources.tables import create_or_merge, publish, table_exists
+from ..sources.tables import BUCKETS, create_or_merge
 
 
 def _now(_batch_id: int) -> str:
@@ -38,7 +38,7 @@ def landing_stream(
     stamp: Callable[[int], str] = _now,
     files_per_batch: int | None = 1,
     on_loaded: Callable[[DataFrame, int], None] | None = None,
-    buckets: int | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Start draining CSV drops under ``drops_dir`` into ``bronze_root``.
 
@@ -46,7 +46,7 @@ def landing_stream(
     drops of the same keys in one batch would be an ambiguous MERGE);
     ``stamp(batch_id)`` gives the load timestamp of a micro-batch and
     ``on_loaded`` runs after each merge (e.g. the silver/gold steps);
-    ``buckets`` creates the bronze table hash-bucketed by the first key."""
+    ``buckets`` is the bronze table's number of hash buckets of the first key."""
     reader = (spark.readStream.schema(landing_schema(tuple(columns)))
               .option("header", True).option("enforceSchema", False))
     if files_per_batch:
@@ -55,11 +55,7 @@ def landing_stream(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         src = with_load_ts(batch, LOAD_TS_COLUMN, stamp(batch_id))
-        spark_ = batch.sparkSession
-        if buckets and not table_exists(spark_, bronze_root):
-            publish(src, bronze_root, buckets, [keys[0]])
-        else:
-            create_or_merge(spark_, bronze_root, src, list(keys))
+        create_or_merge(batch.sparkSession, bronze_root, src, list(keys), buckets=buckets, bucket_by=[keys[0]])
         if on_loaded is not None:
             on_loaded(batch, batch_id)
 

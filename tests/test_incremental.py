@@ -155,21 +155,29 @@ def test_landing_stream_into_bucketed_bronze(spark):
     assert sorted(map(_key, got)) == sorted(map(_key, want))
 
 
-def test_run_batch_compacts_crowded_buckets(spark):
-    from stagewise.session import scratch_dir
-    from stagewise.sources.tables import snapshot
-
-    base = scratch_dir(spark, "compact")
-    for batch, ts in ((1, fq.TS1), (2, fq.TS2)):
-        layers = Layers(f"{base}/landing{batch}", f"{base}/bronze", f"{base}/silver", f"{base}/gold", buckets=4)
-        fq._drop_batch(spark, SF_SMALL, batch, layers.landing)
-        run_batch(spark, layers, ts, max_folders=1)
-    for layer, name in (("silver", "users_funnel"), ("gold", "clients_funnel"), ("gold", "pv_clients_stage")):
-        snap = snapshot(spark, layers.table(layer, name))
-        per_bucket = {}
-        for e in snap.entries:
-            if ".b" in e:
-                per_bucket[e.split(".b")[1]] = per_bucket.get(e.split(".b")[1], 0) + 1
-        assert max(per_bucket.values()) == 1, (layer, name)
+@pytest.mark.parametrize("second", [fq.TS1, "2023-01-01 00:00:00"])
+def test_stamps_that_repeat_or_go_back_lose_nothing(spark, second):
+    layers = fq.run_two_batches(spark, SF_SMALL, "null_safe", stamps=(fq.TS1, second))
+    later = fq.run_two_batches(spark, SF_SMALL, "null_safe")
     got = [r.asDict() for r in _pv(spark, layers).drop("ingestion_time", "update_date").collect()]
     assert sorted(map(_key, got)) == sorted(map(_key, _duck(SQL["incremental_two_batches"], SF_SMALL)))
+    for layer, name, stamp in (("bronze", "clientes", "fecha_ingesta"), ("silver", "users_funnel", "ingestion_date")):
+        one, two = (sorted(map(str, read_table(spark, x.table(layer, name)).drop(stamp).collect())) for x in (layers, later))
+        assert one == two
+
+
+def test_duplicates_and_null_keys_under_a_policy(spark, tmp_path):
+    base = str(tmp_path)
+    layers = Layers(f"{base}/landing", f"{base}/bronze", f"{base}/silver", f"{base}/gold", buckets=4)
+    _csv(f"{layers.landing}/usuarios_banco_con_funnel.csv", FUNNEL_CSV)
+    _csv(f"{layers.landing}/clientes.csv", CLIENTS_CSV + "10008,Jo,j@x,35.0,Colima\n")
+    tables = [("bronze", "usuarios_banco_con_funnel"), ("silver", "users_funnel"), ("gold", "pv_clients_stage")]
+    sizes = []
+    for _ in range(2):
+        rejects = run_batch(spark, layers, "2024-01-31 00:00:00", dedupe=True, null_keys="drop")
+        sizes.append([read_table(spark, layers.table(*t)).count() for t in tables])
+    assert sizes[0] == sizes[1] and sizes[0][0] == 10        # 12 lines, one repeated, one without a key
+    got = {(r.file, r.column): r.rejected for r in rejects.collect()}
+    assert got["usuarios_banco_con_funnel", "register_date"] == 1 and got["usuarios_banco_con_funnel", "complete_process"] == 1
+    ages = {r.client_id: r.age for r in read_table(spark, layers.table("silver", "catalog")).collect()}
+    assert ages["10008"] == 35 and got["clientes", "age"] == 0

@@ -7,11 +7,8 @@ from stagewise.operators.merge import Insert, Update
 from stagewise.schemas import FUNNEL_SOURCE_COLUMNS, SILVER_FUNNEL
 from stagewise.sources.landing import read_landing, with_load_ts, write_landing
 from stagewise.sources.tables import (
-    append,
-    compact,
     create_or_merge,
     ensure_table,
-    latest_version,
     merge_into,
     publish,
     read_table,
@@ -29,25 +26,11 @@ def test_ensure_table_is_create_if_absent(spark, tmp_path):
     assert t.count() == 0 and t.schema == SILVER_FUNNEL
 
 
-def test_versions_append_and_crash_folder(spark, tmp_path):
-    root = str(tmp_path / "t")
-    df1 = spark.createDataFrame([(1,), (2,)], "x int")
-    v0 = publish(df1, root)
-    v1 = append(spark.createDataFrame([(3,)], "x int"), root)
-    assert (v0, v1) == (0, 1)
-    assert sorted(r.x for r in read_table(spark, root).collect()) == [1, 2, 3]
-    assert sorted(r.x for r in read_table(spark, root, version=0).collect()) == [1, 2]
-    # A crashed writer leaves an unreferenced data folder: readers ignore it,
-    # the next writer skips its number.
-    os.makedirs(os.path.join(root, "data", "00000007"))
-    assert latest_version(spark, root) == 1
-    v = compact(spark, root)
-    assert v == 8 and sorted(r.x for r in read_table(spark, root).collect()) == [1, 2, 3]
 
 
 def test_merge_into_insert_only_appends(spark, tmp_path):
     root = str(tmp_path / "t")
-    publish(spark.createDataFrame([("1", 1)], "k string, v int"), root)
+    publish(spark.createDataFrame([("1", 1)], "k string, v int"), root, ["k"])
     merge_into(spark, root, spark.createDataFrame([("1", 9), ("2", 2)], "k string, v int"), ["k"])
     assert {r.k: r.v for r in read_table(spark, root).collect()} == {"1": 1, "2": 2}
     merge_into(spark, root, spark.createDataFrame([("2", 5)], "k string, v int"), ["k"], Update(), Insert())
@@ -95,66 +78,12 @@ def test_write_landing_roundtrip(spark, tmp_path):
     assert back.first().asDict() == {"a": "1", "b": "2", "c": None}
 
 
-def test_bucketed_merge_rewrites_only_touched_buckets(spark, tmp_path):
-    from stagewise.sources.tables import bucket_expr, snapshot
 
-    root = str(tmp_path / "b")
-    base = spark.range(0, 200).selectExpr("cast(id as string) as k", "cast(id as int) as v")
-    publish(base, root, buckets=8, keys=["k"])
-    before = snapshot(spark, root)
-    assert before.buckets == 8 and before.keys == ("k",)
-    assert read_table(spark, root).columns == ["k", "v"]              # no bucket column leaks
-    src = spark.createDataFrame([("5", -5), ("500", 500)], "k string, v int")
-    touched = {r.b for r in src.select(bucket_expr(["k"], 8).alias("b")).collect()}
-    merge_into(spark, root, src, ["k"], Update(), Insert())
-    after = snapshot(spark, root)
-    got = {r.k: r.v for r in read_table(spark, root).collect()}
-    assert len(got) == 201 and got["5"] == -5 and got["500"] == 500 and got["7"] == 7
-    old = {e for e in before.entries if ".b" in e}
-    kept = {e for e in after.entries if e in old}
-    assert {int(e.split(".b")[1]) for e in old - kept} <= touched    # only touched buckets rewritten
-    assert len(kept) >= len(old) - len(touched)
-    # insert-only appends per bucket; compaction keeps the layout
-    merge_into(spark, root, spark.createDataFrame([("5", 0), ("900", 9)], "k string, v int"), ["k"])
-    assert read_table(spark, root).count() == 202
-    compact(spark, root)
-    assert snapshot(spark, root).buckets == 8 and read_table(spark, root).count() == 202
-
-
-def test_bucketed_empty_table_reads_with_schema(spark, tmp_path):
-    root = str(tmp_path / "e")
-    assert ensure_table(spark, root, SILVER_FUNNEL, buckets=4, keys=["client_id"])
-    assert read_table(spark, root).schema == SILVER_FUNNEL
-
-
-def test_compact_crowded_buckets_only(spark, tmp_path):
-    from stagewise.sources.tables import snapshot
-
-    root = str(tmp_path / "c")
-    publish(spark.range(0, 50).selectExpr("cast(id as string) as k", "1 as v"), root, buckets=4, keys=["k"])
-    for i in range(3):
-        merge_into(spark, root, spark.createDataFrame([(f"n{i}", i)], "k string, v int"), ["k"])
-    before = snapshot(spark, root)
-    assert compact(spark, root, max_folders=10) == before.version          # nothing crowded
-    compact(spark, root, max_folders=1)
-    after = snapshot(spark, root)
-    counts = {}
-    for e in after.entries:
-        if ".b" in e:
-            counts[e.split(".b")[1]] = counts.get(e.split(".b")[1], 0) + 1
-    assert max(counts.values()) == 1 and read_table(spark, root).count() == 53
-
-
-def test_read_changes_returns_only_new_folders(spark, tmp_path):
-    from stagewise.sources.tables import read_changes
-
-    root = str(tmp_path / "rc")
-    publish(spark.createDataFrame([("1", 1), ("2", 2)], "k string, v int"), root)
-    assert read_changes(spark, root).count() == 2
-    merge_into(spark, root, spark.createDataFrame([("3", 3)], "k string, v int"), ["k"])
-    assert [r.k for r in read_changes(spark, root).collect()] == ["3"]
-    merge_into(spark, root, spark.createDataFrame([("3", 3)], "k string, v int"), ["k"])   # nothing new
-    assert read_changes(spark, root).count() == 0
+
+
+
+
+
 
 
 def test_create_or_merge_dedupe_by(spark, tmp_path):
@@ -182,3 +111,85 @@ def test_create_or_merge_null_keys_on_first_load(spark, tmp_path):
         create_or_merge(spark, str(tmp_path / "b"), df, ["k"], null_keys="error")
     create_or_merge(spark, str(tmp_path / "c"), df, ["k"])
     assert read_table(spark, str(tmp_path / "c")).count() == 2
+
+
+def _files(root):
+    return {d: sorted(f for f in os.listdir(os.path.join(root, d)) if f.endswith(".parquet"))
+            for d in os.listdir(root) if d.startswith("sw_bucket=")}
+
+
+def test_merge_touches_only_the_buckets_of_its_keys(spark, tmp_path):
+    from stagewise.sources.tables import bucket_expr
+
+    root = str(tmp_path / "b")
+    rows = spark.range(0, 200).selectExpr("cast(id as string) as k", "cast(id as int) as v")
+    publish(rows, root, ["k"], buckets=8)
+    before = _files(root)
+    assert len(before) == 8 and read_table(spark, root).columns == ["k", "v"]   # no bucket column leaks
+    src = spark.createDataFrame([("5", 50), ("900", 9)], "k string, v int")
+    hit = {f"sw_bucket={r[0]}" for r in src.select(bucket_expr(["k"], 8)).collect()}
+    merge_into(spark, root, src, ["k"], Update(), Insert(), buckets=8)
+    after = _files(root)
+    assert {d for d in after if after[d] != before[d]} == hit
+    got = {r.k: r.v for r in read_table(spark, root).collect()}
+    assert got["5"] == 50 and got["900"] == 9 and len(got) == 201
+    merge_into(spark, root, src, ["k"], buckets=8)                              # insert-only, nothing new
+    assert read_table(spark, root).count() == 201
+
+
+def test_empty_source_and_null_keys(spark, tmp_path):
+    root = str(tmp_path / "n")
+    publish(spark.createDataFrame([("1", 1), (None, 7)], "k string, v int"), root, ["k"], buckets=4)
+    merge_into(spark, root, spark.createDataFrame([], "k string, v int"), ["k"], Update(), Insert(), buckets=4)
+    merge_into(spark, root, spark.createDataFrame([(None, 8), ("1", 2)], "k string, v int"), ["k"], Update(), Insert(), buckets=4)
+    assert sorted(((r.k or ""), r.v) for r in read_table(spark, root).collect()) == [("", 7), ("", 8), ("1", 2)]
+
+
+def test_scratch_is_removed_when_a_merge_fails(spark, tmp_path):
+    from stagewise.operators.merge import AmbiguousMergeError
+    from stagewise.session import checkpoint_root
+
+    root = str(tmp_path / "f")
+    publish(spark.createDataFrame([("1", 1)], "k string, v int"), root, ["k"])
+    scratch = os.path.join(checkpoint_root(spark).removeprefix("file:"), "stagewise")
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    with pytest.raises(AmbiguousMergeError):
+        merge_into(spark, root, spark.createDataFrame([("1", 2), ("1", 3)], "k string, v int"), ["k"], Update(), Insert())
+    assert set(os.listdir(scratch)) == before
+
+
+def test_update_all_needs_every_column_and_ignores_case(spark):
+    from stagewise.operators.merge import upsert_all
+
+    target = spark.createDataFrame([("1", 1)], "k string, v int")
+    out = upsert_all(target, spark.createDataFrame([("1", 5), ("2", 6)], "K string, V int"), ["k"])
+    assert sorted(map(tuple, out.collect())) == [("1", 5), ("2", 6)]
+    with pytest.raises(ValueError, match="missing"):
+        upsert_all(target, spark.createDataFrame([("1",)], "k string"), ["k"])
+
+
+def test_updating_merge_scans_and_shuffles_each_side_once(spark, tmp_path):
+    from stagewise.operators.merge import merge
+
+    for name, n in (("t", 50), ("s", 20)):
+        spark.range(n).selectExpr("cast(id as string) as k", "1 as v").write.parquet(str(tmp_path / name))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        t, s = (spark.read.parquet(str(tmp_path / name)) for name in "ts")
+        plan = merge(t, s, ["k"], Update(), Insert(), materialize_source=False)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_scratch_folder_must_be_shared_off_local_masters():
+    from stagewise.session import scratch_root
+
+    assert scratch_root(None, None, "local[8]") is None and scratch_root(None, "hdfs://x", "yarn") == "hdfs://x"
+    assert scratch_root("file:/a", None, "spark://h:1") == "file:/a"
+    for master in ("yarn", "spark://h:1", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            scratch_root(None, None, master)
