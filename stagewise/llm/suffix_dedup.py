@@ -20,10 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, ship_package, text_key, text_or_empty
+from .common import drop_materialized, materialize, ship_package, text_key, text_or_empty
 
 LENGTH = 200
 GRAM = 50  # bytes of an anchor
@@ -155,17 +155,21 @@ def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["id", "z"])
 
 
-_CONTEXT = "node binary, at long, key binary, o1 int, o2 int, ctx binary"
+_CONTEXT = "node binary, at long, key binary, o1 int, o2 int, ctx binary, rows long"
+
+
+def _context_id() -> Column:
+    return F.unhex(F.md5(F.concat("key", F.encode(F.concat_ws(",", "o1", "o2", F.lit("")), "utf-8"), "ctx")))
 
 
 def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     z, cols = zstandard.ZstdDecompressor(), []
     for batch in batches:
-        for node, packed, places in zip(*(batch.column(i) for i in range(3))):
-            raw, node = z.decompress(packed.as_py()), node.as_py()
+        for node, packed, places, rows in zip(*(batch.column(i) for i in range(4))):
+            raw, node, rows = z.decompress(packed.as_py()), node.as_py(), rows.as_py()
             for p in places.as_py():
                 o1, o2, ctx = context(raw, p["at"], 0, LENGTH - GRAM)
-                cols.append((node, p["at"], p["h"].to_bytes(8, "big", signed=True), o1, o2, ctx))
+                cols.append((node, p["at"], p["h"].to_bytes(8, "big", signed=True), o1, o2, ctx, rows))
                 if len(cols) >= 5000:
                     yield _rows(cols)
                     cols = []
@@ -173,8 +177,8 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _rows(cols: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
-    names = ["node", "at", "key", "o1", "o2", "ctx"]
+    kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int64()]
+    names = ["node", "at", "key", "o1", "o2", "ctx", "rows"]
     parts = list(zip(*cols)) if cols else [[] for _ in kinds]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(parts, kinds)], names)
 
@@ -234,19 +238,18 @@ def repeated_ranges(docs: DataFrame, text: str = "text", block: int = BLOCK) ->
     ship_package(docs.sparkSession)
     d = docs.select(text_key(text).alias("node"), text_or_empty(text).alias("t"))
     found = materialize(d.mapInArrow(_find_anchors, "h long, node binary, at long"), "anchors")
-    repeated = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # written, so that both sides of the join are plain shuffles and a hot hash can be split
+    repeated = materialize(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "repeated")
     places = found.join(repeated, "h").groupBy("node").agg(F.collect_set(F.struct("at", "h")).alias("places"))
     texts = d.mapInArrow(_squeeze, "id binary, z binary").groupBy("id").agg(F.first("z").alias("z"), F.count(F.lit(1)).alias("rows"))
-    cut = places.join(texts, places["node"] == texts["id"])
+    cut = places.join(texts, places["node"] == texts["id"]).select("node", "z", "places", "rows")
     # a text of several rows repeats everything in it; its contexts count for each row
-    sized = materialize(cut.select("node", "z", "places", "rows"), "places")
-    contexts = materialize(sized.select("node", "z", "places").mapInArrow(_cut_contexts, _CONTEXT).withColumn(
-        "cid", F.unhex(F.md5(F.concat("key", F.encode(F.concat_ws(",", "o1", "o2", F.lit("")), "utf-8"), "ctx")))), "contexts")
-    rows = sized.select("node", "rows")
+    contexts = materialize(cut.mapInArrow(_cut_contexts, _CONTEXT).withColumn("cid", _context_id()), "contexts")
+    drop_materialized(found)
+    drop_materialized(repeated)
     at = contexts.select("node", "at", "cid")
-    counted = contexts.join(rows, "node").groupBy("cid", "key", "o1", "o2", "ctx").agg(F.sum("rows").alias("n"))
-    last = LENGTH - GRAM
-    todo = counted.withColumns({"first": F.lit(0), "last": F.lit(last)})
+    counted = contexts.groupBy("cid", "key", "o1", "o2", "ctx").agg(F.sum("rows").alias("n"))
+    todo = counted.withColumns({"first": F.lit(0), "last": F.lit(LENGTH - GRAM)})
     root = None  # split contexts: (cid, parent)
     out = None
     while True:
@@ -266,10 +269,9 @@ def repeated_ranges(docs: DataFrame, text: str = "text", block: int = BLOCK) ->
         if large.isEmpty():
             break
         split = todo.join(large, "key", "left_semi")
-        halves = materialize(split.select("cid", "key", "o1", "o2", "first", "last", "ctx", "n").drop("n").mapInArrow(
+        halves = materialize(split.select("cid", "key", "o1", "o2", "first", "last", "ctx").mapInArrow(
             _halve, "cid binary, key binary, o1 int, o2 int, first int, last int, ctx binary"), "halves")
-        new = F.unhex(F.md5(F.concat("key", F.encode(F.concat_ws(",", "o1", "o2", F.lit("")), "utf-8"), "ctx")))
-        halves = halves.withColumnRenamed("cid", "old").withColumn("cid", new)
+        halves = halves.withColumnRenamed("cid", "old").withColumn("cid", _context_id())
         step = halves.select("old", "cid").distinct()
         numbers = split.select(F.col("cid").alias("old"), "n")
         todo = halves.join(numbers, "old").groupBy("cid", "key", "o1", "o2", "first", "last", "ctx").agg(F.sum("n").alias("n"))
