@@ -247,13 +247,17 @@ def repeated_ranges(docs: DataFrame, text: str = "text", block: int = BLOCK) ->
     contexts = materialize(cut.mapInArrow(_cut_contexts, _CONTEXT).withColumn("cid", _context_id()), "contexts")
     drop_materialized(found)
     drop_materialized(repeated)
-    at = contexts.select("node", "at", "cid")
+    at = materialize(contexts.select("node", "at", "cid"), "places")
     counted = contexts.groupBy("cid", "key", "o1", "o2", "ctx").agg(F.sum("rows").alias("n"))
     todo = counted.withColumns({"first": F.lit(0), "last": F.lit(LENGTH - GRAM)})
-    root = None  # split contexts: (cid, parent)
+    root, used = None, []  # split contexts: (cid, parent); bucket tables until they are sorted
     out = None
     while True:
         todo = materialize(todo.select("cid", "key", "o1", "o2", "first", "last", "ctx", "n"), "buckets")
+        used.append(todo)
+        if contexts is not None:  # the distinct ones are in the bucket table
+            drop_materialized(contexts)
+            contexts = None
         sizes = todo.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
         large = materialize(sizes.where(F.col("size") > block).select("key"), "large")
         whole = todo.join(large, "key", "left_anti")
@@ -278,6 +282,8 @@ def repeated_ranges(docs: DataFrame, text: str = "text", block: int = BLOCK) ->
         up = step if root is None else step.join(root.withColumnRenamed("cid", "old"), "old").select("parent", "cid")
         root = materialize(up.select("cid", F.col("old").alias("parent")) if root is None else up.select("cid", "parent").distinct(), "roots")
     hits = materialize(out.distinct(), "hits")
+    for table in used:
+        drop_materialized(table)
     spans = at.join(hits, "cid").select("node", F.struct((F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high")).alias("s"))
     return spans.groupBy("node").agg(F.collect_set("s").alias("spans"))
 
