@@ -306,7 +306,9 @@ f AS (SELECT * FROM b2 UNION ALL
       SELECT * FROM b1 WHERE NOT EXISTS (SELECT 1 FROM b2 WHERE b2.client_id = b1.client_id AND b2.stage = b1.stage)),
 c AS (SELECT * FROM c2 UNION ALL
       SELECT * FROM c1 WHERE NOT EXISTS (SELECT 1 FROM c2 WHERE c2.client_id = c1.client_id)),
-p AS (SELECT client_id, MAX(complete_process) AS complete_process, MAX(app) AS app,
+p AS (SELECT client_id,
+  COALESCE(MAX(complete_process) FILTER (WHERE complete_process IN (0, 1)), MAX(complete_process)) AS complete_process,
+  FIRST(app ORDER BY register_date NULLS LAST, app) FILTER (WHERE app IS NOT NULL) AS app,
   MIN(CASE WHEN stage = 'Introduccion' THEN register_date END) AS introduction,
   MIN(CASE WHEN stage = 'Solicitud de datos' THEN register_date END) AS data_request,
   MIN(CASE WHEN stage = 'Validacion de datos' THEN register_date END) AS data_validation,
@@ -317,6 +319,24 @@ p AS (SELECT client_id, MAX(complete_process) AS complete_process, MAX(app) AS a
 SELECT p.client_id, p.complete_process, c.name, c.age, c.state, c.email, p.app, p.introduction, p.data_request,
   p.data_validation, p.facial_recognition, p.signature, p.data_confirmation
 FROM p JOIN c ON p.client_id = c.client_id"""
+SQL["load_rejects"] = BASE + """
+SELECT 'usuarios_banco_con_funnel' AS file, 'register_date' AS "column", COUNT(*) AS rows,
+       COUNT(CASE WHEN day(register_date) = 13 THEN 1 END) AS rejected FROM funnel
+UNION ALL SELECT 'usuarios_banco_con_funnel', 'complete_process', COUNT(*), 0 FROM funnel
+UNION ALL SELECT 'usuarios_banco_con_funnel', '(line)', COUNT(*), 0 FROM funnel
+UNION ALL SELECT 'clientes', 'age', COUNT(*), COUNT(CASE WHEN age IS NULL THEN 1 END) FROM clients
+UNION ALL SELECT 'clientes', '(line)', COUNT(*), 0 FROM clients"""
+SQL["top_open_states"] = BASE + """SELECT state, COUNT(*) AS Total_per_country FROM pv WHERE complete_process = 0
+GROUP BY state ORDER BY Total_per_country DESC, state LIMIT 5"""
+SQL["merge_text_condition"] = BATCHES + f"""
+SELECT t.client_id, t.app, t.stage, s.register_date, t.complete_process
+FROM b1 t JOIN b2 s ON t.client_id = s.client_id AND t.stage = s.stage AND s.register_date > t.register_date
+UNION ALL
+SELECT {_F} FROM b1 t WHERE NOT EXISTS (SELECT 1 FROM b2 s
+  WHERE t.client_id = s.client_id AND t.stage = s.stage AND s.register_date > t.register_date)
+UNION ALL
+SELECT {_F} FROM b2 s WHERE NOT EXISTS (SELECT 1 FROM b1 t
+  WHERE t.client_id = s.client_id AND t.stage = s.stage AND s.register_date > t.register_date)"""
 SQL["incremental_two_batches_bucketed"] = SQL["incremental_two_batches"]
 SQL["incremental_same_stamp"] = SQL["incremental_two_batches"]
 SQL["funnel_rollup_state"] = SQL["funnel_state"]

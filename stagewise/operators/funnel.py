@@ -220,13 +220,13 @@ def top_abandoned_stage(df: DataFrame, stages: Sequence[Stage] = STAGES, complet
 
 
 def funnel_rollup(df: DataFrame, stages: Sequence[Stage] = STAGES, age: str = "age",
-                  materialize: bool = True, **bucket_kw) -> dict[str, DataFrame]:
-    """A10-A12 and A14-A16 from one scan of the per-client table.
+                  materialize: bool = False, **bucket_kw) -> dict[str, DataFrame]:
+    """A10-A12 and A14-A16 from the finest counts (state x age group: a few
+    hundred rows at most); per-state and global counts are sums over them.
 
-    The finest counts (state x age group: a few hundred rows at most) are
-    computed once and, with ``materialize``, written to the shared scratch
-    folder; the per-state and global counts are sums over them, so a
-    dashboard refresh reads the big table once instead of once per report.
+    With ``materialize`` those counts are written once to the shared scratch
+    folder, so a dashboard refresh that uses several of the tables scans the
+    big table once; without it no job runs until a table is used.
     """
     codes = [s.code for s in stages]
     fine = reached(df.withColumn("Age_group", age_group(age, **bucket_kw)), ["state", "Age_group"], stages)

@@ -117,7 +117,7 @@ def ambiguous_keys(target: DataFrame, source: DataFrame, on: Sequence[str], limi
 def merge(
     target: DataFrame,
     source: DataFrame,
-    on: Sequence[str],
+    on: Sequence[str] | str | Column,
     when_matched: Update | None = None,
     when_not_matched: Insert | None = Insert(),
     *,
@@ -127,9 +127,18 @@ def merge(
     check_ambiguous: bool = True,
     materialize_source: bool = True,
 ) -> DataFrame:
-    """Merge ``source`` into ``target`` on equality of the ``on`` columns."""
+    """Merge ``source`` into ``target`` on equality of the ``on`` columns, or on a
+    condition over both aliases (SQL text or a Column).
+
+    A condition should hold an equality between the two sides (else the plan is
+    a nested loop) and takes no ``null_keys`` policy: rows match where it is true."""
     if null_keys not in ("insert", "drop", "error"):
         raise ValueError("null_keys must be 'insert', 'drop' or 'error'")
+    if isinstance(on, (str, Column)):
+        if null_keys != "insert":
+            raise ValueError("null_keys needs key columns, not a condition")
+        return _merge_on_condition(target, source, on, when_matched, when_not_matched, target_alias, source_alias,
+                                   check_ambiguous, materialize_source)
     keys = list(on)
     if when_matched is not None and materialize_source:
         source = materialize(source, "merge-source")
@@ -151,7 +160,41 @@ def merge(
             raise AmbiguousMergeError(
                 f"several source rows match one target row for keys {keys}; e.g. {sample}"
             )
-    upd, ins = when_matched, when_not_matched
+
+    def marked(df: DataFrame, name: str) -> DataFrame:
+        salt = F.when(nullk, F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS))).otherwise(0)
+        return df.withColumns({name: F.lit(True), _SALT: salt})
+
+    t, s = marked(target, _T).alias(ta), marked(source, _S).alias(sa)
+    key_eq = reduce(lambda a, b: a & b, [F.col(f"{ta}.{k}") == F.col(f"{sa}.{k}") for k in [*keys, _SALT]])
+    return _joined_merge(target, source, t, s, key_eq, when_matched, when_not_matched, ta, sa)
+
+
+def _merge_on_condition(target: DataFrame, source: DataFrame, on: str | Column, upd: Update | None, ins: Insert | None,
+                        ta: str, sa: str, check_ambiguous: bool, materialize_source: bool) -> DataFrame:
+    if upd is None and ins is None:
+        return target
+    cond = as_expr(on)
+    if upd is None:
+        new_rows = source.alias(sa).join(target.alias(ta), cond, "left_anti")
+        if ins.condition is not None:
+            new_rows = new_rows.filter(F.coalesce(as_expr(ins.condition), F.lit(False)))
+        return target.unionByName(new_rows.select(*_insert_cols(target, source, ins, sa)))
+    if materialize_source:
+        source = materialize(source, "merge-source")
+    if check_ambiguous:
+        # the ids live within this one job only
+        numbered = target.withColumn(_T, F.monotonically_increasing_id()).alias(ta)
+        hits = numbered.join(source.alias(sa), cond).groupBy(F.col(f"{ta}.{_T}")).agg(F.count(F.lit(1)).alias("n"))
+        if not hits.filter("n > 1").isEmpty():
+            raise AmbiguousMergeError("several source rows match one target row under the merge condition")
+    t, s = target.withColumn(_T, F.lit(True)).alias(ta), source.withColumn(_S, F.lit(True)).alias(sa)
+    return _joined_merge(target, source, t, s, cond, upd, ins, ta, sa)
+
+
+def _joined_merge(target: DataFrame, source: DataFrame, t: DataFrame, s: DataFrame, key_eq: Column, upd: Update,
+                  ins: Insert | None, ta: str, sa: str) -> DataFrame:
+    """The updating merge as one full outer join of the marked sides."""
     if upd.set is None:
         named = {c.lower(): c for c in source.columns}
         missing = [c for c in target.columns if c.lower() not in named]
@@ -160,13 +203,6 @@ def merge(
         set_map = {c: F.col(f"{sa}.`{named[c.lower()]}`") for c in target.columns}
     else:
         set_map = upd.set
-
-    def marked(df: DataFrame, name: str) -> DataFrame:
-        salt = F.when(nullk, F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS))).otherwise(0)
-        return df.withColumns({name: F.lit(True), _SALT: salt})
-
-    t, s = marked(target, _T).alias(ta), marked(source, _S).alias(sa)
-    key_eq = reduce(lambda a, b: a & b, [F.col(f"{ta}.{k}") == F.col(f"{sa}.{k}") for k in [*keys, _SALT]])
     in_target, in_source = F.col(f"{ta}.{_T}").isNotNull(), F.col(f"{sa}.{_S}").isNotNull()
     update = in_source if upd.condition is None else in_source & F.coalesce(as_expr(upd.condition), F.lit(False))
     joined = t.join(s, key_eq, "full_outer")

@@ -46,6 +46,11 @@ def count_by(df: DataFrame, by: Sequence[str] = ("state",), name: str = "Total_p
     return out.orderBy(F.col(name).desc()) if ordered else out
 
 
+def first_rows(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
+    """O3: the first ``n`` rows in the given order (top-k per task, then of those)."""
+    return df.orderBy(*order).limit(n)
+
+
 def state_completed(df: DataFrame, ordered: bool = False) -> DataFrame:
     """Clients per state that completed."""
     return count_by(completed(df, 1), ordered=ordered)

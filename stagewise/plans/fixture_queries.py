@@ -37,7 +37,7 @@ from ..sources.landing import read_landing, with_load_ts, write_landing
 from ..sources.tables import create_or_merge, ensure_table, merge_into, read_table
 from ..streaming.landing_stream import landing_stream
 from . import gold
-from .incremental import Layers, run_batch
+from .incremental import Layers, load_rejects, run_batch
 
 TS1 = "2024-01-01 00:00:00"
 TS2 = "2024-02-01 00:00:00"
@@ -469,14 +469,43 @@ def landing_stream_two_drops(spark, sf_dir, buckets=INCREMENTAL_BUCKETS):
             F.col("complete_process").cast("string").alias("Proceso_completo"))
         drop.write.mode("append").option("header", True).csv(drops)
         q = landing_stream(spark, drops, FUNNEL_SOURCE_COLUMNS, bronze, list(FUNNEL_BRONZE_KEYS), ckpt,
-                           stamp=lambda i: stamps[i], files_per_batch=None, buckets=buckets)
+                           stamp=lambda i: stamps[i], buckets=buckets)
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
     return read_table(spark, bronze)
 
 
+def load_rejects_of_drop(spark, sf_dir):
+    """The rejects of a drop with unreadable dates (every 13th of a month) and ages."""
+    root = scratch_dir(spark, "rejects")
+    date = F.when(F.dayofmonth("register_date") == 13, F.lit("not-a-date")).otherwise(F.col("register_date").cast("string"))
+    write_landing(fx.funnel_events(spark, sf_dir).select(
+        F.col("client_id").alias("ID_cliente"), F.col("app").alias("App"), "stage", date.alias("date"),
+        F.col("complete_process").alias("Proceso_completo")), root, FUNNEL_FILE)
+    write_landing(fx.clients(spark, sf_dir).select(
+        F.col("client_id").alias("ID_cliente"), F.col("name").alias("Nombre"), F.col("email").alias("Correo"),
+        F.coalesce(F.col("age").cast("string"), F.lit("n/a")).alias("Edad"), F.col("state").alias("Estado")),
+        root, CLIENTS_FILE)
+    return load_rejects(spark, Layers(root, root, root, root))
+
+
+def top_open_states(spark, sf_dir):
+    """O2 + O3: the five states with most open clients (ties by name)."""
+    return rp.first_rows(rp.state_open(stage_dates(spark, sf_dir)), 5, F.col("Total_per_country").desc(), "state")
+
+
+def merge_text_condition(spark, sf_dir):
+    """M1/M3 with the merge condition as SQL text: only later dates match."""
+    return merge(_b(spark, sf_dir, 1), _b(spark, sf_dir, 2),
+                 "t.client_id = s.client_id AND t.stage = s.stage AND s.register_date > t.register_date",
+                 Update({"register_date": "s.register_date"}), Insert())
+
+
 QUERIES.update({
+    "load_rejects": load_rejects_of_drop,
+    "top_open_states": top_open_states,
+    "merge_text_condition": merge_text_condition,
     "incremental_two_batches": incremental_two_batches,
     "incremental_two_batches_bucketed": incremental_two_batches_bucketed,
     "incremental_same_stamp": incremental_same_stamp,

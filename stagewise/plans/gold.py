@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import quality_check
 from ..operators.pivot import map_stage, pivot_stages
-from ..schemas import CATALOG_ATTRS, PIVOT_KEYS, STAGE_COLUMNS
+from ..schemas import CATALOG_ATTRS, PIVOT_KEYS, STAGE_COLUMNS, VALID_COMPLETE_PROCESS
 
 ENRICHED_COLUMNS = ("client_id", "name", "age", "state", "email", "app", "stage",
                     "register_date", "complete_process", "quality_check")
@@ -67,11 +67,17 @@ def client_stage_dates(funnel: DataFrame, catalog: DataFrame) -> DataFrame:
 def client_stage_dates_latest(funnel: DataFrame, catalog: DataFrame) -> DataFrame:
     """Per-client table keyed by client_id alone (incremental runs).
 
-    complete_process and app become aggregates (max) instead of group
-    keys, so a client whose later stage rows carry a new flag does not
-    split into two rows; the catalog must hold one row per client_id."""
+    complete_process and app become aggregates instead of group keys, so a
+    client whose later stage rows carry a new flag does not split into two
+    rows; the catalog must hold one row per client_id. The flag is the largest
+    valid one (an invalid code counts only if there is no valid one). The app
+    is that of the earliest stage row that names one (rows without a date
+    last, then the smallest name)."""
     rows = map_stage(funnel.select("client_id", "complete_process", "app", "stage", "register_date"))
-    dates = pivot_stages(rows, ["client_id"], extra=[F.max("complete_process").alias("complete_process"),
-                                                      F.max("app").alias("app")])
+    flag = F.col("complete_process")
+    flag = F.coalesce(F.max(F.when(flag.isin(*VALID_COMPLETE_PROCESS), flag)), F.max(flag))
+    first = F.struct(F.col("register_date").isNull(), F.col("register_date"), F.col("app").alias("app"))
+    app = F.min(F.when(F.col("app").isNotNull(), first))["app"]
+    dates = pivot_stages(rows, ["client_id"], extra=[flag.alias("complete_process"), app.alias("app")])
     cat = catalog.select("client_id", *CATALOG_ATTRS)
     return dates.join(cat, "client_id", "inner").select(*STAGE_DATE_COLUMNS)

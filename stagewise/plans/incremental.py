@@ -15,7 +15,7 @@ drop. Two modes:
   non-key columns (load timestamps are never compared), so rows that are already
   there stay as they are and running a drop again repairs a run that failed
   part-way. Only the drop's clients are re-pivoted, keyed by client_id alone
-  (``max(complete_process)`` as an aggregate), and only their buckets are read.
+  (flag and app as aggregates), and only their buckets are read.
   Loading batch 1 then batch 2 gives the same per-client table as one load of
   the latest row per key.
 
@@ -68,6 +68,7 @@ FILES = {
     CLIENTS_FILE: (CLIENTS_SOURCE_COLUMNS, CLIENTS_BRONZE_KEYS, CLIENTS_CONFORM),
 }
 PV_COMPARED = ["name", "email", "age", "state", "complete_process", *STAGE_COLUMNS]
+MALFORMED = "__malformed_line"
 
 
 @dataclass(frozen=True)
@@ -190,11 +191,12 @@ def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_
 
 def load_rejects(spark: SparkSession, layers: Layers) -> DataFrame:
     """Per file and typed column of the landing drop, how many values are
-    there as text but don't parse: ``(file, column, rows, rejected)``."""
+    there as text but don't parse: ``(file, column, rows, rejected)``. The row
+    of column ``(line)`` counts lines with too few or too many fields."""
     parts = []
     for name, (cols, _, spec) in FILES.items():
-        counts = reject_counts(read_landing(spark, layers.landing, name, cols),
-                               {src: to for src, to in spec.items() if src in cols})
+        drop = read_landing(spark, layers.landing, name, cols, malformed=MALFORMED)
+        counts = reject_counts(drop, {src: to for src, to in spec.items() if src in cols}, MALFORMED)
         typed = [c for c in counts.columns if c != "rows"]
         each = F.explode(F.array(*[F.struct(F.lit(c.removeprefix("rejected_")).alias("column"), F.col(c).alias("rejected"))
                                    for c in typed])).alias("x")

@@ -17,16 +17,21 @@ def landing_path(root: str, table: str) -> str:
 
 
 def read_landing(spark: SparkSession, root: str, table: str,
-                 columns: Sequence[str] | None = None) -> DataFrame:
+                 columns: Sequence[str] | None = None, malformed: str | None = None) -> DataFrame:
     """Header CSV, every column text.
 
     With ``columns`` the all-string schema is given up front (no header
     inference job) and ``enforceSchema=false`` makes Spark check it
     against each file's header, so a file whose columns differ fails
-    instead of binding values by position."""
+    instead of binding values by position. A line with too few fields is
+    filled up with NULLs and one with too many is cut; ``malformed`` names an
+    extra column that holds the text of such lines (NULL for all others)."""
     r = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if columns is not None:
-        r = r.schema(landing_schema(tuple(columns))).option("enforceSchema", False)
+        extra = () if malformed is None else (malformed,)
+        r = r.schema(landing_schema((*columns, *extra))).option("enforceSchema", False)
+    if malformed is not None:  # fields can only be counted if all of them are parsed
+        r = r.option("columnNameOfCorruptRecord", malformed).option("columnPruning", False)
     return r.csv(landing_path(root, table))
 
 

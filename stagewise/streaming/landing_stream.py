@@ -36,14 +36,15 @@ def landing_stream(
     keys: Sequence[str],
     checkpoint: str,
     stamp: Callable[[int], str] = _now,
-    files_per_batch: int | None = 1,
+    files_per_batch: int | None = None,
     on_loaded: Callable[[DataFrame, int], None] | None = None,
     buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Start draining CSV drops under ``drops_dir`` into ``bronze_root``.
 
-    ``files_per_batch=1`` keeps one drop per MERGE in arrival order (two
-    drops of the same keys in one batch would be an ambiguous MERGE);
+    All files that are there form one MERGE, however many a drop has; if two
+    drops of the same keys wait at once, that MERGE is ambiguous and raises,
+    and ``files_per_batch=1`` then takes single-file drops in arrival order;
     ``stamp(batch_id)`` gives the load timestamp of a micro-batch and
     ``on_loaded`` runs after each merge (e.g. the silver/gold steps);
     ``buckets`` is the bronze table's number of hash buckets of the first key."""

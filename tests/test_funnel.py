@@ -155,7 +155,8 @@ def test_unpivot_counts_matches_stack(spark):
 
 def test_rollup_equals_direct_reports(spark):
     pv = _pv(spark)
-    r = fn.funnel_rollup(pv)
+    r = fn.funnel_rollup(pv, materialize=True)
+    assert rows(fn.funnel_rollup(pv)["funnel_state"]) == rows(r["funnel_state"])
     assert rows(r["funnel_state"]) == rows(fn.reached(pv, ["state"]))
     assert rows(r["funnel_global"]) == rows(fn.reached(pv))
     assert rows(r["conversion_global"]) == rows(fn.conversion_global(pv))
@@ -173,6 +174,28 @@ def test_ordered_reports(spark):
     assert st == sorted(st, key=lambda x: (x is not None, x))            # NULLS FIRST
     a = [(r.state, r.Age_group, r.stage) for r in fn.conversion_by_age(pv, ordered=True).collect()]
     assert a == sorted(a)
+    ids = [r.client_id for r in rp.total_time(pv, ordered=True).collect()]
+    assert ids == sorted(ids) and len(ids) == 2
+    av = [r.AV for r in rp.avg_days_state(pv, ordered=True).collect()]
+    assert av == sorted(av, reverse=True) and len(av) == 2
+    wide = pv.unionByName(pv.withColumn("state", F.lit("Sonora")))       # so that counts differ
+    for report in (rp.state_completed, rp.state_open, rp.confirmed_not_complete, rp.state_clients):
+        n = [r.Total_per_country for r in report(wide, ordered=True).collect()]
+        assert n == sorted(n, reverse=True) and len(n) >= 2
+    top = rp.first_rows(rp.state_clients(wide), 2, F.col("Total_per_country").desc(), "state").collect()
+    assert [(r.state, r.Total_per_country) for r in top] == [("Sonora", 6), ("Colima", 3)]
+
+
+def test_latest_pivot_prefers_valid_flags_and_the_earliest_app(spark):
+    f = spark.createDataFrame([
+        ("10001", "android", "Introduccion", D(2024, 1, 1), 1),
+        ("10001", "ios", "Firma", D(2024, 1, 2), 2),                      # invalid code
+        ("10002", "zeta", "Firma", None, 2),                              # undated: last
+        ("10002", None, "Introduccion", D(2024, 1, 1), None),             # no app
+        ("10002", "ios", "Firma", D(2024, 1, 3), 2),
+    ], FUNNEL)
+    got = {r.client_id: (r.app, r.complete_process) for r in gold.client_stage_dates_latest(f, _catalog(spark)).collect()}
+    assert got == {"10001": ("android", 1), "10002": ("ios", 2)}
 
 
 def test_total_time_without_shuffle_on_unique_clients(spark):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from oracle_sql import SQL
 from stagewise.operators.merge import AmbiguousMergeError
 from stagewise.plans import fixture_queries as fq
-from stagewise.plans.incremental import Layers, run_batch
+from stagewise.plans.incremental import Layers, load_rejects, run_batch
 from stagewise.sources.tables import read_table
 
 from .conftest import SF_SMALL
@@ -181,3 +181,12 @@ def test_duplicates_and_null_keys_under_a_policy(spark, tmp_path):
     assert got["usuarios_banco_con_funnel", "register_date"] == 1 and got["usuarios_banco_con_funnel", "complete_process"] == 1
     ages = {r.client_id: r.age for r in read_table(spark, layers.table("silver", "catalog")).collect()}
     assert ages["10008"] == 35 and got["clientes", "age"] == 0
+    assert got["usuarios_banco_con_funnel", "(line)"] == 0
+
+
+def test_lines_with_too_few_or_too_many_fields_are_counted(spark, tmp_path):
+    layers = Layers(*[str(tmp_path)] * 4)
+    _csv(f"{tmp_path}/usuarios_banco_con_funnel.csv", FUNNEL_CSV + "10001,ios,Firma,2024-01-02,1,sixth\n10002,ios\n")
+    _csv(f"{tmp_path}/clientes.csv", CLIENTS_CSV)
+    got = {(r.file, r.column): (r.rows, r.rejected) for r in load_rejects(spark, layers).collect()}
+    assert got["usuarios_banco_con_funnel", "(line)"] == (14, 2) and got["clientes", "(line)"] == (8, 0)

@@ -109,6 +109,29 @@ def test_sql_text_condition_and_values(spark):
     assert got["2"].name is None and got["2"].age == 6 and got["2"].ingestion_date is None
 
 
+def test_merge_on_a_condition_with_differently_named_keys(spark):
+    tgt = spark.createDataFrame([("1", "Ana", 30, TS1, None), ("2", "Bo", 40, TS1, None), (None, "No", 1, TS1, None)], CAT)
+    src = spark.createDataFrame([("1", 31), ("2", 39), (None, 9)], "id string, years int")
+    on = "t.client_id = s.id AND s.years > t.age"
+    ins = Insert({"client_id": "s.id", "age": "s.years"})
+    got = sorted((str(r.client_id), r.age) for r in merge(tgt, src, on, Update({"age": "s.years"}), ins).collect())
+    assert got == [("1", 31), ("2", 39), ("2", 40), ("None", 1), ("None", 9)]
+    only = merge(tgt, src, F.col("t.client_id") == F.col("s.id"), None, ins)
+    assert sorted((str(r.client_id), r.age) for r in only.collect()) == [("1", 30), ("2", 40), ("None", 1), ("None", 9)]
+    with pytest.raises(AmbiguousMergeError):
+        merge(tgt, src.unionByName(src), on, Update({"age": "s.years"}), ins)
+    with pytest.raises(ValueError):
+        merge(tgt, src, on, Update({"age": "s.years"}), ins, null_keys="drop")
+
+
+def test_update_all_matches_names_without_case_and_needs_every_column(spark):
+    tgt = spark.createDataFrame([("1", "old")], "k string, v string")
+    src = spark.createDataFrame([("1", "x"), ("2", "y")], "K string, V string")
+    assert rows(upsert_all(tgt, src, ["k"])) == [{"k": "1", "v": "x"}, {"k": "2", "v": "y"}]
+    with pytest.raises(ValueError):
+        upsert_all(tgt, src.drop("V"), ["k"])
+
+
 def test_insert_condition_is_three_valued(spark):
     tgt = _t(spark, [])
     src = spark.createDataFrame([("1", "a", None, TS1), ("2", "a", D1, TS1)], T)

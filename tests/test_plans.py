@@ -12,7 +12,9 @@ from stagewise.plans import fixture_queries as fq
 from .conftest import SF_SMALL
 
 LOAD_PATH = {"landing_csv", "create_or_merge", "incremental_two_batches", "incremental_two_batches_bucketed",
-             "landing_stream", "empty_table_first_merge", "funnel_rollup_state", "funnel_rollup_conversion_by_age"}
+             "landing_stream", "empty_table_first_merge", "incremental_same_stamp", "load_rejects", "top_open_states",
+             "funnel_rollup_state", "funnel_rollup_conversion_by_age"}
+MERGE_KEYS = sorted(k for k in fq.QUERIES if k.startswith("merge_"))
 REPORT_KEYS = sorted(k for k in fq.QUERIES if k not in LOAD_PATH and not k.startswith("merge_"))
 
 
@@ -49,6 +51,27 @@ def test_report_plan_shape(big_plan_spark, key):
         assert "c_acctbal" not in schema and "o_totalprice" not in schema, f"{key}: unpruned scan {schema}"
 
 
+@pytest.mark.parametrize("key", MERGE_KEYS)
+def test_merge_plan_shape(big_plan_spark, key):
+    plan = _plan(fq.QUERIES[key](big_plan_spark, SF_SMALL))
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, f"{key}: {bad}"
+
+
+def test_updating_merge_scans_and_shuffles_each_side_once(big_plan_spark, tmp_path):
+    from stagewise.operators.merge import Insert, Update, merge
+
+    spark = big_plan_spark
+    for name in ("target", "source"):
+        spark.range(100).selectExpr("id AS k", "id * 2 AS v").write.parquet(f"{tmp_path}/{name}")
+    t, s = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("target", "source"))
+    for on in (["k"], "t.k = s.k AND s.v > t.v"):
+        plan = _plan(merge(t, s, on, Update(), Insert(), materialize_source=False))
+        assert plan.count("FileScan parquet") == 2, plan
+        assert plan.count("Exchange hashpartitioning") == 2, plan
+        assert plan.count("FullOuter") == 1, plan
+
+
 def test_pivot_is_one_aggregation_pass(big_plan_spark):
     plan = _plan(fq.QUERIES["pivot_stages"](big_plan_spark, SF_SMALL))
     assert plan.count("partial_min") >= 1
