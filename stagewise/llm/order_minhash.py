@@ -22,9 +22,8 @@ from .common import connected_components, drop_materialized, materialize, ship_p
 K = 5  # words in a shingle
 ELL = 4  # shingles in a sketch
 SKETCHES = 24
-#: A leftover group is refined by each of the next sketches, as many as this: at
-#: its first refinements, and at later ones.
-NEXT_SKETCHES = (5, 5, 2)
+BUCKETS = 512  # counters of a text's bag of words
+BLOCK = 256  # members of a leftover group that meet those of one other block in one go
 SIMILARITY = 0.8
 
 _MASK = (1 << 64) - 1
@@ -141,29 +140,50 @@ def similarity(a: list, b: list, least: float = SIMILARITY) -> float | None:
     return None if d > limit else 1 - d / longer
 
 
+def bag(hashes: np.ndarray) -> np.ndarray:
+    """Counts of a text's words in ``BUCKETS`` buckets, 255 at most."""
+    return np.minimum(np.bincount(hashes % np.uint64(BUCKETS), minlength=BUCKETS), 255).astype(np.uint8)
+
+
+def may_align(one: np.ndarray, others: np.ndarray, size: int, sizes: np.ndarray, least: float) -> np.ndarray:
+    """False where bags and sizes rule out that two texts align to ``least``.
+
+    Every word of one bag that the other lacks costs an edit; merged buckets and
+    cut counts only lower that number, so no alignable pair is ruled out."""
+    limit = ((1 - least) * np.maximum(size, sizes) + 1e-9).astype(np.int64)
+    either = np.maximum(others, one).sum(axis=1, dtype=np.int64)
+    apart = either - np.minimum(one.sum(dtype=np.int64), others.sum(axis=1, dtype=np.int64))
+    return np.maximum(apart, np.abs(sizes - size)) <= limit
+
+
 def _sketches(texts: DataFrame) -> DataFrame:
-    """``(node, size, sigs)`` of ``(node, t)``; texts without words have no sketch."""
+    """``(node, size, bag, sigs)`` of ``(node, t)``; texts without words have no sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _WordHash()
         for batch in batches:
-            nodes, sizes, sigs = [], [], []
+            nodes, sizes, bags, sigs = [], [], [], []
             for node, t in zip(batch.column(0), batch.column(1)):
                 w = words(t.as_py())
                 if w:
                     h = np.array([table[x] for x in w], np.uint64)
                     nodes.append(node.as_py())
                     sizes.append(len(w))
+                    bags.append(bag(h).tobytes())
                     sigs.append(sketch(h).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))],
-                ["node", "size", "sigs"])
+                [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bags, pa.binary()),
+                 pa.array(sigs, pa.list_(pa.int64()))],
+                ["node", "size", "bag", "sigs"])
 
-    return texts.mapInArrow(run, "node binary, size long, sigs array<long>")
+    return texts.mapInArrow(run, "node binary, size long, bag binary, sigs array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes whose words align to at least ``least``."""
+def _verified(pairs: DataFrame, t: DataFrame, least: float) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes whose words align to at least ``least``, written."""
+    ids = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
+    texts = materialize(
+        t.join(ids, t["node"] == ids["a"], "left_semi").groupBy("node").agg(F.first("t").alias("t")), "texts")
     ta = texts.select(F.col("node").alias("a"), F.col("t").alias("ta"))
     tb = texts.select(F.col("node").alias("b"), F.col("t").alias("tb"))
 
@@ -180,66 +200,117 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(s, pa.float64())], ["a", "b", "similarity"])
 
     both = pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
-    return both.mapInArrow(run, "a binary, b binary, similarity double")
+    out = materialize(both.mapInArrow(run, "a binary, b binary, similarity double"), "links")
+    drop_materialized(texts)
+    return out
 
 
-def _stars(members: DataFrame, least: float) -> DataFrame:
-    """Candidates ``(key, band, a, b, size, alike)``: every member b of a group with
-    the group's smallest member a; ``alike`` if their lengths allow the similarity."""
+def _stars(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Candidates ``(a, b)``: every member b of a group with the group's smallest
+    member a, unless their sizes or bags of words rule the similarity out."""
     low = members.groupBy("key").agg(F.min(F.struct("node", "size")).alias("low"), F.count(F.lit(1)).alias("n"))
     low = low.where(F.col("n") > 1).select("key", "low")
     star = members.join(low, "key").where(F.col("node") != F.col("low.node"))
-    alike = F.least("size", "low.size") >= F.greatest("size", "low.size") * F.lit(least)
-    return star.select("key", "band", F.col("low.node").alias("a"), F.col("node").alias("b"), "size", alike.alias("alike"))
+    star = star.where(F.least("size", "low.size") >= F.greatest("size", "low.size") * F.lit(least))
+    pairs = star.select(F.col("low.node").alias("a"), F.col("node").alias("b")).distinct()
+    one = nodes.select(F.col("node").alias("a"), F.col("size").alias("sa"), F.col("bag").alias("ba"))
+    two = nodes.select(F.col("node").alias("b"), F.col("size").alias("sb"), F.col("bag").alias("bb"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [
+                bool(may_align(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)[None], m, np.array([n]), least)[0])
+                for m, n, x, y in zip(*(batch.column(i).to_pylist() for i in range(2, 6)))]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb", "ba", "bb")
+    return both.mapInArrow(run, "a binary, b binary")
+
+
+def _across(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Candidates ``(a, b)``, a < b: all pairs of ``(key, node, root)`` with the same
+    key and different roots, unless sizes or bags rule the similarity out.
+
+    A group is dealt into blocks of about ``BLOCK`` members, and every two blocks
+    meet in a task of their own, so no group is held whole and only pairs that
+    pass are rows."""
+    many = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("first"), F.max("root").alias("last"))
+    many = many.where(F.col("first") != F.col("last")).select("key", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = members.join(many, "key").join(nodes.select("node", "size", "bag"), "node").select(
+        "key", "node", "root", "size", "bag", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    meet = ["key", "x", "y"]
+    dealt = dealt.select(
+        "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "root", "size", "bag")
+
+    def pairs(group: list[tuple]) -> set[tuple[bytes, bytes]]:
+        group.sort(key=lambda r: r[1])
+        own, node, root, size, bags = zip(*group)
+        own, size = np.array(own), np.array(size)
+        roots = np.unique(np.array([r.hex() for r in root]), return_inverse=True)[1]
+        bags = np.frombuffer(b"".join(bags), np.uint8).reshape(len(group), BUCKETS)
+        two, out = own.min() != own.max(), set()
+        for p in range(len(group) - 1):
+            q = np.flatnonzero(roots[p + 1:] != roots[p]) + p + 1
+            if two:  # pairs within a block meet where the block meets itself
+                q = q[own[q] != own[p]]
+            if len(q):
+                q = q[may_align(bags[p], bags[q], size[p], size[q], least)]
+            out |= {(node[p], node[k]) for k in q}
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done() -> pa.RecordBatch:
+            if at[1] == at[2] or len({r[0] for r in group}) > 1:
+                out = sorted(pairs(group))
+            else:
+                out = []
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+        at, group = None, []
+        for batch in batches:
+            for key, x, y, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if at != (key, x, y):
+                    if len(group) > 1:
+                        yield done()
+                    at, group = (key, x, y), []
+                group.append(tuple(row))
+        if len(group) > 1:
+            yield done()
+
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, *meet).sortWithinPartitions(*meet).mapInArrow(run, "a binary, b binary").distinct()
 
 
 def near_links(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """Verified links ``(a, b, similarity)`` between different texts, by text key.
 
     Equal texts are one node. Texts that share a sketch form a group; each
-    member is aligned with the group's smallest node, so a group of thousands
-    costs thousands of alignments, not millions. Members that don't align with
-    it stay together if they also share a second sketch, then a third and so on,
-    and the same is repeated until no group has two members left: none is
-    dropped for the size of its group, and groups that only a shared passage
-    holds together fall apart fast. Two texts whose shingle sets have similarity J share
+    member is aligned with the group's smallest node, so a group of thousands of
+    near copies costs thousands of alignments, not millions. Members that don't
+    align with it are all compared with each other: their bags of words rule
+    most pairs out, the rest is aligned. No member is dropped for the size of its
+    group. Two texts whose shingle sets have similarity J share
     a sketch with chance about J**4; at 0.8 three pairs in a million share none
     of the 24."""
     spark = docs.sparkSession
     ship_package(spark)
     t = docs.select(text_key(text).alias("node"), text_or_empty(text).alias("t"))
-    one = _sketches(t).groupBy("node").agg(F.first("size").alias("size"), F.first("sigs").alias("sigs"))
+    one = _sketches(t).groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "bag", "sigs")])
     nodes = materialize(one, "sketches")
     sigs = nodes.select("node", "size", F.posexplode("sigs").alias("band", "sig"))
-    members = sigs.select(F.xxhash64("band", "sig").alias("key"), "band", "node", "size")
-    empty = spark.createDataFrame([], "a binary, b binary, similarity double")
-    links, texts, scratch, level = empty, None, [nodes], 1
-    while True:
-        star = materialize(_stars(members, least), "candidates")
-        scratch.append(star)
-        if texts is None:  # later groups hold no other nodes
-            ids = star.select("a").unionByName(star.select(F.col("b").alias("a"))).distinct()
-            some = t.join(ids, t["node"] == ids["a"], "left_semi").groupBy("node").agg(F.first("t").alias("t"))
-            texts = materialize(some, "texts")
-            scratch.append(texts)
-        found = materialize(_verified(star.where("alike").select("a", "b").distinct(), texts, least), "links")
-        links = links.unionByName(found)
-        rest = star.join(found.select("a", "b"), ["a", "b"], "left_anti").select("key", "band", F.col("b").alias("node"), "size")
-        many = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-        rest = rest.join(many, "key")
-        if level < SKETCHES:
-            more = sigs.select("node", F.col("band").alias("next"), "sig")
-            ahead = F.pmod(F.col("next") - F.col("band"), F.lit(SKETCHES)).between(1, NEXT_SKETCHES[min(level, len(NEXT_SKETCHES)) - 1])
-            rest = rest.join(more, "node").where(ahead).select(
-                F.xxhash64("key", "next", "sig").alias("key"), F.col("next").alias("band"), "node", "size")
-        level += 1
-        members = materialize(rest, "rest")
-        scratch.append(members)
-        if members.isEmpty():
-            break
-    for df in scratch:
+    members = sigs.select(F.xxhash64("band", "sig").alias("key"), "node", "size")
+    star = materialize(_stars(members, nodes, least), "candidates")
+    links = _verified(star, t, least)
+    low = members.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 2").select("key", "a")
+    rest = members.join(low, "key").where(F.col("node") != F.col("a")).withColumnRenamed("node", "b")
+    rest = rest.join(links.select("a", "b"), ["a", "b"], "left_anti").select("key", F.col("b").alias("node"), F.col("b").alias("root"))
+    across = materialize(_across(rest, nodes, least), "candidates")
+    more = _verified(across, t, least)
+    for df in (star, across, nodes):
         drop_materialized(df)
-    return links
+    return links.unionByName(more)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

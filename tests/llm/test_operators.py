@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import types as T
 
 from stagewise.llm import (
@@ -178,6 +179,35 @@ def test_group_of_copies_around_a_shared_passage(spark):
     assert sorted(r.doc_id for r in order_minhash.keep_one(d).collect()) == [2 * k for k in range(60)]
 
 
+def test_near_copies_in_a_group_of_many_unlike_texts(spark):
+    """Edits are scattered: a pair shares sketches of the passage only, with many others."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage = [word() for _ in range(100)]
+    rows, want = [], {}
+    for k in range(400):
+        own = [word() for _ in range(40)]
+        near = [word() if i % 2 else w for i, w in enumerate(own)]
+        rows += [(2 * k, " ".join(own + passage)), (2 * k + 1, " ".join(near + passage))]
+        one, two = (order_minhash.sketch(np.array([xxhash.xxh64_intdigest(w) for w in t + passage], np.uint64)) for t in (own, near))
+        want |= {2 * k: 2 * k, 2 * k + 1: 2 * k if (one == two).any() else 2 * k + 1}
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert order_minhash.similarity(*(order_minhash.words(t) for _, t in rows[:2])) >= 0.8
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(d).collect()}
+    assert got == want
+
+
+def test_bags_rule_no_alignable_pair_out():
+    rng = random.Random(8)
+    for _ in range(300):
+        a = [rng.choice("abcdefgh") for _ in range(rng.randrange(1, 60))]
+        b = [c for c in a if rng.random() > 0.1] + [rng.choice("abxy") for _ in range(rng.randrange(4))] or ["a"]
+        (x, y) = (order_minhash.bag(np.array([hash(w) % 2**64 for w in t], np.uint64)) for t in (a, b))
+        may = order_minhash.may_align(x, y[None], len(a), np.array([len(b)]), 0.8)[0]
+        assert may or order_minhash.similarity(a, b) is None
+    assert not order_minhash.may_align(x, y[None], 1, np.array([9]), 0.8)[0]
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(300 + i, 301 + i) for i in range(40)]
