@@ -288,10 +288,12 @@ def near_links(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -
 
     Equal texts are one node. Texts that share a sketch form a group; each
     member is aligned with the group's smallest node, so a group of thousands of
-    near copies costs thousands of alignments, not millions. Members that don't
-    align with it are all compared with each other: their bags of words rule
-    most pairs out, the rest is aligned. No member is dropped for the size of its
-    group. Two texts whose shingle sets have similarity J share
+    near copies costs thousands of alignments, not millions. Then all members
+    of a group that these links leave in different components are compared with
+    each other, linked to the smallest node or not: their bags of words rule most
+    pairs out, the rest is aligned. So any two texts that share a sketch and align
+    end up in one component, though not each such pair inside one gets a link.
+    No member is dropped for the size of its group. Two texts whose shingle sets have similarity J share
     a sketch with chance about J**4; at 0.8 three pairs in a million share none
     of the 24."""
     spark = docs.sparkSession
@@ -303,10 +305,11 @@ def near_links(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -
     members = sigs.select(F.xxhash64("band", "sig").alias("key"), "node", "size")
     star = materialize(_stars(members, nodes, least), "candidates")
     links = _verified(star, t, least)
-    low = members.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 2").select("key", "a")
-    rest = members.join(low, "key").where(F.col("node") != F.col("a")).withColumnRenamed("node", "b")
-    rest = rest.join(links.select("a", "b"), ["a", "b"], "left_anti").select("key", F.col("b").alias("node"), F.col("b").alias("root"))
-    across = materialize(_across(rest, nodes, least), "candidates")
+    many = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("key")
+    rest = members.join(many, "key").join(connected_components(links), "node", "left")
+    rest = rest.select("key", "node", F.coalesce("root", "node").alias("root"))
+    across = _across(rest, nodes, least).join(star, ["a", "b"], "left_anti")
+    across = materialize(across, "candidates")
     more = _verified(across, t, least)
     for df in (star, across, nodes):
         drop_materialized(df)
@@ -319,7 +322,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     The class is the component of equal texts and verified links; its id is its
     smallest doc_id (NULL if all are NULL). ``n_links`` counts the verified
-    links of the row's text to other texts; equal texts are no links. All empty
+    links of the row's text to other texts: those to or from the smallest text of
+    a sketch group, and those between components that these make; pairs inside a
+    component that were never tried don't count. Equal texts are no links. All empty
     and NULL texts are equal. Repeated rows give repeated rows."""
     classes, links = _classes(docs, doc_id, text, least)
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))

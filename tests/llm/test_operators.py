@@ -197,6 +197,21 @@ def test_near_copies_in_a_group_of_many_unlike_texts(spark):
     assert got == want
 
 
+def test_link_to_a_member_that_is_linked_to_the_smallest(spark):
+    """b-d aligns, and so does b with longer texts that are the smallest wherever b and d meet; d doesn't align with those."""
+    rng, rows, want = random.Random(9), [], {}
+    draw = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    key = lambda t: hashlib.md5(t.encode()).digest()
+    for k in range(0, 100, 20):
+        w = draw(850)
+        b, d = " ".join(w), " ".join(w[:700])
+        longer = [t for t in (" ".join(w + draw(150)) for _ in range(200)) if key(t) < min(key(b), key(d))][:12]
+        rows += [(k + i, t) for i, t in enumerate([*longer, b, d])]
+        want |= {k + i: k for i in range(len(longer) + 2)}
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_bags_rule_no_alignable_pair_out():
     rng = random.Random(8)
     for _ in range(300):
