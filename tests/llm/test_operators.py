@@ -212,6 +212,22 @@ def test_link_to_a_member_that_is_linked_to_the_smallest(spark):
     assert got == want
 
 
+def test_scattered_edits_up_to_the_declared_similarity_share_a_sketch():
+    rng = random.Random(10)
+    draw = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    for edits, recall in ((20, 1.0), (40, 0.97)):  # of 200 words: similarity 0.9 and 0.8
+        found = 0
+        for _ in range(200):
+            a = draw(200)
+            b = list(a)
+            for i in rng.sample(range(200), edits):
+                b[i] = draw(1)[0]
+            assert order_minhash.similarity(a, b) >= 0.8
+            one, two = (order_minhash.sketch(np.array([xxhash.xxh64_intdigest(w) for w in t], np.uint64)) for t in (a, b))
+            found += (one == two).any()
+        assert found >= recall * 200
+
+
 def test_bags_rule_no_alignable_pair_out():
     rng = random.Random(8)
     for _ in range(300):
