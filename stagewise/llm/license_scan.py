@@ -95,23 +95,61 @@ def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def best_cover(text: list[str], template: list[str], least: float) -> tuple[float, int, int] | None:
-    """``(coverage, first word, end word)`` of the window of the text that covers
-    the template best (the leftmost of equals), or None under ``least``.
+def stretches(text: list[str], template: list[str], least: float) -> list[tuple[int, int]]:
+    """Stretches ``(first, end)`` of the text that hold enough of the template's
+    words, counted, to reach ``least``.
+
+    They begin at words of the template, wherever these stand: windows as long
+    and twice as long as the template from each such word on, and whole runs of
+    them with no gap longer than the template."""
+    size, want = len(template), Counter(template)
+    hits = [k for k, w in enumerate(text) if w in want]
+    out = []
+    for width in (size, 2 * size):
+        held, total, right = Counter(), 0, 0
+        for k in hits:
+            while right < len(hits) and hits[right] < k + width:
+                w = text[hits[right]]
+                held[w] += 1
+                total += held[w] <= want[w]
+                right += 1
+            if total >= least * size:
+                out.append((k, min(k + width, len(text))))
+            total -= held[text[k]] <= want[text[k]]
+            held[text[k]] -= 1
+    runs = [i for i in range(len(hits)) if not i or hits[i] - hits[i - 1] > size]
+    for i, j in zip(runs, [*runs[1:], len(hits)]):
+        if (want & Counter(text[k] for k in hits[i:j])).total() >= least * size:
+            out.append((hits[i], hits[j - 1] + 1))
+    return sorted(set(out))
+
 
-    Windows are twice as long as the template and overlap by half, so a passage
-    as long as the template lies whole in one. A window that holds too few of
-    the template's words, counted, can't reach ``least`` and isn't aligned."""
+def best_cover(text: list[str], template: list[str], least: float) -> tuple[float, int, int] | None:
+    """``(coverage, first word, end word)`` of the stretch of the text that covers
+    the template best (the leftmost of equals, of overlapping ones the shortest),
+    or None under ``least``.
+
+    Stretches are placed by the text's own words (see ``stretches``), so where a
+    passage stands doesn't matter. A passage up to twice as long as the template
+    lies whole in one; a longer one does if no gap between two of its template
+    words is longer than the template. Each is widened by a template's length
+    past its last aligned word for as long as that aligns more words."""
     size, best = len(template), None
-    want = Counter(template)
-    for a in range(0, max(1, len(text) - size + 1), size):
-        part = text[a:a + 2 * size]
-        if (want & Counter(part)).total() < least * size:
-            continue
-        found = patience(part, template)
+    for a, b in stretches(text, template, least):
+        if best and best[0] == 1 and a >= best[2]:
+            break
+        found = patience(text[a:b], template)
+        while found and len(found) < size:
+            more = patience(text[a:a + found[-1][0] + 1 + size], template)
+            if len(more) <= len(found):
+                break
+            found = more
         share = len(found) / size
-        if found and share >= least and (best is None or share > best[0]):
-            best = (share, a + found[0][0], a + found[-1][0] + 1)
+        if found and share >= least:
+            hit = (share, a + found[0][0], a + found[-1][0] + 1)
+            shorter = best and hit[1] < best[2] and hit[2] - hit[1] < best[2] - best[1]
+            if best is None or share > best[0] or share == best[0] and shorter:
+                best = hit
     return best
 
 

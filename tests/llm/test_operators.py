@@ -90,6 +90,22 @@ def test_license_found_with_changes_and_clean_text_left(spark):
     assert out[1, "mit-grant"].start_word == 300 and 0.8 <= out[1, "mit-grant"].coverage < 1
 
 
+def test_license_coverage_does_not_depend_on_its_place():
+    template = license_scan.words(license_scan.TEMPLATES["mit-grant"])
+    n, cut = len(template), template.index("copy") + 1
+    changed = ["x1" if w == "free" else "x2" if w == "files" else w for w in template]
+    fill = lambda k: [f"f{i}" for i in range(k)]
+    for gap in (14, 26, 3 * n):  # the last in pieces, over stretches longer than two templates
+        for words, share in ((template, 1.0), (changed, (n - 2) / n)):
+            inner = [f"g{i}" for i in range(gap)]
+            third = cut // 2
+            stretched = words[:cut] + inner + words[cut:] if gap < n else (
+                words[:third] + inner[:n - 1] + words[third:cut] + inner[n - 1:2 * n - 2] + words[cut:])
+            for at in range(2 * n):
+                got = license_scan.best_cover(fill(at) + stretched + fill(60), template, 0.8)
+                assert got == (share, at, at + len(stretched)), (gap, at, got)
+
+
 # 2 ------------------------------------------------------------------------------------------------
 
 def test_spotsigs_next_document_and_edit(spark, documents):
