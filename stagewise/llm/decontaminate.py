@@ -4,7 +4,8 @@ An item of n characters may differ from a passage of a document by at most
 ``e = floor(error_rate * n)`` character edits. It is split into ``e + 1``
 pieces; e edits can't touch them all, so every match holds a piece unchanged.
 One Aho-Corasick pass over a document finds all piece hits, and Myers'
-bit-parallel distance decides each place that a hit names.
+bit-parallel distance decides each place that a hit names. Short items match only
+whole, unchanged and between word borders.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 from .common import ship_package, text_or_empty
 
 ERROR_RATE = 0.06
-MIN_CHARS = 20
+MIN_CHARS = 20  # items shorter than this have no error budget
 #: Characters of benchmark text in one automaton; a larger benchmark is matched
 #: in that many passes, each with its own block of items.
 BLOCK_CHARS = 2_000_000
@@ -83,7 +84,7 @@ class Matcher:
     def __init__(self, items: list[tuple[int, str]], error_rate: float):
         import ahocorasick
 
-        self.items = [(i, t, int(error_rate * len(t))) for i, t in items]
+        self.items = [(i, t, int(error_rate * len(t)) if len(t) >= MIN_CHARS else 0) for i, t in items]
         where: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for k, (_, t, e) in enumerate(self.items):
             for offset, piece in pieces(t, e):
@@ -117,6 +118,11 @@ class Matcher:
         """(item id, distance, start, end) of the best match of every matching item."""
         for k, spans in self.windows(text).items():
             item_id, t, e = self.items[k]
+            if len(t) < MIN_CHARS:
+                at = _whole(t, text)
+                if at >= 0:
+                    yield item_id, 0, at, at + len(t)
+                continue
             best = None
             for a, b in spans:
                 d, end = myers(t, text[a:b], e)
@@ -131,19 +137,30 @@ class Matcher:
         return next(self.matches(text), None) is not None
 
 
+def _whole(item: str, text: str) -> int:
+    """Where ``item`` first stands in the text without cutting a word, or -1."""
+    at = text.find(item)
+    while at >= 0:
+        end = at + len(item)
+        if not (at and text[at - 1].isalnum() and item[0].isalnum()) and not (
+                end < len(text) and text[end].isalnum() and item[-1].isalnum()):
+            return at
+        at = text.find(item, at + 1)
+    return -1
+
+
 def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
-                min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
+                block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of about ``block_chars`` characters, one at a time.
 
-    Items that are NULL, or shorter than ``min_chars`` once normalised, can't
-    be told from chance and are left out; so are items without an id."""
-    b = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t")).dropna().distinct()
+    Items that are NULL or blank are left out; those without an id stay."""
+    b = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t")).dropna(subset=["t"]).distinct()
     total = b.agg(F.sum(F.length("t"))).first()[0] or 0
     n = -(-total // block_chars)
     for k in range(n):
         rows = b.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).orderBy("i", "t").collect()
         items = [(r["i"], normalise(r["t"])) for r in rows]
-        yield [x for x in items if len(x[1]) >= min_chars]
+        yield [x for x in items if x[1]]
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE,

@@ -391,6 +391,15 @@ def test_matches_within_the_budget_and_no_others(spark):
     assert kept == {i for i, _ in rows} - {i for i, _ in want}
 
 
+def test_short_items_match_whole_and_items_without_id_stay(spark):
+    d = spark.createDataFrame([(1, "So: what  is\nPi? Yes"), (2, "what is pizza"), (3, "what is pj?"), (4, f"q {'long item ' * 4} q")],
+                              "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "What is pi"), (None, "long item " * 4), (8, " "), (9, None)], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.distance, r.start, r.end, r.passage) for r in decontaminate.find_matches(d, bench).collect())
+    assert got == [(1, 7, 0, 4, 14, "what is pi"), (4, None, 0, 2, 41, ("long item " * 4).strip())]
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(d, bench).collect()) == [2, 3]
+
+
 # 7 ------------------------------------------------------------------------------------------------
 
 def test_shards_are_the_shortest_prefixes_that_fit(spark, documents):
