@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     best_fit, decontaminate, license_scan, line_dedup, order_minhash, pii, quality, sharding, spotsigs, suffix_dedup,
+    token_align,
 )
 from .common import read_table
 
@@ -59,9 +60,17 @@ def op10_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(read_table(spark, sf_dir, "documents")))
 
 
+def op11_diagonal_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_align.align_documents(read_table(spark, sf_dir, "documents"), tokenizer_file(),
+                                       public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_patience_licenses, op2_spotsigs, op3_order_minhash, op4_best_two_fit, op5_suffix_dedup,
     op6_pigeonhole_decontaminate, op7_extendible_shards, op8_boosted_quality, op9_site_lines, op10_weak_pii,
+    op11_diagonal_align,
 )}
 
 SQL = {
