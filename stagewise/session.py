@@ -100,9 +100,12 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
 def drop_materialized(df: DataFrame | None) -> None:
     """Delete the scratch folder behind a ``materialize``d frame."""
     path = getattr(df, "_stagewise_path", None) if df is not None else None
-    if not path:
-        return
-    spark = df.sparkSession
+    if path:
+        delete_folder(df.sparkSession, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all in it, in whatever store it is."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
