@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     best_fit, decontaminate, license_scan, line_dedup, order_minhash, pii, quality, sharding, spotsigs, suffix_dedup,
-    token_align,
+    token_align, warc,
 )
 from .common import read_table
 
@@ -67,13 +67,28 @@ def op11_diagonal_align(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_patience_licenses, op2_spotsigs, op3_order_minhash, op4_best_two_fit, op5_suffix_dedup,
     op6_pigeonhole_decontaminate, op7_extendible_shards, op8_boosted_quality, op9_site_lines, op10_weak_pii,
-    op11_diagonal_align,
+    op11_diagonal_align, op12_warc_revisits,
 )}
 
 SQL = {
+    "op12_warc_revisits": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+     g AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(1 + ((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT)
+                      >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM g
+""",
     "op9_site_lines": f"""
 WITH pages AS (SELECT row_number() OVER () AS r, doc_id, source, text,
                       string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
