@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    best_fit, decontaminate, license_scan, line_dedup, order_minhash, pii, quality, sharding, spotsigs, suffix_dedup,
-    token_align, warc,
+    best_fit, decontaminate, license_scan, line_dedup, maxscore, order_minhash, pii, quality, sharding, spotsigs,
+    suffix_dedup, token_align, warc,
 )
 from .common import read_table
 
@@ -71,13 +71,35 @@ def op12_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op13_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.search_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_patience_licenses, op2_spotsigs, op3_order_minhash, op4_best_two_fit, op5_suffix_dedup,
     op6_pigeonhole_decontaminate, op7_extendible_shards, op8_boosted_quality, op9_site_lines, op10_weak_pii,
-    op11_diagonal_align, op12_warc_revisits,
+    op11_diagonal_align, op12_warc_revisits, op13_block_max_search,
 )}
 
 SQL = {
+    "op13_block_max_search": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+                      lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ts FROM documents),
+     q AS (SELECT row_number() OVER () AS q, item_id,
+                  list_distinct(list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+                      lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS ts FROM benchmark),
+     qt AS (SELECT q, item_id, unnest(ts) AS t FROM q),
+     s AS (SELECT count(*) AS nn, CAST(sum(len(ts)) AS BIGINT) AS ll FROM d WHERE len(ts) > 0),
+     dt AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) GROUP BY r, t),
+     w AS (SELECT t, CAST(floor(1000 * ln((2 * nn + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+           FROM (SELECT t, count(*) AS df FROM dt GROUP BY t), s),
+     m AS (SELECT r, doc_id, 100 - 90 + (90 * len(ts) * nn) // ll AS m FROM d, s WHERE len(ts) > 0),
+     sc AS (SELECT q, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+            FROM qt JOIN w USING (t) JOIN dt USING (t) JOIN m USING (r) GROUP BY q, item_id, r, doc_id),
+     k AS (SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INT) AS rank FROM sc WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+""",
     "op12_warc_revisits": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
      g AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p)
