@@ -35,7 +35,7 @@ def test_stages_in_order(spark):
 
 def test_run_and_registration(spark):
     q = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {k.split("_")[0] + "_" for k in q if k.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {k.split("_")[0] + "_" for k in q if k.startswith("op")}
     assert q["pipeline"] is corpus_pipeline.run
     assert corpus_pipeline.run(spark, SF).count() > 0
 
