@@ -256,12 +256,18 @@ def insert_only(target: DataFrame, source: DataFrame, on: Sequence[str],
     return merge(target, source, on, None, Insert(values), **kw)
 
 
-def dedupe_latest(df: DataFrame, on: Sequence[str], order_by: str) -> DataFrame:
+def dedupe_latest(df: DataFrame, on: Sequence[str], order_by: str | None = None) -> DataFrame:
     """Keep one row per key: the one with the greatest ``order_by``.
 
-    ``max_by`` over a struct of the row is an ordinary aggregate with a
-    partial (map-side) phase, so a hot key is reduced before the shuffle
-    instead of being sorted in one window partition."""
-    cols = df.columns
-    r = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order_by)).alias("__r")
-    return df.groupBy(*on).agg(r).select(*[F.col(f"__r.{c}").alias(c) for c in cols])
+    A NULL ``order_by`` comes after all others, equal ones fall to the greatest
+    row by its columns in order, as they all do without ``order_by``. A row with a
+    NULL in its key equals no other and stays. All columns must be orderable.
+
+    The maximum of a struct is an ordinary aggregate with a partial (map-side)
+    phase, so a hot key is reduced before the shuffle instead of being sorted in
+    one window partition."""
+    keys, nullk = list(on), _any_null(on)
+    order = [] if order_by is None else [F.col(order_by).isNotNull().alias("a"), F.col(order_by).alias("b")]
+    best = F.max(F.struct(*order, F.struct(*[F.col(c) for c in df.columns]).alias("row"))).alias("__r")
+    kept = df.filter(~nullk).groupBy(*keys).agg(best).select("__r.row.*")
+    return kept.unionByName(df.filter(nullk))

@@ -19,6 +19,10 @@ drop. Two modes:
   Loading batch 1 then batch 2 gives the same per-client table as one load of
   the latest row per key.
 
+A run reads each landing file once: ``staged_drop`` writes its text and typed values
+to the shared scratch folder, split by bucket, and bronze, silver, gold and the
+rejects are all made from that copy, so a file that lands meanwhile waits for the next run.
+
 Rows with a NULL key match nothing, so MERGE inserts them again on every run of
 their drop; ``null_keys='drop'`` leaves them out. ``dedupe=True`` keeps one row
 of a drop's repeated keys, on which a MERGE otherwise fails.
@@ -27,6 +31,8 @@ of a drop's repeated keys, on which a MERGE otherwise fails.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,9 +40,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.exprs import timestamp_value
-from ..functions.parse import conform
-from ..functions.quality import reject_counts
-from ..operators.merge import Insert, Update, changed_condition
+from ..functions.parse import conform, typed
+from ..operators.merge import Insert, Update, changed_condition, dedupe_latest
 from ..schemas import (
     CATALOG_ATTRS,
     CLIENTS_BRONZE_KEYS,
@@ -90,37 +95,66 @@ class Layers:
         return f"{getattr(self, layer).rstrip('/')}/{name}"
 
 
-def read_drop(spark: SparkSession, layers: Layers, name: str, load_ts, dedupe: bool = False) -> DataFrame:
-    """The landing drop of one file, stamped; ``dedupe`` keeps of each key the row
-    that is greatest by its columns in order."""
-    cols, keys, _ = FILES[name]
-    rows = read_landing(spark, layers.landing, name, cols)
+#: Landing file -> its written copy: ``raw`` and ``typed`` (structs), MALFORMED and the bucket.
+Drop = dict[str, DataFrame]
+
+
+@contextmanager
+def staged_drop(spark: SparkSession, layers: Layers, given: Drop | None = None) -> Iterator[Drop]:
+    """The landing drop, each file parsed once and written; removed at the end.
+    ``given`` passes an already staged drop through, which stays its owner's."""
+    if given is not None:
+        yield given
+        return
+    drop: Drop = {}
+    try:
+        for name, (cols, keys, spec) in FILES.items():
+            rows = read_landing(spark, layers.landing, name, cols, malformed=MALFORMED)
+            raw = F.struct(*[F.col(c) for c in cols]).alias("raw")
+            casts = F.struct(*[typed(rows, src, to).alias(dst) for src, (dst, to) in spec.items() if src in cols])
+            bucket = bucket_expr([keys[0]], layers.buckets, cols).alias(BUCKET)
+            drop[name] = materialize(rows.select(raw, casts.alias("typed"), MALFORMED, bucket), "drop")
+        yield drop
+    finally:
+        for staged in drop.values():
+            drop_materialized(staged)
+
+
+def drop_rows(drop: Drop, name: str, load_ts, dedupe: bool = False, view: str = "raw") -> DataFrame:
+    """A staged file's ``raw`` (bronze) or ``typed`` (silver) rows, stamped. ``dedupe`` keeps of
+    each key the row whose text is greatest by its columns in order; rows with a NULL key all stay."""
+    cols, keys, spec = FILES[name]
+    rows = drop[name]
     if dedupe:
-        r = F.max(F.struct(*cols)).alias("r")
-        rows = rows.groupBy(*keys).agg(r).select(*[F.col(f"r.{c}").alias(c) for c in cols])
-    return with_load_ts(rows, LOAD_TS_COLUMN, load_ts)
+        wide = rows.select("raw.*", F.struct("raw", "typed").alias("__both"))
+        rows = dedupe_latest(wide, keys).select("__both.*")
+    stamp = LOAD_TS_COLUMN if view == "raw" else spec[LOAD_TS_COLUMN][0]
+    return with_load_ts(rows.select(f"{view}.*", *([] if dedupe else [BUCKET])), stamp, load_ts)
 
 
-def load_bronze(spark: SparkSession, layers: Layers, load_ts, dedupe: bool = False, null_keys: str = "insert") -> None:
-    """Landing CSV -> bronze, create-or-merge (update-all / insert-all)."""
-    for name, (_, keys, _) in FILES.items():
-        create_or_merge(spark, layers.table("bronze", name), read_drop(spark, layers, name, load_ts, dedupe), list(keys),
-                        buckets=layers.buckets, bucket_by=[keys[0]], null_keys=null_keys)
+def load_bronze(spark: SparkSession, layers: Layers, load_ts, dedupe: bool = False, null_keys: str = "insert",
+                drop: Drop | None = None) -> None:
+    """Landing drop -> bronze, create-or-merge (update-all / insert-all)."""
+    with staged_drop(spark, layers, drop) as staged:
+        for name, (_, keys, _) in FILES.items():
+            create_or_merge(spark, layers.table("bronze", name), drop_rows(staged, name, load_ts, dedupe), list(keys),
+                            buckets=layers.buckets, bucket_by=[keys[0]], null_keys=null_keys)
 
 
-def _conformed(spark: SparkSession, layers: Layers, name: str, load_ts, change: str, dedupe: bool) -> DataFrame:
+def _conformed(spark: SparkSession, layers: Layers, name: str, load_ts, change: str, dedupe: bool, drop: Drop) -> DataFrame:
     """Typed rows for silver: all of bronze in strict mode, else the drop's, which
     are what the update-all MERGE has just put into bronze."""
     if change == "strict":
-        rows = read_table(spark, layers.table("bronze", name))
-    else:
-        rows = read_drop(spark, layers, name, load_ts, dedupe)
-    return conform(rows, FILES[name][2])
+        return conform(read_table(spark, layers.table("bronze", name)), FILES[name][2])
+    return drop_rows(drop, name, load_ts, dedupe, "typed")
 
 
 def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "null_safe",
-                dedupe: bool = False, null_keys: str = "insert") -> None:
-    """The drop's rows -> conformed -> silver funnel and catalog."""
+                dedupe: bool = False, null_keys: str = "insert", drop: Drop | None = None) -> None:
+    """The drop's typed rows -> silver funnel and catalog."""
+    if drop is None:
+        with staged_drop(spark, layers) as staged:
+            return load_silver(spark, layers, load_ts, change, dedupe, null_keys, staged)
     now = timestamp_value(load_ts)
     funnel_root, catalog_root = layers.table("silver", "users_funnel"), layers.table("silver", "catalog")
     ensure_table(spark, funnel_root, SILVER_FUNNEL)
@@ -134,12 +168,12 @@ def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "nul
         cmp = ["app", "register_date", "complete_process"]
         upd = Update({**{c: F.col(f"s.{c}") for c in cmp}, "ingestion_date": now},
                      changed_condition(cmp, change))
-    merge_into(spark, funnel_root, _conformed(spark, layers, FUNNEL_FILE, load_ts, change, dedupe), FUNNEL_KEYS, upd,
+    merge_into(spark, funnel_root, _conformed(spark, layers, FUNNEL_FILE, load_ts, change, dedupe, drop), FUNNEL_KEYS, upd,
                Insert(values), schema=SILVER_FUNNEL, **layout)
 
     attrs = list(CATALOG_ATTRS)
     merge_into(
-        spark, catalog_root, _conformed(spark, layers, CLIENTS_FILE, load_ts, change, dedupe), ["client_id"],
+        spark, catalog_root, _conformed(spark, layers, CLIENTS_FILE, load_ts, change, dedupe, drop), ["client_id"],
         Update({**{c: F.col(f"s.{c}") for c in attrs}, "ingestion_date": F.col("s.ingestion_date"),
                 "update_date": now}, changed_condition(attrs, change)),
         Insert({**{c: F.col(f"s.{c}") for c in ["client_id", *attrs, "ingestion_date"]}, "update_date": "Null"}),
@@ -147,8 +181,11 @@ def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "nul
     )
 
 
-def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_safe") -> None:
+def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_safe", drop: Drop | None = None) -> None:
     """Silver -> gold clients_funnel (J1 + flag) and the per-client pivot."""
+    if drop is None and change != "strict":
+        with staged_drop(spark, layers) as staged:
+            return load_gold(spark, layers, load_ts, change, staged)
     now = timestamp_value(load_ts)
     cf_root, pv_root = layers.table("gold", "clients_funnel"), layers.table("gold", "pv_clients_stage")
     ensure_table(spark, cf_root, GOLD_CLIENTS_FUNNEL)
@@ -170,9 +207,8 @@ def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_
                    Update(pv_set, changed_condition(PV_COMPARED, "strict")), pv_insert, schema=GOLD_PIVOT, **layout)
         return
 
-    ids = [conform(read_drop(spark, layers, name, load_ts), FILES[name][2]).select("client_id") for name in FILES]
-    ids = ids[0].unionByName(ids[1]).dropna().distinct()
-    touched = materialize(ids.withColumn(BUCKET, bucket_expr(["client_id"], layers.buckets)), "touched")
+    ids = [drop[name].select("typed.client_id", BUCKET) for name in FILES]
+    touched = materialize(ids[0].unionByName(ids[1]).dropna().distinct(), "touched")
     try:
         b = touched_buckets(touched)
         f_t = silver("users_funnel", SILVER_FUNNEL, b).join(touched, "client_id", "left_semi")
@@ -189,26 +225,28 @@ def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_
         drop_materialized(touched)
 
 
-def load_rejects(spark: SparkSession, layers: Layers) -> DataFrame:
+def load_rejects(spark: SparkSession, layers: Layers, drop: Drop | None = None) -> DataFrame:
     """Per file and typed column of the landing drop, how many values are
     there as text but don't parse: ``(file, column, rows, rejected)``. The row
-    of column ``(line)`` counts lines with too few or too many fields."""
-    parts = []
-    for name, (cols, _, spec) in FILES.items():
-        drop = read_landing(spark, layers.landing, name, cols, malformed=MALFORMED)
-        counts = reject_counts(drop, {src: to for src, to in spec.items() if src in cols}, MALFORMED)
-        typed = [c for c in counts.columns if c != "rows"]
-        each = F.explode(F.array(*[F.struct(F.lit(c.removeprefix("rejected_")).alias("column"), F.col(c).alias("rejected"))
-                                   for c in typed])).alias("x")
-        parts.append(counts.select("rows", each).select(F.lit(name).alias("file"), "x.column", "rows", "x.rejected"))
-    return parts[0].unionByName(parts[1])
+    of column ``(line)`` counts lines with too few or too many fields. A few rows,
+    counted now and written, so they stay those of this drop."""
+    with staged_drop(spark, layers, drop) as staged:
+        parts = []
+        for name, (cols, _, spec) in FILES.items():
+            bad = {to: F.col(f"raw.{src}").isNotNull() & F.col(f"typed.{to}").isNull()
+                   for src, (to, kind) in spec.items() if src in cols and kind != "string"}
+            bad["(line)"] = F.col(MALFORMED).isNotNull()
+            counts = staged[name].agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.when(c, 1)).alias(to) for to, c in bad.items()])
+            each = F.explode(F.array(*[F.struct(F.lit(to).alias("column"), F.col(f"`{to}`").alias("rejected")) for to in bad]))
+            parts.append(counts.select("rows", each.alias("x")).select(F.lit(name).alias("file"), "x.column", "rows", "x.rejected"))
+        return materialize(parts[0].unionByName(parts[1]), "rejects")
 
 
 def run_batch(spark: SparkSession, layers: Layers, load_ts: str | _dt.datetime, change: str = "null_safe",
               dedupe: bool = False, null_keys: str = "insert") -> DataFrame:
-    """One scheduled run over the current landing drop (X6); returns its rejects
-    (``load_rejects``, computed when it is used)."""
-    load_bronze(spark, layers, load_ts, dedupe, null_keys)
-    load_silver(spark, layers, load_ts, change, dedupe, null_keys)
-    load_gold(spark, layers, load_ts, change)
-    return load_rejects(spark, layers)
+    """One scheduled run over the current landing drop (X6); returns its rejects (``load_rejects``)."""
+    with staged_drop(spark, layers) as drop:
+        load_bronze(spark, layers, load_ts, dedupe, null_keys, drop)
+        load_silver(spark, layers, load_ts, change, dedupe, null_keys, drop)
+        load_gold(spark, layers, load_ts, change, drop)
+        return load_rejects(spark, layers, drop)

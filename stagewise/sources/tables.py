@@ -105,11 +105,17 @@ def merge_into(
     (some of ``on``; default all of it).
 
     The source is written once to the shared scratch folder, so every pass
-    reads the same rows; it is removed whether the merge succeeds or not."""
+    reads the same rows; it is removed whether the merge succeeds or not. A
+    source that already has the table's bucket column is taken to be written (a
+    staged drop) and is left to its owner."""
     if when_matched is None and when_not_matched is None:
         return
     keys = list(bucket_by or on)
-    staged = materialize(source.withColumn(BUCKET, bucket_expr(keys, buckets, source.columns)), "merge-source")
+    own = None
+    if BUCKET in source.columns:
+        staged = source
+    else:
+        staged = own = materialize(source.withColumn(BUCKET, bucket_expr(keys, buckets, source.columns)), "merge-source")
     try:
         touched = touched_buckets(staged)
         if not touched:
@@ -122,7 +128,7 @@ def merge_into(
             mode = "overwrite"
         _write(out.withColumn(BUCKET, bucket_expr(keys, buckets, out.columns)), root, mode, "dynamic")
     finally:
-        drop_materialized(staged)
+        drop_materialized(own)
 
 
 def create_or_merge(
@@ -141,13 +147,14 @@ def create_or_merge(
     (default update-all / insert-all, M1) into a table of the source's schema.
 
     ``dedupe_by`` keeps one source row per key, the one with the greatest
-    value of that column (T7: by default duplicate keys in a first load
-    are kept, and a later updating MERGE then raises)."""
+    value of that column (``dedupe_latest``; T7: by default duplicate keys in a
+    first load are kept, and a later updating MERGE then raises)."""
     if dedupe_by is not None:
-        source = dedupe_latest(source, on, dedupe_by)
+        source = dedupe_latest(source.drop(BUCKET), on, dedupe_by)
     if table_exists(spark, root):
-        merge_into(spark, root, source, on, when_matched, when_not_matched, source.schema, buckets, bucket_by, **kw)
+        merge_into(spark, root, source, on, when_matched, when_not_matched, source.drop(BUCKET).schema, buckets, bucket_by, **kw)
         return
+    source = source.drop(BUCKET)
     null_keys = kw.get("null_keys", "insert")
     if null_keys != "insert":
         nullk = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
