@@ -343,3 +343,69 @@ SQL["funnel_rollup_state"] = SQL["funnel_state"]
 SQL["funnel_rollup_conversion_by_age"] = SQL["conversion_by_age"]
 SQL["empty_table_first_merge"] = BASE + f"""SELECT client_id, app, stage, register_date, complete_process,
   TIMESTAMP '{TS1}' AS ingestion_date FROM funnel"""
+
+# --- Operators over time -------------------------------------------------------
+
+SQL["dedupe_latest"] = BASE + f""", ev AS (SELECT client_id, app, {STAGE_CASE} AS stage,
+  CASE WHEN day(register_date) <> 13 THEN register_date END AS register_date, complete_process FROM funnel),
+r AS (SELECT *, row_number() OVER (PARTITION BY client_id, stage
+  ORDER BY register_date DESC NULLS LAST, app DESC, complete_process DESC) AS n FROM ev WHERE stage IS NOT NULL)
+SELECT client_id, app, stage, register_date, complete_process FROM r WHERE n = 1
+UNION ALL SELECT client_id, app, stage, register_date, complete_process FROM ev WHERE stage IS NULL"""
+
+POSITION = """CASE stage WHEN 'Introduccion' THEN 0 WHEN 'Solicitud de datos' THEN 1 WHEN 'Validacion de datos' THEN 2
+  WHEN 'Reconocimiento facial' THEN 3 WHEN 'Firma' THEN 4 WHEN 'Confirmacion de datos' THEN 5 END"""
+
+
+def _ordered_funnel_sql(src: str, by: str, within: int | None) -> str:
+    """Depth of every start (each day of the first stage), earliest next stage each; a client's depth is the best of them."""
+    limit = "" if within is None else f" AND e.day <= s.d0 + {within}"
+    keys = f"{by}, client_id" if by else "client_id"
+    steps = [f"s0 AS (SELECT DISTINCT {keys}, day AS d0, day AS at, 1 AS depth FROM ev WHERE pos = 0)"]
+    on = " AND ".join(f"e.{k.strip()} IS NOT DISTINCT FROM s.{k.strip()}" for k in keys.split(","))
+    for i in range(1, 6):
+        cols = ", ".join(f"s.{k.strip()}" for k in keys.split(","))
+        steps.append(f"s{i} AS (SELECT {cols}, s.d0, MIN(e.day) AS at, {i + 1} AS depth FROM s{i - 1} s JOIN ev e ON {on} "
+                     f"AND e.pos = {i} AND e.day >= s.at{limit} GROUP BY {cols}, s.d0)")
+    every = " UNION ALL ".join(f"SELECT {keys}, depth FROM s{i}" for i in range(6))
+    counts = ", ".join(f"COUNT(CASE WHEN depth > {i} THEN 1 END) AS {c}" for i, c in enumerate(("TI", "TSD", "TVD", "TRF", "TF", "TCD")))
+    return BASE + f""", ev AS (SELECT DISTINCT {keys}, register_date AS day, {POSITION} AS pos FROM {src}
+  WHERE register_date IS NOT NULL AND {POSITION} IS NOT NULL),
+{", ".join(steps)},
+best AS (SELECT {keys}, MAX(depth) AS depth FROM (SELECT DISTINCT {keys}, 0 AS depth FROM ev UNION ALL {every}) GROUP BY {keys})
+SELECT {by + ", " if by else ""}{counts} FROM best {"GROUP BY " + by if by else ""}"""
+
+
+SQL["ordered_funnel_state"] = _ordered_funnel_sql("joined", "state", 365)
+SQL["ordered_funnel_global"] = _ordered_funnel_sql("funnel", "", None)
+
+_GROW = """l{n} AS (SELECT l.client_id, l.path || '>' || s.code AS path, MIN(s.k) AS k FROM l{m} l
+  JOIN seq s ON s.client_id = l.client_id AND s.k > l.k GROUP BY 1, 2)"""
+SQL["frequent_paths"] = BASE + f""", ev AS (SELECT DISTINCT client_id, register_date AS day, {POSITION} AS pos FROM funnel
+  WHERE register_date IS NOT NULL AND {POSITION} IS NOT NULL),
+seq AS (SELECT client_id, code, row_number() OVER (PARTITION BY client_id ORDER BY day, ev.pos) AS k
+  FROM ev JOIN {CODES} ON codes.pos = ev.pos + 1),
+total AS (SELECT COUNT(DISTINCT client_id) AS n FROM ev),
+l1 AS (SELECT client_id, code AS path, MIN(k) AS k FROM seq GROUP BY 1, 2),
+{_GROW.format(n=2, m=1)}, {_GROW.format(n=3, m=2)}, {_GROW.format(n=4, m=3)},
+found AS (SELECT 1 AS length, * FROM l1 UNION ALL SELECT 2, * FROM l2 UNION ALL SELECT 3, * FROM l3 UNION ALL SELECT 4, * FROM l4)
+SELECT path, CAST(length AS INT) AS length, COUNT(*) AS clients, COUNT(*) / CAST(MAX(n) AS DOUBLE) AS support
+FROM found, total GROUP BY path, length HAVING COUNT(*) >= MAX(n) * CAST(0.1 AS DOUBLE)"""
+
+HISTORY = BASE + """, changes AS (
+  SELECT CAST(o_custkey + 9950 AS VARCHAR) AS client_id, CAST(o_orderdate AS DATE) AS changed_on,
+    CASE WHEN o_orderkey % 10 <> 0 THEN CONCAT('c', CAST(o_custkey AS VARCHAR), '.', CAST(o_orderkey % 3 AS VARCHAR), '@example.com') END AS email,
+    n_name AS state, o_orderkey AS load_no
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON n_nationkey = (c_nationkey + (o_orderkey // 5) % 4) % 25
+  WHERE o_orderkey % 5 = 0),
+h AS (SELECT client_id, email, state, load_no, changed_on AS valid_from,
+    LEAD(changed_on) OVER (PARTITION BY client_id ORDER BY changed_on) AS valid_to
+  FROM (SELECT *, row_number() OVER (PARTITION BY client_id, changed_on ORDER BY load_no DESC) AS n FROM changes) WHERE n = 1)
+"""
+SQL["catalog_history"] = HISTORY + "SELECT * FROM h"
+SQL["catalog_history_collapsed"] = HISTORY + """, e AS (SELECT client_id, state, valid_from FROM (
+    SELECT *, LAG(state) OVER (PARTITION BY client_id ORDER BY valid_from) AS before FROM h) WHERE before IS DISTINCT FROM state),
+s AS (SELECT client_id, state, valid_from, LEAD(valid_from) OVER (PARTITION BY client_id ORDER BY valid_from) AS valid_to FROM e)
+SELECT *, valid_to IS NULL AS is_current FROM s"""
+SQL["events_as_of"] = HISTORY + """SELECT f.*, h.email, h.state FROM funnel f LEFT JOIN h
+  ON h.client_id = f.client_id AND h.valid_from <= f.register_date AND (h.valid_to IS NULL OR f.register_date < h.valid_to)"""

@@ -151,3 +151,18 @@ def clients_batch(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
         .alias("age"),
         "state",
     )
+
+
+@memo_view
+def catalog_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dated observations of clients' attributes, from every fifth order: client_id, changed_on,
+    email (some NULL), state (a nation near the customer's), load_no (the order key)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    k = F.col("o_orderkey")
+    moved = o.where(k % 5 == 0).join(c, F.col("o_custkey") == F.col("c_custkey"))
+    email = F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("."), (k % 3).cast("string"), F.lit("@example.com"))
+    return moved.join(n, (F.col("c_nationkey") + (k / 5).cast("bigint") % 4) % 25 == F.col("n_nationkey")).select(
+        _client_id(F.col("o_custkey")).alias("client_id"), F.col("o_orderdate").cast("date").alias("changed_on"),
+        F.when(k % 10 != 0, email).alias("email"), F.col("n_name").alias("state"), k.alias("load_no"))
