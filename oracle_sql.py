@@ -409,3 +409,33 @@ s AS (SELECT client_id, state, valid_from, LEAD(valid_from) OVER (PARTITION BY c
 SELECT *, valid_to IS NULL AS is_current FROM s"""
 SQL["events_as_of"] = HISTORY + """SELECT f.*, h.email, h.state FROM funnel f LEFT JOIN h
   ON h.client_id = f.client_id AND h.valid_from <= f.register_date AND (h.valid_to IS NULL OR f.register_date < h.valid_to)"""
+
+# --- Reports kept up from changes: recomputed from all drops so far ----------------
+
+def _report_sums(drop: int) -> str:
+    rows = " UNION ALL ".join(f"SELECT *, {d} AS d FROM fd WHERE part = {d - 1}" for d in range(1, drop + 1))
+    cat = " UNION ALL ".join(
+        f"""SELECT CAST(c_custkey + 9950 AS VARCHAR) AS client_id, n_name AS state, {d} AS d,
+          CAST(CASE WHEN c_custkey % 23 <> 0 THEN 16 + (c_custkey * 7) % 50 + CASE WHEN c_custkey % 3 = 0 THEN {d} ELSE 0 END END AS INT) AS age
+        FROM customer JOIN nation ON n_nationkey = (c_nationkey + CASE WHEN c_custkey % 3 = 0 THEN {d} ELSE 0 END) % 25
+        WHERE c_custkey % 17 <> 0 AND ({d} = 1 OR (c_custkey + {d}) % 2 = 0)""" for d in range(1, drop + 1))
+    stages = ("introduction", "data_request", "data_validation", "facial_recognition", "signature", "data_confirmation")
+    codes = ("TI", "TSD", "TVD", "TRF", "TF", "TCD")
+    left = ", ".join(
+        "COUNT(CASE WHEN " + " AND ".join(([f"{s} IS NOT NULL"] if i else []) + [f"{x} IS NULL" for x in stages[i + 1:]]) + f" THEN 1 END) AS left_{c}"
+        for i, (s, c) in enumerate(zip(stages, codes)))
+    gaps = ", ".join(
+        f"COUNT({e} - {b}) AS {n}_n, CAST(COALESCE(SUM(date_diff('day', {b}, {e})), 0) AS BIGINT) AS {n}_sum"
+        for n, b, e in [("days", stages[0], stages[-1]), *[(f"gap{i}", stages[i], stages[i + 1]) for i in range(5)]])
+    return f"""SELECT * FROM (WITH f AS (SELECT * FROM ({rows}) r QUALIFY row_number() OVER (PARTITION BY client_id, stage ORDER BY d DESC) = 1),
+  c AS (SELECT * FROM ({cat}) r QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY d DESC) = 1),
+  p AS (SELECT client_id, COALESCE(MAX(complete_process) FILTER (WHERE complete_process IN (0, 1)), MAX(complete_process)) AS complete_process,
+    {", ".join(f"MIN(CASE WHEN {POSITION} = {i} THEN register_date END) AS {s}" for i, s in enumerate(stages))} FROM f GROUP BY client_id)
+  SELECT {drop} AS "drop", state, {AGE_GROUP} AS Age_group, complete_process, {REACHED}, {left}, {gaps}
+  FROM p JOIN c ON p.client_id = c.client_id GROUP BY state, Age_group, complete_process)"""
+
+
+SQL["reports_kept_up"] = f"""WITH ev AS (SELECT *, (o_orderkey // 7) % 4 AS part FROM ({FUNNEL_EVENTS.replace("o_orderdate" + chr(10) + "FROM", "o_orderkey" + chr(10) + "FROM")})),
+fd AS (SELECT client_id, app, stage, complete_process, part, MIN(register_date) AS register_date FROM ev
+       GROUP BY client_id, app, stage, complete_process, part)
+""" + " UNION ALL ".join(_report_sums(d) for d in range(1, 5))

@@ -69,7 +69,7 @@ def abandonment(df: DataFrame, stages: Sequence[Stage] = STAGES, complete_col: s
     return df.filter(F.col(complete_col) == 0).agg(*furthest_exprs(stages))
 
 
-def _rows(ids: Sequence[str], fields: Sequence[Sequence[tuple[str, Column]]]) -> list[Column]:
+def report_rows(ids: Sequence[str], fields: Sequence[Sequence[tuple[str, Column]]]) -> list[Column]:
     """``ids`` + ``inline(array(struct(...), ...))``: one output row per
     struct, in the given order (what ``stack`` does, for mixed measures)."""
     structs = [F.struct(*[c.alias(n) for n, c in f]) for f in fields]
@@ -107,7 +107,7 @@ def conversion_global_from_counts(counts: DataFrame, stages: Sequence[Stage] = S
          ("Percentage_conversion", pct(F.col(s.code), F.col(first)))]
         for s in stages
     ]
-    return counts.select(*_rows((), fields))
+    return counts.select(*report_rows((), fields))
 
 
 def conversion_per_state(df: DataFrame, stages: Sequence[Stage] = STAGES, state: str = "state") -> DataFrame:
@@ -126,7 +126,7 @@ def conversion_per_state_from_counts(counts: DataFrame, stages: Sequence[Stage]
          ("Percentage_conversion", pct(F.col(s.code), F.col(first)))]
         for s in stages
     ]
-    return counts.filter(F.col(state).isNotNull()).select(*_rows([state], fields))
+    return counts.filter(F.col(state).isNotNull()).select(*report_rows([state], fields))
 
 
 def conversion_by_group(
@@ -154,7 +154,7 @@ def conversion_by_group_from_counts(counts: DataFrame, group: str = "Age_group",
          ("Percentage_conversion", pct(F.col(s.code), F.col("Total_TI")))]
         for s in stages
     ]
-    return counts.select(*_rows([state, group], fields))
+    return counts.select(*report_rows([state, group], fields))
 
 
 def conversion_by_age(df: DataFrame, stages: Sequence[Stage] = STAGES, age: str = "age",
@@ -186,7 +186,7 @@ def dropoff(df: DataFrame, by: Sequence[str] = (), stages: Sequence[Stage] = STA
             ("reached_from", F.col(a.code)), ("reached_to", F.col(b.code)),
             ("lost", lost), ("pct_lost", pct(lost, F.col(a.code))),
         ])
-    return counts.select(*_rows(list(by), fields))
+    return counts.select(*report_rows(list(by), fields))
 
 
 def avg_days_per_stage(df: DataFrame, by: Sequence[str] = (), stages: Sequence[Stage] = STAGES) -> DataFrame:
@@ -202,7 +202,7 @@ def avg_days_per_stage(df: DataFrame, by: Sequence[str] = (), stages: Sequence[S
             ("n_clients", F.col(f"n{i}")), ("avg_days", F.col(f"d{i}")),
         ])
     counts = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    return counts.select(*_rows(list(by), fields))
+    return counts.select(*report_rows(list(by), fields))
 
 
 def top_abandoned_stage(df: DataFrame, stages: Sequence[Stage] = STAGES, complete_col: str = "complete_process") -> DataFrame:

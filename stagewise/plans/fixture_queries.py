@@ -414,15 +414,18 @@ QUERIES.update({
 def _drop_batch(spark, sf_dir, batch, landing_root, catalog_changes=True):
     """Write one landing drop (funnel + catalog, Spanish headers, text).
     Without ``catalog_changes`` every drop carries the same full catalog."""
-    f = fx.funnel_batch(spark, sf_dir, batch).select(
+    write_drop(fx.funnel_batch(spark, sf_dir, batch),
+               fx.clients_batch(spark, sf_dir, batch) if catalog_changes else fx.clients(spark, sf_dir), landing_root)
+
+
+def write_drop(funnel: DataFrame, catalog: DataFrame, landing_root: str) -> None:
+    """Typed rows as the two landing files of a drop."""
+    write_landing(funnel.select(
         F.col("client_id").alias("ID_cliente"), F.col("app").alias("App"), "stage",
-        F.col("register_date").alias("date"), F.col("complete_process").alias("Proceso_completo"))
-    cat = fx.clients_batch(spark, sf_dir, batch) if catalog_changes else fx.clients(spark, sf_dir)
-    c = cat.select(
+        F.col("register_date").alias("date"), F.col("complete_process").alias("Proceso_completo")), landing_root, FUNNEL_FILE)
+    write_landing(catalog.select(
         F.col("client_id").alias("ID_cliente"), F.col("name").alias("Nombre"), F.col("email").alias("Correo"),
-        F.col("age").alias("Edad"), F.col("state").alias("Estado"))
-    write_landing(f, landing_root, FUNNEL_FILE)
-    write_landing(c, landing_root, CLIENTS_FILE)
+        F.col("age").alias("Edad"), F.col("state").alias("Estado")), landing_root, CLIENTS_FILE)
 
 
 def run_two_batches(spark, sf_dir, change="null_safe", catalog_changes=True, buckets=INCREMENTAL_BUCKETS,

@@ -41,7 +41,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.exprs import timestamp_value
 from ..functions.parse import conform, typed
-from ..operators.merge import Insert, Update, changed_condition, dedupe_latest
+from ..operators.merge import Insert, Update, changed_condition, dedupe_latest, merge
 from ..schemas import (
     CATALOG_ATTRS,
     CLIENTS_BRONZE_KEYS,
@@ -65,6 +65,7 @@ from ..sources.tables import (
     BUCKET, BUCKETS, bucket_expr, create_or_merge, ensure_table, merge_into, read_table, touched_buckets,
 )
 from . import gold
+from .report_state import ReportState
 
 FUNNEL_KEYS = ["client_id", "stage"]
 #: Landing file -> its columns, bronze keys and silver names and types.
@@ -83,13 +84,15 @@ class Layers:
     ``buckets``: every table is split by its client id into this many hash
     buckets, and a load reads and rewrites only those of its clients. It belongs
     to the tables: keep it for as long as they live, and size it so that a bucket
-    is a few hundred MB."""
+    is a few hundred MB. ``reports``: root of the stored report sums (``report_state``),
+    which runs in ``null_safe`` mode then keep up; None keeps none."""
 
     landing: str
     bronze: str
     silver: str
     gold: str
     buckets: int = BUCKETS
+    reports: str | None = None
 
     def table(self, layer: str, name: str) -> str:
         return f"{getattr(self, layer).rstrip('/')}/{name}"
@@ -219,12 +222,23 @@ def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_
                           changed_condition(cf_cmp, change)),
                    Insert(cf_values), schema=GOLD_CLIENTS_FUNNEL, **layout)
         # The merge's ambiguity check guarantees one source row per client_id.
-        merge_into(spark, pv_root, gold.client_stage_dates_latest(f_t, catalog), ["client_id"],
-                   Update(pv_set, changed_condition(PV_COMPARED, change)), pv_insert, schema=GOLD_PIVOT, **layout)
+        dates, pv_update = gold.client_stage_dates_latest(f_t, catalog), Update(pv_set, changed_condition(PV_COMPARED, change))
+        if layers.reports is None:
+            merge_into(spark, pv_root, dates, ["client_id"], pv_update, pv_insert, schema=GOLD_PIVOT, **layout)
+        else:
+            state = report_state(spark, layers)
+            state.start()
+            old = read_table(spark, pv_root, GOLD_PIVOT, b).join(touched, "client_id", "left_semi")
+            state.apply(old, merge(old, dates, ["client_id"], pv_update, pv_insert))
     finally:
         drop_materialized(touched)
 
 
+def report_state(spark: SparkSession, layers: Layers) -> ReportState:
+    """The stored sums of the layers' per-client table."""
+    return ReportState(spark, layers.reports, layers.table("gold", "pv_clients_stage"), layers.buckets)
+
+
 def load_rejects(spark: SparkSession, layers: Layers, drop: Drop | None = None) -> DataFrame:
     """Per file and typed column of the landing drop, how many values are
     there as text but don't parse: ``(file, column, rows, rejected)``. The row

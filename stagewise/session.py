@@ -110,6 +110,17 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` that a Spark job has finished writing (they hold ``_SUCCESS``)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(root) if f.isDirectory()]
+    return sorted(n for n in names if fs.exists(hadoop.Path(f"{path}/{n}/_SUCCESS")))
+
+
 _SHIPPED: set[str] = set()
 
 

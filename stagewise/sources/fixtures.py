@@ -91,11 +91,11 @@ def _stage_label(orderkey: Column) -> Column:
 
 
 @memo_view
-def funnel_events(spark: SparkSession, sf_dir: str, with_ts: bool = False) -> DataFrame:
+def funnel_events(spark: SparkSession, sf_dir: str, with_ts: bool = False, with_key: bool = False) -> DataFrame:
     """Stage events: client_id, app, stage (source label), register_date,
     complete_process. A client reaches at most stage ``custkey % 6``;
     ``Otro`` is an unknown label; complete_process 2 is invalid.
-    ``with_ts`` keeps ``o_orderdate`` for batch splitting."""
+    ``with_ts`` keeps ``o_orderdate`` and ``with_key`` the order key for batch splitting."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     cols = [
@@ -111,6 +111,8 @@ def funnel_events(spark: SparkSession, sf_dir: str, with_ts: bool = False) -> Da
     ]
     if with_ts:
         cols.append(F.col("o_orderdate"))
+    if with_key:
+        cols.append(ok)
     return o.filter((ok % 7 == 6) | (ok % 7 <= ck % 6)).select(*cols)
 
 
@@ -166,3 +168,31 @@ def catalog_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moved.join(n, (F.col("c_nationkey") + (k / 5).cast("bigint") % 4) % 25 == F.col("n_nationkey")).select(
         _client_id(F.col("o_custkey")).alias("client_id"), F.col("o_orderdate").cast("date").alias("changed_on"),
         F.when(k % 10 != 0, email).alias("email"), F.col("n_name").alias("state"), k.alias("load_no"))
+
+
+#: Drops of the landing area that the reports are kept up from.
+DROPS = 4
+
+
+@memo_view
+def funnel_drop(spark: SparkSession, sf_dir: str, drop: int) -> DataFrame:
+    """Drop 1 to DROPS: stage events dealt by order key, so dates of all years come in each drop and
+    later ones bring earlier dates; one row per client and stage with the earliest date of the drop."""
+    ev = funnel_events(spark, sf_dir, with_key=True).where(F.floor(F.col("o_orderkey") / 7) % DROPS == drop - 1)
+    return ev.groupBy("client_id", "app", "stage", "complete_process").agg(F.min("register_date").alias("register_date")).select(
+        "client_id", "app", "stage", "register_date", "complete_process")
+
+
+@memo_view
+def clients_drop(spark: SparkSession, sf_dir: str, drop: int) -> DataFrame:
+    """Catalog of a drop: half of the customers each time (``(custkey + drop) % 2``, all in the first), a third of
+    which have moved on by ``drop`` nations and grown older by ``drop``."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    k = F.col("c_custkey")
+    here = c.where((k % 17 != 0) & ((F.lit(drop) == 1) | ((k + drop) % 2 == 0)))
+    moved = F.when(k % 3 == 0, F.lit(drop)).otherwise(0)
+    age = F.when(k % 23 != 0, 16 + (k * 7) % 50 + moved).cast("int")
+    return here.join(n, (F.col("c_nationkey") + moved) % 25 == F.col("n_nationkey")).select(
+        _client_id(k).alias("client_id"), F.col("c_name").alias("name"),
+        F.concat(F.lit("c"), k.cast("string"), F.lit("@example.com")).alias("email"), age.alias("age"), F.col("n_name").alias("state"))
