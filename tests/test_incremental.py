@@ -10,6 +10,7 @@ from oracle_sql import SQL
 from stagewise.operators.merge import AmbiguousMergeError
 from stagewise.plans import fixture_queries as fq
 from stagewise.plans.incremental import Layers, load_rejects, run_batch
+from stagewise.sources.landing import read_landing
 from stagewise.sources.tables import read_table
 
 from .conftest import SF_SMALL
@@ -190,3 +191,38 @@ def test_lines_with_too_few_or_too_many_fields_are_counted(spark, tmp_path):
     _csv(f"{tmp_path}/clientes.csv", CLIENTS_CSV)
     got = {(r.file, r.column): (r.rows, r.rejected) for r in load_rejects(spark, layers).collect()}
     assert got["usuarios_banco_con_funnel", "(line)"] == (14, 2) and got["clientes", "(line)"] == (8, 0)
+
+
+def test_a_run_reads_each_landing_file_once(spark, tmp_path, monkeypatch):
+    """The files are gone once they are staged, and the run is none the worse for it."""
+    import shutil
+
+    from stagewise.plans import incremental
+
+    layers = Layers(f"{tmp_path}/landing", f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/gold", buckets=4)
+    _csv(f"{layers.landing}/usuarios_banco_con_funnel.csv", FUNNEL_CSV)
+    _csv(f"{layers.landing}/clientes.csv", CLIENTS_CSV)
+    reads, staged = [], incremental.load_bronze
+    monkeypatch.setattr(incremental, "read_landing", lambda *a, **k: reads.append(a[2]) or read_landing(*a, **k))
+
+    def bronze(*a, **k):
+        shutil.move(layers.landing, f"{tmp_path}/elsewhere")
+        return staged(*a, **k)
+
+    monkeypatch.setattr(incremental, "load_bronze", bronze)
+    rejects = {(r.file, r.column): r.rejected for r in run_batch(spark, layers, "2024-01-31 00:00:00").collect()}
+    assert sorted(reads) == ["clientes", "usuarios_banco_con_funnel"]
+    assert rejects["usuarios_banco_con_funnel", "register_date"] == 1
+    assert _pv(spark, layers).count() == 8
+    bronze_ids = sorted(str(r.ID_cliente) for r in read_table(spark, layers.table("bronze", "usuarios_banco_con_funnel")).collect())
+    silver_ids = sorted(str(r.client_id) for r in read_table(spark, layers.table("silver", "users_funnel")).collect())
+    assert bronze_ids == silver_ids and len(bronze_ids) == 12
+
+
+def test_dedupe_keeps_rows_without_a_key(spark, tmp_path):
+    layers = Layers(f"{tmp_path}/landing", f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/gold", buckets=4)
+    _csv(f"{layers.landing}/usuarios_banco_con_funnel.csv", FUNNEL_CSV + ",android,Firma,2024-01-08,0\n")
+    _csv(f"{layers.landing}/clientes.csv", CLIENTS_CSV)
+    run_batch(spark, layers, "2024-01-31 00:00:00", dedupe=True)
+    rows = read_table(spark, layers.table("bronze", "usuarios_banco_con_funnel")).collect()
+    assert sum(r.ID_cliente is None for r in rows) == 2 and len(rows) == 12

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from stagewise.operators.merge import AmbiguousMergeError, Insert, Update, changed_condition, merge
+from stagewise.operators.merge import AmbiguousMergeError, Insert, Update, changed_condition, dedupe_latest, merge
 
 KEY = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"]))
 VAL = st.one_of(st.none(), st.integers(0, 2))
@@ -59,3 +59,18 @@ def test_merge_matches_model(spark, target, source, mode):
         return
     got = merge(t, s, ["k"], Update({"v": "s.v"}, changed_condition(["v"], mode)), Insert())
     assert sorted(((r.k, r.v) for r in got.collect()), key=lambda r: (str(r[0]), str(r[1]))) == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(KEY, VAL, VAL), max_size=9), ordered=st.booleans())
+def test_dedupe_latest_matches_model(spark, rows, ordered):
+    """NULL order values come last, ties fall by the whole row, rows with a NULL key all stay."""
+    rank = lambda r: tuple((v is not None, v if v is not None else 0) for v in ((r[2],) if ordered else ()) + r[1:])
+    best = {}
+    for r in rows:
+        if r[0] is not None and (r[0] not in best or rank(r) > rank(best[r[0]])):
+            best[r[0]] = r
+    want = [*best.values(), *[r for r in rows if r[0] is None]]
+    df = spark.createDataFrame(rows, "k string, v int, o int")
+    got = dedupe_latest(df, ["k"], "o" if ordered else None).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
