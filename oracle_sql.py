@@ -439,3 +439,39 @@ SQL["reports_kept_up"] = f"""WITH ev AS (SELECT *, (o_orderkey // 7) % 4 AS part
 fd AS (SELECT client_id, app, stage, complete_process, part, MIN(register_date) AS register_date FROM ev
        GROUP BY client_id, app, stage, complete_process, part)
 """ + " UNION ALL ".join(_report_sums(d) for d in range(1, 5))
+
+# --- Survival, quantiles, overlaps ---------------------------------------------
+
+SURVIVAL = BASE + """, t AS (SELECT state, COALESCE(data_confirmation <= DATE '2000-06-30', FALSE) AS seen,
+    CASE WHEN data_confirmation <= DATE '2000-06-30' THEN data_confirmation ELSE DATE '2000-06-30' END - introduction AS day FROM pv),
+g AS (SELECT state, CAST(day AS INT) AS day, COUNT(*) FILTER (WHERE seen) AS events, COUNT(*) FILTER (WHERE NOT seen) AS censored
+  FROM t WHERE day >= 0 GROUP BY ALL),
+r AS (SELECT *, CAST(SUM(events + censored) OVER (PARTITION BY state ORDER BY day DESC) AS BIGINT) AS at_risk FROM g),
+curve AS (SELECT state, day, at_risk, events, censored,
+    PRODUCT(1 - events / CAST(at_risk AS DOUBLE)) OVER w AS survival,
+    CASE WHEN PRODUCT(1 - events / CAST(at_risk AS DOUBLE)) OVER w > 0 THEN PRODUCT(1 - events / CAST(at_risk AS DOUBLE)) OVER w * SQRT(SUM(
+      CASE WHEN events < at_risk THEN events / CAST(at_risk * (at_risk - events) AS DOUBLE) ELSE 0 END) OVER w) END AS std_error
+  FROM r WINDOW w AS (PARTITION BY state ORDER BY day))
+"""
+SQL["survival_state"] = SURVIVAL + "SELECT * FROM curve"
+SQL["survival_medians"] = SURVIVAL + "SELECT state, MIN(day) FILTER (WHERE survival <= 0.75 + 1e-12) AS days FROM curve GROUP BY state"
+
+_PV1, _PV2 = (_pivot_select(f"(SELECT b.*, c.name, c.age, c.state, c.email FROM {b} b JOIN clients c ON b.client_id = c.client_id)",
+                            "client_id, complete_process, name, age, state, email, app") for b in ("b1", "b2"))
+SQL["time_quantiles"] = BATCHES + f""", both_loads AS ({_PV1} UNION ALL {_PV2}),
+gaps AS (""" + " UNION ALL ".join(
+    f"SELECT state, '{a}' AS from_stage, '{b}' AS to_stage, date_diff('day', {x}, {y}) AS days FROM both_loads" for a, b, x, y in (
+        ("TI", "TSD", "introduction", "data_request"), ("TSD", "TVD", "data_request", "data_validation"),
+        ("TVD", "TRF", "data_validation", "facial_recognition"), ("TRF", "TF", "facial_recognition", "signature"),
+        ("TF", "TCD", "signature", "data_confirmation"))) + """)
+SELECT state, from_stage, to_stage, COUNT(days) AS n, quantile_disc(days, 0.5) AS p50, quantile_disc(days, 0.9) AS p90,
+  quantile_disc(days, 0.95) AS p95 FROM gaps WHERE days IS NOT NULL GROUP BY state, from_stage, to_stage"""
+SQL["time_quantiles_sketched"] = SQL["time_quantiles"]
+SQL["stage_overlap"] = BASE + f""", cs AS (SELECT DISTINCT client_id, {POSITION} + 1 AS pos FROM funnel WHERE {POSITION} IS NOT NULL)
+SELECT a.code AS first_stage, b.code AS second_stage,
+  (SELECT COUNT(*) FROM cs WHERE pos = a.pos) AS in_first, (SELECT COUNT(*) FROM cs WHERE pos = b.pos) AS in_second,
+  (SELECT COUNT(*) FROM cs x JOIN cs y ON x.client_id = y.client_id WHERE x.pos = a.pos AND y.pos = b.pos) AS in_both,
+  (SELECT COUNT(DISTINCT client_id) FROM cs WHERE pos = a.pos OR pos = b.pos) AS in_either,
+  (SELECT COUNT(*) FROM cs x WHERE x.pos = a.pos AND NOT EXISTS (SELECT 1 FROM cs y WHERE y.client_id = x.client_id AND y.pos = b.pos)) AS first_only
+FROM {CODES.replace("codes(", "a(")} JOIN {CODES.replace("codes(", "b(")} ON a.pos < b.pos"""
+SQL["stage_overlap_sketched"] = SQL["stage_overlap"]

@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from ..operators import history as hs
 from ..operators import paths as ps
+from ..operators import sketches as sk
+from ..operators import survival as sv
 from ..operators.merge import dedupe_latest as dedupe_latest_op
 from ..operators.pivot import map_stage
 from ..session import materialize, scratch_dir
 from ..sources import fixtures as fx
 from . import gold
-from .fixture_queries import write_drop
+from .fixture_queries import stage_dates, write_drop
 from .incremental import Layers, report_state, run_batch
 
 WITHIN_DAYS = 365
@@ -28,6 +30,9 @@ PATH_LENGTH = 4
 #: Catalog observations arrive in drops of load_no modulo this, the later ones first.
 CATALOG_DROPS = 3
 ATTRS = ("email", "state")
+AS_OF = "2000-06-30"
+GAP_KEYS = ["state", "from_stage", "to_stage"]
+QUANTILES = {"p50": 0.5, "p90": 0.9, "p95": 0.95}
 
 
 def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +100,52 @@ def reports_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def survival_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5/X2 with open clients: time to completion by state, observed until AS_OF."""
+    return sv.survival(stage_dates(spark, sf_dir), AS_OF, ["state"])
+
+
+def survival_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days until a quarter of a state's clients have completed, open ones counted as open."""
+    return sv.days_until(survival_state(spark, sf_dir), 0.25, ["state"])
+
+
+def _batch_clients(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
+    return gold.client_stage_dates(fx.funnel_batch(spark, sf_dir, batch), fx.clients(spark, sf_dir))
+
+
+def time_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact spread of the days between stages, by state, over both loads."""
+    gaps = [sk.stage_gaps(_batch_clients(spark, sf_dir, b), ["state"]) for b in (1, 2)]
+    return sk.exact_quantiles(gaps[0].unionByName(gaps[1]), GAP_KEYS, QUANTILES)
+
+
+def time_quantiles_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from sketches that each load stored by state and app, merged upward to the state. Exact
+    (and so equal to SQL) while a state has at most ``sketches.K`` clients between two stages."""
+    root = scratch_dir(spark, "time-sketches")
+    for batch in (1, 2):
+        gaps = sk.stage_gaps(_batch_clients(spark, sf_dir, batch), ["state", "app"])
+        sk.time_sketches(gaps, ["app", *GAP_KEYS]).write.parquet(f"{root}/load={batch}")
+    stored = spark.read.parquet(root)
+    return sk.sketch_quantiles(sk.merge_time_sketches(stored, GAP_KEYS), GAP_KEYS, QUANTILES)
+
+
+def stage_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6/A9 over overlapping groups: clients in both, either or only the first of two stages, exact."""
+    return sk.exact_overlap(fx.funnel_events(spark, sf_dir))
+
+
+def stage_overlap_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from sets of clients stored by stage and month, merged over the months. Exact
+    while a stage has at most 4096 clients."""
+    months = fx.funnel_events(spark, sf_dir).withColumn("month", F.date_format("register_date", "yyyy-MM"))
+    stored = materialize(sk.client_sketches(months, ["stage", "month"]), "client-sketches")
+    return sk.overlap_from_sketches(sk.merge_client_sketches(stored, ["stage"]))
+
+
 QUERIES = {f.__name__: f for f in (
     dedupe_latest, ordered_funnel_state, ordered_funnel_global, frequent_paths, catalog_history, catalog_history_collapsed, events_as_of,
-    reports_kept_up,
+    reports_kept_up, survival_state, survival_medians, time_quantiles, time_quantiles_sketched, stage_overlap,
+    stage_overlap_sketched,
 )}
