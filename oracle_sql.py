@@ -475,3 +475,26 @@ SELECT a.code AS first_stage, b.code AS second_stage,
   (SELECT COUNT(*) FROM cs x WHERE x.pos = a.pos AND NOT EXISTS (SELECT 1 FROM cs y WHERE y.client_id = x.client_id AND y.pos = b.pos)) AS first_only
 FROM {CODES.replace("codes(", "a(")} JOIN {CODES.replace("codes(", "b(")} ON a.pos < b.pos"""
 SQL["stage_overlap_sketched"] = SQL["stage_overlap"]
+
+# --- Unknown labels --------------------------------------------------------------
+
+LABELS = f"""WITH ev AS ({FUNNEL_EVENTS.replace("o_orderdate" + chr(10) + "FROM", "o_orderkey" + chr(10) + "FROM")}),
+bad AS (SELECT client_id, app, register_date, complete_process, CASE o_orderkey % 11
+    WHEN 0 THEN replace(stage, 'cion', 'ción')
+    WHEN 1 THEN substr(stage, 1, o_orderkey % 5 + 2) || substr(stage, o_orderkey % 5 + 4)
+    WHEN 2 THEN substr(stage, 1, o_orderkey % 5 + 2) || substr(stage, o_orderkey % 5 + 2)
+    WHEN 3 THEN substr(stage, 1, o_orderkey % 5 + 1) || 'x' || substr(stage, o_orderkey % 5 + 3)
+    WHEN 4 THEN '  ' || upper(stage)
+    WHEN 5 THEN 'yz' || substr(stage, 1, o_orderkey % 5 + 1) || 'xxxx' || substr(stage, o_orderkey % 5 + 6)
+    ELSE stage END AS stage FROM ev),
+canon AS (SELECT unnest(['Introduccion', 'Solicitud de datos', 'Validacion de datos', 'Reconocimiento facial', 'Firma', 'Confirmacion de datos']) AS c),
+unk AS (SELECT stage AS label, COUNT(*) AS rows FROM bad WHERE stage NOT IN (SELECT c FROM canon) GROUP BY stage),
+dist AS (SELECT label, c, levenshtein(trim(regexp_replace(strip_accents(lower(label)), '\\s+', ' ', 'g')), lower(c)) AS d FROM unk, canon),
+near AS (SELECT label, c, d FROM dist WHERE d <= 2 QUALIFY d = MIN(d) OVER (PARTITION BY label)),
+best AS (SELECT label, MIN(d) AS distance, COUNT(*) AS n, MIN(c) AS one, string_agg(c, '|' ORDER BY c) AS nearest FROM near GROUP BY label)
+"""
+SQL["propose_labels"] = LABELS + """SELECT u.label, u.rows, CASE WHEN n = 1 THEN one END AS proposal, CAST(distance AS INT) AS distance, nearest
+FROM unk u LEFT JOIN best b ON u.label = b.label"""
+SQL["map_stage_tolerant"] = LABELS + f""", fixed AS (SELECT client_id, app, COALESCE(CASE WHEN n = 1 THEN one END, stage) AS stage, register_date, complete_process
+  FROM bad LEFT JOIN best ON stage = label)
+SELECT client_id, app, {STAGE_CASE} AS stage, register_date, complete_process FROM fixed"""

@@ -126,17 +126,21 @@ def merge(
     null_keys: str = "insert",
     check_ambiguous: bool = True,
     materialize_source: bool = True,
+    allow_nested_loop: bool = False,
 ) -> DataFrame:
     """Merge ``source`` into ``target`` on equality of the ``on`` columns, or on a
     condition over both aliases (SQL text or a Column).
 
-    A condition should hold an equality between the two sides (else the plan is
-    a nested loop) and takes no ``null_keys`` policy: rows match where it is true."""
+    A condition must hold an equality between the two sides, or every row would meet every
+    other: one without is refused, unless ``allow_nested_loop`` says that one side is
+    small. It takes no ``null_keys`` policy: rows match where it is true."""
     if null_keys not in ("insert", "drop", "error"):
         raise ValueError("null_keys must be 'insert', 'drop' or 'error'")
     if isinstance(on, (str, Column)):
         if null_keys != "insert":
             raise ValueError("null_keys needs key columns, not a condition")
+        if not allow_nested_loop and not _has_equality(target, source, as_expr(on), target_alias, source_alias):
+            raise ValueError("the merge condition holds no equality between target and source columns")
         return _merge_on_condition(target, source, on, when_matched, when_not_matched, target_alias, source_alias,
                                    check_ambiguous, materialize_source)
     keys = list(on)
@@ -170,6 +174,13 @@ def merge(
     return _joined_merge(target, source, t, s, key_eq, when_matched, when_not_matched, ta, sa)
 
 
+def _has_equality(target: DataFrame, source: DataFrame, cond: Column, ta: str, sa: str) -> bool:
+    """Whether the planner finds join keys in the condition (it plans a loop over all pairs otherwise)."""
+    joined = target.alias(ta).join(source.alias(sa), cond, "full_outer")
+    plan = joined._jdf.queryExecution().sparkPlan().toString()
+    return "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
 def _merge_on_condition(target: DataFrame, source: DataFrame, on: str | Column, upd: Update | None, ins: Insert | None,
                         ta: str, sa: str, check_ambiguous: bool, materialize_source: bool) -> DataFrame:
     if upd is None and ins is None:

@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import history as hs
+from ..operators import labels as lb
 from ..operators import paths as ps
 from ..operators import sketches as sk
 from ..operators import survival as sv
 from ..operators.merge import dedupe_latest as dedupe_latest_op
 from ..operators.pivot import map_stage
+from ..schemas import STAGES
 from ..session import materialize, scratch_dir
 from ..sources import fixtures as fx
 from . import gold
@@ -144,8 +146,22 @@ def stage_overlap_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sk.overlap_from_sketches(sk.merge_client_sketches(stored, ["stage"]))
 
 
+def propose_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What unknown stage labels stand for, within two edits; ambiguous and hopeless ones without proposal."""
+    known = lb.canonical_labels(spark, [s.label for s in STAGES])
+    out = lb.propose_labels(fx.misspelt_events(spark, sf_dir), "stage", known)
+    return out.withColumn("nearest", F.array_join("nearest", "|"))
+
+
+def map_stage_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P6 after the proposals: stage names of misspelt events, NULL for the rejects."""
+    ev = fx.misspelt_events(spark, sf_dir)
+    found = lb.propose_labels(ev, "stage", lb.canonical_labels(spark, [s.label for s in STAGES]))
+    return map_stage(lb.with_proposals(ev, "stage", materialize(found, "labels")))
+
+
 QUERIES = {f.__name__: f for f in (
     dedupe_latest, ordered_funnel_state, ordered_funnel_global, frequent_paths, catalog_history, catalog_history_collapsed, events_as_of,
     reports_kept_up, survival_state, survival_medians, time_quantiles, time_quantiles_sketched, stage_overlap,
-    stage_overlap_sketched,
+    stage_overlap_sketched, propose_labels, map_stage_tolerant,
 )}

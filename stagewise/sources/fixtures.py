@@ -170,6 +170,21 @@ def catalog_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 10 != 0, email).alias("email"), F.col("n_name").alias("state"), k.alias("load_no"))
 
 
+@memo_view
+def misspelt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``funnel_events`` with damaged labels: accents, a lost, doubled or wrong letter, other case and blanks, by order key."""
+    ev = funnel_events(spark, sf_dir, with_key=True)
+    s, k = F.col("stage"), F.col("o_orderkey") % 11
+    place = (F.col("o_orderkey") % 5 + 2).cast("int")
+    stage = (
+        F.when(k == 0, F.replace(s, F.lit("cion"), F.lit("ción")))
+        .when(k == 1, F.concat(F.substring(s, F.lit(1), place), F.substring(s, place + 2, F.lit(100))))
+        .when(k == 2, F.concat(F.substring(s, F.lit(1), place), F.substring(s, place, F.lit(100))))
+        .when(k == 3, F.overlay(s, F.lit("x"), place)).when(k == 4, F.concat(F.lit("  "), F.upper(s)))
+        .when(k == 5, F.concat(F.lit("yz"), F.overlay(s, F.lit("xxxx"), place))).otherwise(s))
+    return ev.withColumn("stage", stage).drop("o_orderkey")
+
+
 #: Drops of the landing area that the reports are kept up from.
 DROPS = 4
 

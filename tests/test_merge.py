@@ -167,3 +167,14 @@ def test_self_merge_from_same_lineage(spark):
     src = base.filter("client_id = '2'").withColumn("d", F.lit(D2))
     out = {r.client_id: r.d for r in upsert_all(base, src, ["client_id", "stage"]).collect()}
     assert out == {"1": D1, "2": D2}
+
+
+def test_condition_without_an_equality_is_refused(spark):
+    t = spark.createDataFrame([(1, 10)], "k int, v int")
+    s = spark.createDataFrame([(1, 20), (2, 5)], "k int, v int")
+    for cond in ("s.v > t.v", "t.k = 1 AND s.k > 0"):
+        with pytest.raises(ValueError, match="no equality"):
+            merge(t, s, cond, Update(), Insert())
+    out = merge(t, s, "s.v > t.v", Update(), Insert(), allow_nested_loop=True)
+    assert sorted(map(tuple, out.collect())) == [(1, 20), (2, 5)]
+    assert sorted(map(tuple, merge(t, s, "t.k = s.k AND s.v > t.v", Update(), Insert()).collect())) == [(1, 20), (2, 5)]
