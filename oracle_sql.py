@@ -498,3 +498,42 @@ FROM unk u LEFT JOIN best b ON u.label = b.label"""
 SQL["map_stage_tolerant"] = LABELS + f""", fixed AS (SELECT client_id, app, COALESCE(CASE WHEN n = 1 THEN one END, stage) AS stage, register_date, complete_process
   FROM bad LEFT JOIN best ON stage = label)
 SELECT client_id, app, {STAGE_CASE} AS stage, register_date, complete_process FROM fixed"""
+
+# --- Groups that differ, functional dependencies -------------------------------------
+
+def _differing_sql(groups: str, by: str) -> str:
+    """Tails as plain sums over the binomial distribution, ranks and the step-up rule as windows."""
+    term = "exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(p) + (n - i) * ln(1 - p))"
+    return f"""{groups}, t AS (SELECT *, SUM(k) OVER () / CAST(SUM(n) OVER () AS DOUBLE) AS p FROM g),
+tails AS (SELECT {by}, n, k, SUM(CASE WHEN i >= k THEN {term} ELSE 0 END) AS up, SUM(CASE WHEN i <= k THEN {term} ELSE 0 END) AS down
+  FROM (SELECT *, unnest(range(0, n + 1)) AS i FROM t) GROUP BY {by}, n, k),
+pv_ AS (SELECT {by}, n, k, k / CAST(n AS DOUBLE) AS rate, LEAST(1.0, 2 * LEAST(up, down)) AS p_value FROM tails),
+r AS (SELECT *, COUNT(*) OVER (ORDER BY p_value) AS rank, COUNT(*) OVER () AS m FROM pv_)
+SELECT {by}, n, k, rate, p_value, rank, COALESCE(BOOL_OR(p_value <= CAST(0.05 AS DOUBLE) * rank / m) OVER (ORDER BY p_value DESC), FALSE) AS flagged FROM r"""
+
+
+SQL["differing_states"] = _differing_sql(BASE + f", g AS (SELECT state, TI AS n, TCD AS k FROM (SELECT state, {REACHED} FROM pv GROUP BY state))", "state")
+SQL["differing_ages"] = _differing_sql(BASE + f""", g AS (SELECT state, Age_group, TI AS n, TSD AS k FROM
+  (SELECT state, Age_group, {REACHED} FROM (SELECT *, {AGE_GROUP} AS Age_group FROM pv) GROUP BY state, Age_group))""", "state, Age_group")
+
+
+def _rules_sql() -> str:
+    from itertools import combinations
+
+    columns = ("client_id", "app", "state", "age", "stage", "complete_process")
+    parts = []
+    for size in (1, 2):
+        for rhs in columns:
+            for lhs in combinations([c for c in columns if c != rhs], size):
+                x = ", ".join(lhs)
+                parts.append(f"SELECT {list(lhs)} AS x, '{','.join(lhs)}' AS lhs, '{rhs}' AS rhs, CAST(SUM(n - m) AS BIGINT) AS violations FROM ("
+                             f"SELECT SUM(c) AS n, MAX(c) AS m FROM (SELECT {x}, {rhs}, COUNT(*) AS c FROM joined GROUP BY {x}, {rhs}) GROUP BY {x})")
+    return BASE + f""", v AS ({" UNION ALL ".join(parts)}), total AS (SELECT COUNT(*) AS n FROM joined),
+good AS (SELECT v.*, violations / CAST(n AS DOUBLE) AS error FROM v, total WHERE violations <= CAST(0.02 AS DOUBLE) * n)
+SELECT lhs, rhs, violations, error FROM good a
+WHERE NOT EXISTS (SELECT 1 FROM good b WHERE b.rhs = a.rhs AND len(b.x) < len(a.x) AND list_has_all(a.x, b.x))"""
+
+
+SQL["attribute_rules"] = _rules_sql()
+SQL["moved_clients"] = HISTORY + """SELECT client_id, COUNT(*) AS "values", CAST(SUM(n) AS BIGINT) AS rows, CAST(SUM(n) - MAX(n) AS BIGINT) AS violations
+FROM (SELECT client_id, state, COUNT(*) AS n FROM changes GROUP BY client_id, state) GROUP BY client_id HAVING COUNT(*) > 1"""

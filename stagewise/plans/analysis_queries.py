@@ -12,9 +12,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import dependencies as dp
+from ..operators import funnel as fn
 from ..operators import history as hs
 from ..operators import labels as lb
 from ..operators import paths as ps
+from ..operators import rates as rt
 from ..operators import sketches as sk
 from ..operators import survival as sv
 from ..operators.merge import dedupe_latest as dedupe_latest_op
@@ -23,7 +26,7 @@ from ..schemas import STAGES
 from ..session import materialize, scratch_dir
 from ..sources import fixtures as fx
 from . import gold
-from .fixture_queries import stage_dates, write_drop
+from .fixture_queries import funnel_enriched, stage_dates, write_drop
 from .incremental import Layers, report_state, run_batch
 
 WITHIN_DAYS = 365
@@ -160,8 +163,36 @@ def map_stage_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_stage(lb.with_proposals(ev, "stage", materialize(found, "labels")))
 
 
+def differing_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States whose share of clients that reach the last stage differs from the whole, false discoveries
+    held under a twentieth. The intervals, which SQL can't compute, are left out here and tested apart."""
+    counts = fn.reached(stage_dates(spark, sf_dir), ["state"])
+    return rt.differing_groups(counts, ["state"], "TCD", "TI").drop("low", "high")
+
+
+def differing_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by state and age group, for the second stage."""
+    counts = fn.funnel_state_age(stage_dates(spark, sf_dir))
+    return rt.differing_groups(counts, ["state", "Age_group"], "TSD", "TI").drop("low", "high")
+
+
+RULE_COLUMNS = ("client_id", "app", "state", "age", "stage", "complete_process")
+RULE_ERROR = 0.02
+
+
+def attribute_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All minimal rules of up to two columns that hold for 98 % of the catalog-joined stage events."""
+    return dp.dependencies(funnel_enriched(spark, sf_dir), RULE_COLUMNS, 2, RULE_ERROR)
+
+
+def moved_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where client_id -> state fails: clients with several states in the catalog's dated observations."""
+    return dp.violating_keys(fx.catalog_changes(spark, sf_dir), ["client_id"], "state")
+
+
 QUERIES = {f.__name__: f for f in (
     dedupe_latest, ordered_funnel_state, ordered_funnel_global, frequent_paths, catalog_history, catalog_history_collapsed, events_as_of,
     reports_kept_up, survival_state, survival_medians, time_quantiles, time_quantiles_sketched, stage_overlap,
-    stage_overlap_sketched, propose_labels, map_stage_tolerant,
+    stage_overlap_sketched, propose_labels, map_stage_tolerant, differing_states, differing_ages, attribute_rules,
+    moved_clients,
 )}
