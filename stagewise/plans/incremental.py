@@ -98,8 +98,15 @@ class Layers:
         return f"{getattr(self, layer).rstrip('/')}/{name}"
 
 
-#: Landing file -> its written copy: ``raw`` and ``typed`` (structs), MALFORMED and the bucket.
-Drop = dict[str, DataFrame]
+@dataclass(frozen=True)
+class StagedFile:
+    """The written copy of a landing file: ``raw`` and ``typed`` (structs), MALFORMED and the bucket; and which buckets occur."""
+
+    rows: DataFrame
+    buckets: list[int]
+
+
+Drop = dict[str, StagedFile]
 
 
 @contextmanager
@@ -116,18 +123,19 @@ def staged_drop(spark: SparkSession, layers: Layers, given: Drop | None = None)
             raw = F.struct(*[F.col(c) for c in cols]).alias("raw")
             casts = F.struct(*[typed(rows, src, to).alias(dst) for src, (dst, to) in spec.items() if src in cols])
             bucket = bucket_expr([keys[0]], layers.buckets, cols).alias(BUCKET)
-            drop[name] = materialize(rows.select(raw, casts.alias("typed"), MALFORMED, bucket), "drop")
+            staged = materialize(rows.select(raw, casts.alias("typed"), MALFORMED, bucket), "drop")
+            drop[name] = StagedFile(staged, touched_buckets(staged))
         yield drop
     finally:
-        for staged in drop.values():
-            drop_materialized(staged)
+        for file in drop.values():
+            drop_materialized(file.rows)
 
 
 def drop_rows(drop: Drop, name: str, load_ts, dedupe: bool = False, view: str = "raw") -> DataFrame:
     """A staged file's ``raw`` (bronze) or ``typed`` (silver) rows, stamped. ``dedupe`` keeps of
     each key the row whose text is greatest by its columns in order; rows with a NULL key all stay."""
     cols, keys, spec = FILES[name]
-    rows = drop[name]
+    rows = drop[name].rows
     if dedupe:
         wide = rows.select("raw.*", F.struct("raw", "typed").alias("__both"))
         rows = dedupe_latest(wide, keys).select("__both.*")
@@ -141,7 +149,7 @@ def load_bronze(spark: SparkSession, layers: Layers, load_ts, dedupe: bool = Fal
     with staged_drop(spark, layers, drop) as staged:
         for name, (_, keys, _) in FILES.items():
             create_or_merge(spark, layers.table("bronze", name), drop_rows(staged, name, load_ts, dedupe), list(keys),
-                            buckets=layers.buckets, bucket_by=[keys[0]], null_keys=null_keys)
+                            buckets=layers.buckets, bucket_by=[keys[0]], null_keys=null_keys, touched=staged[name].buckets)
 
 
 def _conformed(spark: SparkSession, layers: Layers, name: str, load_ts, change: str, dedupe: bool, drop: Drop) -> DataFrame:
@@ -163,6 +171,8 @@ def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "nul
     ensure_table(spark, funnel_root, SILVER_FUNNEL)
     ensure_table(spark, catalog_root, SILVER_CATALOG)
     layout = {"buckets": layers.buckets, "bucket_by": ["client_id"], "null_keys": null_keys}
+    # in strict mode the source is all of bronze
+    in_drop = {name: None if change == "strict" else drop[name].buckets for name in FILES}
 
     values = {c: F.col(f"s.{c}") for c in ["client_id", "app", "stage", "register_date", "complete_process"]}
     values["ingestion_date"] = now
@@ -172,7 +182,7 @@ def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "nul
         upd = Update({**{c: F.col(f"s.{c}") for c in cmp}, "ingestion_date": now},
                      changed_condition(cmp, change))
     merge_into(spark, funnel_root, _conformed(spark, layers, FUNNEL_FILE, load_ts, change, dedupe, drop), FUNNEL_KEYS, upd,
-               Insert(values), schema=SILVER_FUNNEL, **layout)
+               Insert(values), schema=SILVER_FUNNEL, touched=in_drop[FUNNEL_FILE], **layout)
 
     attrs = list(CATALOG_ATTRS)
     merge_into(
@@ -180,7 +190,7 @@ def load_silver(spark: SparkSession, layers: Layers, load_ts, change: str = "nul
         Update({**{c: F.col(f"s.{c}") for c in attrs}, "ingestion_date": F.col("s.ingestion_date"),
                 "update_date": now}, changed_condition(attrs, change)),
         Insert({**{c: F.col(f"s.{c}") for c in ["client_id", *attrs, "ingestion_date"]}, "update_date": "Null"}),
-        schema=SILVER_CATALOG, **layout,
+        schema=SILVER_CATALOG, touched=in_drop[CLIENTS_FILE], **layout,
     )
 
 
@@ -210,10 +220,11 @@ def load_gold(spark: SparkSession, layers: Layers, load_ts, change: str = "null_
                    Update(pv_set, changed_condition(PV_COMPARED, "strict")), pv_insert, schema=GOLD_PIVOT, **layout)
         return
 
-    ids = [drop[name].select("typed.client_id", BUCKET) for name in FILES]
+    b = sorted({k for name in FILES for k in drop[name].buckets})
+    layout["touched"] = b
+    ids = [drop[name].rows.select("typed.client_id", BUCKET) for name in FILES]
     touched = materialize(ids[0].unionByName(ids[1]).dropna().distinct(), "touched")
     try:
-        b = touched_buckets(touched)
         f_t = silver("users_funnel", SILVER_FUNNEL, b).join(touched, "client_id", "left_semi")
         catalog = silver("catalog", SILVER_CATALOG, b)
         cf_cmp = [c for c in gold.ENRICHED_COLUMNS if c not in FUNNEL_KEYS]
@@ -250,7 +261,7 @@ def load_rejects(spark: SparkSession, layers: Layers, drop: Drop | None = None)
             bad = {to: F.col(f"raw.{src}").isNotNull() & F.col(f"typed.{to}").isNull()
                    for src, (to, kind) in spec.items() if src in cols and kind != "string"}
             bad["(line)"] = F.col(MALFORMED).isNotNull()
-            counts = staged[name].agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.when(c, 1)).alias(to) for to, c in bad.items()])
+            counts = staged[name].rows.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.when(c, 1)).alias(to) for to, c in bad.items()])
             each = F.explode(F.array(*[F.struct(F.lit(to).alias("column"), F.col(f"`{to}`").alias("rejected")) for to in bad]))
             parts.append(counts.select("rows", each.alias("x")).select(F.lit(name).alias("file"), "x.column", "rows", "x.rejected"))
         return materialize(parts[0].unionByName(parts[1]), "rejects")

@@ -29,12 +29,16 @@ BUCKET = "sw_bucket"
 BUCKETS = 16
 
 
-def bucket_expr(keys: Sequence[str], buckets: int, columns: Sequence[str] = ()) -> Column:
-    """Bucket of a row by its key; of a row with a NULL in its key by all ``columns``."""
-    by_key = F.xxhash64(*[F.col(k) for k in keys])
-    anywhere = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    h = F.when(anywhere, F.xxhash64(*[F.col(c) for c in columns or keys])).otherwise(by_key)
-    return F.pmod(h, F.lit(buckets)).cast("int")
+def bucket_expr(keys: Sequence[str], buckets: int, columns: Sequence[str] = (), among: Sequence[int] | None = None) -> Column:
+    """Bucket of a row by its key; of a row with a NULL in its key by all ``columns``, one of ``among`` if given."""
+    by_key = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+    null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    by_row = F.xxhash64(*[F.col(c) for c in columns or keys])
+    if among is None:
+        anywhere = F.pmod(by_row, F.lit(buckets)).cast("int")
+    else:
+        anywhere = F.get(F.array(*[F.lit(k) for k in among]), F.pmod(by_row, F.lit(len(among))).cast("int"))
+    return F.when(null, anywhere).otherwise(by_key)
 
 
 def table_exists(spark: SparkSession, root: str) -> bool:
@@ -99,10 +103,12 @@ def merge_into(
     schema: StructType | None = None,
     buckets: int = BUCKETS,
     bucket_by: Sequence[str] | None = None,
+    touched: Sequence[int] | None = None,
     **kw,
 ) -> None:
     """MERGE ``source`` into the table at ``root``, bucketed by ``bucket_by``
-    (some of ``on``; default all of it).
+    (some of ``on``; default all of it). ``touched``: the buckets of the source's
+    rows, or more than those, where they are known (they are counted otherwise).
 
     The source is written once to the shared scratch folder, so every pass
     reads the same rows; it is removed whether the merge succeeds or not. A
@@ -117,16 +123,17 @@ def merge_into(
     else:
         staged = own = materialize(source.withColumn(BUCKET, bucket_expr(keys, buckets, source.columns)), "merge-source")
     try:
-        touched = touched_buckets(staged)
+        touched = touched_buckets(staged) if touched is None else list(touched)
         if not touched:
             return
         target, source = read_table(spark, root, schema, touched), staged.drop(BUCKET)
         if when_matched is None:
-            out, mode = merge_inserts(target, source, on, when_not_matched, **kw), "append"
+            out, mode, among = merge_inserts(target, source, on, when_not_matched, **kw), "append", None
         else:
             out = merge(target, source, on, when_matched, when_not_matched, materialize_source=False, **kw)
-            mode = "overwrite"
-        _write(out.withColumn(BUCKET, bucket_expr(keys, buckets, out.columns)), root, mode, "dynamic")
+            # rows with a NULL key may go anywhere, but only into buckets whose rows are all in ``out``
+            mode, among = "overwrite", touched
+        _write(out.withColumn(BUCKET, bucket_expr(keys, buckets, out.columns, among)), root, mode, "dynamic")
     finally:
         drop_materialized(own)
 
@@ -141,6 +148,7 @@ def create_or_merge(
     buckets: int = BUCKETS,
     bucket_by: Sequence[str] | None = None,
     dedupe_by: str | None = None,
+    touched: Sequence[int] | None = None,
     **kw,
 ) -> None:
     """First load creates the table from ``source``; later loads MERGE
@@ -152,7 +160,7 @@ def create_or_merge(
     if dedupe_by is not None:
         source = dedupe_latest(source.drop(BUCKET), on, dedupe_by)
     if table_exists(spark, root):
-        merge_into(spark, root, source, on, when_matched, when_not_matched, source.drop(BUCKET).schema, buckets, bucket_by, **kw)
+        merge_into(spark, root, source, on, when_matched, when_not_matched, source.drop(BUCKET).schema, buckets, bucket_by, touched, **kw)
         return
     source = source.drop(BUCKET)
     null_keys = kw.get("null_keys", "insert")

@@ -2,9 +2,11 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from stagewise.operators.merge import Insert, Update
 from stagewise.schemas import FUNNEL_SOURCE_COLUMNS, SILVER_FUNNEL
+from stagewise.session import scratch_dir
 from stagewise.sources.landing import read_landing, with_load_ts, write_landing
 from stagewise.sources.tables import (
     create_or_merge,
@@ -193,3 +195,15 @@ def test_scratch_folder_must_be_shared_off_local_masters():
     for master in ("yarn", "spark://h:1", "local-cluster[2,1,1024]"):
         with pytest.raises(RuntimeError):
             scratch_root(None, None, master)
+
+
+def test_new_rows_without_a_key_overwrite_no_other_bucket(spark):
+    """Their bucket is by content, and must be one of those that the MERGE reads and replaces."""
+    root = f"{scratch_dir(spark, 'nullkeys')}/t"
+    publish(spark.range(200).selectExpr("CAST(id AS STRING) AS k", "CAST(id AS INT) AS v", "CAST(NULL AS STRING) AS note"), root, ["k"], 16)
+    for i in range(6):
+        src = spark.createDataFrame([("7", 1000 + i), (None, i), (None, 100 + i)], "k string, v int")
+        merge_into(spark, root, src, ["k"], Update({"v": "s.v"}), Insert({"k": "s.k", "v": "s.v", "note": F.lit(f"n{i}")}), buckets=16)
+    rows = read_table(spark, root).collect()
+    assert len(rows) == 212 and {r.k for r in rows} == {None, *map(str, range(200))}
+    assert sum(r.k is None for r in rows) == 12 and [r.v for r in rows if r.k == "7"] == [1005]
