@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from ..session import drop_materialized, materialize, ship_package
 
 __all__ = ["read_table", "text_or_empty", "text_key", "materialize", "drop_materialized", "ship_package", "connected_components"]
 
+#: tiktoken's word pattern backs over a run of blanks on its stack; texts with longer runs go to ``tokenizers``.
+LONG_BLANKS = re.compile(r"\s{1000}")
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -27,14 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .best_fit import _merge_order_encoding
-from .common import materialize, ship_package
+from .common import LONG_BLANKS, materialize, ship_package
 
 #: A chunk is closed at this many documents or links; a larger document is a chunk of its own.
 CHUNK_DOCS = 2048
 CHUNK_LINKS = 1 << 20
 
-#: tiktoken's word pattern backs over a run of blanks on its stack; longer runs go to ``tokenizers``.
-_LONG_BLANKS = re.compile(r"\s{1000}")
 _HEX_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>\Z")
 
 
@@ -61,22 +59,26 @@ class _Both:
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
         by_id = byte_table(path_a)
         self.bytes_a = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_b = [piece_bytes(self.sp.id_to_piece(i)) for i in range(self.sp.get_piece_size())]
-        self.quick = _merge_order_encoding(path_a)
-        self.slow = Tokenizer.from_file(path_a)
-        self.slow.encode_special_tokens = True
+        self.quick, self.slow, self.path_a = _merge_order_encoding(path_a), None, path_a
         self.lens_a, self.lens_b = (np.array([len(t) for t in bs], np.int64) for bs in (self.bytes_a, self.bytes_b))
-        self.pieces = [f"{i}{end}" for n, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;"))
-                       for end in ends for i in range(n)]
+        pieces = [f"{i}{end}".encode() for n, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;"))
+                  for end in ends for i in range(n)]
+        chars = np.array(pieces)  # fixed width, filled up with zero bytes
+        self.chars = chars.view(np.uint8).reshape(len(pieces), -1)
 
     def encode_a(self, text: str) -> list[int]:
-        if self.quick and not _LONG_BLANKS.search(text):
+        if self.quick and not LONG_BLANKS.search(text):
             return self.quick.encode_ordinary(text)
+        if self.slow is None:
+            from tokenizers import Tokenizer
+
+            self.slow = Tokenizer.from_file(self.path_a)
+            self.slow.encode_special_tokens = True
         return self.slow.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: str | None):
@@ -89,43 +91,50 @@ class _Both:
         a, b = np.array(a, np.int64), np.array(b, np.int64)
         return a, np.cumsum(self.lens_a[a]), b, np.cumsum(self.lens_b[b])
 
-    def groups_text(self, a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> str:
+    def groups_text(self, a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> bytes:
         """``a1,a2|b1;a3|b2,b3`` of the groups that end before the given indices."""
+        # each token's place in the text: those of its own side before it, and the other side's groups before its own
         at = np.empty(len(a) + len(b), np.int64)
-        group_a, group_b = (np.repeat(np.arange(len(c)), np.diff(c, prepend=0)) for c in (cuts_a, cuts_b))
-        last_a, last_b = (np.zeros(len(x), np.int64) for x in (a, b))
-        last_a[cuts_a - 1] = 1
-        last_b[cuts_b - 1] = 1
-        at[np.arange(len(a)) + (cuts_b - np.diff(cuts_b, prepend=0))[group_a]] = a + last_a * len(self.bytes_a)
-        at[np.arange(len(b)) + cuts_a[group_b]] = b + last_b * len(self.bytes_b) + 2 * len(self.bytes_a)
-        return "".join(map(self.pieces.__getitem__, at.tolist()))[:-1]
-
-
-def stretches(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int, int]]:
+        size_a, size_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
+        place_a, place_b = np.repeat(cuts_b - size_b, size_a), np.repeat(cuts_a, size_b)
+        place_a += np.arange(len(a))
+        place_b += np.arange(len(b))
+        at[place_a] = a
+        at[place_b] = b + 2 * len(self.bytes_a)
+        at[place_a[cuts_a - 1]] += len(self.bytes_a)
+        at[place_b[cuts_b - 1]] += len(self.bytes_b)
+        text = self.chars[at].ravel()
+        return text[text != 0][:-1].tobytes()
+
+
+def stretches(ends_a: list[int], ends_b: list[int]) -> list[int]:
     """Cuts two strictly increasing end arrays with the same last value into stretches.
 
-    Yields half-open index ranges ``(from a, to a, from b, to b)``: either
+    Returns half-open index ranges ``from a, to a, from b, to b``, one after the other: either
     one-to-one stretches (ranges of equal length, every end equal) or single
     irregular groups (more than one token on at least one side, equal only in
     their last end). A range of one token on both sides is one-to-one."""
+    out: list[int] = []
     i = j = 0
     n = len(ends_a)
     while i < n:
-        i0, j0, width, grow = i, j, 1, True
-        while width and i < n:
-            part = ends_a[i:i + width]
-            if part == ends_b[j:j + width]:
-                i += len(part)
-                j += len(part)
-                width = 2 * width if grow else width >> 1
-            else:
-                grow = False
-                width >>= 1
-        if i > i0:
-            yield i0, i, j0, j
-        if i >= n:
-            return
-        i0, j0, x, y = i, j, ends_a[i], ends_b[j]
+        x, y = ends_a[i], ends_b[j]
+        if x == y:
+            i0, j0, width, grow = i, j, 1, True
+            while width and i < n:
+                part = ends_a[i:i + width]
+                if part == ends_b[j:j + width]:
+                    i += len(part)
+                    j += len(part)
+                    width = 2 * width if grow else width >> 1
+                else:
+                    grow = False
+                    width >>= 1
+            out += (i0, i, j0, j)
+            if i >= n:
+                break
+            x, y = ends_a[i], ends_b[j]
+        i0, j0 = i, j
         while x != y:
             if x < y:
                 i += 1
@@ -135,12 +144,13 @@ def stretches(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int,
                 y = ends_b[j]
         i += 1
         j += 1
-        yield i0, i, j0, j
+        out += (i0, i, j0, j)
+    return out
 
 
 def cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Exclusive ends of the groups, as indices into both token arrays."""
-    found = np.array(list(stretches(ends_a.tolist(), ends_b.tolist())), np.int64).reshape(-1, 4)
+    found = np.array(stretches(ends_a.tolist(), ends_b.tolist()), np.int64).reshape(-1, 4)
     a0, a1, b0, b1 = found.T
     plain = (a1 - a0 == b1 - b0) & (ends_a[a0] == ends_b[b0])
     n = np.where(plain, a1 - a0, 1)
@@ -210,7 +220,7 @@ def aligned_chunks(docs: DataFrame, tokenizer_a: str, tokenizer_b: str, doc_id:
                     cuts_a, cuts_b = cuts(ends_a, ends_b)
                     i, j = links(ends_a, ends_b, cuts_a, cuts_b)
                     pairs, times = np.unique((a[i] << 32) | b[j], return_counts=True)
-                    digest = hashlib.sha256(both.groups_text(a, b, cuts_a, cuts_b).encode()).hexdigest()
+                    digest = hashlib.sha256(both.groups_text(a, b, cuts_a, cuts_b)).hexdigest()
                     row = (doc, len(a), len(b), len(cuts_a), len(i), digest, pairs, times.astype(np.int32))
                 if held and (len(held) >= CHUNK_DOCS or n_links + len(row[6]) > CHUNK_LINKS):
                     yield _chunk_batch(chunk, held)
