@@ -7,6 +7,7 @@ import re
 
 import pytest
 
+from stagewise.plans import analysis_queries as aq
 from stagewise.plans import fixture_queries as fq
 
 from .conftest import SF_SMALL
@@ -51,6 +52,18 @@ def test_report_plan_shape(big_plan_spark, key):
         assert "c_acctbal" not in schema and "o_totalprice" not in schema, f"{key}: unpruned scan {schema}"
 
 
+@pytest.mark.parametrize("key", ["dedupe_latest", "ordered_funnel_state", "ordered_funnel_global", "catalog_history", "catalog_history_collapsed",
+                                 "events_as_of", "survival_state", "time_quantiles", "stage_overlap", "propose_labels", "moved_clients"])
+def test_plans_over_time(big_plan_spark, key):
+    """Operators over time: no loops over pairs, no Python, and what is grouped is combined before the first shuffle."""
+    plan = _plan(aq.QUERIES[key](big_plan_spark, SF_SMALL))
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, f"{key}: {bad}"
+    assert "partial_" in plan
+    for schema in re.findall(r"ReadSchema: (struct<[^>]*>)", plan):
+        assert "c_acctbal" not in schema and "o_totalprice" not in schema, f"{key}: unpruned scan {schema}"
+
+
 @pytest.mark.parametrize("key", MERGE_KEYS)
 def test_merge_plan_shape(big_plan_spark, key):
     plan = _plan(fq.QUERIES[key](big_plan_spark, SF_SMALL))
