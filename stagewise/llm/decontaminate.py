@@ -4,8 +4,8 @@ An item of n characters may differ from a passage of a document by at most
 ``e = floor(error_rate * n)`` character edits. It is split into ``e + 1``
 pieces; e edits can't touch them all, so every match holds a piece unchanged.
 One Aho-Corasick pass over a document finds all piece hits, and Myers'
-bit-parallel distance decides each place that a hit names. Short items match only
-whole, unchanged and between word borders.
+bit-parallel distance decides each place that a hit names. An item too short for a single
+edit matches unchanged and between word borders.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from pyspark.sql import types as T
 from .common import ship_package, text_or_empty
 
 ERROR_RATE = 0.06
-MIN_CHARS = 20  # items shorter than this have no error budget
 #: Characters of benchmark text in one automaton; a larger benchmark is matched
 #: in that many passes, each with its own block of items.
 BLOCK_CHARS = 2_000_000
@@ -84,7 +83,7 @@ class Matcher:
     def __init__(self, items: list[tuple[int, str]], error_rate: float):
         import ahocorasick
 
-        self.items = [(i, t, int(error_rate * len(t)) if len(t) >= MIN_CHARS else 0) for i, t in items]
+        self.items = [(i, t, int(error_rate * len(t))) for i, t in items]
         where: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for k, (_, t, e) in enumerate(self.items):
             for offset, piece in pieces(t, e):
@@ -118,7 +117,7 @@ class Matcher:
         """(item id, distance, start, end) of the best match of every matching item."""
         for k, spans in self.windows(text).items():
             item_id, t, e = self.items[k]
-            if len(t) < MIN_CHARS:
+            if not e:
                 at = _whole(t, text)
                 if at >= 0:
                     yield item_id, 0, at, at + len(t)
