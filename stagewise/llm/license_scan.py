@@ -124,20 +124,18 @@ def stretches(text: list[str], template: list[str], least: float) -> list[tuple[
     return sorted(set(out))
 
 
-def best_cover(text: list[str], template: list[str], least: float) -> tuple[float, int, int] | None:
-    """``(coverage, first word, end word)`` of the stretch of the text that covers
-    the template best (the leftmost of equals, of overlapping ones the shortest),
-    or None under ``least``.
+def covers(text: list[str], template: list[str], least: float) -> list[tuple[float, int, int]]:
+    """``(coverage, first word, end word)`` of the passages of the text that cover the template to ``least`` or
+    more, in the order of the text. Of overlapping ones that of best coverage counts (of equals the
+    shortest, then the leftmost), so a notice that stands twice in a text is two passages.
 
     Stretches are placed by the text's own words (see ``stretches``), so where a
     passage stands doesn't matter. A passage up to twice as long as the template
     lies whole in one; a longer one does if no gap between two of its template
     words is longer than the template. Each is widened by a template's length
     past its last aligned word for as long as that aligns more words."""
-    size, best = len(template), None
+    size, hits = len(template), set()
     for a, b in stretches(text, template, least):
-        if best and best[0] == 1 and a >= best[2]:
-            break
         found = patience(text[a:b], template)
         while found and len(found) < size:
             more = patience(text[a:a + found[-1][0] + 1 + size], template)
@@ -146,19 +144,23 @@ def best_cover(text: list[str], template: list[str], least: float) -> tuple[floa
             found = more
         share = len(found) / size
         if found and share >= least:
-            hit = (share, a + found[0][0], a + found[-1][0] + 1)
-            shorter = best and hit[1] < best[2] and hit[2] - hit[1] < best[2] - best[1]
-            if best is None or share > best[0] or share == best[0] and shorter:
-                best = hit
-    return best
+            hits.add((share, a + found[0][0], a + found[-1][0] + 1))
+    starts: list[int] = []  # of the passages taken, which don't overlap
+    taken: list[tuple[float, int, int]] = []
+    for hit in sorted(hits, key=lambda h: (-h[0], h[2] - h[1], h[1])):
+        k = bisect_left(starts, hit[1])
+        if (not k or taken[k - 1][2] <= hit[1]) and (k == len(starts) or hit[2] <= starts[k]):
+            starts.insert(k, hit[1])
+            taken.insert(k, hit)
+    return taken
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = COVERAGE,
                   doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per (document row, license) with coverage >= ``least``: coverage
+    """One row per (document row, license, passage) with coverage >= ``least``: coverage
     and the covered stretch, in words. Whole texts, one pass, no shuffle.
 
-    Of licenses whose stretches overlap only those of best coverage are named.
+    Of licenses whose passages overlap only those of best coverage are named.
     NULL and empty texts have no row; repeated rows each have theirs. Templates
     without words are ignored."""
     ship_package(docs.sparkSession)
@@ -174,10 +176,8 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
                     if not _may_hold(low, template, least):
                         continue
                     mine = words(low) if mine is None else mine
-                    hit = best_cover(mine, template, least)
-                    if hit:
-                        hits.append((name, *hit))
-                rows += [(i, *h) for h in hits if not any(_beats(o, h) for o in hits)]
+                    hits += [(name, *hit) for hit in covers(mine, template, least)]
+                rows += [(i, *h) for h in _best(hits)]
             cols = list(zip(*rows)) if rows else [[] for _ in SCHEMA.names]
             kinds = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], SCHEMA.names)
@@ -186,9 +186,22 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
     return d.mapInArrow(run, SCHEMA)
 
 
-def _beats(a: tuple, b: tuple) -> bool:
-    """Whether license a covers a stretch that overlaps b's better than b does."""
-    return a[1] > b[1] and a[2] < b[3] and b[2] < a[3]
+def _best(hits: list[tuple]) -> list[tuple]:
+    """The passages that no overlapping one of another license covers better."""
+    out, near = [], []
+    order = sorted(range(len(hits)), key=lambda k: hits[k][2])
+    for n, k in enumerate(order):
+        h = hits[k]
+        near = [x for x in near if x[3] > h[2]]  # those before it that reach it; after it come those that start in it
+        after = []
+        for m in order[n + 1:]:
+            if hits[m][2] >= h[3]:
+                break
+            after.append(hits[m])
+        if not any(o[1] > h[1] for o in near + after):
+            out.append(k)
+        near.append(h)
+    return [hits[k] for k in sorted(out)]
 
 
 def _may_hold(low: str, template: list[str], least: float) -> bool:
