@@ -1,8 +1,9 @@
 """Line dedup by site-relative frequency (op 9).
 
 For every host, the share of its pages that hold a line; lines on more than
-``ratio`` of the host's pages (and on at least ``min_pages`` pages) are
-boilerplate and are dropped from that host's pages.
+``ratio`` of the host's pages are boilerplate and are dropped from that host's
+pages. A line on fewer than ``min_pages`` pages (two: it occurs again) is none,
+or a host of few pages would lose all it has.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import materialize, text_or_empty
 
 RATIO = 0.05
-MIN_PAGES = 5
+MIN_PAGES = 2
 
 
 def _key(line: Column) -> Column:
