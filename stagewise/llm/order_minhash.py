@@ -24,6 +24,7 @@ ELL = 2  # shingles in a sketch
 SKETCHES = 40
 BUCKETS = 512  # counters of a text's bag of words
 BLOCK = 256  # members of a leftover group that meet those of one other block in one go
+BLOCK_BYTES = 16 << 20  # and the bytes of their words
 SIMILARITY = 0.8
 
 _MASK = (1 << 64) - 1
@@ -43,7 +44,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 class _WordHash(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -82,7 +83,7 @@ def sketch(hashes: np.ndarray, k: int = K, ell: int = ELL, m: int = SKETCHES) ->
     return out
 
 
-def aligned_distance(a: list, b: list, limit: int) -> int:
+def aligned_distance(a: list, b: list, limit: int, ca: Counter | None = None, cb: Counter | None = None) -> int:
     """Edit distance of two sequences if it is at most ``limit``, else ``limit + 1``.
 
     Banded alignment: a column holds only the cells within ``limit`` of the
@@ -91,7 +92,7 @@ def aligned_distance(a: list, b: list, limit: int) -> int:
     from below and spare most unlikes; equal ends are cut off first."""
     if abs(len(a) - len(b)) > limit:
         return limit + 1
-    ca, cb = Counter(a), Counter(b)
+    ca, cb = ca or Counter(a), cb or Counter(b)
     if max((ca - cb).total(), (cb - ca).total()) > limit:
         return limit + 1
     i, j, k = 0, len(a), len(b)
@@ -130,13 +131,13 @@ def _banded(a: list, b: list, band: int) -> int:
     return min(score, band + 1)
 
 
-def similarity(a: list, b: list, least: float = SIMILARITY) -> float | None:
-    """1 - distance / longer length over words, or None if it is under ``least``."""
+def similarity(a: list, b: list, least: float = SIMILARITY, ca: Counter | None = None, cb: Counter | None = None) -> float | None:
+    """1 - distance / longer length over words, or None if it is under ``least``; ``ca``, ``cb``: their counts, if known."""
     longer = max(len(a), len(b))
     if not longer:
         return 1.0
     limit = int((1 - least) * longer + 1e-9)
-    d = aligned_distance(a, b, limit)
+    d = aligned_distance(a, b, limit, ca, cb)
     return None if d > limit else 1 - d / longer
 
 
@@ -227,61 +228,161 @@ def _stars(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _across(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """Candidates ``(a, b)``, a < b: all pairs of ``(key, node, root)`` with the same
-    key and different roots, unless sizes or bags rule the similarity out.
-
-    A group is dealt into blocks of about ``BLOCK`` members, and every two blocks
-    meet in a task of their own, so no group is held whole and only pairs that
-    pass are rows."""
-    many = members.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("root").alias("first"), F.max("root").alias("last"))
-    many = many.where(F.col("first") != F.col("last")).select("key", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"))
+def _dealt(members: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``members`` of the keys of ``blocks`` (``key, blocks``), each once for every block of its group
+    that it meets: ``x <= y`` name the two blocks, ``own`` the member's own one."""
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = members.join(many, "key").join(nodes.select("node", "size", "bag"), "node").select(
-        "key", "node", "root", "size", "bag", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    d = members.join(blocks, "key").withColumn("own", own)
+    d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    return d.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("other")
+
+
+def _by_blocks(dealt: DataFrame, columns: list[str], schema: str, found) -> DataFrame:
+    """``found(rows)`` of every two blocks that meet, in a task of their own at a time. ``rows`` are the
+    values of ``columns`` (``own`` first) in the order of ``node``; lists of numbers come as numpy arrays."""
     meet = ["key", "x", "y"]
-    dealt = dealt.select(
-        "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "root", "size", "bag")
-
-    def pairs(group: list[tuple]) -> set[tuple[bytes, bytes]]:
-        group.sort(key=lambda r: r[1])
-        own, node, root, size, bags = zip(*group)
-        own, size = np.array(own), np.array(size)
-        roots = np.unique(np.array([r.hex() for r in root]), return_inverse=True)[1]
-        bags = np.frombuffer(b"".join(bags), np.uint8).reshape(len(group), BUCKETS)
-        two, out = own.min() != own.max(), set()
-        for p in range(len(group) - 1):
-            q = np.flatnonzero(roots[p + 1:] != roots[p]) + p + 1
-            if two:  # pairs within a block meet where the block meets itself
-                q = q[own[q] != own[p]]
-            q = q[np.minimum(size[q], size[p]) >= least * np.maximum(size[q], size[p])]
-            if len(q):
-                q = q[may_align(bags[p], bags[q], size[p], size[q], least)]
-            out |= {(node[p], node[k]) for k in q}
-        return out
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done() -> pa.RecordBatch:
-            if at[1] == at[2] or len({r[0] for r in group}) > 1:
-                out = sorted(pairs(group))
-            else:
-                out = []
-            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.binary()) for i in (0, 1)], ["a", "b"])
+        def done() -> Iterator[pa.RecordBatch]:
+            if len(group) > 1 and (at[1] == at[2] or len({r[0] for r in group}) > 1):
+                out = found(at[0], sorted(group, key=lambda r: r[1]))
+                cols = list(zip(*out)) if out else [[] for _ in names]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
+        kinds = [{"binary": pa.binary(), "long": pa.int64(), "double": pa.float64()}[c.split()[1]] for c in schema.split(", ")]
         at, group = None, []
         for batch in batches:
-            for key, x, y, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            cols = []
+            for c in batch.columns:
+                if pa.types.is_list(c.type):
+                    ends = c.offsets.to_numpy()
+                    values = c.values.to_numpy()
+                    cols.append([values[i:j].copy() for i, j in zip(ends, ends[1:])])
+                else:
+                    cols.append(c.to_pylist())
+            for key, x, y, *row in zip(*cols):
                 if at != (key, x, y):
-                    if len(group) > 1:
-                        yield done()
+                    yield from done()
                     at, group = (key, x, y), []
-                group.append(tuple(row))
-        if len(group) > 1:
-            yield done()
+                group.append(row)
+        yield from done()
+
+    tasks = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = dealt.select(*meet, *columns)
+    return d.repartition(tasks, *meet).sortWithinPartitions(*meet).mapInArrow(run, schema)
+
+
+def _open_pairs(own: np.ndarray, roots: np.ndarray, sizes: np.ndarray, bags: np.ndarray, least: float):
+    """``(p, q)``: each place p with the later places of other components whose sizes and bags let them align.
+    Pairs within a block meet where the block meets itself. ``roots`` may change meanwhile."""
+    two = own.min() != own.max()
+    for p in range(len(own) - 1):
+        q = np.flatnonzero(roots[p + 1:] != roots[p]) + p + 1
+        if two:
+            q = q[own[q] != own[p]]
+        q = q[np.minimum(sizes[q], sizes[p]) >= least * np.maximum(sizes[q], sizes[p])]
+        if len(q):
+            q = q[may_align(bags[p], bags[q], sizes[p], sizes[q], least)]
+        if len(q):
+            yield p, q
+
+
+def _numbered(roots: list[bytes]) -> np.ndarray:
+    return np.unique(np.array([r.hex() for r in roots]), return_inverse=True)[1]
+
+
+def _undecided(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Members ``(key, node)`` of a group that may align with one of another component in it, judged by
+    sizes and bags of words. A pair counts in the first group that it shares, and not with the group's
+    smallest member, which the star has tried.
 
-    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(tasks, *meet).sortWithinPartitions(*meet).mapInArrow(run, "a binary, b binary").distinct()
+    A group is dealt into blocks of about ``BLOCK`` members, and every two blocks meet in a
+    task of their own, so no group is held whole; rows are members, not pairs."""
+    many = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("first"), F.max("root").alias("last"), F.min("node").alias("low"))
+    many = many.where(F.col("first") != F.col("last")).select("key", "low", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    rows = members.join(nodes.select("node", "size", "bag", "sigs"), "node")
+
+    def found(key: int, group: list[list]) -> list[tuple]:
+        own, node, root, size, bags, band, sigs, low = zip(*group)
+        own, size, sigs = np.array(own), np.array(size), np.stack(sigs)[:, :band[0]]
+        bags = np.frombuffer(b"".join(bags), np.uint8).reshape(len(group), BUCKETS)
+        needed = np.zeros(len(group), bool)
+        for p, q in _open_pairs(own, _numbered(root), size, bags, least):
+            if node[p] != low[p]:  # rows are in the order of nodes, so only p can be the smallest
+                q = q[~(sigs[q] == sigs[p]).any(axis=1)]
+                needed[q] = True
+                needed[p] |= len(q) > 0
+        return [(key, node[i]) for i in np.flatnonzero(needed)]
+
+    columns = ["own", "node", "root", "size", "bag", "band", "sigs", "low"]
+    return _by_blocks(_dealt(rows, many), columns, "key long, node binary", found).distinct()
+
+
+def _word_hashes(texts: DataFrame) -> DataFrame:
+    """``(node, hashes)`` of ``(node, t)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _WordHash()
+        for batch in batches:
+            start, held = 0, []
+            for i, t in enumerate(batch.column(1)):
+                held.append(np.array([table[x] for x in words(t.as_py())], np.uint64).view(np.int64))
+                if sum(map(len, held)) > 1 << 18 or i == len(batch) - 1:  # texts may be very long
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(held)), pa.array(held, pa.list_(pa.int64()))],
+                                                     ["node", "hashes"])
+                    start, held = i + 1, []
+
+    return texts.mapInArrow(run, "node binary, hashes array<long>")
+
+
+def _across(members: DataFrame, nodes: DataFrame, t: DataFrame, least: float) -> DataFrame:
+    """Links ``(a, b, similarity)`` that join the components of ``members(key, band, node, root)``: of any two
+    texts with a common key that align, both are in one component afterwards.
+
+    The members that bags leave undecided get their words (64-bit hashes) and meet again, block by
+    block, in blocks bounded by bytes. A task aligns two members only while their components are
+    apart, so it returns at most as many links as it has components, less one."""
+    undecided = materialize(_undecided(members, nodes, least), "undecided")
+    ids = undecided.select("node").distinct()
+    texts = t.join(ids, "node", "left_semi").groupBy("node").agg(F.first("t").alias("t"))
+    hashed = materialize(_word_hashes(texts), "words")
+    rows = undecided.join(members, ["key", "node"]).join(hashed, "node").withColumn("size", F.size("hashes"))
+    group = undecided.join(members, ["key", "node"]).join(nodes.select("node", "size"), "node").groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
+    parts = F.ceil(F.greatest(F.col("n") / F.lit(BLOCK), F.col("words") * 8 / F.lit(BLOCK_BYTES))).cast("int")
+
+    def found(key: int, group: list[list]) -> list[tuple]:
+        own, node, root, size, band, hashes = zip(*group)
+        own, size, roots = np.array(own), np.array(size), _numbered(root)
+        bags = np.stack([bag(h.view(np.uint64)) for h in hashes])
+        lists: dict[int, tuple[list, Counter]] = {}
+
+        def held(i: int) -> tuple[list, Counter]:
+            if i not in lists:
+                w = hashes[i].tolist()
+                lists[i] = w, Counter(w)
+            return lists[i]
+
+        out = []
+        for p, q in _open_pairs(own, roots, size, bags, least):
+            for k in q:
+                if roots[k] != roots[p]:
+                    (a, ca), (b, cb) = held(p), held(k)
+                    sim = similarity(a, b, least, ca, cb)
+                    if sim is not None:
+                        out.append((node[p], node[k], sim))
+                        roots[roots == roots[k]] = roots[p]
+            lists.pop(p, None)
+        return out
+
+    dealt = _dealt(rows, group.select("key", parts.alias("blocks")))
+    columns = ["own", "node", "root", "size", "band", "hashes"]
+    links = materialize(_by_blocks(dealt, columns, "a binary, b binary, similarity double", found), "links")
+    for df in (undecided, hashed):
+        drop_materialized(df)
+    return links
 
 
 def near_links(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -292,8 +393,9 @@ def near_links(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -
     near copies costs thousands of alignments, not millions. Then all members
     of a group that these links leave in different components are compared with
     each other, linked to the smallest node or not: their bags of words rule most
-    pairs out, the rest is aligned. So any two texts that share a sketch and align
-    end up in one component, though not each such pair inside one gets a link.
+    pairs out, the rest is aligned until their components are joined. So any two texts
+    that share a sketch and align end up in one component, though not each such pair
+    inside one gets a link.
     No member is dropped for the size of its group. Two texts whose shingle sets have similarity J share
     a sketch with chance about J**2. Edits scattered over a text cost most
     shingles: at word similarity 0.8 J is about 0.34, and about 1 % of such pairs
@@ -304,16 +406,14 @@ def near_links(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -
     one = _sketches(t).groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "bag", "sigs")])
     nodes = materialize(one, "sketches")
     sigs = nodes.select("node", "size", F.posexplode("sigs").alias("band", "sig"))
-    members = sigs.select(F.xxhash64("band", "sig").alias("key"), "node", "size")
+    members = sigs.select(F.xxhash64("band", "sig").alias("key"), "band", "node", "size")
     star = materialize(_stars(members, nodes, least), "candidates")
     links = _verified(star, t, least)
     many = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("key")
     rest = members.join(many, "key").join(connected_components(links), "node", "left")
-    rest = rest.select("key", "node", F.coalesce("root", "node").alias("root"))
-    across = _across(rest, nodes, least).join(star, ["a", "b"], "left_anti")
-    across = materialize(across, "candidates")
-    more = _verified(across, t, least)
-    for df in (star, across, nodes):
+    rest = materialize(rest.select("key", "band", "node", F.coalesce("root", "node").alias("root")), "members")
+    more = _across(rest, nodes, t, least)
+    for df in (star, nodes, rest):
         drop_materialized(df)
     return links.unionByName(more)
 
@@ -325,7 +425,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     The class is the component of equal texts and verified links; its id is its
     smallest doc_id (NULL if all are NULL). ``n_links`` counts the verified
     links of the row's text to other texts: those to or from the smallest text of
-    a sketch group, and those between components that these make; pairs inside a
+    a sketch group, and those that join the components that these make; pairs inside a
     component that were never tried don't count. Equal texts are no links. All empty
     and NULL texts are equal. Repeated rows give repeated rows."""
     classes, links = _classes(docs, doc_id, text, least)
