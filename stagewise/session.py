@@ -91,7 +91,7 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     later pass reads the same rows, column-pruned. One job, unlike an eager
     ``checkpoint()`` of an uncached plan, which computes the plan twice."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stagewise_path = path
     return out
