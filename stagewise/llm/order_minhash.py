@@ -8,13 +8,14 @@ candidates; banded alignment of their words decides.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected_components, drop_materialized, materialize, ship_package, text_key, text_or_empty
@@ -228,18 +229,38 @@ def _stars(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _dealt(members: DataFrame, blocks: DataFrame) -> DataFrame:
-    """``members`` of the keys of ``blocks`` (``key, blocks``), each once for every block of its group
-    that it meets: ``x <= y`` name the two blocks, ``own`` the member's own one."""
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    d = members.join(blocks, "key").withColumn("own", own)
-    d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    return d.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("other")
+def _by_size(members: DataFrame, least: float) -> DataFrame:
+    """``members`` with their groups cut by text size: texts that may align are of one size class or of neighbouring ones.
+
+    A class is a factor of ``1 / least``. The group of class c holds its members and, as ``upper``, those of class
+    c + 1, which meet each other in the group of their own class; so each member is in two groups."""
+    own = F.floor(F.log("size") / math.log(1 / least * (1 + 1e-9)))
+    m = members.withColumn("__c", own).withColumn("upper", F.explode(F.array(F.lit(False), F.lit(True))))
+    return m.withColumn("key", F.xxhash64("key", F.when(F.col("upper"), F.col("__c") - 1).otherwise(F.col("__c")))).drop("__c")
+
+
+def _dealt(members: DataFrame, weight: Column, limit: int) -> DataFrame:
+    """``members(key, node, root, ...)`` of groups of more than one component, each once for every block that
+    it meets: ``x <= y`` name two blocks that meet, ``own`` the member's own one.
+
+    Blocks are filled up to ``limit`` by ``weight`` on average. Members of a group's largest component
+    are in blocks of their own, which meet only those of the others: its members need not be compared with each other, so a
+    family of copies beside a few unlike texts costs its size, not its square."""
+    sums = members.groupBy("key", "root").agg(F.sum(weight).alias("w"))
+    groups = sums.groupBy("key").agg(F.max(F.struct("w", "root")).alias("top"), F.sum("w").alias("all"), F.count(F.lit(1)).alias("n"))
+    groups = groups.where("n > 1").select(
+        "key", F.col("top.root").alias("__top"), F.ceil((F.col("all") - F.col("top.w")) / F.lit(limit)).cast("int").alias("__few"),
+        F.ceil(F.col("top.w") / F.lit(limit)).cast("int").alias("__many"))
+    major, h = F.col("root") == F.col("__top"), F.xxhash64("node")
+    own = F.when(major, F.col("__few") + F.pmod(h, F.col("__many"))).otherwise(F.pmod(h, F.col("__few"))).cast("int")
+    meets = F.sequence(F.lit(0), F.when(major, F.col("__few")).otherwise(F.col("__few") + F.col("__many")) - 1)
+    d = members.join(groups, "key").withColumn("own", own).withColumn("__other", F.explode(meets))
+    return d.withColumns({"x": F.least("own", "__other"), "y": F.greatest("own", "__other")}).drop("__other", "__top", "__few", "__many")
 
 
 def _by_blocks(dealt: DataFrame, columns: list[str], schema: str, found) -> DataFrame:
     """``found(rows)`` of every two blocks that meet, in a task of their own at a time. ``rows`` are the
-    values of ``columns`` (``own`` first) in the order of ``node``; lists of numbers come as numpy arrays."""
+    values of ``columns`` (``own`` and ``node`` first) in the order of ``node``; lists of numbers come as numpy arrays."""
     meet = ["key", "x", "y"]
     names = [c.split()[0] for c in schema.split(", ")]
 
@@ -273,12 +294,13 @@ def _by_blocks(dealt: DataFrame, columns: list[str], schema: str, found) -> Data
     return d.repartition(tasks, *meet).sortWithinPartitions(*meet).mapInArrow(run, schema)
 
 
-def _open_pairs(own: np.ndarray, roots: np.ndarray, sizes: np.ndarray, bags: np.ndarray, least: float):
+def _open_pairs(own: np.ndarray, upper: np.ndarray, roots: np.ndarray, sizes: np.ndarray, bags: np.ndarray, least: float):
     """``(p, q)``: each place p with the later places of other components whose sizes and bags let them align.
-    Pairs within a block meet where the block meets itself. ``roots`` may change meanwhile."""
+    Pairs within a block meet where the block meets itself, those of two ``upper`` members in another group.
+    ``roots`` may change meanwhile."""
     two = own.min() != own.max()
     for p in range(len(own) - 1):
-        q = np.flatnonzero(roots[p + 1:] != roots[p]) + p + 1
+        q = np.flatnonzero((roots[p + 1:] != roots[p]) & ~(upper[p + 1:] & upper[p])) + p + 1
         if two:
             q = q[own[q] != own[p]]
         q = q[np.minimum(sizes[q], sizes[p]) >= least * np.maximum(sizes[q], sizes[p])]
@@ -297,27 +319,24 @@ def _undecided(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     sizes and bags of words. A pair counts in the first group that it shares, and not with the group's
     smallest member, which the star has tried.
 
-    A group is dealt into blocks of about ``BLOCK`` members, and every two blocks meet in a
+    A group is dealt into blocks of about ``BLOCK`` members, and two blocks meet in a
     task of their own, so no group is held whole; rows are members, not pairs."""
-    many = members.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("root").alias("first"), F.max("root").alias("last"), F.min("node").alias("low"))
-    many = many.where(F.col("first") != F.col("last")).select("key", "low", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    rows = members.join(nodes.select("node", "size", "bag", "sigs"), "node")
+    rows = members.join(nodes.select("node", "bag", "sigs"), "node")
 
     def found(key: int, group: list[list]) -> list[tuple]:
-        own, node, root, size, bags, band, sigs, low = zip(*group)
-        own, size, sigs = np.array(own), np.array(size), np.stack(sigs)[:, :band[0]]
+        own, node, upper, root, size, bags, band, sigs, low = zip(*group)
+        own, upper, size, sigs = np.array(own), np.array(upper), np.array(size), np.stack(sigs)[:, :band[0]]
         bags = np.frombuffer(b"".join(bags), np.uint8).reshape(len(group), BUCKETS)
         needed = np.zeros(len(group), bool)
-        for p, q in _open_pairs(own, _numbered(root), size, bags, least):
+        for p, q in _open_pairs(own, upper, _numbered(root), size, bags, least):
             if node[p] != low[p]:  # rows are in the order of nodes, so only p can be the smallest
                 q = q[~(sigs[q] == sigs[p]).any(axis=1)]
                 needed[q] = True
                 needed[p] |= len(q) > 0
         return [(key, node[i]) for i in np.flatnonzero(needed)]
 
-    columns = ["own", "node", "root", "size", "bag", "band", "sigs", "low"]
-    return _by_blocks(_dealt(rows, many), columns, "key long, node binary", found).distinct()
+    columns = ["own", "node", "upper", "root", "size", "bag", "band", "sigs", "low"]
+    return _by_blocks(_dealt(rows, F.lit(1), BLOCK), columns, "key long, node binary", found).distinct()
 
 
 def _word_hashes(texts: DataFrame) -> DataFrame:
@@ -338,7 +357,7 @@ def _word_hashes(texts: DataFrame) -> DataFrame:
 
 
 def _across(members: DataFrame, nodes: DataFrame, t: DataFrame, least: float) -> DataFrame:
-    """Links ``(a, b, similarity)`` that join the components of ``members(key, band, node, root)``: of any two
+    """Links ``(a, b, similarity)`` that join the components of ``members(key, upper, band, node, size, root, low)``: of any two
     texts with a common key that align, both are in one component afterwards.
 
     The members that bags leave undecided get their words (64-bit hashes) and meet again, block by
@@ -348,14 +367,12 @@ def _across(members: DataFrame, nodes: DataFrame, t: DataFrame, least: float) ->
     ids = undecided.select("node").distinct()
     texts = t.join(ids, "node", "left_semi").groupBy("node").agg(F.first("t").alias("t"))
     hashed = materialize(_word_hashes(texts), "words")
-    rows = undecided.join(members, ["key", "node"]).join(hashed, "node").withColumn("size", F.size("hashes"))
-    group = undecided.join(members, ["key", "node"]).join(nodes.select("node", "size"), "node").groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
-    parts = F.ceil(F.greatest(F.col("n") / F.lit(BLOCK), F.col("words") * 8 / F.lit(BLOCK_BYTES))).cast("int")
+    rows = undecided.join(members, ["key", "node"]).join(hashed, "node")
+    room = F.greatest(F.lit(BLOCK_BYTES // BLOCK), F.col("size") * 8)  # BLOCK members, fewer if they are long
 
     def found(key: int, group: list[list]) -> list[tuple]:
-        own, node, root, size, band, hashes = zip(*group)
-        own, size, roots = np.array(own), np.array(size), _numbered(root)
+        own, node, upper, root, size, hashes = zip(*group)
+        own, upper, size, roots = np.array(own), np.array(upper), np.array(size), _numbered(root)
         bags = np.stack([bag(h.view(np.uint64)) for h in hashes])
         lists: dict[int, tuple[list, Counter]] = {}
 
@@ -366,7 +383,7 @@ def _across(members: DataFrame, nodes: DataFrame, t: DataFrame, least: float) ->
             return lists[i]
 
         out = []
-        for p, q in _open_pairs(own, roots, size, bags, least):
+        for p, q in _open_pairs(own, upper, roots, size, bags, least):
             for k in q:
                 if roots[k] != roots[p]:
                     (a, ca), (b, cb) = held(p), held(k)
@@ -377,9 +394,8 @@ def _across(members: DataFrame, nodes: DataFrame, t: DataFrame, least: float) ->
             lists.pop(p, None)
         return out
 
-    dealt = _dealt(rows, group.select("key", parts.alias("blocks")))
-    columns = ["own", "node", "root", "size", "band", "hashes"]
-    links = materialize(_by_blocks(dealt, columns, "a binary, b binary, similarity double", found), "links")
+    columns = ["own", "node", "upper", "root", "size", "hashes"]
+    links = materialize(_by_blocks(_dealt(rows, room, BLOCK_BYTES), columns, "a binary, b binary, similarity double", found), "links")
     for df in (undecided, hashed):
         drop_materialized(df)
     return links
@@ -409,9 +425,10 @@ def near_links(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -
     members = sigs.select(F.xxhash64("band", "sig").alias("key"), "band", "node", "size")
     star = materialize(_stars(members, nodes, least), "candidates")
     links = _verified(star, t, least)
-    many = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("key")
+    many = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low")).where("n > 2").select("key", "low")
     rest = members.join(many, "key").join(connected_components(links), "node", "left")
-    rest = materialize(rest.select("key", "band", "node", F.coalesce("root", "node").alias("root")), "members")
+    rest = rest.select("key", "band", "node", "size", "low", F.coalesce("root", "node").alias("root"))
+    rest = materialize(_by_size(rest, least), "members")
     more = _across(rest, nodes, t, least)
     for df in (star, nodes, rest):
         drop_materialized(df)
