@@ -245,10 +245,11 @@ def _dealt(members: DataFrame, weight: Column, limit: int) -> DataFrame:
 
     Blocks are filled up to ``limit`` by ``weight`` on average. Members of a group's largest component
     are in blocks of their own, which meet only those of the others: its members need not be compared with each other, so a
-    family of copies beside a few unlike texts costs its size, not its square."""
-    sums = members.groupBy("key", "root").agg(F.sum(weight).alias("w"))
-    groups = sums.groupBy("key").agg(F.max(F.struct("w", "root")).alias("top"), F.sum("w").alias("all"), F.count(F.lit(1)).alias("n"))
-    groups = groups.where("n > 1").select(
+    family of copies beside a few unlike texts costs its size, not its square. Groups of ``upper`` members only are left out."""
+    sums = members.groupBy("key", "root").agg(F.sum(weight).alias("w"), F.min("upper").alias("upper"))
+    groups = sums.groupBy("key").agg(F.max(F.struct("w", "root")).alias("top"), F.sum("w").alias("all"), F.count(F.lit(1)).alias("n"),
+                                     F.min("upper").alias("upper"))
+    groups = groups.where("n > 1 AND NOT upper").select(
         "key", F.col("top.root").alias("__top"), F.ceil((F.col("all") - F.col("top.w")) / F.lit(limit)).cast("int").alias("__few"),
         F.ceil(F.col("top.w") / F.lit(limit)).cast("int").alias("__many"))
     major, h = F.col("root") == F.col("__top"), F.xxhash64("node")
