@@ -10,8 +10,6 @@ their length.
 from __future__ import annotations
 
 import json
-import re
-import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -22,70 +20,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, ship_package, text_or_empty
+from .common import LONG_BLANKS, materialize, ship_package, text_or_empty
 
 CAPACITY = 1024
 END_ID = 2
-#: Words whose ids a worker keeps, twice: when the table is full it becomes the older one.
-MEMO_WORDS = 250_000
-#: Ranks within a length are counted in this many parts, so a common length is
-#: spread over as many tasks.
-PARTS = 64
+#: Pieces of one length are ranked in parts of about this many, each in a task of its own.
+PART_ROWS = 200_000
 
 PIECE_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()),
     T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
     T.StructField("ids_crc32", T.LongType()),
 ])
-_BLANKS = re.compile(r"\s\s")
 #: Fixed value: how a byte-level BPE of this kind cuts a text into words.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-class _Ids(dict):
-    """Word with its leading blank -> ids as little-endian unsigned 32-bit bytes.
+class _Ids:
+    """Ids of a text as little-endian unsigned 32-bit bytes.
 
-    Words not seen lately are encoded by tiktoken with the tokenizer file's own
-    vocabulary, several times as fast as ``tokenizers`` for single words and with
-    the same ids; that needs a vocabulary in merge order, and any other file
-    stays with ``tokenizers``."""
+    tiktoken with the tokenizer file's own vocabulary gives the ids of ``tokenizers`` in
+    a fraction of the time and memory; that needs a vocabulary in merge order. Any
+    other file, a text that may name a special token, and very long runs of blanks (which
+    tiktoken's pattern walks back over on its stack) go to ``tokenizers``."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self.tokenizer = path, None
         self.quick = _merge_order_encoding(path)
-        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return _pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            ids = _pack(self.quick.encode_ordinary(word)) if self.quick else self.whole(word)
-        if len(self) >= MEMO_WORDS:
-            self.older = dict(self)
-            self.clear()
-        self[word] = ids
-        return ids
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(self.path)
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        """Ids of a text. The vocabulary's pre-tokeniser always cuts before a
-        single blank between two other characters, so a text without two white
-        spaces in a row is the sequence of its words, each with its blank; any
-        other text, or one that names a special token, goes whole."""
         if not text:
             return b""
-        if "<|" in text or _BLANKS.search(text):
+        if self.quick is None or "<|" in text or LONG_BLANKS.search(text):
             return self.whole(text)
-        first, *rest = text.split(" ")
-        return (self[first] if first else b"") + b"".join([self[" " + w] for w in rest])
-
-
-def _pack(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+        return np.array(self.quick.encode_ordinary(text), "<u4").tobytes()
 
 
 def _merge_order_encoding(path: str):
@@ -199,12 +174,15 @@ def _two_for(room: int, small: int, free: set[int], spare) -> tuple[int, int] |
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; lengths are 1 to ``capacity``.
 
-    The driver holds ``capacity`` counts and the plan made of them (fewer
+    The driver holds ``capacity`` counts, the plan made of them (fewer
     rows than the sum of bin sizes of its distinct bins, so bounded by the
-    capacity too). Equal rows are interchangeable, so a task that runs again
-    deals the same rows out. ``pieces`` is read twice: write it first."""
+    capacity too), and a count for every ``PART_ROWS`` pieces of a length. Equal rows are
+    interchangeable, so a task that runs again deals the same rows out. ``pieces`` is read
+    three times: write it first."""
     spark = pieces.sparkSession
-    p = pieces.withColumn("__part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(PARTS)))
+    sizes = pieces.groupBy("length").agg(F.ceil(F.count(F.lit(1)) / F.lit(PART_ROWS)).alias("__parts"))
+    sizes = spark.createDataFrame(sizes.collect(), "length long, __parts long")  # `capacity` rows at most
+    p = pieces.join(F.broadcast(sizes), "length").withColumn("__part", F.pmod(F.xxhash64("doc_id", "piece"), F.col("__parts")))
     per_part = p.groupBy("length", "__part").agg(F.count(F.lit(1)).alias("n")).collect()
     counts: Counter[int] = Counter()
     before = []
