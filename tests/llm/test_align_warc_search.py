@@ -13,7 +13,6 @@ import numpy as np
 import public_tokenizers
 import pytest
 import regex
-import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 

@@ -102,10 +102,65 @@ def test_license_coverage_does_not_depend_on_its_place():
             stretched = words[:cut] + inner + words[cut:] if gap < n else (
                 words[:third] + inner[:n - 1] + words[third:cut] + inner[n - 1:2 * n - 2] + words[cut:])
             for at in range(2 * n):
-                got = license_scan.best_cover(fill(at) + stretched + fill(60), template, 0.8)
+                got = max(license_scan.covers(fill(at) + stretched + fill(60), template, 0.8), default=None)
                 assert got == (share, at, at + len(stretched)), (gap, at, got)
 
 
+def test_increasing_and_patience_against_plain_searches():
+    """The chain is as long as the longest by dynamic programming; an alignment is a common subsequence,
+    no longer than the longest one, and holds it whole where all words are unique."""
+    rng = random.Random(12)
+    for _ in range(200):
+        pairs = [(x, rng.randrange(12)) for x in range(rng.randrange(12))]
+        longest = [0] * len(pairs)
+        for i, (_, y) in enumerate(pairs):
+            longest[i] = 1 + max([longest[j] for j in range(i) if pairs[j][1] < y], default=0)
+        chain = license_scan.increasing(pairs)
+        assert len(chain) == max(longest, default=0) and all(p in pairs for p in chain)
+        assert all(a < c and b < d for (a, b), (c, d) in zip(chain, chain[1:]))
+    for k in range(200):
+        words = "abcdefghijklmnopqrstuvwxyz"[:26 if k % 2 else 6]
+        a, b = ([rng.choice(words) for _ in range(rng.randrange(25))] for _ in range(2))
+        if k % 2:  # unique words: the longest common subsequence is the longest increasing chain of places
+            a, b = (rng.sample(words, rng.randrange(1, 20)) for _ in range(2))
+        lcs = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                lcs[i + 1][j + 1] = lcs[i][j] + 1 if a[i] == b[j] else max(lcs[i][j + 1], lcs[i + 1][j])
+        found = license_scan.patience(a, b)
+        assert all(a[i] == b[j] for i, j in found) and all(i < x and j < y for (i, j), (x, y) in zip(found, found[1:]))
+        assert len(found) <= lcs[-1][-1] and (not k % 2 or len(found) == lcs[-1][-1])
+
+
+def test_every_passage_of_a_long_license_is_found(spark):
+    """A license of hundreds of words, changed here and there, three times in a text and once in part."""
+    rng = random.Random(13)
+    text = [rng.choice("abcdefgh") + rng.choice("ijklmno") + str(rng.randrange(60)) for _ in range(400)]
+    fill = lambda n: [f"own{rng.randrange(10**6)}" for _ in range(n)]
+    changed = lambda: [w if rng.random() > 0.05 else "other" for w in text]
+    copies = [text, changed(), changed()]
+    doc, places = fill(700), []
+    for c in copies:
+        places.append((len(doc), len(doc) + 400))
+        doc += c + fill(rng.randrange(3, 900))
+    doc += text[:300]  # three quarters are too few
+    d = spark.createDataFrame([(1, " ".join(doc)), (2, " ".join(fill(50) + text[:200] + fill(30) + text[200:]))], "doc_id long, text string")
+    out = sorted(map(tuple, license_scan.scan_licenses(d, {"long": " ".join(text), "mit": license_scan.TEMPLATES["mit-notice"]}).collect()))
+    assert [r[:2] for r in out] == [(1, "long")] * 3 + [(2, "long")]
+    for (_, _, share, start, end), (a, b) in zip(sorted(out[:3], key=lambda r: r[3]), places):
+        assert share >= 0.9 and abs(start - a) <= 8 and abs(end - b) <= 8
+    assert out[3][2:] == (1.0, 50, 480)
+
+
+def test_two_grants_in_one_text_are_two_passages(spark):
+    grant = license_scan.TEMPLATES["mit-grant"]
+    d = spark.createDataFrame([(1, f"{grant} and {grant}"), (2, f"{grant} {license_scan.TEMPLATES['bsd-grant']} {grant}")], "doc_id long, text string")
+    out = sorted(map(tuple, license_scan.scan_licenses(d).collect()))
+    n = len(license_scan.words(grant))
+    assert out[:2] == [(1, "mit-grant", 1.0, 0, n), (1, "mit-grant", 1.0, n + 1, 2 * n + 1)]
+    assert [r[1] for r in out[2:]] == ["bsd-grant", "mit-grant", "mit-grant"]
+
+
 # 2 ------------------------------------------------------------------------------------------------
 
 def test_spotsigs_next_document_and_edit(spark, documents):
@@ -228,6 +283,48 @@ def test_link_to_a_member_that_is_linked_to_the_smallest(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("block", [4, 256])
+def test_classes_equal_brute_force_over_shared_sketches(spark, monkeypatch, block):
+    """Texts of many sizes round common passages, families of copies beside them: any two that share a sketch and
+    align are in one class, and classes hold nothing else, however small the blocks are."""
+    monkeypatch.setattr(order_minhash, "BLOCK", block)
+    monkeypatch.setattr(order_minhash, "BLOCK_BYTES", block * 400)
+    rng = random.Random(11)
+    draw = lambda n: [rng.choice(pool) for _ in range(n)]
+    pool = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(3000)]
+    passages = [draw(30), draw(60)]
+    texts = []
+    for k in range(70):
+        own = draw(rng.choice([3, 8, 20, 60])) + passages[k % 2] + draw(rng.choice([0, 5, 9]))
+        texts.append(own)
+        for _ in range(rng.choice([0, 0, 1, 5])):
+            near = list(own)
+            for i in rng.sample(range(len(near)), rng.randrange(len(near) // 4)):
+                near[i] = rng.choice(pool)
+            texts.append(near)
+    family = draw(80)
+    for _ in range(40):
+        near = list(family)
+        near[rng.randrange(80)] = rng.choice(pool)
+        texts.append(near)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sketches = [order_minhash.sketch(np.array([xxhash.xxh64_intdigest(w) for w in t], np.uint64)) for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if (sketches[i] == sketches[j]).any() and order_minhash.similarity(texts[i], texts[j]) is not None:
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {i: root(i) for i in range(len(texts))}
+
+
 def test_scattered_edits_up_to_the_declared_similarity_share_a_sketch():
     rng = random.Random(10)
     draw = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
@@ -298,14 +395,28 @@ def test_packing_round_trip(spark, documents):
     assert len(bins) <= 1.03 * -(-total // 1024)
 
 
-@pytest.mark.parametrize("text", ["a  b", " a", "a ", "a\n\n b", "don't we're  x", "\t\ta b", "ä ö<|endoftext|> z", "a b \n c", "漢字 か な", "x" * 3000])
-def test_word_table_gives_the_tokenizers_ids(text):
+@pytest.mark.parametrize("text", ["a  b", " a", "a ", "a\n\n b", "don't we're  x", "\t\ta b", "ä ö<|endoftext|> z", "a b \n c", "漢字 か な", "x" * 3000, "a" + " " * 5000 + "b", "a  b\u3000\u3000c\x1c\x1d d"])
+def test_quick_encoding_gives_the_tokenizers_ids(text):
+    from tokenizers import Tokenizer
+
     t = best_fit._Ids(queries.tokenizer_file())
     assert t.quick is not None
-    want = np.array(t.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    want = np.array(Tokenizer.from_file(queries.tokenizer_file()).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     assert t.encode(text) == want
 
 
+def test_common_lengths_are_ranked_in_parts(spark, documents, monkeypatch):
+    """Parts follow the number of pieces; whatever they are, each piece has a place of its own."""
+    monkeypatch.setattr(best_fit, "PART_ROWS", 20)
+    rows = best_fit.pack_documents(documents.unionByName(documents), queries.tokenizer_file(), capacity=64).collect()
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in bins.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(parts)]).tolist()]
+        assert [o for o, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 64
+
+
 def test_best_two_fit_beats_greedy_and_uses_each_piece_once():
     assert best_fit.plan_bins({6: 1, 3: 1, 2: 2}, 10) == [(1, [6, 2, 2]), (1, [3])]  # greedy alone leaves 6+3 with a gap
     rng = random.Random(1)
@@ -400,6 +511,17 @@ def test_short_items_match_whole_and_items_without_id_stay(spark):
     assert sorted(r.doc_id for r in decontaminate.drop_contaminated(d, bench).collect()) == [2, 3]
 
 
+def test_the_budget_alone_decides_how_an_item_matches(spark):
+    """Items of 16 to 20 characters: 6 % of 17 is the first whole edit."""
+    for n in range(16, 21):
+        item = "abcdefghijklmnopqrst"[:n]
+        edited = item[:8] + "x" + item[9:]
+        d = spark.createDataFrame([(1, item), (2, f"say {item} now"), (3, edited), (4, f"un{item}able")], "doc_id long, text string")
+        bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+        found = {r.doc_id: r.distance for r in decontaminate.find_matches(d, bench).collect()}
+        assert found == ({1: 0, 2: 0} if n < 17 else {1: 0, 2: 0, 3: 1, 4: 0}), n
+
+
 # 7 ------------------------------------------------------------------------------------------------
 
 def test_shards_are_the_shortest_prefixes_that_fit(spark, documents):
@@ -450,6 +572,15 @@ def test_boilerplate_lines_by_site(spark):
     assert out[20] == (None, 0) and out[21] == ("Menu", 0) and out[22] == ("", 0)
 
 
+def test_hosts_of_few_pages_lose_repeated_lines_only(spark):
+    """The ratio alone decides, from the second page on: hosts of 1, 2, 4 and 5 pages."""
+    rows = [(n, f"Menu\nonly {n} {i}", f"host{n}") for n in (1, 2, 4, 5) for i in range(n)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = line_dedup.drop_boilerplate(d, dropped="cut").collect()
+    assert {(r.source, r.cut) for r in out} == {("host1", 0), ("host2", 1), ("host4", 1), ("host5", 1)}
+    assert all("only" in r.text for r in out)
+
+
 # 10 -----------------------------------------------------------------------------------------------
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
