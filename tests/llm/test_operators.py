@@ -325,6 +325,31 @@ def test_classes_equal_brute_force_over_shared_sketches(spark, monkeypatch, bloc
     assert got == {i: root(i) for i in range(len(texts))}
 
 
+def test_rows_of_a_large_group_grow_with_its_size(spark, monkeypatch):
+    """Unlike texts round one passage, near copies among them: twice as many take about twice the rows, not four times."""
+    monkeypatch.setattr(order_minhash, "BLOCK", 8)
+    monkeypatch.setattr(order_minhash, "EARLIER", 2)
+    made, by_blocks = [], order_minhash._by_blocks
+
+    def counted(dealt, *more):
+        made.append(dealt.count())
+        return by_blocks(dealt, *more)
+
+    monkeypatch.setattr(order_minhash, "_by_blocks", counted)
+    rng, rows, sums = random.Random(13), [], []
+    draw = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    passage = draw(70)
+    for k in range(0, 320, 2):
+        own = draw(30)
+        rows += [(k, " ".join(own + passage)), (k + 1, " ".join(own[:14] + draw(2) + own[16:] + passage))]
+    for n in (160, 320):
+        made.clear()
+        got = order_minhash.near_duplicates(spark.createDataFrame(rows[:n], "doc_id long, text string").repartition(4)).collect()
+        assert {r.doc_id: r.class_id for r in got} == {i: i - i % 2 for i in range(n)}
+        sums.append(sum(made))
+    assert sums[1] <= 2.6 * sums[0]
+
+
 def test_scattered_edits_up_to_the_declared_similarity_share_a_sketch():
     rng = random.Random(10)
     draw = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
