@@ -558,11 +558,13 @@ def _across(members: DataFrame, nodes: DataFrame, t: DataFrame, least: float) ->
     member by member, those of larger ones by their rare words."""
     groups = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("root").alias("one"), F.max("root").alias("other"), F.min("upper").alias("upper"))
-    wide = materialize(groups.where((F.col("n") > BLOCK) & (F.col("one") < F.col("other")) & ~F.col("upper")).select("key"), "wide")
-    links = _by_sketch(members.join(wide, "key", "left_anti"), nodes, t, least)
+    groups = groups.where("one < other AND NOT upper").select("key", (F.col("n") > BLOCK).alias("wide"))
+    apart = materialize(members.join(groups, "key"), "apart")
+    links = _by_sketch(apart.where("NOT wide"), nodes, t, least)
+    wide = apart.where("wide")
     if not wide.isEmpty():
-        links = links.unionByName(_by_words(members.join(wide, "key", "left_semi"), nodes, t, least))
-    drop_materialized(wide)
+        links = links.unionByName(_by_words(wide, nodes, t, least))
+    drop_materialized(apart)
     return links
 
 
