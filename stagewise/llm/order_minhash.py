@@ -183,11 +183,8 @@ def _sketches(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "node binary, size long, bag binary, sigs array<long>")
 
 
-def _verified(pairs: DataFrame, t: DataFrame, least: float) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes whose words align to at least ``least``, written."""
-    ids = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-    texts = materialize(
-        t.join(ids, t["node"] == ids["a"], "left_semi").groupBy("node").agg(F.first("t").alias("t")), "texts")
+def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes whose words align to at least ``least``, written; ``texts(node, t)`` holds each node once."""
     ta = texts.select(F.col("node").alias("a"), F.col("t").alias("ta"))
     tb = texts.select(F.col("node").alias("b"), F.col("t").alias("tb"))
 
@@ -204,17 +201,19 @@ def _verified(pairs: DataFrame, t: DataFrame, least: float) -> DataFrame:
                 [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(s, pa.float64())], ["a", "b", "similarity"])
 
     both = pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
-    out = materialize(both.mapInArrow(run, "a binary, b binary, similarity double"), "links")
-    drop_materialized(texts)
-    return out
+    return materialize(both.mapInArrow(run, "a binary, b binary, similarity double"), "links")
+
+
+def _shared(members: DataFrame) -> DataFrame:
+    """``members(key, node, size, ...)`` of groups of more than one, with the group's smallest member ``low`` and its number ``n``."""
+    groups = members.groupBy("key").agg(F.min(F.struct("node", "size")).alias("low"), F.count(F.lit(1)).alias("n"))
+    return members.join(groups.where("n > 1"), "key")
 
 
-def _stars(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+def _stars(shared: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     """Candidates ``(a, b)``: every member b of a group with the group's smallest
     member a, unless their sizes or bags of words rule the similarity out."""
-    low = members.groupBy("key").agg(F.min(F.struct("node", "size")).alias("low"), F.count(F.lit(1)).alias("n"))
-    low = low.where(F.col("n") > 1).select("key", "low")
-    star = members.join(low, "key").where(F.col("node") != F.col("low.node"))
+    star = shared.where(F.col("node") != F.col("low.node"))
     star = star.where(F.least("size", "low.size") >= F.greatest("size", "low.size") * F.lit(least))
     pairs = star.select(F.col("low.node").alias("a"), F.col("node").alias("b")).distinct()
     one = nodes.select(F.col("node").alias("a"), F.col("size").alias("sa"), F.col("bag").alias("ba"))
@@ -332,7 +331,6 @@ def _undecided(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     """Members ``(key, node)`` of a group that may align with one of another component in it, judged by
     sizes and bags of words. A pair counts in the first group that it shares, and not with the group's
     smallest member, which the star has tried. Groups are of ``BLOCK`` members at most; rows are members, not pairs."""
-    rows = members.join(nodes.select("node", "bag", "sigs"), "node")
 
     def found(key: int, group: list[list]) -> list[tuple]:
         own, node, upper, root, size, bags, band, sigs, low = zip(*group)
@@ -347,11 +345,12 @@ def _undecided(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
         return [(key, node[i]) for i in np.flatnonzero(needed)]
 
     columns = ["own", "node", "upper", "root", "size", "bag", "band", "sigs", "low"]
-    return _by_blocks(_dealt(rows, F.lit(1), BLOCK), columns, "key long, node binary", found).distinct()
+    dealt = _dealt(members, F.lit(1), BLOCK).join(nodes.select("node", "bag", "sigs"), "node")
+    return _by_blocks(dealt, columns, "key long, node binary", found).distinct()
 
 
-def _word_hashes(texts: DataFrame) -> DataFrame:
-    """``(node, hashes)`` of ``(node, t)``."""
+def _word_hashes(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(node, hashes)`` of those of ``texts(node, t)`` whose node is among ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _WordHash()
@@ -364,7 +363,7 @@ def _word_hashes(texts: DataFrame) -> DataFrame:
                                                      ["node", "hashes"])
                     start, held = i + 1, []
 
-    return texts.mapInArrow(run, "node binary, hashes array<long>")
+    return texts.join(ids.select("node").distinct(), "node", "left_semi").mapInArrow(run, "node binary, hashes array<long>")
 
 
 def _aligned_links(least: float, rule=None):
@@ -406,19 +405,17 @@ def _room() -> Column:
 _LINK = "a binary, b binary, similarity double"
 
 
-def _by_sketch(members: DataFrame, nodes: DataFrame, t: DataFrame, least: float) -> DataFrame:
+def _by_sketch(members: DataFrame, nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Links of :func:`_across` for groups that are compared member by member.
 
     The members that bags leave undecided get their words (64-bit hashes) and meet again, block by
     block, in blocks bounded by bytes. A task aligns two members only while their components are
     apart, so it returns at most as many links as it has components, less one."""
     undecided = materialize(_undecided(members, nodes, least), "undecided")
-    ids = undecided.select("node").distinct()
-    texts = t.join(ids, "node", "left_semi").groupBy("node").agg(F.first("t").alias("t"))
-    hashed = materialize(_word_hashes(texts), "words")
-    rows = undecided.join(members, ["key", "node"]).join(hashed, "node")
+    hashed = materialize(_word_hashes(texts, undecided), "words")
+    dealt = _dealt(undecided.join(members, ["key", "node"]), _room(), BLOCK_BYTES).join(hashed, "node")
     columns = ["own", "node", "upper", "root", "size", "hashes"]
-    links = materialize(_by_blocks(_dealt(rows, _room(), BLOCK_BYTES), columns, _LINK, _aligned_links(least)), "links")
+    links = materialize(_by_blocks(dealt, columns, _LINK, _aligned_links(least)), "links")
     for df in (undecided, hashed):
         drop_materialized(df)
     return links
@@ -465,8 +462,8 @@ def _word_levels(texts: DataFrame) -> np.ndarray:
 
 
 def _rare_words(texts: DataFrame, least: float) -> DataFrame:
-    """``(key, node, root, size, upper, earlier)``: ``texts(node, root, size, hashes)``, each under the words by which it may
-    meet texts of other components.
+    """``(key, node, root, size, upper, earlier, bag, keys)``: ``texts(node, root, size, hashes, keys)``, each under the words
+    by which it may meet texts of other components.
 
     Two texts that align lack at most ``1 - least`` of the longer one's words in each other, so with all words in one
     order, the first word that they share is among each one's first ``(1 - least) * size + 1``. The order begins with
@@ -478,20 +475,24 @@ def _rare_words(texts: DataFrame, least: float) -> DataFrame:
         level = levels.value
         for batch in batches:
             node, root, size = (batch.column(i).to_pylist() for i in range(3))
+            keys = batch.column(4)
             for i, h in enumerate(_lists(batch.column(3))):
                 v = level[h & (len(level) - 1)]
                 first = np.lexsort((h, v))[:int((1 - least) * len(h) + 1e-9) + 1]
                 w = list(dict.fromkeys(h[first[v[first] > 0]].tolist()))
+                own = bag(h.view(np.uint64)).tobytes()
                 for k in range(0, len(w), 1024):
                     m = len(w[k:k + 1024])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(w[k:k + m], pa.int64()), pa.array([node[i]] * m, pa.binary()), pa.array([root[i]] * m, pa.binary()),
                          pa.array([size[i]] * m, pa.int64()), pa.array([False] * m),
-                         pa.array([w[:min(j, EARLIER)] for j in range(k, k + m)], pa.list_(pa.int64()))],
-                        ["key", "node", "root", "size", "upper", "earlier"])
+                         pa.array([w[:min(j, EARLIER)] for j in range(k, k + m)], pa.list_(pa.int64())),
+                         pa.array([own] * m, pa.binary()), keys.take(pa.array([i] * m))],
+                        ["key", "node", "root", "size", "upper", "earlier", "bag", "keys"])
 
-    rows = texts.select("node", "root", "size", "hashes")
-    return rows.mapInArrow(run, "key long, node binary, root binary, size long, upper boolean, earlier array<long>")
+    rows = texts.select("node", "root", "size", "hashes", "keys")
+    return rows.mapInArrow(
+        run, "key long, node binary, root binary, size long, upper boolean, earlier array<long>, bag binary, keys array<long>")
 
 
 def _first_meeting(keys: tuple, earlier: tuple):
@@ -511,22 +512,23 @@ def _first_meeting(keys: tuple, earlier: tuple):
 
 
 def _dealt_words(rows: DataFrame, weight: Column, limit: int) -> DataFrame:
-    """``rows`` of words' groups, whole up to ``limit`` by ``weight``, larger ones as by :func:`_dealt`."""
-    large = rows.groupBy("key").agg(F.sum(weight).alias("w")).where(F.col("w") > limit).select("key")
-    whole = rows.join(large, "key", "left_anti").withColumns({c: F.lit(0) for c in ("own", "x", "y")})
-    return whole.unionByName(_dealt(rows.join(large, "key", "left_semi"), weight, limit))
+    """``rows`` of words' groups of more than one component, whole up to ``limit`` by ``weight``, larger ones as by :func:`_dealt`."""
+    groups = rows.groupBy("key").agg(F.sum(weight).alias("w"), F.min("root").alias("one"), F.max("root").alias("other"))
+    groups = groups.where("one < other").select("key", (F.col("w") > limit).alias("large"))
+    met = rows.join(groups, "key")
+    whole = met.where("NOT large").withColumns({c: F.lit(0) for c in ("own", "x", "y")})
+    return whole.unionByName(_dealt(met.where("large"), weight, limit)).drop("large")
 
 
-def _by_words(members: DataFrame, nodes: DataFrame, t: DataFrame, least: float) -> DataFrame:
+def _by_words(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Links of :func:`_across` for large groups, all at once: their members meet under the rare words that they
     share (see :func:`_rare_words`), so rows grow with the texts' lengths, not with the square of a group's size.
     A word's group that is large itself is dealt into blocks.
 
     As in :func:`_by_sketch`, bags leave some members undecided, which meet again with their words."""
     one = members.groupBy("node").agg(F.first("root").alias("root"), F.first("size").alias("size"), F.collect_set("key").alias("keys"))
-    held = materialize(one.join(nodes.select("node", "bag"), "node"), "wide")
-    texts = t.join(held, "node", "left_semi").groupBy("node").agg(F.first("t").alias("t"))
-    hashed = materialize(_word_hashes(texts).join(held.select("node", "root", "size"), "node"), "words")
+    held = materialize(one, "wide")
+    hashed = materialize(_word_hashes(texts, held).join(held, "node"), "words")
     rows = materialize(_rare_words(hashed, least), "rare")
 
     def found(key: int, group: list[list]) -> list[tuple]:
@@ -541,18 +543,17 @@ def _by_words(members: DataFrame, nodes: DataFrame, t: DataFrame, least: float)
         return [(key, node[i]) for i in np.flatnonzero(needed)]
 
     columns = ["own", "node", "upper", "root", "size", "bag", "keys", "earlier"]
-    dealt = _dealt_words(rows, F.lit(1), BLOCK).join(held.select("node", "bag", "keys"), "node")
-    undecided = materialize(_by_blocks(dealt, columns, "key long, node binary", found).distinct(), "undecided")
+    needed = _by_blocks(_dealt_words(rows, F.lit(1), BLOCK), columns, "key long, node binary", found).distinct()
+    undecided = materialize(needed.join(rows.drop("bag"), ["key", "node"]), "undecided")
     columns = ["own", "node", "upper", "root", "size", "hashes", "keys", "earlier"]
-    dealt = _dealt_words(undecided.join(rows, ["key", "node"]), _room(), BLOCK_BYTES)
-    dealt = dealt.join(held.select("node", "keys"), "node").join(hashed.select("node", "hashes"), "node")
+    dealt = _dealt_words(undecided, _room(), BLOCK_BYTES).join(hashed.select("node", "hashes"), "node")
     links = materialize(_by_blocks(dealt, columns, _LINK, _aligned_links(least, _first_meeting)), "links")
     for df in (held, hashed, rows, undecided):
         drop_materialized(df)
     return links
 
 
-def _across(members: DataFrame, nodes: DataFrame, t: DataFrame, least: float) -> DataFrame:
+def _across(members: DataFrame, nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Links ``(a, b, similarity)`` that join the components of ``members(key, upper, band, node, size, root, low)``: of any two
     texts with a common key that align, both are in one component afterwards. Groups of up to ``BLOCK`` members are compared
     member by member, those of larger ones by their rare words."""
@@ -560,10 +561,10 @@ def _across(members: DataFrame, nodes: DataFrame, t: DataFrame, least: float) ->
         F.count(F.lit(1)).alias("n"), F.min("root").alias("one"), F.max("root").alias("other"), F.min("upper").alias("upper"))
     groups = groups.where("one < other AND NOT upper").select("key", (F.col("n") > BLOCK).alias("wide"))
     apart = materialize(members.join(groups, "key"), "apart")
-    links = _by_sketch(apart.where("NOT wide"), nodes, t, least)
+    links = _by_sketch(apart.where("NOT wide"), nodes, texts, least)
     wide = apart.where("wide")
     if not wide.isEmpty():
-        links = links.unionByName(_by_words(wide, nodes, t, least))
+        links = links.unionByName(_by_words(wide, texts, least))
     drop_materialized(apart)
     return links
 
@@ -591,14 +592,15 @@ def near_links(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -
     nodes = materialize(one, "sketches")
     sigs = nodes.select("node", "size", F.posexplode("sigs").alias("band", "sig"))
     members = sigs.select(F.xxhash64("band", "sig").alias("key"), "band", "node", "size")
-    star = materialize(_stars(members, nodes, least), "candidates")
-    links = _verified(star, t, least)
-    many = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low")).where("n > 2").select("key", "low")
-    rest = members.join(many, "key").join(connected_components(links), "node", "left")
-    rest = rest.select("key", "band", "node", "size", "low", F.coalesce("root", "node").alias("root"))
+    shared = materialize(_shared(members), "shared")
+    texts = materialize(t.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("t").alias("t")), "texts")
+    star = materialize(_stars(shared, nodes, least), "candidates")
+    links = _verified(star, texts, least)
+    rest = shared.where("n > 2").join(connected_components(links), "node", "left")
+    rest = rest.select("key", "band", "node", "size", F.col("low.node").alias("low"), F.coalesce("root", "node").alias("root"))
     rest = materialize(_by_size(rest, least), "members")
-    more = _across(rest, nodes, t, least)
-    for df in (star, nodes, rest):
+    more = _across(rest, nodes, texts, least)
+    for df in (shared, texts, star, nodes, rest):
         drop_materialized(df)
     return links.unionByName(more)
 

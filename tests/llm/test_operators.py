@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagewise.llm import (
@@ -350,6 +351,48 @@ def test_rows_of_a_large_group_grow_with_its_size(spark, monkeypatch):
     assert sums[1] <= 2.6 * sums[0]
 
 
+def test_words_of_one_component_deal_no_rows(spark):
+    """A word whose rows are all of one component has nobody to meet; others keep each row, whatever their size."""
+    rows = [(k, b"%d" % i, b"r" if k % 2 else b"%d" % i, 10, False) for k in range(6) for i in range(4 if k < 4 else 1)]
+    d = spark.createDataFrame(rows, "key long, node binary, root binary, size long, upper boolean")
+    for limit in (2, 256):
+        got = order_minhash._dealt_words(d, F.lit(1), limit)
+        assert {(r.key, bytes(r.node)) for r in got.collect()} == {(k, b"%d" % i) for k in (0, 2) for i in range(4)}
+    assert got.count() == 8
+
+
+def test_whole_texts_are_gathered_once_and_bags_are_not_joined_to_words(spark, monkeypatch, tmp_path):
+    """The words of members come from the texts that share a sketch, not from all documents again; each text under
+    a word brings its bag along."""
+    monkeypatch.setattr(order_minhash, "BLOCK", 8)
+    rng, rows, sources, plans = random.Random(14), [], [], []
+    draw = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    passage = draw(70)
+    for k in range(0, 80, 2):
+        own = draw(30)
+        rows += [(k, " ".join(own + passage)), (k + 1, " ".join(own[:14] + draw(2) + own[16:] + passage))]
+    rows += [(k, " ".join(draw(20))) for k in range(80, 100)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    word_hashes, by_blocks = order_minhash._word_hashes, order_minhash._by_blocks
+
+    def hashed(texts, *more):
+        sources.append(set(texts.inputFiles()) & set(docs.inputFiles()))
+        return word_hashes(texts, *more)
+
+    def blocks(dealt, columns, *more):
+        if "earlier" in columns and "bag" in columns:
+            plans.append(dealt._jdf.queryExecution().optimizedPlan().toString())
+        return by_blocks(dealt, columns, *more)
+
+    monkeypatch.setattr(order_minhash, "_word_hashes", hashed)
+    monkeypatch.setattr(order_minhash, "_by_blocks", blocks)
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs).collect()}
+    assert got == {i: i - i % 2 if i < 80 else i for i, _ in rows}
+    assert sources and not any(sources)
+    assert plans and not any("(node#" in line for p in plans for line in p.split("\n") if "Join" in line)
+
+
 def test_scattered_edits_up_to_the_declared_similarity_share_a_sketch():
     rng = random.Random(10)
     draw = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
